@@ -19,7 +19,6 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .. import constants as K
 
@@ -92,19 +91,17 @@ def synthetic_fx_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.unionByName(desc).withColumn("row_no", F.when(F.col("data") == "nazwa", 0).otherwise(1 + F.col("data").cast("int") % 10000))
 
 
-def fx_long(wide: DataFrame, file_col: str = "file_name", row_col: str = "row_no") -> DataFrame:
-    """S-9 .. S-11: wide archive rows -> clean long rates, first file wins per (currency, date).
+def fx_clean_rows(wide: DataFrame, file_col: str = "file_name", row_col: str = "row_no") -> DataFrame:
+    """S-9 + S-10: wide archive rows -> ``_file, _row, currency, rate_date, rate`` (clean, not de-duplicated).
 
     * absent currency columns are skipped
     * NULL rate, a ``data`` that is not ``yyyyMMdd`` (also drops the description row) and
-      non-numeric rate text are dropped
-    * decimal comma -> dot
-    * duplicates: the smallest (file name, row) wins; the original's order is the
-      file-system glob order, which is unspecified, so ascending path is fixed here
+      non-numeric rate text are dropped; decimal comma -> dot
     """
     present = [(cur, col) for cur, col in K.FX_ARCHIVE_COLUMNS.items() if col in wide.columns]
     if "data" not in wide.columns or not present:
-        return wide.sparkSession.createDataFrame([], "currency string, rate_date date, rate double")
+        return wide.sparkSession.createDataFrame(
+            [], "_file string, _row long, currency string, rate_date date, rate double")
     stacked = wide.select(
         F.col(file_col).alias("_file"),
         F.col(row_col).alias("_row"),
@@ -112,13 +109,23 @@ def fx_long(wide: DataFrame, file_col: str = "file_name", row_col: str = "row_no
         F.explode(F.array(*[F.struct(F.lit(cur).alias("currency"), F.col(f"`{col}`").cast("string").alias("raw")) for cur, col in present])).alias("u"),
     )
     text = F.regexp_replace(F.trim(F.col("u.raw")), ",", ".")
-    clean = stacked.select(
+    return stacked.select(
         "_file", "_row", F.col("u.currency").alias("currency"),
         F.when(F.col("data").rlike(r"^\d{8}$"), F.try_to_timestamp(F.col("data"), F.lit("yyyyMMdd")).cast("date")).alias("rate_date"),
         F.when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$"), text.try_cast("double")).alias("rate"),
     ).where(F.col("rate_date").isNotNull() & F.col("rate").isNotNull())
-    first = Window.partitionBy("currency", "rate_date").orderBy("_file", "_row")
-    return clean.withColumn("_rk", F.row_number().over(first)).where("_rk = 1").select("currency", "rate_date", "rate")
+
+
+def fx_long(wide: DataFrame, file_col: str = "file_name", row_col: str = "row_no") -> DataFrame:
+    """S-9 .. S-11: clean long rates, first file wins per (currency, date).
+
+    Duplicates: the smallest (file name, row) wins.  The original's order is the
+    file-system glob order, which is unspecified, so ascending path is fixed here.
+    ``min_by`` is a partial aggregate, so duplicates collapse map-side."""
+    clean = fx_clean_rows(wide, file_col, row_col)
+    return clean.groupBy("currency", "rate_date").agg(
+        F.min_by(F.col("rate"), F.struct("_file", "_row")).alias("rate")
+    )
 
 
 def read_fx_archives(spark: SparkSession, paths: Iterable[str]) -> DataFrame:

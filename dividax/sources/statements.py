@@ -25,7 +25,7 @@ STATEMENT_COLUMNS = ("id", "acct", "account_currency", "Type", "Time", "Comment"
 
 
 def _pick(values: tuple, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+    return F.try_element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
 def account_currency_of(acct: Column) -> Column:
