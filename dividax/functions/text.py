@@ -26,23 +26,70 @@ def _matches(c: Column, pattern: str) -> Column:
 
 
 def _to_double(text: Column) -> Column:
-    """Numeric text made of digits and dots -> DOUBLE; malformed (``1.2.3``, ``.``) -> NULL."""
-    return F.when(text.rlike(r"^[0-9]*\.?[0-9]*$") & text.rlike(r"[0-9]"), text.try_cast("double"))
+    """Text of digits and dots -> DOUBLE; more than one dot, or no digit (``.``) -> NULL.
 
+    Callers only pass runs of ``[0-9.]``, for which ``try_cast`` is exactly this rule
+    (``1.`` and ``.5`` parse, ``1.2.3`` and ``.`` do not)."""
+    return text.try_cast("double")
 
-def per_share_from_comment(comment: Column | str) -> Column:
-    """T-1: ``struct(dps DOUBLE, currency STRING)`` parsed from a dividend comment.
+
+# Whole-match forms of the cascade patterns.  ``regexp_substr`` returns the first
+# match or NULL, so each pattern runs once per row (no ``nullif`` re-evaluation);
+# the parts are then cut out of the short match text.
+_A_MATCH = r"[A-Z]{3}\s+WHT"             # "<CUR> WHT"
+_A_VALUE = r"[\d.]+\s*/\s*SHR"          # "<num> / SHR" anywhere in a WHT comment
+_B_MATCH = r"[A-Z]{3} [\d.]+/ SHR"       # "<CUR> <num>/ SHR"
+_C_MATCH = r"[\d.]+ [A-Z]{3}/SHR"        # "<num> <CUR>/SHR"
+_NUM = r"[\d.]+"
+_RATE_WHT = r"WHT\s*\d+(?:\.\d+)?%"
+_RATE_ANY = r"\d+(?:\.\d+)?\s*%"
+_RATE_NUM = r"\d+(?:\.\d+)?"
+
+
+def _find(c: Column, pattern: str) -> Column:
+    return F.regexp_substr(c, F.lit(pattern))
+
+
+def per_share_columns(df, comment: str = "comment", dps: str = "dps", currency: str = "currency"):
+    """T-1 as a DataFrame step: adds ``dps`` and ``currency`` parsed from ``comment``.
 
     Ordered cascade, first branch that matches decides:
       (a) ``XXX WHT``       -> currency; value only if ``<num> / SHR`` is also present
       (b) ``XXX <num>/ SHR``
       (c) ``<num> XXX/SHR``
       (d) the first run of digits/dots, no currency (all dots -> both NULL)
+
+    Each branch's regular expression runs at most once per row and only when the
+    earlier branches failed and a cheap substring guard passes; the branch matches
+    are staged as columns so no expression is evaluated twice.
     """
+    c = F.col(comment)
+    pa, pb, pc, pd = F.col("_pa"), F.col("_pb"), F.col("_pc"), F.col("_pd")
+    staged = df.withColumn("_pa", F.when(c.contains("WHT"), _find(c, _A_MATCH)))
+    staged = staged.withColumn("_pb", F.when(pa.isNull() & c.contains("/ SHR"), _find(c, _B_MATCH)))
+    staged = staged.withColumn("_pc", F.when(pa.isNull() & pb.isNull() & c.contains("/SHR"), _find(c, _C_MATCH)))
+    staged = staged.withColumn("_pd", F.when(pa.isNull() & pb.isNull() & pc.isNull(), _find(c, _NUM)))
+    value = (
+        F.when(pa.isNotNull(), _to_double(_find(F.when(c.contains("SHR"), _find(c, _A_VALUE)), _NUM)))
+        .when(pb.isNotNull(), _to_double(F.expr("substring(_pb, 5, length(_pb) - 9)")))
+        .when(pc.isNotNull(), _to_double(F.expr("substring(_pc, 1, length(_pc) - 8)")))
+        .when(pd.isNotNull(), _to_double(pd))
+    )
+    cur = (
+        F.when(pa.isNotNull(), F.substring(pa, 1, 3))
+        .when(pb.isNotNull(), F.substring(pb, 1, 3))
+        .when(pc.isNotNull(), F.expr("substring(_pc, length(_pc) - 6, 3)"))
+    )
+    return staged.withColumns({dps: value, currency: cur}).drop("_pa", "_pb", "_pc", "_pd")
+
+
+def per_share_from_comment(comment: Column | str) -> Column:
+    """T-1 as a single Column expression (``struct(dps, currency)``), same cascade as
+    :func:`per_share_columns`; convenient for ad-hoc use on small inputs."""
     c = _col(comment)
-    a = _matches(c, K.RE_WHT_CURRENCY)
-    b = _matches(c, K.RE_CUR_THEN_VALUE)
-    cc = _matches(c, K.RE_VALUE_THEN_CUR)
+    a = c.contains("WHT") & _matches(c, K.RE_WHT_CURRENCY)
+    b = c.contains("/ SHR") & _matches(c, K.RE_CUR_THEN_VALUE)
+    cc = c.contains("/SHR") & _matches(c, K.RE_VALUE_THEN_CUR)
     d = _matches(c, K.RE_FIRST_NUMBER)
     dps = (
         F.when(a, _to_double(F.regexp_extract(c, K.RE_PER_SHARE_LOOSE, 1)))
@@ -61,7 +108,8 @@ def per_share_from_comment(comment: Column | str) -> Column:
 def wht_rate_from_comment(comment: Column | str) -> Column:
     """T-3: withholding-tax fraction from a comment (``WHT 15%`` first, else any ``n%``), else NULL."""
     c = _col(comment)
-    pct = F.coalesce(_extract(c, K.RE_WHT_RATE, 1), _extract(c, K.RE_ANY_RATE, 1))
+    first = _find(_find(c, _RATE_WHT), _RATE_NUM)
+    pct = F.when(c.contains("%"), F.coalesce(first, _find(_find(c, _RATE_ANY), _RATE_NUM)))
     return pct.try_cast("double") / F.lit(100.0)
 
 
@@ -100,7 +148,7 @@ def keyword_label(comment: Column | str) -> Column:
     low = F.lower(c)
     expr = None
     for keyword, label in K.COMMENT_KEYWORDS:
-        cond = _matches(low, r"\b" + keyword + r"\b")
+        cond = low.contains(keyword) & _matches(low, r"\b" + keyword + r"\b")
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     return expr.otherwise(c)
 

@@ -24,7 +24,7 @@ from ..functions.text import (
     default_wht_rate,
     dividend_currency,
     keyword_label,
-    per_share_from_comment,
+    per_share_columns,
     wht_rate_from_comment,
 )
 from ..params import TaxParams
@@ -102,15 +102,12 @@ def derive_shares(df: DataFrame, fx: FxIndex, params: TaxParams | None = None) -
     Adds ``date_d1, dps, dividend_cur, shares, fx_missing_shares, zero_denominator``
     and replaces ``net_dividend`` by ``shares * dps`` on computed rows."""
     params = params or TaxParams()
-    parsed = df.withColumn("_ps", per_share_from_comment("comment")).withColumns({
-        "date_d1": previous_business_day("date"),
-        "dps": F.col("_ps.dps"),
-    })
+    parsed = per_share_columns(df, "comment", "dps", "_ps_cur").withColumn("date_d1", previous_business_day("date"))
     eligible = (
         F.col("date").isNotNull() & F.col("net_dividend").isNotNull() & F.col("comment").isNotNull()
         & F.col("dps").isNotNull() & (F.col("dps") > 0)
     )
-    cur = dividend_currency(F.col("ticker"), F.col("_ps.currency"))
+    cur = dividend_currency(F.col("ticker"), F.col("_ps_cur"))
     if params.convert_all_currencies:
         foreign = cur != K.BASE_CURRENCY
     else:
@@ -130,7 +127,7 @@ def derive_shares(df: DataFrame, fx: FxIndex, params: TaxParams | None = None) -
         "zero_denominator": F.col("_eligible") & F.coalesce(F.col("dps") * fx_used == 0, F.lit(False)),
     }).withColumn(
         "net_dividend", F.when(F.col("_eligible"), F.col("shares") * F.col("dps")).otherwise(F.col("net_dividend"))
-    ).drop("_ps", "_eligible", "_needs_fx", "_fx_shares")
+    ).drop("_ps_cur", "_eligible", "_needs_fx", "_fx_shares")
 
 
 def merge_rows(df: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from .scan import spread_small_input
 
 # FIXED VALUES of the synthetic statement generator (FIXTURES §2.1), by k = l_suppkey % 16.
 SUFFIX_BY_K = (".US", ".PL", ".UK", ".DK", ".FR", ".DE", ".IE", ".NL", ".US", ".PL", ".US", ".DK", ".FI", ".PT", ".SE")
@@ -37,9 +38,9 @@ def synthetic_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Columns: ``id, acct, account_currency, Type, Time (TIMESTAMP), Comment, Symbol, Amount DECIMAL(18,6)``.
     """
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+    li = spread_small_input(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"
-    )
+    ))
     n = F.col("l_partkey") % 400 + 1
     q = F.col("l_quantity").cast("int")
     w = F.col("l_orderkey") % 7
@@ -61,11 +62,10 @@ def synthetic_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
         w.alias("w"),
     )
     qn = (F.col("q") * F.col("n")).cast("decimal(18,2)")
-    dividend = base.select(
-        F.concat(F.lit("D"), F.col("ok").cast("string"), F.lit("-"), F.col("ln").cast("string")).alias("id"),
-        "acct",
+    ok_ln = F.concat(F.col("ok").cast("string"), F.lit("-"), F.col("ln").cast("string"))
+    dividend = F.struct(
+        F.concat(F.lit("D"), ok_ln).alias("id"),
         F.when(F.col("ln") == 7, "Deposit").when(F.col("ln") % 2 == 0, "Dividend").otherwise("Dywidenda").alias("Type"),
-        "Time",
         F.when(F.col("ln") == 7, F.lit("Blik top up"))
         .otherwise(
             F.concat_ws(
@@ -76,25 +76,23 @@ def synthetic_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
         .alias("Comment"),
-        "Symbol",
         (qn / 100).cast("decimal(18,6)").alias("Amount"),
     )
-    tax = base.where((F.col("w") < 5) & (F.col("ln") != 7)).select(
-        F.concat(F.lit("T"), F.col("ok").cast("string"), F.lit("-"), F.col("ln").cast("string")).alias("id"),
-        "acct",
+    tax = F.struct(
+        F.concat(F.lit("T"), ok_ln).alias("id"),
         F.when(F.col("ln") % 2 == 0, "Withholding Tax").otherwise("Podatek od dywidend").alias("Type"),
-        "Time",
         F.concat_ws(
             "", F.col("Symbol"), F.lit(" "), F.col("cur"), F.lit(" WHT "),
             _pick(WHT_PCT_BY_W, F.col("w")).cast("string"), F.lit("%"),
         ).alias("Comment"),
-        "Symbol",
         (-(qn / 1000)).cast("decimal(18,6)").alias("Amount"),
     )
-    out = dividend.unionByName(tax)
+    # one scan of lineitem; each line becomes one or two legs
+    legs = F.when((F.col("w") < 5) & (F.col("ln") != 7), F.array(dividend, tax)).otherwise(F.array(dividend))
+    out = base.select("acct", "Time", "Symbol", F.explode(legs).alias("leg"))
     return out.select(
-        "id", "acct", account_currency_of(F.col("acct")).alias("account_currency"),
-        "Type", "Time", "Comment", "Symbol", "Amount",
+        "leg.id", "acct", account_currency_of(F.col("acct")).alias("account_currency"),
+        "leg.Type", "Time", "leg.Comment", "Symbol", "leg.Amount",
     )
 
 
