@@ -476,6 +476,99 @@ def q_us_30pct(spark, sf):
     return Q.us_30pct(_parts(spark, sf).merged)
 
 
+# --------------------------------------------------------------- step 10 ----
+
+@register("export_roundtrip", _sql("""
+SELECT acct, strftime(date, '%Y-%m-%d') AS "Date", ticker AS "Ticker", round_even(shares * 100.0, 0) / 100.0 AS "Shares",
+       CAST(net_dividend AS VARCHAR) || ' ' || dividend_currency AS "Net Dividend",
+       COALESCE(CAST(CAST(wht_amount AS DECIMAL(18,2)) AS VARCHAR) || ' ' || dividend_currency, '-') AS "Tax Collected Amount",
+       wht_pct AS "Tax Collected %",
+       COALESCE(strftime(date_d1, '%Y-%m-%d'), '-') AS "Date D-1",
+       COALESCE(CAST(CAST(fx_rate_d1 AS DECIMAL(18,4)) AS VARCHAR) || ' PLN', '-') AS "Exchange Rate D-1",
+       COALESCE(CAST(CAST(tax_due_pln AS DECIMAL(18,2)) AS VARCHAR) || ' PLN', '-') AS "Tax Amount PLN"
+FROM rep""", PIPE))
+def q_export_roundtrip(spark, sf):
+    from ..sources.report_io import report_roundtrip
+    return report_roundtrip(spark, display_report(_parts(spark, sf).report))
+
+
+@register("workbook_ingest", _sql("""
+SELECT id AS "ID", "Type", strftime("Time", '%d.%m.%Y %H:%M:%S') AS "Time", "Comment", "Symbol",
+       CAST("Amount" AS VARCHAR) AS "Amount", account_currency
+FROM stmt"""))
+def q_workbook_ingest(spark, sf):
+    from ..sources.workbook import cells_to_statements, decode_cells, statement_workbooks
+    rows, _bad = cells_to_statements(decode_cells(statement_workbooks(_stmt(spark, sf))))
+    return rows.select("ID", "Type", "Time", "Comment", "Symbol", "Amount", "account_currency")
+
+
+# --------------------------------------------------------------- step 11 ----
+
+@register("latest_archives", _sql(r"""
+SELECT year, label FROM (
+  SELECT CAST(regexp_extract(label, '(\d{4})', 1) AS INTEGER) AS year, min(label) AS label
+  FROM (SELECT 'archiwum_tab_a_' || CAST(y AS VARCHAR) || '.csv' AS label FROM (SELECT DISTINCT year(o_orderdate) AS y FROM orders)
+        UNION ALL
+        SELECT 'kursy_' || CAST(y AS VARCHAR) || '_tabela_a.csv' FROM (SELECT DISTINCT year(o_orderdate) AS y FROM orders))
+  GROUP BY 1)
+ORDER BY year DESC LIMIT 3"""))
+def q_latest_archives(spark, sf):
+    from ..sources.archives import archive_labels, latest_archives
+    return latest_archives(archive_labels(spark, sf), keep=3)
+
+
+_EV_SQL = r"""
+_ev AS (SELECT event_id, event_type, user_id, value,
+               event_type || '-' || CAST(event_id // 1000 AS VARCHAR) AS report_id,
+               CAST(floor(value) AS BIGINT) AS whole,
+               CASE WHEN value >= 30 THEN 'HIGH' WHEN value >= 10 THEN 'MEDIUM' WHEN value >= 2 THEN 'LOW' END AS sev,
+               CASE WHEN event_type = 'error' AND user_id % 5 = 0 THEN NULL ELSE 'B' || CAST(user_id % 12 + 100 AS VARCHAR) END AS test_id,
+               'src\pkg' || CAST(user_id % 7 AS VARCHAR) || '\mod' || CAST(event_id % 3 AS VARCHAR) || '.py' AS filename,
+               CASE WHEN value >= 1 THEN event_id % 400 + 1 END AS line_number,
+               CASE WHEN event_type <> 'view' THEN event_type || ' at ' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS issue_text
+        FROM events)"""
+
+
+def _findings(spark, sf):
+    from ..sources.findings import findings_from_events, read_findings, write_findings
+    from ..sources.report_io import scratch_path
+    path = write_findings(findings_from_events(spark, sf), scratch_path(spark, "findings"))  # S-17
+    return read_findings(spark, path, multiline=False)                                      # S-16
+
+
+@register("findings_flat", _sql(r"""
+SELECT report_id, CAST(rn - 1 AS INTEGER) AS result_index, COALESCE(test_id, 'unknown') AS rule_id,
+       COALESCE(issue_text, 'Security issue detected') AS message, replace(filename, '\', '/') AS uri,
+       COALESCE(line_number, 1) AS start_line, 1 AS start_column,
+       CASE COALESCE(sev, 'LOW') WHEN 'HIGH' THEN 'error' WHEN 'MEDIUM' THEN 'warning' ELSE 'note' END AS level,
+       replace(filename, '\', '/') || ':' || CAST(COALESCE(line_number, 1) AS VARCHAR) AS fingerprint
+FROM (SELECT *, row_number() OVER (PARTITION BY report_id ORDER BY event_id) AS rn FROM _ev)""", _EV_SQL))
+def q_findings_flat(spark, sf):
+    from ..operators.findings import flatten_findings
+    return flatten_findings(_findings(spark, sf))
+
+
+@register("finding_counts", _sql("""
+SELECT report_id, count(*) * 25 + sum(whole) AS lines_scanned, CAST(count(*) AS INTEGER) AS total_issues,
+       count_if(sev = 'HIGH') AS high,
+       CASE WHEN any_value(event_type) <> 'click' THEN count_if(sev = 'MEDIUM') ELSE 0 END AS medium,
+       count_if(sev = 'LOW') AS low
+FROM _ev GROUP BY report_id""", _EV_SQL))
+def q_finding_counts(spark, sf):
+    from ..operators.findings import finding_counts
+    return finding_counts(_findings(spark, sf))
+
+
+@register("top_rules", _sql("""
+SELECT report_id, CAST(rk AS INTEGER) AS rank, rule_id, n FROM (
+  SELECT report_id, rule_id, n, row_number() OVER (PARTITION BY report_id ORDER BY n DESC, rule_id) AS rk
+  FROM (SELECT report_id, COALESCE(test_id, 'unknown') AS rule_id, count(*) AS n FROM _ev GROUP BY report_id, rule_id))
+WHERE rk <= 3""", _EV_SQL))
+def q_top_rules(spark, sf):
+    from ..operators.findings import top_rules
+    return top_rules(_findings(spark, sf), 3)
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

@@ -19,7 +19,6 @@ from xml.etree import ElementTree as ET
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .. import constants as K
 
@@ -90,7 +89,11 @@ def read_workbook_cells(spark: SparkSession, path_glob: str) -> DataFrame:
         spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx")
         .option("ignoreMissingFiles", "true").load(path_glob).select("path", "content")
     )
-    # Workbooks are small and many: spread them so each task decodes a slice of files.
+    return decode_cells(files)
+
+
+def decode_cells(files: DataFrame) -> DataFrame:
+    """``(path, content)`` rows -> cell table; each task decodes the workbooks of its partition."""
     return files.mapInPandas(_decode_batches, CELL_SCHEMA)
 
 
@@ -125,8 +128,8 @@ def drop_footer_rows(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.where(~F.exists(cells, lambda v: v.contains(K.FOOTER_MARKER)))
 
 
-def write_workbook(path: str, rows: list[list], sheet_name: str = K.STATEMENT_SHEET) -> None:
-    """Minimal ``.xlsx`` writer (inline strings / numbers) used to build test inputs."""
+def workbook_bytes(rows: list[list], sheet_name: str = K.STATEMENT_SHEET) -> bytes:
+    """Minimal ``.xlsx`` encoder (inline strings / numbers) used to build test inputs."""
     def ref(r: int, c: int) -> str:
         letters = ""
         c += 1
@@ -154,7 +157,52 @@ def write_workbook(path: str, rows: list[list], sheet_name: str = K.STATEMENT_SH
     rels = ('<?xml version="1.0" encoding="UTF-8"?><Relationships xmlns="%s"><Relationship Id="rId1" '
             'Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" '
             'Target="worksheets/sheet1.xml"/></Relationships>' % _NS["rel"])
-    with zipfile.ZipFile(path, "w") as zf:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as zf:
         zf.writestr("xl/workbook.xml", workbook)
         zf.writestr("xl/_rels/workbook.xml.rels", rels)
         zf.writestr("xl/worksheets/sheet1.xml", sheet)
+    return buf.getvalue()
+
+
+def write_workbook(path: str, rows: list[list], sheet_name: str = K.STATEMENT_SHEET) -> None:
+    """Write one workbook to a local path (tests)."""
+    with open(path, "wb") as f:
+        f.write(workbook_bytes(rows, sheet_name))
+
+
+#: FIXED VALUE: statement rows per generated workbook chunk (bounds one task's file).
+ROWS_PER_WORKBOOK = 50_000
+_SHEET_COLUMNS = ("ID", "Type", "Time", "Comment", "Symbol", "Amount")
+
+
+def statement_workbooks(stmt: DataFrame) -> DataFrame:
+    """Encode statement rows as broker workbooks: ``(path, content)`` like ``binaryFile``.
+
+    One workbook per (account, year, hash chunk), with the account currency in F6,
+    a title block, an ``ID`` header row between empty placeholder columns, the rows
+    and a ``Total`` footer.  Chunks are hash buckets sized from the row count, so a
+    hot account cannot put an unbounded number of rows into one workbook or task."""
+    n = stmt.count()
+    buckets = max(1, -(-n // ROWS_PER_WORKBOOK))
+    rows = stmt.select(
+        F.col("acct").cast("string").alias("acct"), "account_currency",
+        F.year("Time").alias("year"),
+        F.pmod(F.xxhash64("id"), F.lit(buckets)).alias("chunk"),
+        F.col("id").alias("ID"), "Type", F.date_format("Time", "dd.MM.yyyy HH:mm:ss").alias("Time"),
+        "Comment", "Symbol", F.col("Amount").cast("string").alias("Amount"),
+    )
+
+    def encode_group(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = pdf.iloc[0]
+        top = [[None] * 8 for _ in range(9)]
+        top[5][5] = first["account_currency"]
+        top[1][1] = "Cash operation history"
+        header = [None, *_SHEET_COLUMNS, None]
+        body = [[None, *[None if pd.isna(v) else v for v in r], None]
+                for r in pdf[list(_SHEET_COLUMNS)].itertuples(index=False)]
+        footer = [None, None, None, None, None, "Total", str(len(pdf)), None]
+        name = f"stmt-{first['acct']}-{first['year']}-{first['chunk']}.xlsx"
+        return pd.DataFrame({"path": [name], "content": [workbook_bytes(top + [header] + body + [footer])]})
+
+    return rows.groupBy("acct", "year", "chunk").applyInPandas(encode_group, "path string, content binary")
