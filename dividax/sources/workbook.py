@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 
-CELL_SCHEMA = "path string, sheet_row int, col_idx int, value string, _error string"
+CELL_SCHEMA = "path string, account_currency string, sheet_row int, header string, value string, _error string"
 
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
        "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
@@ -72,19 +72,39 @@ def decode_workbook(path: str, content: bytes, sheet_name: str = K.STATEMENT_SHE
             yield (path, int(m.group(2)), _col_index(m.group(1)), value, None)
 
 
+def _currency_cell() -> tuple[int, int]:
+    m = _REF.fullmatch(K.CURRENCY_CELL)
+    return int(m.group(2)), _col_index(m.group(1))
+
+
+def statement_cells(path: str, content: bytes) -> list[tuple]:
+    """S-2 + S-3 for one workbook: ``(path, account_currency, sheet_row, header, value, None)``
+    for every non-empty cell below the header row (the first row holding ``ID``),
+    keyed by that column's header; cells under an empty header are dropped."""
+    cells = list(decode_workbook(path, content))
+    cur_row, cur_col = _currency_cell()
+    currency = next((v for _, r, c, v, _e in cells if r == cur_row and c == cur_col), None)
+    header_rows = [r for _, r, _c, v, _e in cells if v == K.HEADER_MARKER]
+    if not header_rows:
+        raise ValueError(f"no '{K.HEADER_MARKER}' header row")
+    header_row = min(header_rows)
+    headers = {c: v for _, r, c, v, _e in cells if r == header_row}
+    return [(path, currency, r, headers[c], v, None) for _, r, c, v, _e in cells if r > header_row and c in headers]
+
+
 def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         out: list[tuple] = []
         for path, content in zip(pdf["path"], pdf["content"]):
             try:
-                out.extend(decode_workbook(path, bytes(content)))
-            except Exception as exc:  # unreadable / corrupt / wrong sheet: quarantined, never raised
-                out.append((path, None, None, None, f"{type(exc).__name__}: {exc}"))
-        yield pd.DataFrame(out, columns=["path", "sheet_row", "col_idx", "value", "_error"])
+                out.extend(statement_cells(path, bytes(content)))
+            except Exception as exc:  # unreadable / corrupt / wrong sheet / no header: quarantined, never raised
+                out.append((path, None, None, None, None, f"{type(exc).__name__}: {exc}"))
+        yield pd.DataFrame(out, columns=["path", "account_currency", "sheet_row", "header", "value", "_error"])
 
 
 def read_workbook_cells(spark: SparkSession, path_glob: str) -> DataFrame:
-    """S-1 + S-6: cell table of every workbook matching ``path_glob`` (missing files ignored)."""
+    """S-1 + S-6 + S-7: cells of every workbook matching ``path_glob`` (missing files ignored)."""
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx")
         .option("ignoreMissingFiles", "true").load(path_glob).select("path", "content")
@@ -93,33 +113,30 @@ def read_workbook_cells(spark: SparkSession, path_glob: str) -> DataFrame:
 
 
 def decode_cells(files: DataFrame) -> DataFrame:
-    """``(path, content)`` rows -> cell table; each task decodes the workbooks of its partition."""
+    """``(path, content)`` rows -> header-keyed cells; each task decodes the workbooks of its partition."""
     return files.mapInPandas(_decode_batches, CELL_SCHEMA)
 
 
 def cells_to_statements(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """S-2 .. S-5: cell table -> (statement rows, quarantine).
-
-    * account currency: the value of cell F6 of each file
-    * header row: the first row having a cell equal to ``ID``; data are the rows below it
-    * placeholder columns ``Unnamed: 0``/``Unnamed: 7`` (empty headers) are dropped
-    * footer rows: any cell containing ``Total`` is dropped
-    Rows come out with the sheet's own header names (English or Polish)."""
-    bad = cells.where(F.col("_error").isNotNull()).select("path", "_error").distinct()
-    good = cells.where(F.col("_error").isNull())
-    f_col, f_row = _col_index(re.match(r"[A-Z]+", K.CURRENCY_CELL).group(0)), int(re.search(r"\d+", K.CURRENCY_CELL).group(0))
-    currency = good.where((F.col("col_idx") == f_col) & (F.col("sheet_row") == f_row)).select(
-        "path", F.col("value").alias("account_currency"))
-    header_row = good.where(F.col("value") == K.HEADER_MARKER).groupBy("path").agg(F.min("sheet_row").alias("header_row"))
-    headers = good.join(header_row, "path").where(F.col("sheet_row") == F.col("header_row")).select(
-        "path", "col_idx", F.col("value").alias("header"))
-    body = good.join(header_row, "path").where(F.col("sheet_row") > F.col("header_row")).join(headers, ["path", "col_idx"])
-    wide = body.groupBy("path", "sheet_row").pivot("header").agg(F.first("value"))
-    wide = wide.drop(*[c for c in K.PLACEHOLDER_COLUMNS if c in wide.columns])
-    value_cols = [c for c in wide.columns if c not in ("path", "sheet_row")]
-    kept = drop_footer_rows(wide, value_cols)
-    rows = kept.join(currency, "path", "left").withColumnRenamed("path", "acct")
-    return rows, bad
+    """S-4 + S-5 + P-2: header-keyed cells -> (statement rows, quarantine).
+
+    Rows are rebuilt with one aggregation per (file, sheet row) into a
+    ``header -> value`` map (bounded by the sheet's column count); footer rows (any
+    cell containing ``Total``) are dropped; English or Polish headers resolve to
+    the English statement columns; placeholder columns are dropped and every other
+    column stays available in ``cells``.  ``acct`` is the statement file."""
+    bad = cells.where(F.col("_error").isNotNull()).select("path", "_error")
+    good = cells.where(F.col("_error").isNull() & ~F.col("header").isin(*K.PLACEHOLDER_COLUMNS))
+    rows = good.groupBy("path", "sheet_row").agg(
+        F.first("account_currency").alias("account_currency"),
+        F.map_from_entries(F.collect_list(F.struct("header", "value"))).alias("cells"),
+    )
+    rows = rows.where(~F.exists(F.map_values("cells"), lambda v: v.contains(K.FOOTER_MARKER)))
+    polish_of = {en: pl for pl, en in K.POLISH_HEADERS.items()}
+    m = F.col("cells")
+    cols = [F.col("path").alias("acct"), "account_currency", "sheet_row", m[K.HEADER_MARKER].alias(K.HEADER_MARKER)]
+    cols += [F.coalesce(m[en], m[polish_of[en]]).alias(en) for en in K.CANONICAL_HEADERS]
+    return rows.select(*cols, "cells"), bad
 
 
 def drop_footer_rows(df: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -38,17 +38,12 @@ def test_ingest_and_report(spark, tmp_dir):
     good = rows.collect()
     assert len(good) == 4  # the Total footer rows are gone
     by_id = {r["ID"]: r for r in good}
-    assert by_id["1"]["account_currency"] == "USD"
-    assert "Unnamed: 0" not in rows.columns and "Unnamed: 7" not in rows.columns
-    # each language normalised separately, then unioned by name
-    from dividax.operators.columns import normalize_headers
-    en_rows = rows.where(F.col("account_currency") == "USD").select("acct", "account_currency", "ID", "Type", "Time", "Comment", "Symbol", "Amount")
-    pl_rows = rows.where(F.col("account_currency") == "PLN").select(
-        "acct", "account_currency", "ID", F.col("Typ"), F.col("Czas"), F.col("Komentarz"), F.col("Ticker"), F.col("Kwota"))
-    assert normalize_headers(pl_rows).columns[3:] == ["Type", "Date", "Comment", "Ticker", "Amount"]
+    assert by_id["1"]["account_currency"] == "USD" and by_id["7"]["account_currency"] == "PLN"
+    # Polish headers resolve to the English statement columns at ingest
+    assert by_id["7"]["Type"] == "Dywidenda" and by_id["7"]["Symbol"] == "TXT.PL" and by_id["7"]["Amount"] == "12.0"
+    assert "Unnamed: 0" not in by_id["1"]["cells"] and by_id["1"]["cells"]["Type"] == "Dividend"
     fx = spark.createDataFrame([("USD", dt.date(2024, 1, 11), 4.0)], "currency string, rate_date date, rate double")
-    rep = build_report(en_rows.unionByName(normalize_headers(pl_rows).withColumnsRenamed(
-        {"Type": "Type", "Date": "Time", "Comment": "Comment", "Ticker": "Symbol", "Amount": "Amount"})), fx)
+    rep = build_report(rows, fx)
     out = {r["ticker"]: r for r in rep.collect()}
     assert out["SBUX.US"]["shares"] == 10.0 and out["SBUX.US"]["wht_amount"] == 0.86
     assert out["SBUX.US"]["net_dividend"] == 5.7 and out["SBUX.US"]["fx_rate_d1"] == 4.0
