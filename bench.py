@@ -18,10 +18,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from dividax.functions.text import per_share_from_comment, wht_rate_from_comment  # noqa: E402
+from dividax.functions.text import per_share_columns, wht_rate_from_comment  # noqa: E402
 from dividax.operators.dividends import filter_dividends, group_dividends, prepare_rows  # noqa: E402
 from dividax.operators.fx_join import FxIndex  # noqa: E402
-from dividax.plans import queries as Q  # noqa: E402
 from dividax.plans.report import build_report_parts  # noqa: E402
 from dividax.session import get_session  # noqa: E402
 from dividax.sources.fx import synthetic_fx  # noqa: E402
@@ -38,8 +37,8 @@ def main() -> None:
     fx_index = FxIndex(synthetic_fx(spark, sf))  # built once per job (S-12), as in production
 
     def parse_cascade():
-        p = per_share_from_comment("Comment")
-        return stmt.select(p["dps"].alias("dps"), p["currency"].alias("currency"), wht_rate_from_comment("Comment").alias("rate"))
+        parsed = per_share_columns(stmt.select("Comment"), "Comment", "dps", "currency")
+        return parsed.select("dps", "currency", wht_rate_from_comment("Comment").alias("rate"))
 
     def fx_lookup():
         t = stmt.select(F.col("Symbol"), F.col("Time").cast("date").alias("d"))
@@ -53,7 +52,8 @@ def main() -> None:
         "group_dividends": lambda: group_dividends(filter_dividends(prepare_rows(stmt))),
         "parse_cascade": parse_cascade,
         "fx_lookup_d1": fx_lookup,
-        "tax_due_pln": lambda: Q.q_tax_due_pln(spark, sf),
+        "tax_due_pln": lambda: build_report_parts(stmt, fx_index).report.where(F.col("account_currency") != "USD")
+        .select("acct", "date", "ticker", "net_dividend", "wht_rate", "wht_amount", "fx_rate_d1", "tax_due_pln"),
         "tax_report": lambda: build_report_parts(stmt, fx_index).report,
     }
     n_rows = stmt.count()

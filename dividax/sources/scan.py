@@ -24,7 +24,7 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     parallelism = spark.sparkContext.defaultParallelism
     try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # statistics unavailable: leave the plan as it is
         return df
     max_split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
