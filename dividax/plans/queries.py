@@ -274,6 +274,16 @@ def q_fx_first_wins(spark, sf):
     return fx_long(wide.unionByName(corr))
 
 
+@register("fx_archive_scan", _sql("""
+SELECT currency, rate_date, rate FROM fx"""))
+def q_fx_archive_scan(spark, sf):
+    from ..sources.fx import read_fx_archives, write_fx_archives
+    from ..sources.report_io import scratch_path
+    base = scratch_path(spark, "fx-archives")
+    write_fx_archives(synthetic_fx_wide(spark, sf), base)
+    return fx_long(read_fx_archives(spark, f"{base}/*/*/*.csv"))
+
+
 _TARGET_CURRENCIES = ("USD", "EUR", "GBP", "DKK", "PLN", "SEK")
 _TARGETS_SQL = f"""
 _tg AS (SELECT unnest({O.sql_list(_TARGET_CURRENCIES)}) AS currency, target_date

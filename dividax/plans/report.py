@@ -52,6 +52,8 @@ def shares_stage(stmt: DataFrame, fx: FxIndex, params: TaxParams) -> DataFrame:
 
 
 def build_report_parts(stmt: DataFrame, fx: DataFrame | FxIndex, params: TaxParams | None = None) -> ReportParts:
+    if stmt is None or fx is None:
+        raise ValueError("Statements and FX rates are required (got None).")
     params = params or TaxParams()
     index = fx if isinstance(fx, FxIndex) else FxIndex(fx, params)
     rows = shares_stage(stmt, index, params)

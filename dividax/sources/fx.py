@@ -128,32 +128,65 @@ def fx_long(wide: DataFrame, file_col: str = "file_name", row_col: str = "row_no
     )
 
 
-def read_fx_archives(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """S-7/S-8/U-1: read archive CSV files (``;``-separated, ISO-8859-1), one read per file.
-
-    Missing or unreadable files and files without a ``data`` column are skipped.
-    Returns wide rows with ``file_name`` and ``row_no`` for first-file-wins ordering."""
-    frames = []
-    for path in sorted(paths):
-        try:
-            df = (
-                spark.read.option("sep", ";").option("header", True).option("encoding", "ISO-8859-1")
-                .option("inferSchema", False).option("mode", "PERMISSIVE").csv(path)
-            )
-            cols = df.columns
-        except Exception:  # missing / unreadable file: skipped with the original's tolerance
-            continue
-        if "data" not in cols:
-            continue
-        keep = ["data"] + [c for c in K.FX_ARCHIVE_COLUMNS.values() if c in cols]
-        frames.append(
-            df.select(*[F.col(f"`{c}`") for c in keep])
-            .withColumn("file_name", F.lit(path))
-            .withColumn("row_no", F.monotonically_increasing_id())
-        )
-    if not frames:
-        return spark.createDataFrame([], "data string, file_name string, row_no long")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Keep the paths (or globs) that match something; file-system metadata only, no job."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    kept = []
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        matches = hp.getFileSystem(conf).globStatus(hp)
+        if matches is not None and len(matches) > 0:
+            kept.append(p)
+    return kept
+
+
+def read_fx_archives(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
+    """S-7 + S-8 + U-1: archive CSV files (``;``-separated) -> wide rows, in one distributed read.
+
+    ``paths`` is a folder/glob (e.g. ``.../archiwum_tab_a_*.csv``) or a list of files;
+    missing files are ignored.  Files are read as text lines; each file's first line
+    is its header, so every file binds its own column order (a multi-file CSV read
+    would bind all files by the first file's column positions).  Files without a
+    ``data`` column are skipped.  The output carries ``file_name`` and ``row_no``
+    (line order within the file) for first-file-wins de-duplication.
+
+    Header and rate cells are ASCII; the text reader's UTF-8 decoding only affects
+    the (dropped) ISO-8859-1 description row."""
+    targets = existing_paths(spark, [paths] if isinstance(paths, str) else sorted(paths))
+    if not targets:
+        return spark.createDataFrame([], "file_name string, row_no long, data string")
+    lines = (
+        spark.read.option("ignoreMissingFiles", "true").text(targets)
+        .select(F.input_file_name().alias("file_name"), F.monotonically_increasing_id().alias("row_no"),
+                F.split(F.regexp_replace("value", r"\r$", ""), ";").alias("cells"))
+    )
+    headers = lines.groupBy("file_name").agg(F.min_by("cells", "row_no").alias("header"), F.min("row_no").alias("header_no"))
+    headers = headers.where(F.array_contains("header", "data"))
+    body = lines.join(headers, "file_name").where(F.col("row_no") > F.col("header_no"))
+
+    def cell(name: str):
+        pos = F.array_position(F.col("header"), name)
+        return F.when(pos > 0, F.try_element_at(F.col("cells"), pos.cast("int")))
+
+    cols = [F.col("file_name"), F.col("row_no"), cell("data").alias("data")]
+    cols += [cell(col).alias(col) for col in K.FX_ARCHIVE_COLUMNS.values()]
+    return body.select(*cols)
+
+
+def write_fx_archives(wide: DataFrame, base: str) -> str:
+    """Write archive-shaped rows as ``;``-separated CSV files with a header, one folder
+    per year; odd years use a different column order, and a correction set with
+    permuted rate columns goes to a folder that sorts after the yearly archives (its
+    duplicates must lose).  Used to exercise the archive reader end to end."""
+    cols = ["data"] + list(K.FX_ARCHIVE_COLUMNS.values())
+    year = F.substring(F.col("file_name"), 16, 4)
+    rows = wide.withColumn("year", year)
+    even = rows.where(F.col("year").try_cast("int") % 2 == 0).select("year", *[F.col(f"`{c}`") for c in cols])
+    odd = rows.where(F.col("year").try_cast("int") % 2 == 1).select("year", *[F.col(f"`{c}`") for c in reversed(cols)])
+    corr = rows.where((F.col("data") == "nazwa") | (F.substring("data", 7, 2).try_cast("int") % 3 == 0)).select(
+        "year", "data", F.col("1EUR").alias("1USD"), F.col("1USD").alias("1EUR"),
+        F.col("1DKK").alias("1GBP"), F.col("1GBP").alias("1DKK"))
+    for df, folder in ((even, "a"), (odd, "a"), (corr, "b")):
+        df.write.mode("append").partitionBy("year").option("sep", ";").option("header", True).csv(f"{base}/{folder}")
+    return base

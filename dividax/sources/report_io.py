@@ -46,9 +46,18 @@ def prepare_export(display: DataFrame) -> DataFrame:
     return round_numeric(fill_missing(df), 2)  # P-18, P-19
 
 
-def write_report(df: DataFrame, path: str, single_file: bool = False) -> str:
-    """S-13: tab-separated, header, overwrite."""
-    out = df.coalesce(1) if single_file else df
+#: O-1: report order (the original's group-by order), applied only at the sink.
+REPORT_ORDER = ("acct", "Date", "Ticker")
+
+
+def write_report(df: DataFrame, path: str, single_file: bool = False, ordered: bool = True) -> str:
+    """S-13: tab-separated, header, overwrite.
+
+    ``ordered`` sorts by account, date and ticker at the sink (a range-partitioned
+    sort of the report grain, not of the input); part files then follow that order."""
+    keys = [c for c in REPORT_ORDER if c in df.columns] if ordered else []
+    out = df.orderBy(*keys) if keys else df
+    out = out.coalesce(1) if single_file else out
     out.write.mode("overwrite").option("sep", "\t").option("header", True).csv(path)
     return path
 
