@@ -87,3 +87,12 @@ def output_contract(report: DataFrame) -> DataFrame:
         "null_shares": F.col("shares").isNull(),
         "negative_shares": F.col("shares") < 0,
     })
+
+
+def assert_complete(parts) -> None:
+    """Strict mode (the original's behaviour): raise ``ValueError`` naming the first
+    report row that could not be completed (F-4 missing D-1, F-9 missing rate,
+    F-10 missing FX).  Each check fetches at most one row."""
+    raise_if_any(missing_d1(parts.rows), "'Date D-1' value is missing")
+    raise_if_any(invalid_rates(parts.merged), "Missing 'Tax Collected' value")
+    raise_if_any(parts.quarantine, "No exchange rate found within the look-back")

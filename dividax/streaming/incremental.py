@@ -35,7 +35,9 @@ def start_report_stream(
     stream = spark.readStream.schema(statement_schema).parquet(statements_path)
 
     def report_batch(batch: DataFrame, batch_id: int) -> None:
-        build_report(batch, index, params).write.mode("append").parquet(output_path)
+        # each micro-batch owns one folder: a batch re-run after a failure overwrites
+        # its own output instead of appending a duplicate (idempotent sink)
+        build_report(batch, index, params).write.mode("overwrite").parquet(f"{output_path}/batch={batch_id}")
 
     writer = stream.writeStream.foreachBatch(report_batch).option(
         "checkpointLocation", checkpoint or scratch_path(spark, "report-stream"))

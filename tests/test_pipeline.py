@@ -84,3 +84,15 @@ def test_plan_shape(spark):
     assert "BroadcastHashJoin" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_strict_mode_raises_on_missing_fx(spark):
+    from dividax.operators.quality import assert_complete
+    fx = spark.createDataFrame(FX, "currency string, rate_date date, rate double")
+    ok = build_report_parts(_stmt_rows(spark, BASE), fx)
+    assert_complete(ok)
+    late = BASE + [("9", 0, "PLN", "Dividend", dt.datetime(2024, 3, 15, 10), "SBUX.US USD 0.5700/ SHR", "SBUX.US", 22.8)]
+    with pytest.raises(ValueError, match="exchange rate"):
+        assert_complete(build_report_parts(_stmt_rows(spark, late), fx))
+    with pytest.raises(ValueError):
+        build_report_parts(None, fx)
