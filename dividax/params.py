@@ -21,7 +21,7 @@ class TaxParams:
     tax_rate: float = DEFAULT_TAX_RATE
     lookback_probes: int = FX_LOOKBACK_PROBES
     convert_all_currencies: bool = False
-    broadcast_max_rows: int = 5_000_000
+    broadcast_max_rows: int = 1_000_000
 
     def __post_init__(self) -> None:
         if not isinstance(self.tax_rate, (int, float)) or not 0.0 <= float(self.tax_rate) <= 1.0:
