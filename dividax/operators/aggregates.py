@@ -43,8 +43,9 @@ def zero_denominator_report(rows: DataFrame) -> DataFrame:
     """A-7: per account, rows whose share denominator was 0, with 3 ``ticker on date`` samples."""
     counts = rows.groupBy("acct").agg(F.count_if("zero_denominator").alias("zero_denominator_rows"))
     bad = rows.where(F.col("zero_denominator"))
-    samples = samples_text(bad, ["acct"], [F.col("ticker"), F.col("date")],
-                           F.concat(F.col("ticker"), F.lit(" on "), iso_date("date")))
+    # samples in report row order (date, ticker), labelled with the look-up date (D-1)
+    samples = samples_text(bad, ["acct"], [F.col("date"), F.col("ticker"), F.col("type"), F.col("comment")],
+                           F.concat(F.col("ticker"), F.lit(" on "), iso_date("date_d1")))
     return _counts_with_samples(counts, samples, ["acct"])
 
 
@@ -54,7 +55,7 @@ def default_rate_fallbacks(merged: DataFrame) -> DataFrame:
     counts = fb.groupBy("acct").agg(F.count(F.lit(1)).alias("groups"))
     label = F.concat(F.col("ticker"), F.lit(" on "), iso_date("date"), F.lit(" ("),
                      F.round(F.col("wht_rate") * 100).cast("int").cast("string"), F.lit("%)"))
-    samples = samples_text(fb, ["acct"], [F.col("ticker"), F.col("date"), F.col("wht_rate")], label)
+    samples = samples_text(fb, ["acct"], [F.col("date"), F.col("ticker")], label)
     return _counts_with_samples(counts, samples, ["acct"])
 
 

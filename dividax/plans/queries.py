@@ -335,7 +335,7 @@ def q_split_negatives(spark, sf):
 
 @register("zero_denominator", _sql("""
 SELECT acct, count_if(zero_den) AS zero_denominator_rows,
-       COALESCE(array_to_string(list_transform(list_sort(list({'t': ticker, 'd': date}) FILTER (WHERE zero_den))[1:3], lambda x: x.t || ' on ' || strftime(x.d, '%Y-%m-%d')), ', '), '') AS samples
+       COALESCE(array_to_string(list_transform(list_sort(list({'d': date, 't': ticker, 'ty': type, 'c': comment, 'd1': date_d1}) FILTER (WHERE zero_den))[1:3], lambda x: x.t || ' on ' || strftime(x.d1, '%Y-%m-%d')), ', '), '') AS samples
 FROM _rows2 GROUP BY acct""", PIPE))
 def q_zero_denominator(spark, sf):
     return A.zero_denominator_report(_parts(spark, sf).rows)
@@ -357,7 +357,7 @@ def q_merge_rows(spark, sf):
 
 @register("default_rate_fallbacks", _sql("""
 SELECT acct, count(*) AS groups,
-       array_to_string(list_transform(list_sort(list({'t': ticker, 'd': date, 'r': wht_rate}))[1:3], lambda x: x.t || ' on ' || strftime(x.d, '%Y-%m-%d') || ' (' || CAST(CAST(round(x.r * 100) AS INTEGER) AS VARCHAR) || '%)'), ', ') AS samples
+       array_to_string(list_transform(list_sort(list({'d': date, 't': ticker, 'r': wht_rate}))[1:3], lambda x: x.t || ' on ' || strftime(x.d, '%Y-%m-%d') || ' (' || CAST(CAST(round(x.r * 100) AS INTEGER) AS VARCHAR) || '%)'), ', ') AS samples
 FROM _mm WHERE rate_source = 'default' AND wht_rate <> 0 GROUP BY acct""", PIPE))
 def q_default_rate_fallbacks(spark, sf):
     return A.default_rate_fallbacks(_parts(spark, sf).merged)
