@@ -17,6 +17,9 @@ FX_LOOKBACK_PROBES = 10
 #: Base currency of every FX archive; its rate is always 1.0.
 BASE_CURRENCY = "PLN"
 
+#: File-name pattern of the yearly FX archives inside a data folder.
+FX_ARCHIVE_PATTERN = "archiwum_tab_a_*.csv"
+
 #: Currencies the FX archive carries, with the archive column holding each rate.
 FX_ARCHIVE_COLUMNS = {"USD": "1USD", "EUR": "1EUR", "GBP": "1GBP", "DKK": "1DKK"}
 

@@ -141,6 +141,11 @@ def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
     return kept
 
 
+def archive_glob(folder: str) -> str:
+    """S-7: the archives of a data folder (other CSV files there are ignored)."""
+    return f"{folder.rstrip('/')}/{K.FX_ARCHIVE_PATTERN}"
+
+
 def read_fx_archives(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """S-7 + S-8 + U-1: archive CSV files (``;``-separated) -> wide rows, in one distributed read.
 

@@ -86,3 +86,12 @@ def test_serving_table_is_bounded(spark):
     fx = spark.createDataFrame([("USD", d, 1.0) for d in days], "currency string, rate_date date, rate double")
     n = serving_table(fx).count()
     assert n <= 14 * len(days)
+
+
+def test_archive_discovery_ignores_other_files(spark, tmp_dir):
+    from dividax.sources.fx import archive_glob
+    _write(os.path.join(tmp_dir, "archiwum_tab_a_2024.csv"), "data;1USD\n20240105;4,0100\n")
+    _write(os.path.join(tmp_dir, "other_2024.csv"), "data;1USD\n20240105;9,9900\n")
+    got = fx_long(read_fx_archives(spark, archive_glob(tmp_dir))).collect()
+    assert [(r["currency"], r["rate"]) for r in got] == [("USD", 4.01)]
+    assert read_fx_archives(spark, archive_glob(os.path.join(tmp_dir, "nothing-here"))).count() == 0
