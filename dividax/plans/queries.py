@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import dates as D
 from ..functions import text as T
-from ..functions.money import pct_display, round_half_even
+from ..functions.money import pct_display
 from ..operators import aggregates as A
 from ..operators import quality as Q
 from ..operators.columns import drop_columns_strict, normalize_headers, rename_columns_strict, split_negatives
-from ..operators.dividends import filter_dividends, group_dividends, prepare_rows, split_tax_rows
+from ..operators.dividends import filter_dividends, group_dividends, prepare_rows
 from ..operators.fx_join import FxIndex
 from ..params import TaxParams
 from ..sources.fx import fx_long, synthetic_fx, synthetic_fx_wide
@@ -138,8 +138,7 @@ SELECT comment, {O.per_share_dps('comment')} AS dps, {O.per_share_currency('comm
 FROM (SELECT DISTINCT "Comment" AS comment FROM stmt)"""))
 def q_parse_per_share(spark, sf):
     c = _stmt(spark, sf).select(F.col("Comment").alias("comment")).distinct()
-    p = T.per_share_from_comment("comment")
-    return c.select("comment", p["dps"].alias("dps"), p["currency"].alias("currency"))
+    return T.per_share_columns(c, "comment", "dps", "currency")
 
 
 @register("parse_wht_rate", _sql(f"""
@@ -156,8 +155,9 @@ SELECT ticker, comment, {O.ticker_currency('ticker')} AS ticker_currency,
 FROM (SELECT DISTINCT "Symbol" AS ticker, "Comment" AS comment FROM stmt)"""))
 def q_ticker_currency(spark, sf):
     c = _stmt(spark, sf).select(F.col("Symbol").alias("ticker"), F.col("Comment").alias("comment")).distinct()
-    return c.select("ticker", "comment", T.ticker_currency("ticker").alias("ticker_currency"),
-                    T.dividend_currency(F.col("ticker"), T.per_share_from_comment("comment")["currency"]).alias("dividend_currency"))
+    parsed = T.per_share_columns(c, "comment", "_dps", "_cur")
+    return parsed.select("ticker", "comment", T.ticker_currency("ticker").alias("ticker_currency"),
+                         T.dividend_currency(F.col("ticker"), F.col("_cur")).alias("dividend_currency"))
 
 
 @register("default_wht", _sql(f"""

@@ -96,3 +96,13 @@ def test_strict_mode_raises_on_missing_fx(spark):
         assert_complete(build_report_parts(_stmt_rows(spark, late), fx))
     with pytest.raises(ValueError):
         build_report_parts(None, fx)
+
+
+def test_zero_fx_rate_gives_zero_shares_and_is_reported(spark):
+    from dividax.operators.aggregates import zero_denominator_report
+    fx = spark.createDataFrame([("USD", dt.date(2024, 1, 12), 0.0)], "currency string, rate_date date, rate double")
+    parts = build_report_parts(_stmt_rows(spark, BASE[:2]), fx)
+    rep = parts.report.first()
+    assert rep["shares"] == 0.0 and rep["net_dividend"] == 0.0
+    z = zero_denominator_report(parts.rows).first()
+    assert z["zero_denominator_rows"] == 1 and z["samples"] == "SBUX.US on 2024-01-12"

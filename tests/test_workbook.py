@@ -3,7 +3,6 @@
 import datetime as dt
 import os
 
-from pyspark.sql import functions as F
 
 from dividax.plans.report import build_report
 from dividax.sources.workbook import cells_to_statements, read_workbook_cells, write_workbook
