@@ -30,6 +30,7 @@ from ..operators.dividends import (
 from ..operators.fx_join import FxIndex
 from ..operators.tax import add_tax_columns
 from ..params import TaxParams
+from ..session import materialize
 
 REPORT_COLUMNS = (
     "acct", "account_currency", "date", "ticker", "shares", "net_dividend", "dividend_currency",
@@ -51,13 +52,19 @@ def shares_stage(stmt: DataFrame, fx: FxIndex, params: TaxParams) -> DataFrame:
     return derive_shares(split_tax_rows(grouped), fx, params)
 
 
-def build_report_parts(stmt: DataFrame, fx: DataFrame | FxIndex, params: TaxParams | None = None) -> ReportParts:
+def build_report_parts(stmt: DataFrame, fx: DataFrame | FxIndex, params: TaxParams | None = None,
+                       materialized: bool = False) -> ReportParts:
+    """All stages of the report.  With ``materialized`` the merged table is computed
+    once and checkpointed, so report, quarantine and totals do not each recompute
+    the pipeline (use it when more than one output is written)."""
     if stmt is None or fx is None:
         raise ValueError("Statements and FX rates are required (got None).")
     params = params or TaxParams()
     index = fx if isinstance(fx, FxIndex) else FxIndex(fx, params)
     rows = shares_stage(stmt, index, params)
     merged = add_tax_columns(merge_rows(rows), index, params)
+    if materialized:
+        merged = materialize(merged)
     bad = F.coalesce(F.col("fx_missing_shares"), F.lit(False)) | F.col("fx_missing_report")
     report = merged.where(~bad).select(*REPORT_COLUMNS)
     quarantine = merged.where(bad).select(

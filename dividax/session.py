@@ -9,7 +9,8 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 #: Session settings the engine relies on.  UTC makes date casts of zoned timestamps
 #: deterministic; AQE re-plans joins/aggregations from runtime statistics and splits
@@ -56,3 +57,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="dividax-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint.
+
+    The rows are written to the shared checkpoint folder (``spark.checkpoint.dir``),
+    so later actions read them from there even if executors are lost; the
+    temporary cache only avoids computing the plan twice while checkpointing."""
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out

@@ -47,3 +47,25 @@ def test_ingest_and_report(spark, tmp_dir):
     assert out["SBUX.US"]["shares"] == 10.0 and out["SBUX.US"]["wht_amount"] == 0.86
     assert out["SBUX.US"]["net_dividend"] == 5.7 and out["SBUX.US"]["fx_rate_d1"] == 4.0
     assert out["TXT.PL"]["shares"] == 10.0 and out["TXT.PL"]["tax_due_pln"] is None  # 19 % default covers the tax
+
+
+def test_end_to_end_job(spark, tmp_dir):
+    from dividax.plans.job import run_report_job
+    statements, archives, out = (os.path.join(tmp_dir, d) for d in ("statements", "archives", "out"))
+    os.makedirs(statements)
+    os.makedirs(archives)
+    en = ["Unnamed: 0", "ID", "Type", "Time", "Comment", "Symbol", "Amount", "Unnamed: 7"]
+    rows = [
+        [None, "1", "Dividend", "15.01.2024 10:00:00", "SBUX.US USD 0.5700/ SHR", "SBUX.US", "22.8", None],
+        [None, "2", "Withholding Tax", "15.01.2024 10:00:00", "SBUX.US USD WHT 15%", "SBUX.US", "-3.42", None],
+        [None, "3", "Dividend", "15.03.2024 10:00:00", "SBUX.US USD 0.5700/ SHR", "SBUX.US", "22.8", None],
+    ]
+    write_workbook(os.path.join(statements, "pln.xlsx"), _sheet("PLN", en, rows))
+    with open(os.path.join(archives, "archiwum_tab_a_2024.csv"), "w", encoding="iso-8859-1") as f:
+        f.write("data;1USD;1EUR\nnazwa;1 dolar;1 euro\n20240112;4,0000;4,3000\n")
+    run_report_job(spark, statements, archives, out)
+    rep = spark.read.parquet(os.path.join(out, "report_parquet")).collect()
+    assert len(rep) == 1 and rep[0]["shares"] == 10.0 and rep[0]["tax_due_pln"] == 0.29
+    assert spark.read.parquet(os.path.join(out, "quarantine")).count() == 1  # March: no rate within the look-back
+    assert spark.read.parquet(os.path.join(out, "totals")).first()["total_tax_pln"] == 0.29
+    assert len([f for f in os.listdir(os.path.join(out, "report")) if f.endswith(".csv")]) >= 1
