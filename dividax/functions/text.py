@@ -158,9 +158,15 @@ def strip_ansi(text: Column | str) -> Column:
     return F.regexp_replace(_col(text), K.RE_ANSI, "")
 
 
+def money_text(value: Column | str) -> Column:
+    """A 2-dp amount as the original prints a float: shortest form with at least one
+    decimal (``45.5``, ``45.51``, ``100.0``), never scientific notation."""
+    return F.regexp_replace(_col(value).cast("decimal(38,2)").cast("string"), "0$", "")
+
+
 def amount_text(value: Column | str, currency: Column | str) -> Column:
-    """P-11 (sink side): ``"<value> <CUR>"`` label."""
-    return F.concat_ws(" ", _col(value).cast("string"), _col(currency))
+    """P-11 (sink side): ``"<value> <CUR>"`` label of a 2-dp amount."""
+    return F.concat_ws(" ", money_text(value), _col(currency))
 
 
 def parse_amount_text(text: Column | str) -> Column:

@@ -433,7 +433,7 @@ FROM (SELECT ticker, date, acct,
              CASE WHEN contains(txt, 'PLN') THEN 'PLN' WHEN contains(txt, 'USD') THEN '$' ELSE '' END AS sym,
              CASE WHEN regexp_matches(regexp_replace(txt, '[^0-9.]', '', 'g'), '^[0-9]*\\.?[0-9]*$') AND regexp_matches(regexp_replace(txt, '[^0-9.]', '', 'g'), '[0-9]')
                   THEN TRY_CAST(regexp_replace(txt, '[^0-9.]', '', 'g') AS DOUBLE) END AS v
-      FROM (SELECT ticker, date, acct, CAST(net_dividend AS VARCHAR) || ' ' || dividend_currency AS txt FROM rep))
+      FROM (SELECT ticker, date, acct, regexp_replace(CAST(CAST(net_dividend AS DECIMAL(38,2)) AS VARCHAR), '0$', '') || ' ' || dividend_currency AS txt FROM rep))
 GROUP BY ticker""", PIPE))
 def q_net_by_ticker(spark, sf):
     shown = display_report(_parts(spark, sf).report)
@@ -490,7 +490,7 @@ def q_us_30pct(spark, sf):
 
 @register("export_roundtrip", _sql("""
 SELECT acct, strftime(date, '%Y-%m-%d') AS "Date", ticker AS "Ticker", round_even(shares * 100.0, 0) / 100.0 AS "Shares",
-       CAST(net_dividend AS VARCHAR) || ' ' || dividend_currency AS "Net Dividend",
+       regexp_replace(CAST(CAST(net_dividend AS DECIMAL(38,2)) AS VARCHAR), '0$', '') || ' ' || dividend_currency AS "Net Dividend",
        COALESCE(CAST(CAST(wht_amount AS DECIMAL(18,2)) AS VARCHAR) || ' ' || dividend_currency, '-') AS "Tax Collected Amount",
        wht_pct AS "Tax Collected %",
        COALESCE(strftime(date_d1, '%Y-%m-%d'), '-') AS "Date D-1",
