@@ -52,10 +52,12 @@ class FxIndex:
 
     def __init__(self, fx: DataFrame, params: TaxParams | None = None):
         self.params = params or TaxParams()
-        self.table = serving_table(fx, self.params.lookback_probes).persist()
+        source = fx.persist()  # read by the weekday and the weekend branch; only while building
+        self.table = serving_table(source, self.params.lookback_probes).persist()
         # The explicit size check behind the broadcast decision: the serving table is
         # calendar-bounded, but check rather than assume.
         self.rows = self.table.count()
+        source.unpersist()
         self.broadcastable = self.rows <= self.params.broadcast_max_rows
 
     def _side(self, prefix: str) -> DataFrame:
