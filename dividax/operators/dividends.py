@@ -100,34 +100,30 @@ def derive_shares(df: DataFrame, fx: FxIndex, params: TaxParams | None = None) -
     """C-4 + T-1 + T-2 + J-4 + M-1 + M-2 (+ F-2, F-3, F-4 flags).
 
     Adds ``date_d1, dps, dividend_cur, shares, fx_missing_shares, zero_denominator``
-    and replaces ``net_dividend`` by ``shares * dps`` on computed rows."""
+    and replaces ``net_dividend`` by ``shares * dps`` on computed rows.  Each derived
+    value is staged as a column once (conditional branches are not shared by
+    common-subexpression elimination)."""
     params = params or TaxParams()
     parsed = per_share_columns(df, "comment", "dps", "_ps_cur").withColumn("date_d1", previous_business_day("date"))
     eligible = (
         F.col("date").isNotNull() & F.col("net_dividend").isNotNull() & F.col("comment").isNotNull()
         & F.col("dps").isNotNull() & (F.col("dps") > 0)
     )
-    cur = dividend_currency(F.col("ticker"), F.col("_ps_cur"))
-    if params.convert_all_currencies:
-        foreign = cur != K.BASE_CURRENCY
-    else:
-        foreign = cur == "USD"
-    needs_fx = eligible & (F.col("account_currency") == K.BASE_CURRENCY) & foreign
-    staged = parsed.withColumns({
-        "_eligible": eligible,
-        "dividend_cur": F.when(eligible, cur),
-        "_needs_fx": needs_fx,
-    })
-    looked = fx.lookup(staged, F.when(F.col("_needs_fx"), F.col("dividend_cur")), F.col("date_d1"), "_fx_shares")
-    fx_used = F.when(F.col("_needs_fx"), F.col("_fx_shares")).otherwise(F.lit(1.0))
-    shares = F.when(F.col("_eligible"), shares_from_amount(F.col("net_dividend"), F.col("dps"), fx_used))
-    return looked.withColumns({
-        "shares": shares,
+    staged = parsed.withColumn("_eligible", F.coalesce(eligible, F.lit(False)))
+    staged = staged.withColumn("dividend_cur", F.when(F.col("_eligible"), dividend_currency(F.col("ticker"), F.col("_ps_cur"))))
+    cur = F.col("dividend_cur")
+    foreign = (cur != K.BASE_CURRENCY) if params.convert_all_currencies else (cur == "USD")
+    staged = staged.withColumn("_needs_fx", F.coalesce(
+        F.col("_eligible") & (F.col("account_currency") == K.BASE_CURRENCY) & foreign, F.lit(False)))
+    looked = fx.lookup(staged, F.when(F.col("_needs_fx"), cur), F.col("date_d1"), "_fx_shares")
+    looked = looked.withColumn("_fx_used", F.when(F.col("_needs_fx"), F.col("_fx_shares")).otherwise(F.lit(1.0)))
+    shares = F.when(F.col("_eligible"), shares_from_amount(F.col("net_dividend"), F.col("dps"), F.col("_fx_used")))
+    with_shares = looked.withColumn("shares", shares)
+    return with_shares.withColumns({
         "fx_missing_shares": F.col("_needs_fx") & F.col("_fx_shares").isNull(),
-        "zero_denominator": F.col("_eligible") & F.coalesce(F.col("dps") * fx_used == 0, F.lit(False)),
-    }).withColumn(
-        "net_dividend", F.when(F.col("_eligible"), F.col("shares") * F.col("dps")).otherwise(F.col("net_dividend"))
-    ).drop("_ps_cur", "_eligible", "_needs_fx", "_fx_shares")
+        "zero_denominator": F.col("_eligible") & F.coalesce(F.col("dps") * F.col("_fx_used") == 0, F.lit(False)),
+        "net_dividend": F.when(F.col("_eligible"), F.col("shares") * F.col("dps")).otherwise(F.col("net_dividend")),
+    }).drop("_ps_cur", "_eligible", "_needs_fx", "_fx_shares", "_fx_used")
 
 
 def merge_rows(df: DataFrame) -> DataFrame:
