@@ -31,7 +31,8 @@ def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "5"))
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, app="dividax-bench")
+    # one shuffle partition per core: every stage runs in a single full wave locally
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus), app="dividax-bench")
 
     stmt = synthetic_statements(spark, sf)
     fx_index = FxIndex(synthetic_fx(spark, sf))  # built once per job (S-12), as in production

@@ -78,7 +78,7 @@ def ticker_currency(t: str) -> str:
 
 def default_wht(t: str) -> str:
     parts = [f"WHEN contains({t}, {q(p)}) THEN {rate}" for p, rate in K.DEFAULT_WHT_RULES]
-    return f"(CASE {' '.join(parts)} ELSE {K.DEFAULT_WHT_FALLBACK} END)"
+    return f"CAST(CASE {' '.join(parts)} ELSE {K.DEFAULT_WHT_FALLBACK} END AS DOUBLE)"
 
 
 def keyword_label(c: str) -> str:
@@ -213,7 +213,7 @@ _m AS (
          arg_min(row_rate, CASE WHEN row_rate IS NOT NULL THEN row(type, comment) END) AS crate,
          COALESCE(CAST(SUM(wht_raw) AS DOUBLE), 0.0) AS wht_raw,
          bool_or(fx_missing_sh) AS fx_missing_shares,
-         count_if(zero_den) AS zero_denominator_rows
+         CAST(count_if(zero_den) AS BIGINT) AS zero_denominator_rows
   FROM _rows2 GROUP BY acct, account_currency, date, ticker),
 _mm AS (
   SELECT acct, account_currency, date, ticker,

@@ -334,7 +334,7 @@ def q_split_negatives(spark, sf):
 
 
 @register("zero_denominator", _sql("""
-SELECT acct, count_if(zero_den) AS zero_denominator_rows,
+SELECT acct, CAST(count_if(zero_den) AS BIGINT) AS zero_denominator_rows,
        COALESCE(array_to_string(list_transform(list_sort(list({'d': date, 't': ticker, 'ty': type, 'c': comment, 'd1': date_d1}) FILTER (WHERE zero_den))[1:3], lambda x: x.t || ' on ' || strftime(x.d1, '%Y-%m-%d')), ', '), '') AS samples
 FROM _rows2 GROUP BY acct""", PIPE))
 def q_zero_denominator(spark, sf):
@@ -451,13 +451,13 @@ def q_ticker_symbol(spark, sf):
 # ---------------------------------------------------------------- step 9 ----
 
 @register("dq_contracts", _sql(f"""
-SELECT 'input' AS contract, rule, violations FROM (
+SELECT 'input' AS contract, rule, CAST(violations AS BIGINT) AS violations FROM (
   SELECT count_if(id IS NULL) AS null_id, count_if("Type" IS NULL) AS null_type,
          count_if("Type" IN {O.in_list(K.DIVIDEND_TYPES)} AND NOT regexp_matches(COALESCE("Symbol", ''), {O.q(K.RE_TICKER)})) AS bad_ticker,
          count_if("Type" IN {O.in_list(K.DIVIDEND_TYPES)} AND "Comment" IS NULL) AS null_comment
   FROM stmt) UNPIVOT (violations FOR rule IN (null_id, null_type, bad_ticker, null_comment))
 UNION ALL
-SELECT 'output', rule, violations FROM (
+SELECT 'output', rule, CAST(violations AS BIGINT) FROM (
   SELECT count_if(date IS NULL) AS null_date, count_if(net_dividend IS NULL) AS null_net,
          count_if(NOT regexp_matches(COALESCE(ticker, ''), {O.q(K.RE_TICKER)})) AS bad_ticker,
          count_if(shares IS NULL) AS null_shares, count_if(shares < 0) AS negative_shares
@@ -559,10 +559,10 @@ def q_findings_flat(spark, sf):
 
 
 @register("finding_counts", _sql("""
-SELECT report_id, count(*) * 25 + sum(whole) AS lines_scanned, CAST(count(*) AS INTEGER) AS total_issues,
-       count_if(sev = 'HIGH') AS high,
-       CASE WHEN any_value(event_type) <> 'click' THEN count_if(sev = 'MEDIUM') ELSE 0 END AS medium,
-       count_if(sev = 'LOW') AS low
+SELECT report_id, CAST(count(*) * 25 + sum(whole) AS BIGINT) AS lines_scanned, CAST(count(*) AS INTEGER) AS total_issues,
+       CAST(count_if(sev = 'HIGH') AS BIGINT) AS high,
+       CAST(CASE WHEN any_value(event_type) <> 'click' THEN count_if(sev = 'MEDIUM') ELSE 0 END AS BIGINT) AS medium,
+       CAST(count_if(sev = 'LOW') AS BIGINT) AS low
 FROM _ev GROUP BY report_id""", _EV_SQL))
 def q_finding_counts(spark, sf):
     from ..operators.findings import finding_counts
