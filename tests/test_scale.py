@@ -66,3 +66,15 @@ def test_top_k_is_bounded_before_the_shuffle(spark):
     plan = _plan(top)
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert sorted(r["v"] for r in top.where("g = 0").collect()) == [49992, 49995, 49998]
+
+
+def test_statement_filter_and_columns_reach_the_parquet_scan(spark, tmp_dir):
+    path = f"{tmp_dir}/stmt.parquet"
+    synthetic_statements(spark, SF_SMALL).write.parquet(path)
+    stmt = spark.read.parquet(path)
+    rep = build_report(stmt, FxIndex(synthetic_fx(spark, SF_SMALL)))
+    plan = _plan(rep)
+    scan = [l for l in plan.splitlines() if "FileScan parquet" in l and "Comment#" in l][0]
+    assert "PushedFilters: [" in scan and "In(Type" in scan      # F-1 evaluated by the reader
+    read_schema = scan.split("ReadSchema:")[1]
+    assert "id:" not in read_schema                               # unused columns never read
