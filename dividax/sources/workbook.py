@@ -48,28 +48,53 @@ def _sheet_member(zf: zipfile.ZipFile, sheet_name: str) -> str:
     raise KeyError(f"Worksheet {sheet_name} does not exist.")
 
 
-def decode_workbook(path: str, content: bytes, sheet_name: str = K.STATEMENT_SHEET) -> Iterable[tuple]:
-    """One workbook -> ``(path, sheet_row, col_idx, value)`` for every non-empty cell (1-based rows)."""
-    with zipfile.ZipFile(io.BytesIO(content)) as zf:
-        shared: list[str] = []
-        if "xl/sharedStrings.xml" in zf.namelist():
-            sst = ET.fromstring(zf.read("xl/sharedStrings.xml"))
-            for si in sst.findall("m:si", _NS):
-                shared.append("".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")))
-        sheet = ET.fromstring(zf.read(_sheet_member(zf, sheet_name)))
-        for c in sheet.iter(f"{{{_NS['m']}}}c"):
-            m = _REF.fullmatch(c.get("r", ""))
-            if not m:
+_C = f"{{{_NS['m']}}}c"
+_V = f"{{{_NS['m']}}}v"
+_T = f"{{{_NS['m']}}}t"
+_SI = f"{{{_NS['m']}}}si"
+
+#: Cells per pandas batch handed back to Spark (bounds the decoder's memory).
+CELLS_PER_BATCH = 100_000
+
+
+def _shared_strings(zf: zipfile.ZipFile) -> list[str]:
+    if "xl/sharedStrings.xml" not in zf.namelist():
+        return []
+    out: list[str] = []
+    with zf.open("xl/sharedStrings.xml") as fh:
+        for _event, el in ET.iterparse(fh, events=("end",)):
+            if el.tag == _SI:
+                out.append("".join(t.text or "" for t in el.iter(_T)))
+                el.clear()
+    return out
+
+
+def _iter_cells(zf: zipfile.ZipFile, member: str, shared: list[str]) -> Iterator[tuple[int, int, str]]:
+    """Stream ``(row, col, value)`` of non-empty cells in sheet order; parsed elements
+    are cleared as soon as they are read, so memory does not grow with the sheet."""
+    with zf.open(member) as fh:
+        for _event, el in ET.iterparse(fh, events=("end",)):
+            if el.tag != _C:
                 continue
-            kind = c.get("t")
+            m = _REF.fullmatch(el.get("r", ""))
+            kind = el.get("t")
             if kind == "inlineStr":
-                value = "".join(t.text or "" for t in c.iter(f"{{{_NS['m']}}}t"))
+                value = "".join(t.text or "" for t in el.iter(_T))
             else:
-                v = c.find("m:v", _NS)
-                if v is None or v.text is None:
-                    continue
-                value = shared[int(v.text)] if kind == "s" else v.text
-            yield (path, int(m.group(2)), _col_index(m.group(1)), value, None)
+                v = el.find(_V)
+                value = None if v is None or v.text is None else (shared[int(v.text)] if kind == "s" else v.text)
+            el.clear()
+            if m and value is not None:
+                yield int(m.group(2)), _col_index(m.group(1)), value
+
+
+def decode_workbook(path: str, content: bytes, sheet_name: str = K.STATEMENT_SHEET) -> Iterable[tuple]:
+    """One workbook -> ``(path, sheet_row, col_idx, value, None)`` for every non-empty cell (1-based rows)."""
+    with zipfile.ZipFile(io.BytesIO(content)) as zf:
+        member = _sheet_member(zf, sheet_name)
+        shared = _shared_strings(zf)
+        for r, c, v in _iter_cells(zf, member, shared):
+            yield (path, r, c, v, None)
 
 
 def _currency_cell() -> tuple[int, int]:
@@ -77,30 +102,56 @@ def _currency_cell() -> tuple[int, int]:
     return int(m.group(2)), _col_index(m.group(1))
 
 
-def statement_cells(path: str, content: bytes) -> list[tuple]:
-    """S-2 + S-3 for one workbook: ``(path, account_currency, sheet_row, header, value, None)``
+def statement_cells(path: str, content: bytes, sheet_name: str = K.STATEMENT_SHEET) -> Iterator[tuple]:
+    """S-2 + S-3 for one workbook, streamed: ``(path, account_currency, sheet_row, header, value, None)``
     for every non-empty cell below the header row (the first row holding ``ID``),
-    keyed by that column's header; cells under an empty header are dropped."""
-    cells = list(decode_workbook(path, content))
+    keyed by that column's header; cells under an empty header are dropped.
+
+    A first pass reads only the top of the sheet (up to the header row and the
+    currency cell); the second pass streams the data rows."""
     cur_row, cur_col = _currency_cell()
-    currency = next((v for _, r, c, v, _e in cells if r == cur_row and c == cur_col), None)
-    header_rows = [r for _, r, _c, v, _e in cells if v == K.HEADER_MARKER]
-    if not header_rows:
-        raise ValueError(f"no '{K.HEADER_MARKER}' header row")
-    header_row = min(header_rows)
-    headers = {c: v for _, r, c, v, _e in cells if r == header_row}
-    return [(path, currency, r, headers[c], v, None) for _, r, c, v, _e in cells if r > header_row and c in headers]
+    with zipfile.ZipFile(io.BytesIO(content)) as zf:
+        member = _sheet_member(zf, sheet_name)
+        shared = _shared_strings(zf)
+        currency, header_row, headers = None, None, None
+        row_no, row_cells = None, {}
+        for r, c, v in _iter_cells(zf, member, shared):
+            if r != row_no:
+                if header_row is None and K.HEADER_MARKER in row_cells.values():
+                    header_row, headers = row_no, dict(row_cells)
+                if header_row is not None and r > cur_row:
+                    break
+                row_no, row_cells = r, {}
+            row_cells[c] = v
+            if (r, c) == (cur_row, cur_col):
+                currency = v
+        else:
+            if header_row is None and K.HEADER_MARKER in row_cells.values():
+                header_row, headers = row_no, dict(row_cells)
+        if header_row is None:
+            raise ValueError(f"no '{K.HEADER_MARKER}' header row")
+        for r, c, v in _iter_cells(zf, member, shared):
+            if r > header_row and c in headers:
+                yield (path, currency, r, headers[c], v, None)
+
+
+_CELL_COLUMNS = ["path", "account_currency", "sheet_row", "header", "value", "_error"]
 
 
 def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        out: list[tuple] = []
         for path, content in zip(pdf["path"], pdf["content"]):
+            out: list[tuple] = []
             try:
-                out.extend(statement_cells(path, bytes(content)))
+                for cell in statement_cells(path, bytes(content)):
+                    out.append(cell)
+                    if len(out) >= CELLS_PER_BATCH:
+                        yield pd.DataFrame(out, columns=_CELL_COLUMNS)
+                        out = []
             except Exception as exc:  # unreadable / corrupt / wrong sheet / no header: quarantined, never raised
                 out.append((path, None, None, None, None, f"{type(exc).__name__}: {exc}"))
-        yield pd.DataFrame(out, columns=["path", "account_currency", "sheet_row", "header", "value", "_error"])
+            if out:
+                yield pd.DataFrame(out, columns=_CELL_COLUMNS)
 
 
 def read_workbook_cells(spark: SparkSession, path_glob: str) -> DataFrame:
