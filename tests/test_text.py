@@ -45,7 +45,7 @@ def test_wht_rate(spark):
             assert got[comment] == pytest.approx(rate), comment
 
 
-DEFAULT_WHT = [("AAPL.US", .15), ("XTB.PL", .19), ("NOVOB.DK", .15), ("HSBA.UK", 0.0), ("CRH.IE", .15),
+DEFAULT_WHT = [("AAPL.US", .15), ("PKO.PL", .19), ("NOVOB.DK", .15), ("HSBA.UK", 0.0), ("CRH.IE", .15),
                ("AIR.FR", 0.0), ("SAP.DE", 0.0), ("ASML.NL", 0.0), ("XYZ.ZZ", 0.0), ("ASB.PL", 0.0)]
 
 
