@@ -47,15 +47,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     only created here when unset, as happens in local tests.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: the server owns the checkpoint folder
+        if configured:
+            return configured
+        raise ValueError("spark.checkpoint.dir must be set for this session")
     if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(configured)
         return configured
-    existing = spark.sparkContext.getCheckpointDir()
+    existing = sc.getCheckpointDir()
     if existing:
         return existing
     local = tempfile.mkdtemp(prefix="dividax-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
 
 

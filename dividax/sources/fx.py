@@ -130,8 +130,11 @@ def fx_long(wide: DataFrame, file_col: str = "file_name", row_col: str = "row_no
 
 def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
     """Keep the paths (or globs) that match something; file-system metadata only, no job."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # remote session: no file-system handle here; let the reader decide
+        return list(paths)
     kept = []
     for p in paths:
         hp = jvm.org.apache.hadoop.fs.Path(p)

@@ -22,13 +22,14 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     many splits and are left untouched (no extra shuffle at scale).
     """
     spark = df.sparkSession
-    parallelism = spark.sparkContext.defaultParallelism
     try:
+        parallelism = spark.sparkContext.defaultParallelism
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # statistics unavailable: leave the plan as it is
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # statistics unavailable (e.g. a remote session): leave the plan as it is
         return df
     max_split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    if size < parallelism * max_split and df.rdd.getNumPartitions() < parallelism:
+    if size < parallelism * max_split and splits < parallelism:
         # hash partitioning on all (narrow) columns: even spread, no local sort
         return df.repartition(parallelism, *df.columns)
     return df
