@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, StringType, StructField, StructType, TimestampNTZType
 
 from .. import constants as K
 from .aggregates import _counts_with_samples, samples_text
@@ -67,6 +68,32 @@ def _long_counts(df: DataFrame, contract: str, rules: dict) -> DataFrame:
     return agg.select(F.lit(contract).alias("contract"), stacked.alias("r")).select("contract", "r.rule", "r.violations")
 
 
+#: F-12: structural contract of raw statement rows (column set, types, nullability).
+STATEMENT_CONTRACT = StructType([
+    StructField("id", StringType(), False),
+    StructField("Type", StringType(), False),
+    StructField("Time", TimestampNTZType(), True),
+    StructField("Comment", StringType(), True),
+    StructField("Symbol", StringType(), True),
+    StructField("Amount", DecimalType(18, 6), True),
+])
+
+
+def schema_problems(df: DataFrame, contract: StructType = STATEMENT_CONTRACT, strict: bool = False) -> list[str]:
+    """F-12 (structure only, no job): missing columns, type mismatches, nullable where
+    the contract forbids NULL (nullability is only a declared property; the value
+    check is :func:`input_contract`).  ``strict`` also reports extra columns."""
+    fields = {f.name: f for f in df.schema.fields}
+    problems = [f"missing column {c.name}" for c in contract.fields if c.name not in fields]
+    for c in contract.fields:
+        f = fields.get(c.name)
+        if f is not None and f.dataType != c.dataType:
+            problems.append(f"{c.name}: {f.dataType.simpleString()} != {c.dataType.simpleString()}")
+    if strict:
+        problems += [f"unexpected column {n}" for n in fields if n not in contract.fieldNames()]
+    return problems
+
+
 def input_contract(stmt: DataFrame) -> DataFrame:
     """F-12 + F-13: raw-statement contract, one row per rule with its violation count."""
     div = F.col("Type").isin(*K.DIVIDEND_TYPES)

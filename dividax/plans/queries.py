@@ -112,12 +112,14 @@ def q_strip_total_rows(spark, sf):
 # ---------------------------------------------------------------- step 2 ----
 
 @register("parse_dates", _sql(f"""
-SELECT id, time_text, parsed AS date, {O.prev_bday('parsed')} AS date_d1, strftime(parsed, '%Y-%m') AS month
-FROM (SELECT id, strftime("Time", '%d.%m.%Y %H:%M:%S') AS time_text,
+SELECT id, time_text, parsed AS date, {O.prev_bday('parsed')} AS date_d1, strftime(parsed, '%Y-%m') AS month,
+       CAST(try_strptime(iso_text, '%Y-%m-%d') AS DATE) AS date_coerced
+FROM (SELECT id, strftime("Time", '%d.%m.%Y %H:%M:%S') AS time_text, strftime("Time", '%Y-%m-%d') AS iso_text,
              CAST(try_strptime(strftime("Time", '%d.%m.%Y %H:%M:%S'), '%d.%m.%Y %H:%M:%S') AS DATE) AS parsed FROM stmt)"""))
 def q_parse_dates(spark, sf):
     s = with_time_text(_stmt(spark, sf))
-    parsed = s.select("id", "time_text", D.parse_statement_date("time_text").alias("date"))
+    parsed = s.select("id", "time_text", D.parse_statement_date("time_text").alias("date"),
+                      D.coerce_date(F.date_format("Time", "yyyy-MM-dd")).alias("date_coerced"))   # C-2
     return parsed.withColumns({"date_d1": D.previous_business_day("date"), "month": D.month_key("date")})
 
 

@@ -106,3 +106,12 @@ def test_zero_fx_rate_gives_zero_shares_and_is_reported(spark):
     assert rep["shares"] == 0.0 and rep["net_dividend"] == 0.0
     z = zero_denominator_report(parts.rows).first()
     assert z["zero_denominator_rows"] == 1 and z["samples"] == "SBUX.US on 2024-01-12"
+
+
+def test_statement_schema_contract(spark):
+    from dividax.operators.quality import schema_problems
+    stmt = synthetic_statements(spark, SF_SMALL)
+    assert schema_problems(stmt) == []
+    assert schema_problems(stmt, strict=True) == ["unexpected column acct", "unexpected column account_currency"]
+    bad = stmt.drop("Comment").withColumn("Amount", F.col("Amount").cast("double"))
+    assert schema_problems(bad) == ["missing column Comment", "Amount: double != decimal(18,6)"]
