@@ -12,13 +12,13 @@ def _bytes(conf_value: str) -> int:
 
 
 def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin a *small* scan over all cores.
+    """Spread a *small* scan over all cores.
 
     A Parquet row group is never split, so a small input stored as one row group
     is read by a single task and every expression downstream of the scan runs
     single-threaded.  When the planner's size estimate is below what the cluster
     reads in one wave (parallelism x ``maxPartitionBytes``), the narrow projected
-    rows are spread with a round-robin repartition; large inputs already arrive in
+    rows are spread with a hash repartition; large inputs already arrive in
     many splits and are left untouched (no extra shuffle at scale).
     """
     spark = df.sparkSession
