@@ -115,3 +115,21 @@ def test_statement_schema_contract(spark):
     assert schema_problems(stmt, strict=True) == ["unexpected column acct", "unexpected column account_currency"]
     bad = stmt.drop("Comment").withColumn("Amount", F.col("Amount").cast("double"))
     assert schema_problems(bad) == ["missing column Comment", "Amount: double != decimal(18,6)"]
+
+
+def test_metamorphic_split_additivity_and_fully_taxed_insertion(spark):
+    base = _report(spark, BASE)
+    # splitting a dividend amount over two rows with the same key changes nothing
+    split = [r for r in BASE if r[0] != "3"] + [
+        ("3a", 0, "PLN", "Dividend", dt.datetime(2024, 1, 16, 10), "TXT.PL PLN 1.2000/ SHR", "TXT.PL", 4.8),
+        ("3b", 0, "PLN", "Dividend", dt.datetime(2024, 1, 16, 10), "TXT.PL PLN 1.2000/ SHR", "TXT.PL", 7.2)]
+    assert _report(spark, split) == base
+    # a ticker already taxed at 30 % at source adds a row but no tax due
+    taxed = BASE + [
+        ("8", 0, "PLN", "Dividend", dt.datetime(2024, 1, 18, 10), "KO.US USD 0.5000/ SHR", "KO.US", 20.0),
+        ("9", 0, "PLN", "Withholding Tax", dt.datetime(2024, 1, 18, 10), "KO.US USD WHT 30%", "KO.US", -6.0)]
+    fx = spark.createDataFrame(FX + [("USD", dt.date(2024, 1, 17), 4.0)], "currency string, rate_date date, rate double")
+    got = {(r["ticker"], r["date"]): r for r in build_report(_stmt_rows(spark, taxed), fx).collect()}
+    ko = got[("KO.US", dt.date(2024, 1, 18))]
+    assert ko["tax_due_pln"] is None and ko["wht_pct"] == "30%" and ko["date_d1"] is None and ko["fx_rate_d1"] is None
+    assert {k: v for k, v in got.items() if k[0] != "KO.US"} == base
