@@ -42,10 +42,21 @@ def _stmt(spark, sf):
     return synthetic_statements(spark, sf)
 
 
+_FX_INDEXES: dict[tuple[int, str], FxIndex] = {}
+
+
+def _fx_index(spark, sf) -> FxIndex:
+    """S-12: one persisted FX serving table per (session, data folder), shared by queries."""
+    key = (id(spark), sf)
+    idx = _FX_INDEXES.get(key)
+    if idx is None or idx.table.sparkSession is not spark:
+        idx = _FX_INDEXES[key] = FxIndex(synthetic_fx(spark, sf))
+    return idx
+
+
 def _parts(spark, sf, params: TaxParams | None = None):
     params = params or TaxParams()
-    fx = FxIndex(synthetic_fx(spark, sf), params)
-    return build_report_parts(_stmt(spark, sf), fx, params)
+    return build_report_parts(_stmt(spark, sf), _fx_index(spark, sf), params)
 
 
 BASE = O.stmt_cte() + "," + O.fx_cte()
@@ -301,7 +312,7 @@ def _targets(spark, sf):
 SELECT currency, target_date, rate FROM _lk""",
                                BASE + "," + _TARGETS_SQL + "," + O.fx_lookup_ctes("_tg", "currency", "target_date", "rate", "_lk")))
 def q_fx_lookup_d1(spark, sf):
-    idx = FxIndex(synthetic_fx(spark, sf))
+    idx = _fx_index(spark, sf)
     return idx.lookup(_targets(spark, sf), F.col("currency"), F.col("target_date"), "rate")
 
 
@@ -311,7 +322,7 @@ SELECT currency, target_date,
 FROM _lk WHERE rate IS NULL""",
                              BASE + "," + _TARGETS_SQL + "," + O.fx_lookup_ctes("_tg", "currency", "target_date", "rate", "_lk")))
 def q_fx_missing(spark, sf):
-    idx = FxIndex(synthetic_fx(spark, sf))
+    idx = _fx_index(spark, sf)
     return Q.fx_violations(idx.lookup(_targets(spark, sf), F.col("currency"), F.col("target_date"), "rate"))
 
 
