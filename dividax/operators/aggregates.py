@@ -60,16 +60,11 @@ def default_rate_fallbacks(merged: DataFrame) -> DataFrame:
 
 
 def zero_rate_tickers(merged: DataFrame) -> DataFrame:
-    """A-8: groups on a 0 % default rate; count and the sorted distinct tickers.
-
-    Distinct tickers are reduced per (account, ticker) first, so the list per
-    account is bounded by the listing universe, not by the number of rows."""
+    """A-8: groups on a 0 % default rate, as one row per (account, ticker) with its
+    group count (the original logs the sorted distinct tickers; rows keep it
+    distributed, and ``ORDER BY acct, ticker`` at the sink gives the sorted list)."""
     zr = merged.where((F.col("rate_source") == "default") & (F.col("wht_rate") == 0))
-    per_ticker = zr.groupBy("acct", "ticker").agg(F.count(F.lit(1)).alias("n"))
-    return per_ticker.groupBy("acct").agg(
-        F.sum("n").alias("groups"),
-        F.array_join(F.array_sort(F.collect_list("ticker")), ", ").alias("tickers"),
-    )
+    return zr.groupBy("acct", "ticker").agg(F.count(F.lit(1)).alias("groups"))
 
 
 def tax_totals(report: DataFrame) -> DataFrame:

@@ -377,8 +377,8 @@ def q_default_rate_fallbacks(spark, sf):
 
 
 @register("zero_rate_tickers", _sql("""
-SELECT acct, count(*) AS groups, array_to_string(list_sort(list(DISTINCT ticker)), ', ') AS tickers
-FROM _mm WHERE rate_source = 'default' AND wht_rate = 0 GROUP BY acct""", PIPE))
+SELECT acct, ticker, count(*) AS groups
+FROM _mm WHERE rate_source = 'default' AND wht_rate = 0 GROUP BY acct, ticker""", PIPE))
 def q_zero_rate_tickers(spark, sf):
     return A.zero_rate_tickers(_parts(spark, sf).merged)
 
