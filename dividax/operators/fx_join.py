@@ -77,11 +77,18 @@ class FxIndex:
         prefix = f"_fx_{out}"
         keyed = df.withColumn(f"{prefix}_k_cur", currency).withColumn(f"{prefix}_k_date", date)
         side = self._side(prefix)
-        joined = keyed.join(
-            side,
-            (F.col(f"{prefix}_k_cur") == F.col(f"{prefix}_cur")) & (F.col(f"{prefix}_k_date") == F.col(f"{prefix}_date")),
-            "left",
-        )
+        cond = (F.col(f"{prefix}_k_cur") == F.col(f"{prefix}_cur")) & (F.col(f"{prefix}_k_date") == F.col(f"{prefix}_date"))
+        if self.broadcastable:
+            joined = keyed.join(side, cond, "left")
+        else:
+            # Shuffle join: rows that need no rate (NULL key) would all hash to one
+            # partition, so they bypass the join and are added back unchanged.
+            has_key = F.col(f"{prefix}_k_cur").isNotNull() & F.col(f"{prefix}_k_date").isNotNull()
+            matched = keyed.where(has_key).join(side, cond, "left")
+            bypass = keyed.where(~has_key)
+            for c in side.columns:
+                bypass = bypass.withColumn(c, F.lit(None).cast(side.schema[c].dataType))
+            joined = matched.unionByName(bypass)
         value = F.when(F.col(f"{prefix}_k_cur") == K.BASE_CURRENCY, F.lit(1.0)).otherwise(F.col(f"{prefix}_rate"))
         return joined.withColumn(out, value).drop(
             f"{prefix}_k_cur", f"{prefix}_k_date", f"{prefix}_cur", f"{prefix}_date", f"{prefix}_rate"

@@ -54,8 +54,11 @@ def test_broadcast_bound_falls_back_to_shuffle_join(spark):
     fx = spark.createDataFrame([("USD", dt.date(2024, 1, 12), 4.01)], "currency string, rate_date date, rate double")
     idx = FxIndex(fx, TaxParams(broadcast_max_rows=0))
     assert not idx.broadcastable
-    t = spark.createDataFrame([("USD", dt.date(2024, 1, 15))], "currency string, target_date date")
-    assert idx.lookup(t, F.col("currency"), F.col("target_date"), "rate").first()["rate"] == 4.01
+    t = spark.createDataFrame([("USD", dt.date(2024, 1, 15)), (None, dt.date(2024, 1, 15)), ("PLN", None)],
+                              "currency string, target_date date")
+    got = sorted((r["currency"] or "", r["rate"] if r["rate"] is not None else -1.0)
+                 for r in idx.lookup(t, F.col("currency"), F.col("target_date"), "rate").collect())
+    assert got == [("", -1.0), ("PLN", 1.0), ("USD", 4.01)]
 
 
 def _write(path, text):

@@ -133,3 +133,12 @@ def test_metamorphic_split_additivity_and_fully_taxed_insertion(spark):
     ko = got[("KO.US", dt.date(2024, 1, 18))]
     assert ko["tax_due_pln"] is None and ko["wht_pct"] == "30%" and ko["date_d1"] is None and ko["fx_rate_d1"] is None
     assert {k: v for k, v in got.items() if k[0] != "KO.US"} == base
+
+
+def test_shuffle_join_fallback_matches_broadcast(spark):
+    from dividax.params import TaxParams
+    stmt = synthetic_statements(spark, SF_SMALL)
+    fx = synthetic_fx(spark, SF_SMALL)
+    a = build_report(stmt, FxIndex(fx))
+    b = build_report(stmt, FxIndex(fx, TaxParams(broadcast_max_rows=0)))
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
