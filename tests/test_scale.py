@@ -78,3 +78,13 @@ def test_statement_filter_and_columns_reach_the_parquet_scan(spark, tmp_dir):
     assert "PushedFilters: [" in scan and "In(Type" in scan      # F-1 evaluated by the reader
     read_schema = scan.split("ReadSchema:")[1]
     assert "id:" not in read_schema                               # unused columns never read
+
+
+def test_materialize_cuts_lineage_into_the_checkpoint_folder(spark):
+    from dividax.session import materialize
+    src = spark.read.parquet(f"{SF_SMALL}/orders.parquet").groupBy("o_orderstatus").count()
+    out = materialize(src)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" not in plan            # read back from the reliable checkpoint
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, src.collect()))
+    assert spark.sparkContext.getCheckpointDir() is not None
