@@ -142,3 +142,18 @@ def test_shuffle_join_fallback_matches_broadcast(spark):
     a = build_report(stmt, FxIndex(fx))
     b = build_report(stmt, FxIndex(fx, TaxParams(broadcast_max_rows=0)))
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_tax_rate_parameter_flows_through_the_report(spark):
+    from dividax.params import TaxParams
+    rows = BASE + [
+        ("8", 0, "PLN", "Dividend", dt.datetime(2024, 1, 18, 10), "KO.US USD 0.5000/ SHR", "KO.US", 20.0),
+        ("9", 0, "PLN", "Withholding Tax", dt.datetime(2024, 1, 18, 10), "KO.US USD WHT 19%", "KO.US", -3.8)]
+    fx = spark.createDataFrame(FX + [("USD", dt.date(2024, 1, 17), 4.0)], "currency string, rate_date date, rate double")
+    at19 = {r["ticker"]: r for r in build_report(_stmt_rows(spark, rows), fx).collect()}
+    at25 = {r["ticker"]: r for r in build_report(_stmt_rows(spark, rows), fx, TaxParams(tax_rate=0.25)).collect()}
+    assert at19["KO.US"]["tax_due_pln"] is None and at19["KO.US"]["date_d1"] is None
+    ko = at25["KO.US"]
+    # 10 shares x 0.50 USD; WHT 5.0/0.81*0.19 = 1.17; (5.0*0.25 - 1.17) * 4.0 = 0.32
+    assert (ko["net_dividend"], ko["wht_amount"], ko["fx_rate_d1"], ko["tax_due_pln"]) == (5.0, 1.17, 4.0, 0.32)
+    assert ko["date_d1"] == dt.date(2024, 1, 17)
