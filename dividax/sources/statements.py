@@ -22,7 +22,6 @@ WHT_PCT_BY_W = (15, 19, 30, 27, 10)
 #: Account currency by acct = l_orderkey % 4.
 ACCOUNT_CURRENCY_BY_ACCT = ("PLN", "PLN", "USD", "EUR")
 
-STATEMENT_COLUMNS = ("id", "acct", "account_currency", "Type", "Time", "Comment", "Symbol", "Amount")
 
 
 def _pick(values: tuple, index: Column) -> Column:
