@@ -63,3 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_decontamination": op6_decontamination,
         "op10_simhash": op10_simhash,
     }
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
