@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from dividax.llm.common import written
 from dividax.llm.cotraining import keep_good
 from dividax.llm.decontam import drop_contaminated
+from dividax.llm.mixing import sample_mixed
+from dividax.llm.sharding import sharded
 from dividax.llm.simhash import keep_one
 
 
@@ -29,9 +31,25 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-STAGES = [("quality classifier", quality), ("simhash near-dedup", near_duplicates), ("benchmark decontamination", decontamination)]
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn so that sources, languages and topics meet their flattened shares."""
+    return sample_mixed(docs)
 
-#: Fitting the classifier and the fingerprints have no SQL form; tests hold the stages against brute force.
+
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with its shard (nearly equal bytes) and virtual slot."""
+    return sharded(docs, keep_columns=True)
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("simhash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("mixing sources to target weights", mixing),
+    ("sharding", sharding),
+]
+
+#: The fitted classifier, XXH64 fingerprints and the raking loop have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

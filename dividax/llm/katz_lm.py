@@ -26,9 +26,9 @@ from .common import text_bytes, written
 
 ORDER = 2
 #: Text bytes of a block: bounds a task's memory.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 10 << 20
 #: Text bytes for which there is one bucket of n-grams.
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 16 << 20
 #: Counts up to this one are discounted by Turing's ratio, larger ones by its log-linear fit.
 TURING_MAX = 5
 FIT_MAX = 20

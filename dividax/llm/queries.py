@@ -11,7 +11,12 @@ from .cotraining import quality_scores
 from .decontam import contained_items
 from .html_blocks import extract_main_text
 from .katz_lm import katz_scores
+from .line_quality import quality_rules
+from .mixing import mixed
+from .secrets import scan_secrets
+from .sharding import sharded
 from .simhash import simhash_components
+from .sql import OP3_LINE_QUALITY, OP6_DECONTAMINATION
 from .token_counts import token_counts
 
 
@@ -32,6 +37,11 @@ def op2_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("row").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document; its source is its host."""
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op4_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document by the co-trained views."""
     found = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -48,6 +58,21 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard of every document, by nearly equal bytes."""
+    return sharded(table(spark, sf_dir, "documents"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, probability and draw of every document under flattened source, language and topic shares."""
+    return mixed(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash_components(table(spark, sf_dir, "documents"))
@@ -58,12 +83,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
         "op2_katz_lm": op2_katz_lm,
+        "op3_line_quality": op3_line_quality,
         "op4_cotraining": op4_cotraining,
         "op5_html_blocks": op5_html_blocks,
         "op6_decontamination": op6_decontamination,
+        "op7_secrets": op7_secrets,
+        "op8_sharding": op8_sharding,
+        "op9_mixing": op9_mixing,
         "op10_simhash": op10_simhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_line_quality": OP3_LINE_QUALITY, "op6_decontamination": OP6_DECONTAMINATION}
