@@ -27,12 +27,18 @@ def topic_of(text: Column) -> Column:
     )
 
 
+def _scaled(rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` with a column divided by its sum, a single number that the driver fetches."""
+    total = rows.agg(F.sum(column)).first()[0]
+    return rows.withColumn(column, F.col(column) / F.lit(total or 1.0))
+
+
 def flattened_targets(cells: DataFrame, power: float = POWER) -> dict[str, DataFrame]:
     """Per dimension (value, target): the shares of tokens raised to ``power``, adding up to one."""
     out = {}
     for d in DIMENSIONS:
         sums = cells.groupBy(d).agg(F.sum("tokens").alias("t")).where("t > 0").select(F.col(d).alias("value"), F.pow("t", F.lit(power)).alias("t"))
-        out[d] = sums.crossJoin(F.broadcast(sums.agg(F.sum("t").alias("all")))).select("value", (F.col("t") / F.col("all")).alias("target"))
+        out[d] = _scaled(sums, "t").select("value", F.col("t").alias("target"))
     return out
 
 
@@ -46,7 +52,7 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame], max_rounds: int = MAX
     for d, wanted in targets.items():
         there = cells.where("tokens > 0").select(F.col(d).alias("value")).distinct()
         live = wanted.join(there, "value", "left_semi").groupBy("value").agg(F.sum("target").alias("target"))
-        goals[d] = written(live.crossJoin(F.broadcast(live.agg(F.sum("target").alias("all")))).select(F.col("value").alias(d), (F.col("target") / F.col("all")).alias("target")))
+        goals[d] = written(_scaled(live, "target").withColumnRenamed("value", d))
     now = written(cells.where("tokens > 0").withColumn("weight", F.col("tokens").cast("double")))
     for _ in range(max_rounds):
         for d, goal in goals.items():
@@ -79,11 +85,11 @@ def _probabilities(keyed: DataFrame, targets, power: float) -> DataFrame:
     """Per cell: weight per token share, and the probability scaled so that the largest is one."""
     cells = written(keyed.groupBy(*(F.col(f"k_{d}").alias(d) for d in DIMENSIONS)).agg(F.sum("k_tokens").alias("tokens")))
     fitted = raked(cells, targets or flattened_targets(cells, power))
-    total, ratio = fitted.agg(F.sum("tokens").alias("total")), F.col("weight") / F.col("tokens")
-    top = fitted.agg(F.max(ratio).alias("top"))
-    return fitted.crossJoin(F.broadcast(total.crossJoin(top))).select(
-        *(F.col(d).alias(f"k_{d}") for d in DIMENSIONS), (ratio * F.col("total")).alias("weight"),
-        F.when(F.col("top") > 0, ratio / F.col("top")).otherwise(0.0).alias("probability"))
+    ratio = F.col("weight") / F.col("tokens")
+    total, top = fitted.agg(F.sum("tokens"), F.max(ratio)).first()  # two numbers
+    return fitted.select(
+        *(F.col(d).alias(f"k_{d}") for d in DIMENSIONS), (ratio * F.lit(total)).alias("weight"),
+        (ratio / F.lit(top)).alias("probability") if top else F.lit(0.0).alias("probability"))
 
 
 def mixed(docs: DataFrame, targets: dict[str, DataFrame] | None = None, power: float = POWER, topic: Column | None = None, seed: int = SEED,
