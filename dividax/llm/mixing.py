@@ -13,6 +13,8 @@ DIMENSIONS = ("source", "lang", "topic")
 MAX_ROUNDS, TOLERANCE = 50, 1e-6
 #: Targets flatten the shares of tokens by this power.
 POWER = 0.85
+#: Share of all tokens that the sample is to have.
+SHARE = 0.75
 SEED = 20
 
 
@@ -81,39 +83,53 @@ def _keys(docs: DataFrame, id_col: str, text_col: str, topic: Column | None, see
             F.size(words(F.col(text_col))).cast("long").alias("k_tokens"), _uniform(id_col, text_col, seed).alias("k_u")]
 
 
-def _probabilities(keyed: DataFrame, targets, power: float) -> DataFrame:
-    """Per cell: weight per token share, and the probability scaled so that the largest is one."""
+def _scale(fitted: DataFrame, share: float) -> float:
+    """The factor for which probabilities min(1, factor * ratio) draw ``share`` of all tokens in expectation.
+
+    Cells are summed by their ratio to within 1 % first, so that the driver gets a bounded histogram."""
+    bins = [(r.tokens, r.drawn / r.tokens) for r in fitted.where("ratio > 0").groupBy(F.round(F.log("ratio") * 100).cast("long").alias("bin"))
+            .agg(F.sum("tokens").cast("double").alias("tokens"), F.sum(F.col("tokens") * F.col("ratio")).alias("drawn")).collect()]
+    want = share * (fitted.agg(F.sum("tokens")).first()[0] or 0)
+    low, high = 0.0, 1 / min((r for _, r in bins), default=1.0)
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if sum(t * min(1.0, middle * r) for t, r in bins) < want else (low, middle)
+    return high
+
+
+def _probabilities(keyed: DataFrame, targets, power: float, share: float) -> DataFrame:
+    """Per cell: weight on the tokens' share, and the probability that goes with it."""
     cells = written(keyed.groupBy(*(F.col(f"k_{d}").alias(d) for d in DIMENSIONS)).agg(F.sum("k_tokens").alias("tokens")))
     fitted = raked(cells, targets or flattened_targets(cells, power))
-    ratio = F.col("weight") / F.col("tokens")
-    total, top = fitted.agg(F.sum("tokens"), F.max(ratio)).first()  # two numbers
-    return fitted.select(
-        *(F.col(d).alias(f"k_{d}") for d in DIMENSIONS), (ratio * F.lit(total)).alias("weight"),
-        (ratio / F.lit(top)).alias("probability") if top else F.lit(0.0).alias("probability"))
+    total = fitted.agg(F.sum("tokens")).first()[0]
+    fitted = fitted.withColumn("ratio", F.col("weight") / F.col("tokens") * F.lit(total).cast("double"))
+    return fitted.select(*(F.col(d).alias(f"k_{d}") for d in DIMENSIONS), F.col("ratio").alias("weight"),
+                         F.least(F.lit(1.0), F.lit(_scale(fitted, share)) * F.col("ratio")).alias("probability"))
 
 
-def mixed(docs: DataFrame, targets: dict[str, DataFrame] | None = None, power: float = POWER, topic: Column | None = None, seed: int = SEED,
+def mixed(docs: DataFrame, targets: dict[str, DataFrame] | None = None, power: float = POWER, share: float = SHARE, topic: Column | None = None, seed: int = SEED,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, source, lang, topic, n_tokens, weight, probability, sampled) of every row of ``docs``.
 
     Tokens (words) are summed per cell of source, language and topic and raked to ``targets``: per dimension
-    a table (value, target), by default the flattened shares.  ``weight`` is the factor on the cell's share;
-    ``probability`` is it scaled so that the largest is 1, so the expected tokens of the sample meet every
-    marginal; ``sampled`` draws by a fixed hash of the row.  A NULL source or language is the value "";
+    a table (value, target), by default the flattened shares.  ``weight`` is the factor on the cell's share:
+    weighted tokens meet every marginal.  ``probability`` is the weight times one factor, at most 1, so that
+    ``share`` of all tokens is drawn in expectation (cells that are too small for their weight are taken
+    whole); ``sampled`` draws by a fixed hash of the row.  A NULL source or language is the value "";
     rows without tokens in cells without tokens have weight and probability 0; repeated rows are drawn
     alike; an empty table gives no rows.  ``topic`` (an expression on ``docs``) replaces ``topic_of``."""
     rows = written(docs.select(F.col(id_col).alias("doc_id"), *_keys(docs, id_col, text_col, topic, seed)))
-    cells = _probabilities(rows, targets, power)
+    cells = _probabilities(rows, targets, power, share)
     return rows.join(cells, [f"k_{d}" for d in DIMENSIONS], "left").select(
         "doc_id", *(F.col(f"k_{d}").alias(d) for d in DIMENSIONS), F.col("k_tokens").alias("n_tokens"),
         F.coalesce("weight", F.lit(0.0)).alias("weight"), F.coalesce("probability", F.lit(0.0)).alias("probability"),
         (F.col("k_u") < F.coalesce("probability", F.lit(0.0))).alias("sampled"))
 
 
-def sample_mixed(docs: DataFrame, targets: dict[str, DataFrame] | None = None, power: float = POWER, topic: Column | None = None, seed: int = SEED,
+def sample_mixed(docs: DataFrame, targets: dict[str, DataFrame] | None = None, power: float = POWER, share: float = SHARE, topic: Column | None = None, seed: int = SEED,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The sampled rows of ``docs``, columns unchanged (see ``mixed``).  The cells, a table as long as the
     sources times the languages times the topics, meet the rows by an ordinary join."""
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *_keys(docs, id_col, text_col, topic, seed))
-    cells = _probabilities(row.drop("row"), targets, power)
+    cells = _probabilities(row.drop("row"), targets, power, share)
     return row.join(cells, [f"k_{d}" for d in DIMENSIONS]).where("k_u < probability").select("row.*")
