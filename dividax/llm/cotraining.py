@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_bytes, text_slices
+from .common import text_bytes, text_slices, written
 
 #: Bounds of the fit: labelled rows and unlabelled pool rows that are sampled by a hash of the id.
-MAX_LABELLED = 12_000
+MAX_LABELLED = 8_000
 MAX_POOL = 4_000
 ROUNDS = 3
 #: Calibrated confidence from which a view's pseudo-label is handed to the other view.
@@ -21,6 +21,8 @@ TEXT_BITS, META_BITS = 18, 12
 _STYLE = 8
 #: Bytes of the word beginnings that are features beside the whole words.
 _STEMS = (4, 5)
+#: Standard errors by which a feature's log odds ratio must stand out.
+LEAST_Z = 3.5
 
 
 # ---------------------------------------------------------------- features
@@ -71,10 +73,20 @@ def _meta_features(sources, langs, sizes):
 
 # ---------------------------------------------------------------- fit (bounded sample, numpy)
 
+def _sums(group, index, values, n: int):
+    """Per group, the sum of ``values[index]``; a million entries at a time."""
+    import numpy as np
+
+    out = np.zeros(n)
+    for i in range(0, len(group), 1 << 20):
+        out += np.bincount(group[i : i + (1 << 20)], weights=values[index[i : i + (1 << 20)]], minlength=n)
+    return out
+
+
 class Linear:
     """Logistic regression on hashed presence features that differ between the classes, and style figures (Adam, L2)."""
 
-    def __init__(self, bits: int, style: int = 0, decay: float = 2e-4, steps: int = 120, least_z: float = 3.5):
+    def __init__(self, bits: int, style: int = 0, decay: float = 2e-4, steps: int = 120, least_z: float = LEAST_Z):
         import numpy as np
 
         self.weights, self.style, self.bias = np.zeros(1 << bits), np.zeros(style), 0.0
@@ -82,25 +94,23 @@ class Linear:
         self.decay, self.steps, self.least_z = decay, steps, least_z
 
     def margin(self, owner, feature, style, n: int):
-        import numpy as np
-
-        out = np.bincount(owner, weights=self.weights[feature], minlength=n) + self.bias
+        out = _sums(owner, feature, self.weights, n) + self.bias
         return out + ((style - self.mean) / self.scale) @ self.style if len(self.style) else out
 
     def fit(self, owner, feature, style, target, weight) -> "Linear":
         import numpy as np
 
-        n = len(target)
+        n, size = len(target), len(self.weights)
         total = max(weight.sum(), 1e-9)
-        used, column = np.unique(feature, return_inverse=True)
         # features whose log odds ratio between the classes stands out of its standard error
-        yes = np.bincount(column, weights=(weight * target)[owner], minlength=len(used)) + 0.5
-        no = np.bincount(column, weights=(weight * (1 - target))[owner], minlength=len(used)) + 0.5
+        yes = _sums(feature, owner, weight * target, size) + 0.5
+        no = _sums(feature, owner, weight * (1 - target), size) + 0.5
         all_yes, all_no = (weight * target).sum() + 1, (weight * (1 - target)).sum() + 1
         ratio = np.log(yes / np.maximum(all_yes - yes, 0.5)) - np.log(no / np.maximum(all_no - no, 0.5))
         frequent = np.abs(ratio) >= self.least_z * np.sqrt(1 / yes + 1 / no)
-        keep = frequent[column]
-        owner, column = owner[keep], column[keep]
+        used = np.flatnonzero(frequent)
+        keep = np.flatnonzero(frequent[feature])
+        owner, column = owner[keep], np.searchsorted(used, feature[keep])
         if len(self.style):
             self.mean, self.scale = style.mean(axis=0), style.std(axis=0) + 1e-6
             dense = (style - self.mean) / self.scale
@@ -118,7 +128,7 @@ class Linear:
             m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
             theta -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
         self.weights[:] = 0
-        self.weights[used[frequent]] = theta[: len(used)][frequent]
+        self.weights[used] = theta[: len(used)]
         self.style, self.bias = theta[len(used) : -1], float(theta[-1])
         return self
 
@@ -173,7 +183,7 @@ def fit(rows: list[dict], rounds: int = ROUNDS, confident: float = CONFIDENT) ->
     if len(set(good[learn])) < 2 or len(set(good[check])) < 2:
         return None
     n = len(rows)
-    spread = lambda name: (np.repeat(np.arange(n), [len(r[name]) for r in rows]), np.concatenate([np.asarray(r[name], np.int64) for r in rows]))
+    spread = lambda name: (np.repeat(np.arange(n, dtype=np.int32), [len(r[name]) for r in rows]), np.concatenate([np.asarray(r[name], np.int32) for r in rows]))
     style = np.array([r["style"] for r in rows], float)
     views = [(*spread("feature"), style), (*spread("meta"), np.zeros((n, 0)))]
     target = np.where(learn, good, 0).astype(float)
@@ -183,12 +193,9 @@ def fit(rows: list[dict], rounds: int = ROUNDS, confident: float = CONFIDENT) ->
     for turn in range(rounds + 1):
         models, calibration, margins = [], [], []
         for view, (owner, feature, dense) in enumerate(views):
-            use = learn | (given[view] >= 0)
-            place = np.cumsum(use) - 1
-            on = use[owner]
             model = Linear(TEXT_BITS, _STYLE) if view == 0 else Linear(META_BITS)
-            y = np.where(learn, target, given[view])[use].astype(float)
-            model.fit(place[owner[on]], feature[on], dense[use], y, np.where(learn, 1.0, 0.5)[use])
+            y = np.where(learn, target, np.maximum(given[view], 0)).astype(float)
+            model.fit(owner, feature, dense, y, np.where(learn, 1.0, np.where(given[view] >= 0, 0.5, 0.0)))
             margin = model.margin(owner, feature, dense, n)
             beta = _platt(margin[check], good[check].astype(float))
             models.append(model)
@@ -204,7 +211,7 @@ def fit(rows: list[dict], rounds: int = ROUNDS, confident: float = CONFIDENT) ->
             received.append(int(new.sum()))
         exchanged.append(received)
         if not any(received):
-            continue
+            break
     both = np.column_stack(margins)
     beta = _platt(both[check], good[check].astype(float))
     accuracy = float((((both[check] @ beta[:2] + beta[2]) >= 0) == (good[check] == 1)).mean())
@@ -219,7 +226,8 @@ def _arranged(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang
 
 
 def sample_rows(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL, columns=("doc_id", "text", "source", "lang", "n_chars")) -> list[dict]:
-    """Features of the sampled rows: the labelled and the pool rows with the least id hashes.
+    """Features of the sampled rows: the labelled and the pool rows with the least id hashes, and of
+    their word features those that tell the classes of the learning part apart.
 
     An id labelled more than once is good only if all its labels are; NULL ids and labels are left
     out; of repeated document rows one is taken."""
@@ -230,7 +238,7 @@ def sample_rows(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABE
     some = ids.where("good is not null").orderBy("h", "id").limit(max_labelled).union(ids.where("good is null").orderBy("h", "id").limit(max_pool))
     picked = {r.id: (r.good, r.h) for r in some.collect()}
     chosen = docs.sparkSession.createDataFrame([(i, g, h % 3 == 0) for i, (g, h) in picked.items()], T.StructType([base.schema["id"], T.StructField("good", T.IntegerType()), T.StructField("held", T.BooleanType())]))
-    schema = "id string, good int, held boolean, feature binary, style array<double>, meta array<int>"
+    schema = "id string, good int, held boolean, feature array<int>, style array<double>, meta array<int>"
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -243,17 +251,25 @@ def sample_rows(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABE
                 who, meta = _meta_features(part.column("source").to_pylist(), part.column("lang").to_pylist(), part.column("size").to_pylist())
                 yield pa.RecordBatch.from_arrays([
                     part.column("id").cast(pa.string()), part.column("good"), part.column("held"),
-                    pa.array([f.astype("<i4").tobytes() for f in np.split(feature, cuts)], pa.binary()),
+                    pa.array([f.astype(np.int32) for f in np.split(feature, cuts)], pa.list_(pa.int32())),
                     pa.array(list(style), pa.list_(pa.float64())), pa.array(list(meta.reshape(part.num_rows, -1)), pa.list_(pa.int32())),
                 ], names=["id", "good", "held", "feature", "style", "meta"])
 
-    import numpy as np
-
     # the ids are at most max_labelled + max_pool, so they are broadcast
-    found = base.join(F.broadcast(chosen), "id").select("text", "source", "lang", "size", "id", "good", "held").mapInArrow(run, schema).collect()
+    sample = written(base.join(F.broadcast(chosen), "id").select("text", "source", "lang", "size", "id", "good", "held").mapInArrow(run, schema))
+    # the driver gets only the features that differ between the classes of the learning part
+    learn = sample.where("good is not null and not held")
+    sizes = learn.agg(F.sum("good"), F.sum(1 - F.col("good"))).first()
+    telling = []
+    if all(sizes):
+        yes, no, all_yes, all_no = F.col("yes") + 0.5, F.col("no") + 0.5, sizes[0] + 1.0, sizes[1] + 1.0
+        odds = lambda x, n: F.log(x / F.greatest(n - x, F.lit(0.5)))
+        counts = learn.select("good", F.explode("feature").alias("f")).groupBy("f").agg(F.sum("good").alias("yes"), F.sum(1 - F.col("good")).alias("no"))
+        telling = [r.f for r in counts.where(F.abs(odds(yes, all_yes) - odds(no, all_no)) >= LEAST_Z * F.sqrt(1 / yes + 1 / no)).select("f").collect()]
+    few = F.array_intersect("feature", F.array(*map(F.lit, telling)) if telling else F.array().cast("array<int>"))
     seen: dict = {}
-    for r in sorted(found, key=lambda r: (r.id, r.feature, r.meta)):
-        seen.setdefault(r.id, r.asDict() | {"feature": np.frombuffer(r.feature, "<i4")})
+    for r in sorted(sample.select("id", "good", "held", "style", "meta", few.alias("feature")).collect(), key=lambda r: (r.id, sorted(r.feature), r.meta)):
+        seen.setdefault(r.id, r.asDict())
     return list(seen.values())
 
 
