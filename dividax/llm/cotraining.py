@@ -266,9 +266,18 @@ def sample_rows(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABE
         odds = lambda x, n: F.log(x / F.greatest(n - x, F.lit(0.5)))
         counts = learn.select("good", F.explode("feature").alias("f")).groupBy("f").agg(F.sum("good").alias("yes"), F.sum(1 - F.col("good")).alias("no"))
         telling = [r.f for r in counts.where(F.abs(odds(yes, all_yes) - odds(no, all_no)) >= LEAST_Z * F.sqrt(1 / yes + 1 / no)).select("f").collect()]
-    few = F.array_intersect("feature", F.array(*map(F.lit, telling)) if telling else F.array().cast("array<int>"))
+
+    def select(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        chosen_features = np.array(telling, np.int32)
+        for batch in batches:
+            few = [f[np.isin(f, chosen_features)] for f in (np.array(x, np.int32) for x in batch.column("feature").to_pylist())]
+            yield batch.set_column(batch.schema.names.index("feature"), "feature", pa.array(few, pa.list_(pa.int32())))
+
     seen: dict = {}
-    for r in sorted(sample.select("id", "good", "held", "style", "meta", few.alias("feature")).collect(), key=lambda r: (r.id, sorted(r.feature), r.meta)):
+    for r in sorted(sample.mapInArrow(select, schema).collect(), key=lambda r: (r.id, sorted(r.feature), r.meta)):
         seen.setdefault(r.id, r.asDict())
     return list(seen.values())
 
