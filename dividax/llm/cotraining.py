@@ -177,6 +177,8 @@ def fit(rows: list[dict], rounds: int = ROUNDS, confident: float = CONFIDENT) ->
     None for the pool) and ``held`` (calibration part).  None if the labels hold one class only."""
     import numpy as np
 
+    if not rows:
+        return None
     good = np.array([-1 if r["good"] is None else r["good"] for r in rows])
     held = np.array([bool(r["held"]) for r in rows])
     learn, check, pool = (good >= 0) & ~held, (good >= 0) & held, good < 0

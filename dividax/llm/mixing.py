@@ -49,7 +49,8 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame], max_rounds: int = MAX
 
     Each round scales the weights to one dimension's targets after the other, until no marginal is off by
     more than ``tolerance``.  Values without a target get weight 0; targets of values without tokens are
-    dropped and the rest scaled to one.  Sums are pre-aggregated; every round is written."""
+    dropped and the rest scaled to one.  Where cells without tokens make the targets contradict each other,
+    the last round's fit stays: exact for the last dimension, closest for the others.  Sums are pre-aggregated; every round is written."""
     goals = {}
     for d, wanted in targets.items():
         there = cells.where("tokens > 0").select(F.col(d).alias("value")).distinct()

@@ -60,10 +60,11 @@ def _battery(values: Column, size: Column) -> Column:
 
     def chi() -> Column:
         edge = lambda b: F.ceil(size * b / _BINS)
+        in_bin = lambda b: lambda v: F.floor(v * _BINS / size) == b
         total = F.lit(0.0)
         for b in range(_BINS):
             expected = n * (edge(F.lit(b + 1)) - edge(F.lit(b))) / size
-            seen = F.size(F.filter(values, lambda v, b=b: F.floor(v * _BINS / size) == b))
+            seen = F.size(F.filter(values, in_bin(b)))
             total = total + (seen - expected) * (seen - expected) / expected
         return let(total / 2, lambda x: F.exp(-x) * (1 + x))
 
