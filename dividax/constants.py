@@ -89,3 +89,6 @@ RE_TICKER = r"^[A-Z0-9.\-]+$"
 #: Security-findings severity -> report level; default "note".
 SEVERITY_LEVELS = (("HIGH", "error"), ("MEDIUM", "warning"), ("LOW", "note"))
 SEVERITY_NAMES = (("High", "HIGH"), ("Medium", "MEDIUM"), ("Low", "LOW"))
+
+#: Text that counts as a number.
+NUMBER_PATTERN = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"

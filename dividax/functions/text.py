@@ -214,3 +214,9 @@ def severity_level(severity: Column | str) -> Column:
     for name, level in K.SEVERITY_LEVELS:
         expr = F.when(s == name, F.lit(level)) if expr is None else expr.when(s == name, F.lit(level))
     return expr.otherwise(F.lit("note"))
+
+
+def number_from_text(value: Column) -> Column:
+    """P-7: a decimal number as DOUBLE; any other text (``nan``, ``inf``, ``1d``, ``1.2.3``, blanks) is NULL."""
+    text = F.trim(value.cast("string"))
+    return F.when(text.rlike(K.NUMBER_PATTERN), text.try_cast("double"))

@@ -21,6 +21,7 @@ from .. import constants as K
 from ..functions.dates import parse_statement_date, previous_business_day
 from ..functions.money import round_half_even, shares_from_amount
 from ..functions.text import (
+    number_from_text,
     default_wht_rate,
     dividend_currency,
     keyword_label,
@@ -78,7 +79,7 @@ def group_dividends(rows: DataFrame) -> DataFrame:
     elif isinstance(dtype, NumericType):
         amount = F.col("amount").cast("double")
     else:  # raw sheet text: malformed -> NULL
-        amount = F.col("amount").cast("string").try_cast("double")
+        amount = number_from_text(F.col("amount"))
     keyed = rows.dropna(subset=["date", "ticker", "type", "comment"])
     total = F.coalesce(F.sum(amount), F.lit(0))
     return keyed.groupBy(*ROW_KEYS).agg(total.alias("net_dividend"))

@@ -433,7 +433,7 @@ def q_tax_totals(spark, sf):
 
 
 @register("tax_by_month", _sql(f"""
-SELECT acct, month, {O.r2('SUM(tax_due_pln)')} AS total_tax_pln, count(*) AS report_rows
+SELECT acct, month, {O.r2('coalesce(SUM(tax_due_pln), 0)')} AS total_tax_pln, count(*) AS report_rows
 FROM (SELECT acct, strftime(date, '%Y-%m') AS month, tax_due_pln FROM rep)
 GROUP BY ROLLUP (acct, month)""", PIPE))
 def q_tax_by_month(spark, sf):

@@ -25,12 +25,13 @@ DEFAULT_CONF = {
 }
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "dividax") -> SparkSession:
+def get_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "dividax") -> SparkSession:
     """Return (or create) a session configured with :data:`DEFAULT_CONF`."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if shuffle_partitions is not None:  # else the deployment's value holds
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", os.environ.get("DIVIDAX_DRIVER_MEMORY", "8g"))
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)

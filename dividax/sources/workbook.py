@@ -2,14 +2,15 @@
 
 Bulk ingest of many ``.xlsx`` statements: ``binaryFile`` lists and loads the
 files, ``mapInPandas`` decodes each workbook (stdlib ``zipfile`` + XML — no
-spreadsheet library is needed) into long cell rows, and everything after that
-(header location, placeholder columns, footer rows, account currency) is plain
-DataFrame work.  A file that cannot be decoded yields one row with ``_error``
+spreadsheet library is needed) into one row with a header -> value map
+for each sheet row, and everything after that (placeholder columns, footer rows,
+bilingual headers) is plain DataFrame work.  A file that cannot be decoded yields one row with ``_error``
 set, so good and bad files split into a clean and a quarantine DataFrame.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import io
 import re
 import zipfile
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 
-CELL_SCHEMA = "path string, account_currency string, sheet_row int, header string, value string, _error string"
+CELL_SCHEMA = "path string, account_currency string, sheet_row int, cells map<string,string>, _error string"
 
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
        "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
@@ -48,13 +49,17 @@ def _sheet_member(zf: zipfile.ZipFile, sheet_name: str) -> str:
     raise KeyError(f"Worksheet {sheet_name} does not exist.")
 
 
+_M = f"{{{_NS['m']}}}"
 _C = f"{{{_NS['m']}}}c"
 _V = f"{{{_NS['m']}}}v"
 _T = f"{{{_NS['m']}}}t"
 _SI = f"{{{_NS['m']}}}si"
 
-#: Cells per pandas batch handed back to Spark (bounds the decoder's memory).
-CELLS_PER_BATCH = 100_000
+#: Rows per pandas batch handed back to Spark (bounds the decoder's memory).
+ROWS_PER_BATCH = 10_000
+
+# Number formats of the file format that show dates or times.
+BUILT_IN_DATE_FORMATS = frozenset([14, 15, 16, 17, 18, 19, 20, 21, 22, 27, 28, 29, 30, 31, 32, 33, 34, 35, 36, 45, 46, 47, 50, 51, 52, 53, 54, 55, 56, 57, 58])
 
 
 def _shared_strings(zf: zipfile.ZipFile) -> list[str]:
@@ -69,32 +74,61 @@ def _shared_strings(zf: zipfile.ZipFile) -> list[str]:
     return out
 
 
-def _iter_cells(zf: zipfile.ZipFile, member: str, shared: list[str]) -> Iterator[tuple[int, int, str]]:
-    """Stream ``(row, col, value)`` of non-empty cells in sheet order; parsed elements
-    are cleared as soon as they are read, so memory does not grow with the sheet."""
+def _date_styles(zf: zipfile.ZipFile) -> tuple[set[int], dt.datetime]:
+    """Indexes of the cell styles that show dates, and the day that serial number 0 stands for."""
+    epoch = dt.datetime(1899, 12, 30)
+    if re.search(rb'date1904="(1|true)"', zf.read("xl/workbook.xml")):
+        epoch = dt.datetime(1904, 1, 1)
+    if "xl/styles.xml" not in zf.namelist():
+        return set(), epoch
+    root = ET.fromstring(zf.read("xl/styles.xml"))
+    codes = {int(f.get("numFmtId")): f.get("formatCode", "") for f in root.iter(f"{_M}numFmt")}
+    plain = lambda code: re.sub(r'"[^"]*"|\\.|\[[^\]]*\]', "", code).lower()
+    dates = BUILT_IN_DATE_FORMATS | {i for i, code in codes.items() if re.search("[dmyhs]", plain(code))}
+    xfs = root.find(f"{_M}cellXfs")
+    return {i for i, xf in enumerate(xfs if xfs is not None else ()) if int(xf.get("numFmtId", "0")) in dates}, epoch
+
+
+def _cell_value(el: ET.Element, shared: list[str], dates: set[int], epoch: dt.datetime) -> str | None:
+    """Text of a cell; dates as ISO text, errors and blanks as None."""
+    kind = el.get("t")
+    if kind == "inlineStr":
+        return "".join(t.text or "" for t in el.iter(_T))
+    v = el.find(_V)
+    if v is None or v.text is None or kind == "e":
+        return None
+    if kind == "s":
+        return shared[int(v.text)]
+    if kind == "b":
+        return "TRUE" if v.text == "1" else "FALSE"
+    if kind in (None, "n") and int(el.get("s", "0")) in dates:
+        return str(epoch + dt.timedelta(seconds=round(float(v.text) * 86400)))
+    return v.text
+
+
+def _iter_rows(zf: zipfile.ZipFile, member: str, shared: list[str], dates: set[int], epoch: dt.datetime) -> Iterator[tuple[int, dict[int, str]]]:
+    """Stream ``(row, {column: value})`` of the non-empty rows; a row is dropped from the tree once read,
+    so memory does not grow with the sheet."""
+    above = None
     with zf.open(member) as fh:
-        for _event, el in ET.iterparse(fh, events=("end",)):
-            if el.tag != _C:
+        for event, el in ET.iterparse(fh, events=("start", "end")):
+            if event == "start":
+                if el.tag == f"{_M}sheetData":
+                    above = el
                 continue
-            m = _REF.fullmatch(el.get("r", ""))
-            kind = el.get("t")
-            if kind == "inlineStr":
-                value = "".join(t.text or "" for t in el.iter(_T))
-            else:
-                v = el.find(_V)
-                value = None if v is None or v.text is None else (shared[int(v.text)] if kind == "s" else v.text)
-            el.clear()
-            if m and value is not None:
-                yield int(m.group(2)), _col_index(m.group(1)), value
-
-
-def decode_workbook(path: str, content: bytes, sheet_name: str = K.STATEMENT_SHEET) -> Iterable[tuple]:
-    """One workbook -> ``(path, sheet_row, col_idx, value, None)`` for every non-empty cell (1-based rows)."""
-    with zipfile.ZipFile(io.BytesIO(content)) as zf:
-        member = _sheet_member(zf, sheet_name)
-        shared = _shared_strings(zf)
-        for r, c, v in _iter_cells(zf, member, shared):
-            yield (path, r, c, v, None)
+            if el.tag != f"{_M}row":
+                continue
+            number, cells = int(el.get("r", "0")), {}
+            for c in el.iter(_C):
+                m = _REF.fullmatch(c.get("r", ""))
+                value = _cell_value(c, shared, dates, epoch) if m else None
+                if value is not None:
+                    number = int(m.group(2))
+                    cells[_col_index(m.group(1))] = value
+            if above is not None:
+                above.clear()
+            if cells:
+                yield number, cells
 
 
 def _currency_cell() -> tuple[int, int]:
@@ -102,40 +136,38 @@ def _currency_cell() -> tuple[int, int]:
     return int(m.group(2)), _col_index(m.group(1))
 
 
-def statement_cells(path: str, content: bytes, sheet_name: str = K.STATEMENT_SHEET) -> Iterator[tuple]:
-    """S-2 + S-3 for one workbook, streamed: ``(path, account_currency, sheet_row, header, value, None)``
-    for every non-empty cell below the header row (the first row holding ``ID``),
-    keyed by that column's header; cells under an empty header are dropped.
+def statement_rows(path: str, content: bytes, sheet_name: str = K.STATEMENT_SHEET) -> Iterator[tuple]:
+    """S-2 + S-3 for one workbook, streamed: ``(path, account_currency, sheet_row, {header: value}, None)``
+    for every row below the header row (the first row holding ``ID``); cells under an empty header
+    are left out.  A sheet without header row, without account currency, or with a header twice is an error.
 
-    A first pass reads only the top of the sheet (up to the header row and the
-    currency cell); the second pass streams the data rows."""
+    A first pass reads only the top of the sheet (up to the header row and the currency cell);
+    the second pass streams the data rows."""
     cur_row, cur_col = _currency_cell()
     with zipfile.ZipFile(io.BytesIO(content)) as zf:
-        member = _sheet_member(zf, sheet_name)
-        shared = _shared_strings(zf)
-        currency, header_row, headers = None, None, None
-        row_no, row_cells = None, {}
-        for r, c, v in _iter_cells(zf, member, shared):
-            if r != row_no:
-                if header_row is None and K.HEADER_MARKER in row_cells.values():
-                    header_row, headers = row_no, dict(row_cells)
-                if header_row is not None and r > cur_row:
-                    break
-                row_no, row_cells = r, {}
-            row_cells[c] = v
-            if (r, c) == (cur_row, cur_col):
-                currency = v
-        else:
-            if header_row is None and K.HEADER_MARKER in row_cells.values():
-                header_row, headers = row_no, dict(row_cells)
+        source = (zf, _sheet_member(zf, sheet_name), _shared_strings(zf), *_date_styles(zf))
+        currency, header_row, headers = None, None, {}
+        for number, cells in _iter_rows(*source):
+            if number == cur_row:
+                currency = cells.get(cur_col)
+            if header_row is None and K.HEADER_MARKER in cells.values():
+                header_row, headers = number, cells
+            if header_row is not None and number >= cur_row:
+                break
         if header_row is None:
             raise ValueError(f"no '{K.HEADER_MARKER}' header row")
-        for r, c, v in _iter_cells(zf, member, shared):
-            if r > header_row and c in headers:
-                yield (path, currency, r, headers[c], v, None)
+        if not (currency or "").strip():
+            raise ValueError(f"no account currency in cell {K.CURRENCY_CELL}")
+        twice = {h for h in headers.values() if list(headers.values()).count(h) > 1}
+        if twice:
+            raise ValueError(f"header more than once: {', '.join(sorted(twice))}")
+        for number, cells in _iter_rows(*source):
+            named = {headers[c]: v for c, v in cells.items() if c in headers}
+            if number > header_row and named:
+                yield path, currency, number, named, None
 
 
-_CELL_COLUMNS = ["path", "account_currency", "sheet_row", "header", "value", "_error"]
+_ROW_COLUMNS = ["path", "account_currency", "sheet_row", "cells", "_error"]
 
 
 def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -143,15 +175,15 @@ def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for path, content in zip(pdf["path"], pdf["content"]):
             out: list[tuple] = []
             try:
-                for cell in statement_cells(path, bytes(content)):
-                    out.append(cell)
-                    if len(out) >= CELLS_PER_BATCH:
-                        yield pd.DataFrame(out, columns=_CELL_COLUMNS)
+                for row in statement_rows(path, bytes(content)):
+                    out.append(row)
+                    if len(out) >= ROWS_PER_BATCH:
+                        yield pd.DataFrame(out, columns=_ROW_COLUMNS)
                         out = []
             except Exception as exc:  # unreadable / corrupt / wrong sheet / no header: quarantined, never raised
-                out.append((path, None, None, None, None, f"{type(exc).__name__}: {exc}"))
+                out.append((path, None, None, None, f"{type(exc).__name__}: {exc}"))
             if out:
-                yield pd.DataFrame(out, columns=_CELL_COLUMNS)
+                yield pd.DataFrame(out, columns=_ROW_COLUMNS)
 
 
 def read_workbook_cells(spark: SparkSession, path_glob: str) -> DataFrame:
@@ -164,24 +196,20 @@ def read_workbook_cells(spark: SparkSession, path_glob: str) -> DataFrame:
 
 
 def decode_cells(files: DataFrame) -> DataFrame:
-    """``(path, content)`` rows -> header-keyed cells; each task decodes the workbooks of its partition."""
+    """``(path, content)`` rows -> header-keyed rows; each task decodes the workbooks of its partition."""
     return files.mapInPandas(_decode_batches, CELL_SCHEMA)
 
 
 def cells_to_statements(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """S-4 + S-5 + P-2: header-keyed cells -> (statement rows, quarantine).
+    """S-4 + S-5 + P-2: header-keyed rows -> (statement rows, quarantine).
 
-    Rows are rebuilt with one aggregation per (file, sheet row) into a
-    ``header -> value`` map (bounded by the sheet's column count); footer rows (any
-    cell containing ``Total``) are dropped; English or Polish headers resolve to
+    Each sheet row arrives as one row with a ``header -> value`` map, so nothing is shuffled;
+    footer rows (any cell containing ``Total``) are dropped; English or Polish headers resolve to
     the English statement columns; placeholder columns are dropped and every other
     column stays available in ``cells``.  ``acct`` is the statement file."""
     bad = cells.where(F.col("_error").isNotNull()).select("path", "_error")
-    good = cells.where(F.col("_error").isNull() & ~F.col("header").isin(*K.PLACEHOLDER_COLUMNS))
-    rows = good.groupBy("path", "sheet_row").agg(
-        F.first("account_currency").alias("account_currency"),
-        F.map_from_entries(F.collect_list(F.struct("header", "value"))).alias("cells"),
-    )
+    named = F.map_filter("cells", lambda k, v: ~k.isin(*K.PLACEHOLDER_COLUMNS))
+    rows = cells.where(F.col("_error").isNull()).select("path", "sheet_row", "account_currency", named.alias("cells")).where(F.size("cells") > 0)
     rows = rows.where(~F.exists(F.map_values("cells"), lambda v: v.contains(K.FOOTER_MARKER)))
     polish_of = {en: pl for pl, en in K.POLISH_HEADERS.items()}
     m = F.col("cells")

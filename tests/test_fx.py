@@ -11,17 +11,14 @@ from dividax.params import TaxParams
 from dividax.sources.fx import fx_long, read_fx_archives
 
 
-def _probe(rates, currency, target, probes=10):
+def _probe(rates, currency, target):
+    """The definition: the latest published day among the target and the nine weekdays before it."""
     if currency == "PLN":
         return 1.0
-    cur = target
-    for _ in range(probes):
-        if (currency, cur) in rates:
-            return rates[(currency, cur)]
-        cur -= dt.timedelta(days=1)
-        while cur.weekday() >= 5:
-            cur -= dt.timedelta(days=1)
-    return None
+    days = [target - dt.timedelta(days=i) for i in range(1, 20)]
+    eligible = {target, *[d for d in days if d.weekday() < 5][:9]}
+    published = {d: rate for (c, d), rate in rates.items() if c == currency and d in eligible}
+    return published[max(published)] if published else None
 
 
 def test_asof_matches_probe_loop(spark):

@@ -8,10 +8,11 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry_module
+from dividax.plans import queries as library
 from scripts.check_oracle import TABLES, rows_of
 
-QUERIES = entry_module.queries()
-SQL = entry_module.oracle_sql()
+QUERIES = library.queries()
+SQL = library.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -69,3 +69,40 @@ def test_end_to_end_job(spark, tmp_dir):
     assert spark.read.parquet(os.path.join(out, "quarantine")).count() == 1  # March: no rate within the look-back
     assert spark.read.parquet(os.path.join(out, "totals")).first()["total_tax_pln"] == 0.29
     assert len([f for f in os.listdir(os.path.join(out, "report")) if f.endswith(".csv")]) >= 1
+
+
+def _with_styles(content: bytes, column: str) -> bytes:
+    """The workbook with a date style on the numeric cells of a column."""
+    import io
+    import re
+    import zipfile
+
+    out = io.BytesIO()
+    with zipfile.ZipFile(io.BytesIO(content)) as old, zipfile.ZipFile(out, "w") as new:
+        for name in old.namelist():
+            data = old.read(name)
+            if "worksheets/" in name:
+                data = re.sub(rb'(<c r="%s\d+")(?=[^>]*><v>)' % column.encode(), rb'\1 s="1"', data)
+            new.writestr(name, data)
+        new.writestr("xl/styles.xml", '<styleSheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><numFmts count="1">'
+                     '<numFmt numFmtId="170" formatCode="dd/mm/yyyy hh:mm"/></numFmts><cellXfs count="2"><xf numFmtId="0"/><xf numFmtId="170"/></cellXfs></styleSheet>')
+    return out.getvalue()
+
+
+def test_date_cells_currency_and_headers_of_real_files():
+    import pytest
+
+    from dividax.sources.workbook import statement_rows, workbook_bytes
+
+    def sheet(currency, headers):
+        rows = [[None] * 7 for _ in range(8)]
+        rows[5][5] = currency
+        return [*rows, headers, [1, "DIVIDENT", 45303.5, "c", "S1.US", 2.5]]
+
+    headers = ["ID", "Type", "Time", "Comment", "Symbol", "Amount"]
+    (row,) = statement_rows("p", _with_styles(workbook_bytes(sheet("PLN", headers)), "C"))
+    assert row[1] == "PLN" and row[3]["Time"] == "2024-01-12 12:00:00" and float(row[3]["Amount"]) == 2.5
+    with pytest.raises(ValueError, match="no account currency"):
+        list(statement_rows("p", workbook_bytes(sheet(None, headers))))
+    with pytest.raises(ValueError, match="more than once: Comment"):
+        list(statement_rows("p", workbook_bytes(sheet("PLN", [*headers[:5], "Comment"]))))
