@@ -90,5 +90,10 @@ RE_TICKER = r"^[A-Z0-9.\-]+$"
 SEVERITY_LEVELS = (("HIGH", "error"), ("MEDIUM", "warning"), ("LOW", "note"))
 SEVERITY_NAMES = (("High", "HIGH"), ("Medium", "MEDIUM"), ("Low", "LOW"))
 
+#: Defaults of a finding without a rule, path or text, and the version of the converted report's format.
+UNKNOWN = "unknown"
+DEFAULT_MESSAGE = "Security issue detected"
+CONVERTED_VERSION = "2.1.0"
+
 #: Text that counts as a number.
 NUMBER_PATTERN = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"

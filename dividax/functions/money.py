@@ -22,6 +22,11 @@ def round_half_even(x: Column | str, digits: int = 2) -> Column:
     return F.rint(_col(x) * F.lit(scale)) / F.lit(scale)
 
 
+def exact(x: Column | str, digits: int = 8) -> Column:
+    """DOUBLE -> DECIMAL of ``digits`` places (NaN and overflow -> NULL), so that sums don't depend on order."""
+    return _col(x).try_cast(f"decimal({20 + digits},{digits})")
+
+
 def shares_from_amount(amount: Column | str, dps: Column | str, fx: Column | str) -> Column:
     """M-1: ``round(amount / (dps * fx))`` half-even to an integer; a zero denominator -> 0."""
     denom = _col(dps) * _col(fx)

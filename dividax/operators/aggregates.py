@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.dates import iso_date, month_key
-from ..functions.money import round_half_even
+from ..functions.money import exact, round_half_even
 from ..functions.text import currency_symbol, digits_only_number
 
 
@@ -67,30 +67,43 @@ def zero_rate_tickers(merged: DataFrame) -> DataFrame:
     return zr.groupBy("acct", "ticker").agg(F.count(F.lit(1)).alias("groups"))
 
 
-def tax_totals(report: DataFrame) -> DataFrame:
-    """A-4 + A-5 + A-6 (+ F-8) per account.
+def _pln(net: str, rate: Column) -> Column:
+    return exact(net, 2) * rate.try_cast("decimal(18,4)")
+
+
+def _total(amount: Column) -> Column:
+    return round_half_even(F.coalesce(F.sum(amount).cast("double"), F.lit(0.0)), 2)
+
+
+def tax_totals(scored: DataFrame) -> DataFrame:
+    """A-4 + A-5 + A-6 (+ F-8) per account, from the scored rows (``ReportParts.scored``).
 
     * total tax: sum of the 2-dp per-row amounts (NULL/``-`` skipped), 2 dp, 0.0 if none
-    * gross PLN (as reported): sum of net x FX, a missing FX counting 1.0
-    * net after tax = gross - tax
-    """
-    agg = report.groupBy("acct").agg(
-        round_half_even(F.coalesce(F.sum("tax_due_pln"), F.lit(0.0)), 2).alias("total_tax_pln"),
-        round_half_even(F.sum(F.coalesce(F.col("net_dividend") * F.coalesce(F.col("fx_rate_d1"), F.lit(1.0)), F.lit(0.0))), 2).alias("gross_pln_reported"),
-        F.count(F.lit(1)).alias("report_rows"),
-    )
-    return agg.select(
-        "acct", "total_tax_pln", "gross_pln_reported",
-        round_half_even(F.col("gross_pln_reported") - F.col("total_tax_pln"), 2).alias("net_after_tax_pln"),
-        "report_rows",
+    * gross PLN as reported: sum of net x FX, a masked FX counting 1.0
+    * gross PLN converted: the same with the real rate of every row; rows without one are
+      left out and counted in ``unconverted_rows``
+    * net after tax = gross as reported - tax
+
+    Quarantined rows are in none of the sums, only in ``quarantined_rows``."""
+    ok = ~F.col("quarantined")
+    agg = scored.groupBy("acct").agg(
+        _total(F.when(ok, exact("tax_due_pln", 2))).alias("total_tax_pln"),
+        _total(F.when(ok, _pln("net_dividend", F.coalesce("fx_rate_d1", F.lit(1.0))))).alias("gross_pln_reported"),
+        _total(F.when(ok, _pln("net_dividend", F.col("fx_rate_gross")))).alias("gross_pln_converted"),
+        F.count_if(ok).alias("report_rows"),
+        F.count_if(ok & F.col("fx_rate_gross").isNull()).alias("unconverted_rows"),
+        F.count_if("quarantined").alias("quarantined_rows"),
     )
+    return agg.withColumn("net_after_tax_pln", round_half_even(F.col("gross_pln_reported") - F.col("total_tax_pln"), 2))
 
 
-def tax_by_month(report: DataFrame) -> DataFrame:
+def tax_by_month(scored: DataFrame) -> DataFrame:
     """A-12: tax due per account and ``yyyy-MM`` month, with subtotals and a grand total (ROLLUP)."""
-    return report.withColumn("month", month_key("date")).rollup("acct", "month").agg(
-        round_half_even(F.coalesce(F.sum("tax_due_pln"), F.lit(0.0)), 2).alias("total_tax_pln"),
-        F.count(F.lit(1)).alias("report_rows"),
+    ok = ~F.col("quarantined")
+    return scored.withColumn("month", month_key("date")).rollup("acct", "month").agg(
+        _total(F.when(ok, exact("tax_due_pln", 2))).alias("total_tax_pln"),
+        F.count_if(ok).alias("report_rows"),
+        F.count_if("quarantined").alias("quarantined_rows"),
     )
 
 
@@ -103,7 +116,7 @@ def net_by_ticker(display: DataFrame) -> DataFrame:
         currency_symbol("Net Dividend").alias("sym"), digits_only_number("Net Dividend").alias("v"),
     )
     return parsed.groupBy("ticker").agg(
-        round_half_even(F.sum("v"), 2).alias("total_net_dividend"),
+        round_half_even(F.sum(exact("v", 2)).cast("double"), 2).alias("total_net_dividend"),
         F.min_by("sym", F.struct("date", "acct")).alias("currency_symbol"),
         F.count(F.lit(1)).alias("n"),
     )

@@ -19,7 +19,7 @@ from pyspark.sql.types import DateType, DecimalType, NumericType, StringType, Ti
 
 from .. import constants as K
 from ..functions.dates import parse_statement_date, previous_business_day
-from ..functions.money import round_half_even, shares_from_amount
+from ..functions.money import exact, round_half_even, shares_from_amount
 from ..functions.text import (
     number_from_text,
     default_wht_rate,
@@ -33,7 +33,8 @@ from .columns import normalize_headers
 from .fx_join import FxIndex
 
 STATEMENT_KEYS = ("acct", "account_currency")
-ROW_KEYS = STATEMENT_KEYS + ("date", "ticker", "type", "comment")
+GROUP_COLUMNS = ("date", "ticker", "type", "comment")
+ROW_KEYS = STATEMENT_KEYS + GROUP_COLUMNS
 MERGE_KEYS = STATEMENT_KEYS + ("date", "ticker")
 
 
@@ -71,20 +72,26 @@ def filter_dividends(rows: DataFrame, type_col: str = "type") -> DataFrame:
 def group_dividends(rows: DataFrame) -> DataFrame:
     """A-1: sum ``amount`` per (statement, date, ticker, type, comment) -> ``net_dividend``.
 
-    Rows with a NULL key are dropped (the original's group-by drops them); an
-    all-NULL amount group sums to 0 as in the original."""
+    Rows with a NULL key are dropped (the original's group-by drops them) and listed by
+    ``dropped_rows``; an all-NULL amount group sums to 0 as in the original."""
     dtype = rows.schema["amount"].dataType
     if isinstance(dtype, DecimalType):
         amount = F.col("amount")  # exact, order-insensitive sum
     elif isinstance(dtype, NumericType):
-        amount = F.col("amount").cast("double")
+        amount = exact("amount")
     else:  # raw sheet text: malformed -> NULL
-        amount = number_from_text(F.col("amount"))
-    keyed = rows.dropna(subset=["date", "ticker", "type", "comment"])
+        amount = exact(number_from_text(F.col("amount")))
+    keyed = rows.dropna(subset=list(GROUP_COLUMNS))
     total = F.coalesce(F.sum(amount), F.lit(0))
     return keyed.groupBy(*ROW_KEYS).agg(total.alias("net_dividend"))
 
 
+def dropped_rows(rows: DataFrame) -> DataFrame:
+    """The dividend rows that A-1 leaves out, with the names of their NULL keys in ``missing``."""
+    missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in GROUP_COLUMNS])
+    return filter_dividends(rows).withColumn("missing", missing).where(F.col("missing") != "")
+
+
 def split_tax_rows(grouped: DataFrame) -> DataFrame:
     """P-5 + P-8: negative sums are withholding tax (``wht_raw``), their net becomes NULL.
 
@@ -138,7 +145,7 @@ def merge_rows(df: DataFrame) -> DataFrame:
     row_rate = round_half_even(wht_rate_from_comment("comment"), 2)
     with_rate = df.withColumn("_row_rate", row_rate)
     agg = with_rate.groupBy(*MERGE_KEYS).agg(
-        F.coalesce(F.sum("net_dividend"), F.lit(0.0)).alias("_net"),
+        F.coalesce(F.sum(exact("net_dividend")).cast("double"), F.lit(0.0)).alias("_net"),
         F.coalesce(F.sum("shares"), F.lit(0.0)).alias("_shares"),
         F.min_by(F.col("_row_rate"), F.when(F.col("_row_rate").isNotNull(), F.struct("type", "comment"))).alias("_comment_rate"),
         F.coalesce(F.sum("wht_raw").cast("double"), F.lit(0.0)).alias("wht_raw"),

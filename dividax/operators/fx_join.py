@@ -23,6 +23,10 @@ from ..functions.dates import business_day_index, is_weekday
 from ..params import TaxParams
 
 
+#: Parts that a hot key is split into beyond the broadcast bound.
+SALTS = 32
+
+
 def serving_table(fx: DataFrame, lookback_probes: int = K.FX_LOOKBACK_PROBES) -> DataFrame:
     """``fx(currency, rate_date, rate)`` -> ``(currency, target_date, rate, rate_date)``."""
     span = lookback_probes + 4
@@ -81,14 +85,13 @@ class FxIndex:
         if self.broadcastable:
             joined = keyed.join(side, cond, "left")
         else:
-            # Shuffle join: rows that need no rate (NULL key) would all hash to one
-            # partition, so they bypass the join and are added back unchanged.
-            has_key = F.col(f"{prefix}_k_cur").isNotNull() & F.col(f"{prefix}_k_date").isNotNull()
-            matched = keyed.where(has_key).join(side, cond, "left")
-            bypass = keyed.where(~has_key)
-            for c in side.columns:
-                bypass = bypass.withColumn(c, F.lit(None).cast(side.schema[c].dataType))
-            joined = matched.unionByName(bypass)
+            # Shuffle join: few currencies and popular days make hot keys, and rows that need
+            # no rate share the NULL key, so rows are salted and the serving table replicated.
+            salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS)).cast("int")
+            copies = side.withColumn(f"{prefix}_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+            joined = keyed.withColumn(f"{prefix}_salt", salt).join(
+                copies, cond & (F.col(f"{prefix}_salt") == F.col(f"{prefix}_copy")), "left"
+            ).drop(f"{prefix}_salt", f"{prefix}_copy")
         value = F.when(F.col(f"{prefix}_k_cur") == K.BASE_CURRENCY, F.lit(1.0)).otherwise(F.col(f"{prefix}_rate"))
         return joined.withColumn(out, value).drop(
             f"{prefix}_k_cur", f"{prefix}_k_date", f"{prefix}_cur", f"{prefix}_date", f"{prefix}_rate"

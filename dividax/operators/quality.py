@@ -43,6 +43,18 @@ def invalid_rates(merged: DataFrame) -> DataFrame:
     return merged.where(F.col("wht_rate").isNull()).select("acct", "date", "ticker")
 
 
+def no_per_share(rows: DataFrame) -> DataFrame:
+    """Dividends whose comment has no positive per-share amount: they keep the account's
+    amount but get the ticker's currency as label."""
+    return rows.where(F.col("net_dividend").isNotNull() & ~F.coalesce(F.col("dps") > 0, F.lit(False))).select(
+        "acct", "date", "ticker", "type", "comment", "net_dividend")
+
+
+def negative_tax(report: DataFrame) -> DataFrame:
+    """Report rows with a negative tax due (a foreign rate just below the flat one)."""
+    return report.where(F.col("tax_due_pln") < 0).select("acct", "date", "ticker", "wht_rate", "tax_due_pln")
+
+
 def wht_anomalies(merged: DataFrame) -> DataFrame:
     """F-6: report rows whose withholding rate is missing or zero."""
     return merged.where(F.col("wht_rate").isNull() | (F.col("wht_rate") == 0)).select(

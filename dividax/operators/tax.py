@@ -24,7 +24,7 @@ def satisfied(rate_col: str, tax_rate: float):
 
 def add_tax_columns(merged: DataFrame, fx: FxIndex, params: TaxParams | None = None) -> DataFrame:
     """Adds ``wht_pct, dividend_currency, date_d1, fx_rate_d1, wht_amount, tax_due_pln,
-    fx_missing_report`` to merged (statement, date, ticker) rows."""
+    fx_rate_gross, fx_missing_report`` to merged (statement, date, ticker) rows."""
     params = params or TaxParams()
     done = satisfied("wht_rate", params.tax_rate)
     staged = merged.withColumns({
@@ -32,10 +32,12 @@ def add_tax_columns(merged: DataFrame, fx: FxIndex, params: TaxParams | None = N
         "dividend_currency": ticker_currency("ticker"),                   # J-5 / P-11
         "date_d1": F.when(~done, previous_business_day("date")),          # P-13
     }).withColumn("_needs_fx", ~done & (F.col("dividend_currency") != K.BASE_CURRENCY))
-    looked = fx.lookup(staged, F.when(F.col("_needs_fx"), F.col("dividend_currency")), F.col("date_d1"), "_fx_label")
+    # one look-up serves the report rate (masked where no tax is due) and the full conversion of the totals
+    looked = fx.lookup(staged, F.col("dividend_currency"), previous_business_day("date"), "_fx_label")
     fx_rate = F.when(F.col("_needs_fx") & (F.col("_fx_label") != 0), round_half_even("_fx_label", 4))  # P-14 / M-3
     out = looked.withColumns({
         "fx_rate_d1": fx_rate,
+        "fx_rate_gross": round_half_even("_fx_label", 4),
         "fx_missing_report": F.col("_needs_fx") & F.col("_fx_label").isNull(),
         "wht_amount": wht_amount("net_dividend", "wht_rate", "wht_raw", "account_currency"),  # M-4 / P-15
     })

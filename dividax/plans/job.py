@@ -6,6 +6,7 @@ Outputs (all below ``<output folder>``):
   report/          tab-separated display report, sorted by account, date, ticker
   report_parquet/  typed report rows
   quarantine/      rows whose FX rate is missing within the look-back
+  dropped_rows/    dividend rows without a date, ticker or comment
   bad_files/       workbooks that could not be decoded
   totals/, monthly/  A-4..A-6 per account, A-12 per account and month with rollups
 """
@@ -34,8 +35,9 @@ def run_report_job(spark: SparkSession, statements: str, archives: str, out: str
     report.write.mode("overwrite").parquet(f"{out}/report_parquet")
     parts.quarantine.write.mode("overwrite").parquet(f"{out}/quarantine")
     bad_files.write.mode("overwrite").parquet(f"{out}/bad_files")
-    tax_totals(report).write.mode("overwrite").parquet(f"{out}/totals")
-    tax_by_month(report).write.mode("overwrite").parquet(f"{out}/monthly")
+    parts.dropped.write.mode("overwrite").parquet(f"{out}/dropped_rows")
+    tax_totals(parts.scored).write.mode("overwrite").parquet(f"{out}/totals")
+    tax_by_month(parts.scored).write.mode("overwrite").parquet(f"{out}/monthly")
 
 
 def main(argv: list[str]) -> None:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from .. import constants as K
 from ..sources.fx import FX_EPOCH, FX_FORMULAS, FX_HOLIDAY_DAYS
-from ..sources.statements import ACCOUNT_CURRENCY_BY_ACCT, CURRENCY_BY_K, SUFFIX_BY_K, WHT_PCT_BY_W
+from ..sources.statements import ACCOUNT_CURRENCY_BY_ACCT, CURRENCY_BY_K, DAMAGED_COMMENTS, SUFFIX_BY_K, WHT_PCT_BY_W
 
 TAX_RATE = K.DEFAULT_TAX_RATE
 
@@ -101,6 +101,18 @@ def pct_display(p: str) -> str:
 
 # --- shared CTEs ------------------------------------------------------------
 
+def damaged_cte() -> str:
+    """``stmt`` with the damage of ``damaged_statements``; follows ``stmt_cte`` renamed to ``stmt0``."""
+    forms = " ".join(f"WHEN {d} THEN {q(text)}" for d, text in DAMAGED_COMMENTS.items())
+    return stmt_cte().replace("\nstmt AS (", "\nstmt0 AS (") + f""",
+stmt AS (
+  SELECT CASE WHEN day("Time") <> 17 THEN id END AS id, acct, account_currency,
+         CASE WHEN day("Time") <> 13 THEN "Type" END AS "Type", CASE WHEN day("Time") <> 11 THEN "Time" END AS "Time",
+         CASE day("Time") WHEN 3 THEN NULL {forms} ELSE "Comment" END AS "Comment",
+         CASE day("Time") WHEN 7 THEN 'bad ' || "Symbol" WHEN 5 THEN NULL ELSE "Symbol" END AS "Symbol", "Amount"
+  FROM stmt0)"""
+
+
 def stmt_cte() -> str:
     """FIXTURES §2.1 statements as ``stmt(id, acct, account_currency, Type, Time, Comment, Symbol, Amount)``."""
     return f"""
@@ -133,15 +145,18 @@ stmt AS (
          "Type", "Time", "Comment", "Symbol", "Amount" FROM _legs)"""
 
 
-def fx_cte() -> str:
-    """FIXTURES §2.2 rates as ``fx(currency, rate_date, rate)``."""
+def fx_cte(edge: bool = False) -> str:
+    """FIXTURES §2.2 rates as ``fx(currency, rate_date, rate)``; ``edge``: with weekend-dated and zero rates."""
+    weekend = "OR (isodow(rate_date) > 5 AND day(rate_date) % 3 = 0)" if edge else ""
+    zero = "CASE WHEN day(rate_date) = 10 THEN 0.0 ELSE" if edge else "("
+    close = "END" if edge else ")"
     days = f"""
 _fxd AS (
   SELECT rate_date, date_diff('day', DATE '{FX_EPOCH}', rate_date) AS n
   FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS rate_date FROM orders)
-  WHERE isodow(rate_date) <= 5 AND day(rate_date) NOT IN ({', '.join(str(d) for d in FX_HOLIDAY_DAYS)}))"""
+  WHERE (isodow(rate_date) <= 5 AND day(rate_date) NOT IN ({', '.join(str(d) for d in FX_HOLIDAY_DAYS)})) {weekend})"""
     unions = " UNION ALL ".join(
-        f"SELECT '{cur}' AS currency, rate_date, CAST({base} + (n * {step}) % {span} AS DOUBLE) / {scale} AS rate FROM _fxd"
+        f"SELECT '{cur}' AS currency, rate_date, {zero} CAST({base} + (n * {step}) % {span} AS DOUBLE) / {scale} {close} AS rate FROM _fxd"
         for cur, base, step, span, scale in FX_FORMULAS
     )
     return days + f",\nfx AS ({unions})"
@@ -168,8 +183,13 @@ def fx_lookup_ctes(src: str, key_cur: str, key_date: str, out: str, name: str) -
     ON a.{key_cur} = we.currency AND a.{key_date} = we.rate_date)"""
 
 
-def pipeline_ctes(tax_rate: float = TAX_RATE) -> str:
+def total(amount: str) -> str:
+    return r2(f"COALESCE(CAST(SUM({amount}) AS DOUBLE), 0.0)")
+
+
+def pipeline_ctes(tax_rate: float = TAX_RATE, convert_all: bool = False) -> str:
     """The flagship pipeline up to the report grain: CTE ``rep`` (plus intermediates)."""
+    foreign = "cur_any <> 'PLN'" if convert_all else "cur_any = 'USD'"
     return f"""
 _rows AS (
   SELECT acct, account_currency, CAST("Time" AS DATE) AS date, "Symbol" AS ticker, "Type" AS type,
@@ -194,8 +214,8 @@ _e AS (
   FROM _s),
 _n AS (
   SELECT *, CASE WHEN elig THEN cur_any END AS dividend_cur,
-         COALESCE(elig AND account_currency = 'PLN' AND cur_any = 'USD', false) AS needs_fx,
-         CASE WHEN COALESCE(elig AND account_currency = 'PLN' AND cur_any = 'USD', false) THEN cur_any END AS fx_key
+         COALESCE(elig AND account_currency = 'PLN' AND {foreign}, false) AS needs_fx,
+         CASE WHEN COALESCE(elig AND account_currency = 'PLN' AND {foreign}, false) THEN cur_any END AS fx_key
   FROM _e),
 {fx_lookup_ctes('_n', 'fx_key', 'date_d1', 'fx_sh', '_f')},
 _sh AS (
@@ -209,7 +229,7 @@ _rows2 AS (
   SELECT *, CASE WHEN elig THEN shares * dps ELSE net1 END AS net2, {r2(wht_rate('comment'))} AS row_rate FROM _sh2),
 _m AS (
   SELECT acct, account_currency, date, ticker,
-         COALESCE(SUM(net2), 0.0) AS _net, COALESCE(SUM(shares), 0.0) AS _shares,
+         COALESCE(CAST(SUM(CAST(net2 AS DECIMAL(28,8))) AS DOUBLE), 0.0) AS _net, COALESCE(SUM(shares), 0.0) AS _shares,
          arg_min(row_rate, CASE WHEN row_rate IS NOT NULL THEN row(type, comment) END) AS crate,
          COALESCE(CAST(SUM(wht_raw) AS DOUBLE), 0.0) AS wht_raw,
          bool_or(fx_missing_sh) AS fx_missing_shares,
@@ -226,12 +246,13 @@ _t AS (
   SELECT *, {pct_display('wht_rate')} AS wht_pct, {ticker_currency('ticker')} AS dividend_currency,
          CASE WHEN NOT (wht_rate >= {tax_rate}) THEN {prev_bday('date')} END AS date_d1,
          NOT (wht_rate >= {tax_rate}) AND {ticker_currency('ticker')} <> 'PLN' AS needs_fx2,
-         CASE WHEN NOT (wht_rate >= {tax_rate}) AND {ticker_currency('ticker')} <> 'PLN' THEN {ticker_currency('ticker')} END AS fx_key2
+         {ticker_currency('ticker')} AS fx_key2, {prev_bday('date')} AS fx_day2
   FROM _mm),
-{fx_lookup_ctes('_t', 'fx_key2', 'date_d1', 'fx_lab', '_l')},
+{fx_lookup_ctes('_t', 'fx_key2', 'fx_day2', 'fx_lab', '_l')},
 _w AS (
   SELECT *,
          CASE WHEN needs_fx2 AND fx_lab <> 0 THEN {r2('fx_lab', 4)} END AS fx_rate_d1,
+         {r2('fx_lab', 4)} AS fx_rate_gross,
          (needs_fx2 AND fx_lab IS NULL) AS fx_missing_report,
          CASE WHEN wht_rate IS NULL OR wht_rate = 0 THEN NULL
               ELSE {r2("CASE WHEN account_currency = 'USD' AND wht_raw IS NOT NULL AND wht_raw <> 0 THEN abs(wht_raw) ELSE (CASE WHEN 1.0 - wht_rate = 0 THEN NULL ELSE net_dividend / (1.0 - wht_rate) END) * wht_rate END")} END AS wht_amount
@@ -247,7 +268,3 @@ rep AS (
   SELECT acct, account_currency, date, ticker, shares, net_dividend, dividend_currency, wht_amount, wht_pct,
          wht_rate, date_d1, fx_rate_d1, tax_due_pln
   FROM rep_all WHERE NOT quarantined)"""
-
-
-def with_ctes(*ctes: str, body: str) -> str:
-    return "WITH " + ",".join(c.strip().rstrip(",") for c in ctes) + "\n" + body

@@ -18,12 +18,23 @@ from ..functions import text as T
 from ..functions.money import pct_display
 from ..operators import aggregates as A
 from ..operators import quality as Q
-from ..operators.columns import drop_columns_strict, normalize_headers, rename_columns_strict, split_negatives
+from ..operators.columns import (
+    add_empty_column,
+    convert_dates,
+    drop_columns_strict,
+    fill_missing,
+    normalize_headers,
+    prepare_columns,
+    rename_columns_strict,
+    reorder_columns,
+    split_negatives,
+    to_numeric,
+)
 from ..operators.dividends import filter_dividends, group_dividends, prepare_rows
 from ..operators.fx_join import FxIndex
 from ..params import TaxParams
-from ..sources.fx import fx_long, synthetic_fx, synthetic_fx_wide
-from ..sources.statements import polish_headers, synthetic_statements, with_time_text
+from ..sources.fx import edge_fx, fx_long, synthetic_fx, synthetic_fx_wide
+from ..sources.statements import damaged_statements, polish_headers, synthetic_statements, with_time_text
 from . import oracle as O
 from .report import build_report_parts, display_report
 
@@ -422,26 +433,34 @@ def q_tax_report(spark, sf):
 
 # ---------------------------------------------------------------- step 8 ----
 
+_GROSS = "CAST(net_dividend AS DECIMAL(18,2)) * CAST({} AS DECIMAL(18,4))"
+
+
 @register("tax_totals", _sql(f"""
-SELECT acct, total_tax_pln, gross_pln_reported, {O.r2('gross_pln_reported - total_tax_pln')} AS net_after_tax_pln, report_rows
-FROM (SELECT acct, {O.r2('COALESCE(SUM(tax_due_pln), 0.0)')} AS total_tax_pln,
-             {O.r2('SUM(COALESCE(net_dividend * COALESCE(fx_rate_d1, 1.0), 0.0))')} AS gross_pln_reported,
-             count(*) AS report_rows
-      FROM rep GROUP BY acct)""", PIPE))
+SELECT acct, total_tax_pln, gross_pln_reported, gross_pln_converted, {O.r2('gross_pln_reported - total_tax_pln')} AS net_after_tax_pln,
+       report_rows, unconverted_rows, quarantined_rows
+FROM (SELECT acct, {O.total('CASE WHEN NOT quarantined THEN CAST(tax_due_pln AS DECIMAL(18,2)) END')} AS total_tax_pln,
+             {O.total(f"CASE WHEN NOT quarantined THEN {_GROSS.format('COALESCE(fx_rate_d1, 1.0)')} END")} AS gross_pln_reported,
+             {O.total(f"CASE WHEN NOT quarantined THEN {_GROSS.format('fx_rate_gross')} END")} AS gross_pln_converted,
+             CAST(count_if(NOT quarantined) AS BIGINT) AS report_rows,
+             CAST(count_if(NOT quarantined AND fx_rate_gross IS NULL) AS BIGINT) AS unconverted_rows,
+             CAST(count_if(quarantined) AS BIGINT) AS quarantined_rows
+      FROM rep_all GROUP BY acct)""", PIPE))
 def q_tax_totals(spark, sf):
-    return A.tax_totals(_parts(spark, sf).report)
+    return A.tax_totals(_parts(spark, sf).scored)
 
 
 @register("tax_by_month", _sql(f"""
-SELECT acct, month, {O.r2('coalesce(SUM(tax_due_pln), 0)')} AS total_tax_pln, count(*) AS report_rows
-FROM (SELECT acct, strftime(date, '%Y-%m') AS month, tax_due_pln FROM rep)
+SELECT acct, month, {O.total('CASE WHEN NOT quarantined THEN CAST(tax_due_pln AS DECIMAL(18,2)) END')} AS total_tax_pln,
+       CAST(count_if(NOT quarantined) AS BIGINT) AS report_rows, CAST(count_if(quarantined) AS BIGINT) AS quarantined_rows
+FROM (SELECT acct, strftime(date, '%Y-%m') AS month, tax_due_pln, quarantined FROM rep_all)
 GROUP BY ROLLUP (acct, month)""", PIPE))
 def q_tax_by_month(spark, sf):
-    return A.tax_by_month(_parts(spark, sf).report)
+    return A.tax_by_month(_parts(spark, sf).scored)
 
 
 @register("net_by_ticker", _sql("""
-SELECT ticker, round_even(SUM(v) * 100, 0) / 100 AS total_net_dividend, arg_min(sym, row(date, acct)) AS currency_symbol, count(*) AS n
+SELECT ticker, round_even(CAST(SUM(CAST(v AS DECIMAL(22,2))) AS DOUBLE) * 100, 0) / 100 AS total_net_dividend, arg_min(sym, row(date, acct)) AS currency_symbol, count(*) AS n
 FROM (SELECT ticker, date, acct,
              CASE WHEN contains(txt, 'PLN') THEN 'PLN' WHEN contains(txt, 'USD') THEN '$' ELSE '' END AS sym,
              CASE WHEN regexp_matches(regexp_replace(txt, '[^0-9.]', '', 'g'), '^[0-9]*\\.?[0-9]*$') AND regexp_matches(regexp_replace(txt, '[^0-9.]', '', 'g'), '[0-9]')
@@ -502,7 +521,7 @@ def q_us_30pct(spark, sf):
 # --------------------------------------------------------------- step 10 ----
 
 @register("export_roundtrip", _sql("""
-SELECT acct, strftime(date, '%Y-%m-%d') AS "Date", ticker AS "Ticker", round_even(shares * 100.0, 0) / 100.0 AS "Shares",
+SELECT CAST(acct AS VARCHAR) AS acct, strftime(date, '%Y-%m-%d') AS "Date", ticker AS "Ticker", round_even(shares * 100.0, 0) / 100.0 AS "Shares",
        regexp_replace(CAST(CAST(net_dividend AS DECIMAL(38,2)) AS VARCHAR), '0$', '') || ' ' || dividend_currency AS "Net Dividend",
        COALESCE(CAST(CAST(wht_amount AS DECIMAL(18,2)) AS VARCHAR) || ' ' || dividend_currency, '-') AS "Tax Collected Amount",
        wht_pct AS "Tax Collected %",
@@ -572,7 +591,7 @@ def q_findings_flat(spark, sf):
 
 
 @register("finding_counts", _sql("""
-SELECT report_id, CAST(count(*) * 25 + sum(whole) AS BIGINT) AS lines_scanned, CAST(count(*) AS INTEGER) AS total_issues,
+SELECT report_id, 'ok' AS status, CAST(count(*) * 25 + sum(whole) AS BIGINT) AS lines_scanned, CAST(count(*) AS INTEGER) AS total_issues,
        CAST(count_if(sev = 'HIGH') AS BIGINT) AS high,
        CAST(CASE WHEN any_value(event_type) <> 'click' THEN count_if(sev = 'MEDIUM') ELSE 0 END AS BIGINT) AS medium,
        CAST(count_if(sev = 'LOW') AS BIGINT) AS low
@@ -592,6 +611,153 @@ def q_top_rules(spark, sf):
     return top_rules(_findings(spark, sf), 3)
 
 
+@register("findings_export", REGISTRY["findings_flat"][1])
+def q_findings_export(spark, sf):
+    from ..operators.findings import converted_findings, flatten_converted
+    from ..sources.findings import read_converted, write_converted
+    from ..sources.report_io import scratch_path
+    path = write_converted(converted_findings(_findings(spark, sf)), scratch_path(spark, "converted"))
+    return flatten_converted(read_converted(spark, path))
+
+
+@register("finding_status", _sql("""
+SELECT 'ok' AS status, count(DISTINCT report_id) AS reports, CAST(count(*) AS BIGINT) AS total_issues FROM _ev
+UNION ALL SELECT 'unreadable', count(DISTINCT user_id), NULL FROM _ev""", _EV_SQL))
+def q_finding_status(spark, sf):
+    """Whole reports, and one cut-off report per user beside them."""
+    from ..operators.findings import finding_counts
+    from ..sources.findings import findings_from_events, read_findings, write_findings
+    from ..sources.report_io import scratch_path
+    path = write_findings(findings_from_events(spark, sf), scratch_path(spark, "findings"))
+    users = spark.read.parquet(f"{sf}/events.parquet").select("user_id").distinct()
+    users.select(F.concat(F.lit('{"report_id": "u'), F.col("user_id").cast("string"), F.lit('", "results": [{')).alias("value")).write.mode("append").text(path)
+    counts = finding_counts(read_findings(spark, path, multiline=False))
+    return counts.groupBy("status").agg(F.count(F.lit(1)).alias("reports"), F.sum("total_issues").alias("total_issues"))
+
+
+# ------------------------------------- statements with damage, odd rates ----
+
+DAMAGED = O.damaged_cte() + "," + O.fx_cte() + "," + O.pipeline_ctes()
+EDGE = O.stmt_cte() + "," + O.fx_cte(edge=True)
+EDGE_PIPE = EDGE + "," + O.pipeline_ctes()
+
+
+def _damaged(spark, sf):
+    return damaged_statements(_stmt(spark, sf))
+
+
+def _damaged_parts(spark, sf):
+    return build_report_parts(_damaged(spark, sf), _fx_index(spark, sf))
+
+
+def _edge_parts(spark, sf):
+    return build_report_parts(_stmt(spark, sf), FxIndex(edge_fx(spark, sf)))
+
+
+@register("report_quarantine", _sql("""
+SELECT acct, account_currency, date, ticker, CASE WHEN fx_missing_shares THEN 'shares' ELSE 'report' END AS stage, dividend_currency, date_d1
+FROM rep_all WHERE quarantined""", PIPE))
+def q_report_quarantine(spark, sf):
+    return _parts(spark, sf).quarantine
+
+
+@register("dropped_rows", _sql(f"""
+SELECT acct, account_currency, date, ticker, type, comment, CAST(amount AS DOUBLE) AS amount,
+       concat_ws(',', CASE WHEN date IS NULL THEN 'date' END, CASE WHEN ticker IS NULL THEN 'ticker' END, CASE WHEN comment IS NULL THEN 'comment' END) AS missing
+FROM _rows WHERE type IN {O.in_list(K.DIVIDEND_TYPES)} AND (date IS NULL OR ticker IS NULL OR comment IS NULL)""", DAMAGED))
+def q_dropped_rows(spark, sf):
+    return _damaged_parts(spark, sf).dropped.withColumn("amount", F.col("amount").cast("double"))
+
+
+@register("tax_report_damaged", _sql("SELECT * FROM rep", DAMAGED))
+def q_tax_report_damaged(spark, sf):
+    return _damaged_parts(spark, sf).report
+
+
+@register("no_per_share", _sql("""
+SELECT acct, date, ticker, type, comment, net1 AS net_dividend FROM _rows2 WHERE net1 IS NOT NULL AND NOT COALESCE(dps > 0, false)""", DAMAGED))
+def q_no_per_share(spark, sf):
+    return Q.no_per_share(_damaged_parts(spark, sf).rows)
+
+
+@register("negative_tax", _sql("""
+SELECT acct, date, ticker, wht_rate, tax_due_pln FROM rep WHERE tax_due_pln < 0""", PIPE))
+def q_negative_tax(spark, sf):
+    return Q.negative_tax(_parts(spark, sf).report)
+
+
+@register("dq_contracts_damaged", REGISTRY["dq_contracts"][1].replace(PIPE.strip(), DAMAGED.strip()))
+def q_dq_contracts_damaged(spark, sf):
+    return Q.input_contract(_damaged(spark, sf)).unionByName(Q.output_contract(_damaged_parts(spark, sf).report))
+
+
+@register("parse_per_share_forms", _sql(f"""
+SELECT comment, {O.per_share_dps('comment')} AS dps, {O.per_share_currency('comment')} AS currency, {O.wht_rate('comment')} AS wht_rate,
+       {O.keyword_label('comment')} AS label
+FROM (SELECT DISTINCT "Comment" AS comment FROM stmt)""", DAMAGED))
+def q_parse_per_share_forms(spark, sf):
+    c = _damaged(spark, sf).select(F.col("Comment").alias("comment")).distinct()
+    return T.per_share_columns(c, "comment", "dps", "currency").withColumns(
+        {"wht_rate": T.wht_rate_from_comment("comment"), "label": T.keyword_label("comment")})
+
+
+@register("column_layout", _sql("""
+SELECT COALESCE("Symbol", '0') AS "Ticker", "Time" AS "Date", 0.0 AS "Tax Collected", 0.0 AS "Net Dividend", COALESCE("Comment", '0') AS "Comment"
+FROM stmt""", DAMAGED))
+def q_column_layout(spark, sf):
+    """P-5, P-6, P-9, P-18."""
+    df = add_empty_column(normalize_headers(_damaged(spark, sf)), "Tax Collected", 4)
+    return reorder_columns(fill_missing(prepare_columns(df)), ("Ticker", "Date", "Tax Collected", "Net Dividend", "Comment"))
+
+
+@register("convert_dates", _sql("""
+SELECT acct, CAST(CASE WHEN acct IN (0, 1) THEN "Time" END AS DATE) AS "Data", count(*) AS n FROM stmt GROUP BY ALL"""))
+def q_convert_dates(spark, sf):
+    """C-2: the account decides how its dates are written; two of the ways are no dates."""
+    t, acct = F.col("Time"), F.col("acct")
+    text = F.when(acct == 0, F.date_format(t, "dd.MM.yyyy HH:mm:ss")).when(acct == 1, F.date_format(t, "yyyy-MM-dd")).when(acct == 2, F.date_format(t, "dd/MM")).otherwise("")
+    return convert_dates(_stmt(spark, sf).select("acct", text.alias("Data"))).groupBy("acct", "Data").agg(F.count(F.lit(1)).alias("n"))
+
+
+_NUMBER_FORMS = ("nan", "inf", "1d", "1.2.3", "", " 12.5 ", "-3", "1e3", ".5", "x")
+
+
+@register("numeric_coercion", _sql(f"""
+SELECT raw, CASE trim(raw) WHEN '12.5' THEN 12.5 WHEN '-3' THEN -3.0 WHEN '1e3' THEN 1000.0 WHEN '.5' THEN 0.5 END AS value, count(*) AS n
+FROM (SELECT {O.sql_list(_NUMBER_FORMS)}[l_orderkey % 10 + 1] AS raw FROM lineitem) GROUP BY ALL""", "_one AS (SELECT 1)"))
+def q_numeric_coercion(spark, sf):
+    form = F.element_at(F.array(*[F.lit(x) for x in _NUMBER_FORMS]), (F.col("l_orderkey") % 10 + 1).cast("int"))
+    raw = spark.read.parquet(f"{sf}/lineitem.parquet").select(form.alias("raw"))
+    return to_numeric(raw.withColumn("value", F.col("raw")), ["value"]).groupBy("raw", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("shares_all_currencies", _sql("""
+SELECT acct, date, ticker, type, comment, shares, net2 AS net_dividend, fx_missing_sh AS fx_missing_shares FROM _rows2""",
+                                        BASE + "," + O.pipeline_ctes(convert_all=True)))
+def q_shares_all_currencies(spark, sf):
+    r = build_report_parts(_stmt(spark, sf), _fx_index(spark, sf), TaxParams(convert_all_currencies=True)).rows
+    return r.select("acct", "date", "ticker", "type", "comment", "shares", "net_dividend", "fx_missing_shares")
+
+
+_ANY_DAY_SQL = f"""
+_tg AS (SELECT unnest({O.sql_list(_TARGET_CURRENCIES)}) AS currency, target_date FROM (SELECT DISTINCT CAST("Time" AS DATE) AS target_date FROM stmt))"""
+
+
+@register("fx_lookup_any_day", _sql("""
+SELECT currency, target_date, rate FROM _lk""",
+                                    EDGE + "," + _ANY_DAY_SQL + "," + O.fx_lookup_ctes("_tg", "currency", "target_date", "rate", "_lk")))
+def q_fx_lookup_any_day(spark, sf):
+    """J-1 with weekend targets, weekend-dated rates and zero rates."""
+    days = _stmt(spark, sf).select(F.col("Time").cast("date").alias("target_date")).distinct()
+    targets = days.select(F.explode(F.array(*[F.lit(c) for c in _TARGET_CURRENCIES])).alias("currency"), "target_date")
+    return FxIndex(edge_fx(spark, sf)).lookup(targets, F.col("currency"), F.col("target_date"), "rate")
+
+
+@register("zero_denominator_zero_rate", REGISTRY["zero_denominator"][1].replace(PIPE.strip(), EDGE_PIPE.strip()))
+def q_zero_denominator_zero_rate(spark, sf):
+    return A.zero_denominator_report(_edge_parts(spark, sf).rows)
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

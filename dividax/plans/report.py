@@ -21,6 +21,7 @@ from ..functions.dates import iso_date
 from ..operators.dividends import (
     MERGE_KEYS,
     derive_shares,
+    dropped_rows,
     filter_dividends,
     group_dividends,
     merge_rows,
@@ -44,10 +45,11 @@ class ReportParts:
     merged: DataFrame      # after A-3 (report grain), before quarantine
     report: DataFrame      # clean report rows
     quarantine: DataFrame  # rows excluded for missing FX
+    scored: DataFrame      # merged with the flag ``quarantined`` (input of the totals)
+    dropped: DataFrame     # dividend rows without a date, ticker or comment
 
 
-def shares_stage(stmt: DataFrame, fx: FxIndex, params: TaxParams) -> DataFrame:
-    rows = prepare_rows(stmt)
+def shares_stage(rows: DataFrame, fx: FxIndex, params: TaxParams) -> DataFrame:
     grouped = group_dividends(filter_dividends(rows))
     return derive_shares(split_tax_rows(grouped), fx, params)
 
@@ -61,18 +63,20 @@ def build_report_parts(stmt: DataFrame, fx: DataFrame | FxIndex, params: TaxPara
         raise ValueError("Statements and FX rates are required (got None).")
     params = params or TaxParams()
     index = fx if isinstance(fx, FxIndex) else FxIndex(fx, params)
-    rows = shares_stage(stmt, index, params)
+    prepared = prepare_rows(stmt)
+    rows = shares_stage(prepared, index, params)
     merged = add_tax_columns(merge_rows(rows), index, params)
     if materialized:
         merged = materialize(merged)
     bad = F.coalesce(F.col("fx_missing_shares"), F.lit(False)) | F.col("fx_missing_report")
-    report = merged.where(~bad).select(*REPORT_COLUMNS)
-    quarantine = merged.where(bad).select(
+    scored = merged.withColumn("quarantined", bad)
+    report = scored.where(~F.col("quarantined")).select(*REPORT_COLUMNS)
+    quarantine = scored.where("quarantined").select(
         *MERGE_KEYS,
         F.when(F.col("fx_missing_shares"), F.lit("shares")).otherwise(F.lit("report")).alias("stage"),
         "dividend_currency", "date_d1",
     )
-    return ReportParts(rows, merged, report, quarantine)
+    return ReportParts(rows, merged, report, quarantine, scored, dropped_rows(prepared))
 
 
 def build_report(stmt: DataFrame, fx: DataFrame | FxIndex, params: TaxParams | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ import os
 import tempfile
 
 from pyspark import StorageLevel
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 #: Session settings the engine relies on.  UTC makes date casts of zoned timestamps
@@ -50,7 +51,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
-    except Exception:  # remote session: the server owns the checkpoint folder
+    except PySparkException:  # remote session: the server owns the checkpoint folder
         if configured:
             return configured
         raise ValueError("spark.checkpoint.dir must be set for this session")

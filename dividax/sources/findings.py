@@ -37,21 +37,42 @@ REPORT_SCHEMA = StructType([
 
 
 def read_findings(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """S-16: read reports (a file, folder or glob); ``report_id`` defaults to the file name."""
+    """S-16: read reports (a file, folder or glob); ``report_id`` defaults to the file name,
+    ``status`` is ``ok`` or ``unreadable`` (no valid JSON)."""
     df = (
         spark.read.schema(REPORT_SCHEMA).option("multiLine", multiline)
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
     )
-    return df.withColumn("report_id", F.coalesce(F.col("report_id"), F.input_file_name()))
+    return df.withColumns({
+        "report_id": F.coalesce(F.col("report_id"), F.input_file_name()),
+        "status": F.when(F.col("_corrupt_record").isNull(), F.lit("ok")).otherwise(F.lit("unreadable")),
+    })
 
 
 def write_findings(reports: DataFrame, path: str) -> str:
-    """S-17: JSON sink (one document per line), overwrite."""
+    """Sink of reports in the shape they are read in (one document per line), overwrite."""
     reports.select(*[c for c in ("report_id", "metrics", "results") if c in reports.columns]).write.mode(
         "overwrite").json(path)
     return path
 
 
+CONVERTED_SCHEMA = (
+    "report_id string, version string, runs array<struct<results: array<struct<ruleId: string, ruleIndex: int, message: struct<text: string>, "
+    "locations: array<struct<physicalLocation: struct<artifactLocation: struct<uri: string>, region: struct<startLine: bigint, startColumn: int>>>>, "
+    "level: string, partialFingerprints: struct<primaryLocationLineHash: string>>>>>"
+)
+
+
+def write_converted(documents: DataFrame, path: str) -> str:
+    """S-17: JSON sink of converted documents, one per line."""
+    documents.write.mode("overwrite").json(path)
+    return path
+
+
+def read_converted(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(CONVERTED_SCHEMA).json(path)
+
+
 # FIXED VALUES of the synthetic findings generator (derived from ``events``):
 #: events per report batch (bounds the ``results`` array of every report)
 FINDINGS_BATCH = 1000

@@ -17,7 +17,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -35,12 +36,15 @@ FX_HOLIDAY_DAYS = (1, 6, 25)
 FX_EPOCH = "1990-01-01"
 
 
-def published_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct weekdays of ``o_orderdate`` that are not stand-in holidays."""
+def published_days(spark: SparkSession, sf_dir: str, weekends: bool = False) -> DataFrame:
+    """Distinct weekdays of ``o_orderdate`` that are not stand-in holidays (``weekends``: and
+    weekend days whose day of month 3 divides)."""
     d = F.col("o_orderdate").cast("date")
     days = spark.read.parquet(f"{sf_dir}/orders.parquet").select(d.alias("rate_date")).distinct()
     dow = F.dayofweek("rate_date")
-    return days.where((dow >= 2) & (dow <= 6) & ~F.dayofmonth("rate_date").isin(*FX_HOLIDAY_DAYS))
+    weekday = (dow >= 2) & (dow <= 6)
+    kept = weekday & ~F.dayofmonth("rate_date").isin(*FX_HOLIDAY_DAYS)
+    return days.where(kept | (~weekday & (F.dayofmonth("rate_date") % 3 == 0)) if weekends else kept)
 
 
 def _numerators(days: DataFrame) -> DataFrame:
@@ -51,9 +55,9 @@ def _numerators(days: DataFrame) -> DataFrame:
     return days.select(*cols)
 
 
-def synthetic_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
+def synthetic_fx(spark: SparkSession, sf_dir: str, weekends: bool = False) -> DataFrame:
     """Long FX table: ``currency, rate_date, rate``."""
-    nums = _numerators(published_days(spark, sf_dir))
+    nums = _numerators(published_days(spark, sf_dir, weekends))
     stack = F.explode(
         F.array(*[
             F.struct(F.lit(cur).alias("currency"), (F.col(f"num_{cur}").cast("double") / scale).alias("rate"))
@@ -63,6 +67,12 @@ def synthetic_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nums.select("rate_date", stack).select("r.currency", "rate_date", "r.rate")
 
 
+def edge_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``synthetic_fx`` with some weekend-dated rates, and a zero rate on every tenth of a month."""
+    rate = F.when(F.dayofmonth("rate_date") == 10, F.lit(0.0)).otherwise(F.col("rate"))
+    return synthetic_fx(spark, sf_dir, weekends=True).withColumn("rate", rate)
+
+
 def _decimal_comma(num, scale: int):
     digits = len(str(scale)) - 1
     return F.concat(
@@ -133,7 +143,7 @@ def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
     try:
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
-    except Exception:  # remote session: no file-system handle here; let the reader decide
+    except PySparkException:  # remote session: no file-system handle here; let the reader decide
         return list(paths)
     kept = []
     for p in paths:
@@ -149,6 +159,36 @@ def archive_glob(folder: str) -> str:
     return f"{folder.rstrip('/')}/{K.FX_ARCHIVE_PATTERN}"
 
 
+def _cells(line) -> Column:
+    """Cells of a ``;``-separated line; quoted cells may hold ``;`` and doubled quotes."""
+    parts = F.split(line, ';(?=(?:[^"]*"[^"]*")*[^"]*$)')
+    return F.transform(parts, lambda c: F.when(
+        c.rlike('^".*"$'), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
+
+
+def _headers(lines: DataFrame) -> DataFrame:
+    return lines.groupBy("file_name").agg(F.min_by("cells", "row_no").alias("header"), F.min("row_no").alias("header_no"))
+
+
+def _archive_lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame | None:
+    targets = existing_paths(spark, [paths] if isinstance(paths, str) else sorted(paths))
+    if not targets:
+        return None
+    return (
+        spark.read.option("ignoreMissingFiles", "true").text(targets)
+        .select(F.input_file_name().alias("file_name"), F.monotonically_increasing_id().alias("row_no"),
+                _cells(F.regexp_replace("value", "^\ufeff|\r$", "")).alias("cells"))
+    )
+
+
+def skipped_archives(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
+    """Archive files that ``read_fx_archives`` passes over (no ``data`` column), with their header."""
+    lines = _archive_lines(spark, paths)
+    if lines is None:
+        return spark.createDataFrame([], "file_name string, header array<string>")
+    return _headers(lines).where(~F.array_contains("header", "data")).select("file_name", "header")
+
+
 def read_fx_archives(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """S-7 + S-8 + U-1: archive CSV files (``;``-separated) -> wide rows, in one distributed read.
 
@@ -161,16 +201,10 @@ def read_fx_archives(spark: SparkSession, paths: str | Iterable[str]) -> DataFra
 
     Header and rate cells are ASCII; the text reader's UTF-8 decoding only affects
     the (dropped) ISO-8859-1 description row."""
-    targets = existing_paths(spark, [paths] if isinstance(paths, str) else sorted(paths))
-    if not targets:
+    lines = _archive_lines(spark, paths)
+    if lines is None:
         return spark.createDataFrame([], "file_name string, row_no long, data string")
-    lines = (
-        spark.read.option("ignoreMissingFiles", "true").text(targets)
-        .select(F.input_file_name().alias("file_name"), F.monotonically_increasing_id().alias("row_no"),
-                F.split(F.regexp_replace("value", r"\r$", ""), ";").alias("cells"))
-    )
-    headers = lines.groupBy("file_name").agg(F.min_by("cells", "row_no").alias("header"), F.min("row_no").alias("header_no"))
-    headers = headers.where(F.array_contains("header", "data"))
+    headers = _headers(lines).where(F.array_contains("header", "data"))
     body = lines.join(headers, "file_name").where(F.col("row_no") > F.col("header_no"))
 
     def cell(name: str):
@@ -196,5 +230,6 @@ def write_fx_archives(wide: DataFrame, base: str) -> str:
         "year", "data", F.col("1EUR").alias("1USD"), F.col("1USD").alias("1EUR"),
         F.col("1DKK").alias("1GBP"), F.col("1GBP").alias("1DKK"))
     for df, folder in ((even, "a"), (odd, "a"), (corr, "b")):
-        df.write.mode("append").partitionBy("year").option("sep", ";").option("header", True).csv(f"{base}/{folder}")
+        # one of the sets is quoted throughout
+        df.write.mode("append").partitionBy("year").option("sep", ";").option("header", True).option("quoteAll", df is odd).csv(f"{base}/{folder}")
     return base

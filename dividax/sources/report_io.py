@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ..functions.text import strip_ansi
 from ..operators.columns import fill_missing, require_columns, round_numeric
@@ -19,7 +19,7 @@ from ..session import ensure_checkpoint_dir
 
 #: Schema of the exported report (display columns).
 REPORT_SCHEMA = StructType([
-    StructField("acct", IntegerType()),
+    StructField("acct", StringType()),
     StructField("Date", StringType()),
     StructField("Ticker", StringType()),
     StructField("Shares", DoubleType()),

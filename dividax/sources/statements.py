@@ -94,6 +94,26 @@ def synthetic_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Damage of ``damaged_statements`` by day of month: the column and what it becomes.
+DAMAGED_COMMENTS = {
+    19: "USD WHT 15% 0.4500 / SHR", 20: "0.4500 USD/SHR", 21: "0.4500", 22: "1.2.3 USD/SHR", 23: "no figures",
+    24: "Transfer Pekao", 25: "USD 0.0000/ SHR", 26: "ABC.US bonus", 27: "USD 0.3000/ SHR 5 %",
+}
+
+
+def damaged_statements(stmt: DataFrame) -> DataFrame:
+    """The same rows with NULLs, malformed tickers and other comment forms, by day of month."""
+    day = F.dayofmonth("Time")
+    comment = F.when(day == 3, F.lit(None))
+    for d, text in DAMAGED_COMMENTS.items():
+        comment = comment.when(day == d, F.lit(text))
+    return stmt.select(
+        F.when(day != 17, F.col("id")).alias("id"), "acct", "account_currency", F.when(day != 13, F.col("Type")).alias("Type"),
+        F.when(day != 11, F.col("Time")).alias("Time"), comment.otherwise(F.col("Comment")).alias("Comment"),
+        F.when(day == 7, F.concat(F.lit("bad "), "Symbol")).when(day != 5, F.col("Symbol")).alias("Symbol"), "Amount",
+    )
+
+
 def with_time_text(stmt: DataFrame) -> DataFrame:
     """Add ``time_text``: the statement time rendered as ``dd.MM.yyyy HH:mm:ss`` (input of C-1)."""
     return stmt.withColumn("time_text", F.date_format(F.col("Time"), "dd.MM.yyyy HH:mm:ss"))

@@ -2,8 +2,8 @@
 
 Each micro-batch holds whole statement files; the report groups by
 (account, date, ticker), so a statement must not be split over files.  Progress
-and exactly-once file tracking live in the checkpoint below the shared
-``spark.checkpoint.dir``; a lost executor only re-runs its tasks, and a lost
+and exactly-once file tracking live in the checkpoint, by default beside the output
+(``<output>.checkpoint``), so a restart finds it again; a lost executor only re-runs its tasks, and a lost
 driver restarts from the last committed batch.
 """
 
@@ -16,7 +16,6 @@ from pyspark.sql.types import StructType
 from ..operators.fx_join import FxIndex
 from ..params import TaxParams
 from ..plans.report import build_report
-from ..sources.report_io import scratch_path
 
 
 def start_report_stream(
@@ -40,6 +39,6 @@ def start_report_stream(
         build_report(batch, index, params).write.mode("overwrite").parquet(f"{output_path}/batch={batch_id}")
 
     writer = stream.writeStream.foreachBatch(report_batch).option(
-        "checkpointLocation", checkpoint or scratch_path(spark, "report-stream"))
+        "checkpointLocation", checkpoint or f"{output_path.rstrip('/')}.checkpoint")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -32,6 +32,8 @@ def test_findings_reports(spark, tmp_dir):
     assert (counts["full.json"]["lines_scanned"], counts["full.json"]["total_issues"]) == (1234, 4)
     assert (counts["full.json"]["high"], counts["full.json"]["medium"], counts["full.json"]["low"]) == (1, 0, 2)
     assert (counts["empty.json"]["lines_scanned"], counts["empty.json"]["total_issues"]) == (0, 0)
+    assert counts["full.json"]["status"] == "ok" and counts["broken.json"]["status"] == "unreadable"
+    assert counts["broken.json"]["total_issues"] is None and counts["broken.json"]["high"] is None
     rows = reports.select("report_id", "results", "_corrupt_record").collect()
     assert sum(1 for r in rows if r["_corrupt_record"] is not None) == 1
     flat = {r["result_index"]: r for r in flatten_findings(reports.where(F.col("report_id").endswith("full.json"))).collect()}

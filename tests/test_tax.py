@@ -65,11 +65,12 @@ def test_round_half_even(spark):
 
 def test_monthly_totals(spark):
     rep = spark.createDataFrame([
-        (0, dt.date(2024, 1, 5), 19.0, 100.0, None), (0, dt.date(2024, 1, 9), 19.0, 100.0, None),
-        (0, dt.date(2024, 2, 5), 19.0, 100.0, None), (0, dt.date(2024, 2, 6), 19.0, 100.0, None),
-        (0, dt.date(2024, 3, 5), 19.0, 100.0, None), (0, dt.date(2024, 3, 7), 19.0, 100.0, None),
-    ], "acct int, date date, tax_due_pln double, net_dividend double, fx_rate_d1 double")
+        *[(0, dt.date(2024, m, d), 19.0, 100.0, None, 1.0, False) for m, d in [(1, 5), (1, 9), (2, 5), (2, 6), (3, 5)]],
+        (0, dt.date(2024, 3, 7), 19.0, 100.0, None, 4.0, False),
+        (0, dt.date(2024, 3, 8), 5.0, 70.0, None, None, True), (0, dt.date(2024, 4, 1), None, 0.0, None, None, False),
+    ], "acct int, date date, tax_due_pln double, net_dividend double, fx_rate_d1 double, fx_rate_gross double, quarantined boolean")
     m = {(r["acct"], r["month"]): r["total_tax_pln"] for r in tax_by_month(rep).collect()}
-    assert m[(0, "2024-01")] == 38.0 and m[(0, "2024-02")] == 38.0 and m[(None, None)] == 114.0
+    assert m[(0, "2024-01")] == 38.0 and m[(0, "2024-02")] == 38.0 and m[(None, None)] == 114.0 and m[(0, "2024-04")] == 0.0
     t = tax_totals(rep).first()
     assert (t["total_tax_pln"], t["gross_pln_reported"], t["net_after_tax_pln"]) == (114.0, 600.0, 486.0)
+    assert (t["gross_pln_converted"], t["report_rows"], t["unconverted_rows"], t["quarantined_rows"]) == (900.0, 7, 1, 1)
