@@ -50,26 +50,26 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame], max_rounds: int = MAX
     Each round scales the weights to one dimension's targets after the other, until no marginal is off by
     more than ``tolerance``.  Values without a target get weight 0; targets of values without tokens are
     dropped and the rest scaled to one.  Where cells without tokens make the targets contradict each other,
-    the last round's fit stays: exact for the last dimension, closest for the others.  Sums are pre-aggregated; every round is written."""
-    goals = {}
+    the last round's fit stays: exact for the last dimension, closest for the others.  Sums are pre-aggregated; each fit to a
+    dimension is written, so that plans stay small."""
+    now = cells.where("tokens > 0").withColumn("weight", F.col("tokens").cast("double"))
     for d, wanted in targets.items():
-        there = cells.where("tokens > 0").select(F.col(d).alias("value")).distinct()
+        there = now.select(F.col(d).alias("value")).distinct()
         live = wanted.join(there, "value", "left_semi").groupBy("value").agg(F.sum("target").alias("target"))
-        goals[d] = written(_scaled(live, "target").withColumnRenamed("value", d))
-    now = written(cells.where("tokens > 0").withColumn("weight", F.col("tokens").cast("double")))
+        goal = _scaled(live, "target").select(F.col("value").alias(d), F.col("target").alias(f"target_{d}"))
+        now = now.join(goal, d, "left").fillna(0.0, [f"target_{d}"])
+    now = written(now)
+    sides = [[F.col(d)] for d in targets]
     for _ in range(max_rounds):
-        for d, goal in goals.items():
-            factor = now.groupBy(d).agg(F.sum("weight").alias("sum")).join(goal, d, "left").select(
-                d, F.when(F.col("sum") > 0, F.coalesce("target", F.lit(0.0)) / F.col("sum")).otherwise(0.0).alias("factor"))
-            now = now.join(factor, d).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
-        now = written(now)
-        worst = None
-        for d, goal in goals.items():
-            off = now.groupBy(d).agg(F.sum("weight").alias("sum")).join(goal, d, "full").select(F.abs(F.coalesce("sum", F.lit(0.0)) - F.coalesce("target", F.lit(0.0))).alias("off"))
-            worst = off if worst is None else worst.union(off)
-        if (worst.agg(F.max("off")).first()[0] or 0.0) <= tolerance:
+        for d in targets:
+            factor = now.groupBy(d).agg(F.sum("weight").alias("sum"), F.max(f"target_{d}").alias("target")).select(
+                d, F.when(F.col("sum") > 0, F.col("target") / F.col("sum")).otherwise(0.0).alias("factor"))
+            now = written(now.join(factor, d).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor"))
+        goal = F.coalesce(*[F.when(F.grouping(d) == 0, F.max(f"target_{d}")) for d in targets])
+        off = now.groupingSets(sides, *targets).agg(F.abs(F.sum("weight") - goal).alias("off"))
+        if (off.agg(F.max("off")).first()[0] or 0.0) <= tolerance:
             break
-    return now
+    return now.drop(*[f"target_{d}" for d in targets])
 
 
 def _uniform(id_col: str, text_col: str, seed: int) -> Column:
