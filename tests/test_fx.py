@@ -95,3 +95,17 @@ def test_archive_discovery_ignores_other_files(spark, tmp_dir):
     got = fx_long(read_fx_archives(spark, archive_glob(tmp_dir))).collect()
     assert [(r["currency"], r["rate"]) for r in got] == [("USD", 4.01)]
     assert read_fx_archives(spark, archive_glob(os.path.join(tmp_dir, "nothing-here"))).count() == 0
+
+
+def test_quoted_archive_and_skipped_files(spark, tmp_dir):
+    from dividax.sources.fx import skipped_archives
+    a, b = (os.path.join(tmp_dir, f"archiwum_tab_a_{y}.csv") for y in (2023, 2024))
+    _write(a, '"data";"note";"1USD"\n"20240105";"a ""x""; y";"4,0100"\n')
+    _write(b, "date;1USD\n20240108;9,9900\n")
+    with open(a, "rb") as f:
+        text = f.read()
+    with open(a, "wb") as f:
+        f.write(b"\xef\xbb\xbf" + text)
+    got = [(r["currency"], r["rate_date"], r["rate"]) for r in fx_long(read_fx_archives(spark, [a, b])).collect()]
+    assert got == [("USD", dt.date(2024, 1, 5), 4.01)]
+    assert [r["file_name"].rsplit("/", 1)[-1] for r in skipped_archives(spark, [a, b]).collect()] == ["archiwum_tab_a_2024.csv"]

@@ -157,3 +157,15 @@ def test_tax_rate_parameter_flows_through_the_report(spark):
     # 10 shares x 0.50 USD; WHT 5.0/0.81*0.19 = 1.17; (5.0*0.25 - 1.17) * 4.0 = 0.32
     assert (ko["net_dividend"], ko["wht_amount"], ko["fx_rate_d1"], ko["tax_due_pln"]) == (5.0, 1.17, 4.0, 0.32)
     assert ko["date_d1"] == dt.date(2024, 1, 17)
+
+
+def test_every_dividend_row_is_grouped_or_listed(spark):
+    from dividax.operators.dividends import dropped_rows, filter_dividends, group_dividends, prepare_rows
+    from dividax.sources.statements import damaged_statements, synthetic_statements
+
+    rows = prepare_rows(damaged_statements(synthetic_statements(spark, "/root/testdata/sf0.001")))
+    kept = filter_dividends(rows)
+    total = lambda df, c: df.agg({c: "sum"}).first()[0]
+    dropped = dropped_rows(rows)
+    assert dropped.count() > 0
+    assert total(kept, "amount") == total(dropped, "amount") + total(group_dividends(kept), "net_dividend")

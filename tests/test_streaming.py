@@ -28,3 +28,14 @@ def test_stream_reports_new_files_once(spark, tmp_dir):
     assert first > 0 and got.count() == expected.count()
     assert got.groupBy("acct").agg(F.round(F.sum("tax_due_pln"), 2)).orderBy("acct").collect() == \
         expected.groupBy("acct").agg(F.round(F.sum("tax_due_pln"), 2)).orderBy("acct").collect()
+
+
+def test_restart_without_a_checkpoint_goes_on(spark, tmp_dir):
+    stmt = synthetic_statements(spark, SF_SMALL).where("acct = 0 and day(Time) = 2")
+    fx = synthetic_fx(spark, SF_SMALL)
+    src, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    stmt.write.parquet(os.path.join(src, "part0"))
+    for _ in range(2):
+        start_report_stream(spark, src + "/*", stmt.schema, fx, out).awaitTermination(300)
+    assert [d for d in os.listdir(out) if d.startswith("batch=")] == ["batch=0"]
+    assert spark.read.parquet(out).count() == build_report(stmt, fx).count() > 0
