@@ -173,7 +173,9 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = "[SECRET]") -> DataFrame:
-    """(doc_id, text): texts with every span (overlapping ones merged) replaced by ``mask``."""
+    """(doc_id, text): texts with every span (overlapping ones merged) replaced by ``mask``.
+
+    Unlike ``scan_secrets`` it carries the texts through a scratch table in the shared folder."""
     rows, spans = secret_spans(docs, text_col, F.struct(F.col(id_col).alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("t")))
     lists = spans.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("s"))
     step = lambda a, x: F.when(x["end"] <= a["at"], a).otherwise(F.struct(

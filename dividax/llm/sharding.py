@@ -86,7 +86,7 @@ def sharded(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, id_col: s
     ``text_crc32`` of NULL is that of the empty text; ``slot`` numbers a shard's rows without a gap
     from 0; ``grown_shard`` is NULL, as the law is "bytes".  Repeated rows share a virtual slot and each have
     a number; an empty table gives no rows.  ``keep_columns`` returns the columns of ``docs`` and
-    only ``shard`` and ``virtual_slot`` beside them.
+    only ``shard`` and ``virtual_slot`` beside them; columns of ``docs`` with these two names are replaced.
 
     Only the totals, ``slots`` rows, reach the driver, and only the map, ``slots`` rows, is broadcast.
     """
@@ -106,7 +106,8 @@ def sharded(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, id_col: s
     current = F.broadcast(stored.where(F.col("map_version") == len(versions) - 1).select("virtual_slot", "shard", "offset", "map_version"))
     if keep_columns:
         slot = slot_of(F.col(id_col), F.col(text_col), slots=slots)
-        row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), slot.alias("virtual_slot"))
+        names = [c for c in docs.columns if c.lower() not in ("shard", "virtual_slot")]
+        row = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), slot.alias("virtual_slot"))
         return row.join(current, "virtual_slot", "left").select("row.*", F.col("shard").alias("shard"), F.col("virtual_slot").alias("virtual_slot"))
     within = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")
     return rows.withColumn("place", F.row_number().over(within)).join(current, "virtual_slot", "left").select(

@@ -143,15 +143,18 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs``, one for each component: the row with the component's least id.
 
-    Where several rows carry that id (repeated rows, NULL ids), one of them stays; which one is
-    decided by a hash of all columns.  All columns, whatever their names, are returned unchanged.
+    Rows are told apart by id and text, so of rows that share an id (or have none) only those in one
+    component stand for each other.  Rows with an id come before those without; of several texts with
+    the least id one stays by its hash, and of repeated rows one by a hash of all columns.  All
+    columns, whatever their names, are returned unchanged.
     """
-    names = docs.columns
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(id_col).alias("k_id"), F.col(text_col).alias("k_text"))
-    found = simhash_components(docs, id_col, text_col, **how)
-    keep = found.groupBy("component_id").agg(F.count(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), 1)).alias("n"))
-    keyed = row.join(keep.select(F.col("component_id").alias("k_comp"), "n"), F.col("k_id").eqNullSafe(F.col("k_comp")))
-    # ids that name one row need no further look; for the others one row is chosen
+    key = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h"))
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
+    found = simhash_components(docs.select(key.alias("key"), F.col(text_col).alias("text")), "key", "text", **how)
+    keep = found.groupBy("component_id").agg(F.count(F.when(F.col("doc_id") == F.col("component_id"), 1)).alias("n"))
+    keep = keep.select(F.col("component_id.id").alias("k_id"), F.col("component_id.h").alias("k_h"), "n")
+    keyed = row.join(keep, F.col("key.id").eqNullSafe(F.col("k_id")) & (F.col("key.h") == F.col("k_h")))
+    # keys that name one row need no further look; for the others one row is chosen
     alone = keyed.where("n = 1").select("row")
-    chosen = keyed.where("n > 1").groupBy("k_comp").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row")
+    chosen = keyed.where("n > 1").groupBy("key").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row")
     return alone.union(chosen).select("row.*")

@@ -396,6 +396,69 @@ def test_pipeline_stages(spark):
     assert 0 < found.count() < docs.count() and found.select("doc_id").distinct().count() == found.count()
 
 
+CLASHING = ["row", "key", "id", "text_", "simhash", "component_id", "bad", "good", "held", "prob", "kept", "n", "k_id", "k_u", "k_source", "weight",
+            "probability", "shard", "virtual_slot", "offset", "topic", "a.b", "NULL"]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Rows with a NULL in each column in turn, equal ids with other texts, repeats, and names that operators use inside."""
+    rng = random.Random(12)
+    full = lambda i: [i, " ".join(rng.choices("abcdefghijklmnop", k=80)) + f" w{i}", "en", f"s{i % 3}", 100 + i]
+    rows = [full(i) for i in range(30)]
+    for c in range(5):
+        for i in range(2):
+            rows.append(full(100 + 2 * c + i))
+            rows[-1][c] = None
+    rows += [[None] * 5, [7, "another text under a used id " * 20, "en", "s0", 1], [50, "", "en", "s0", 0], [51, " \n\t", "en", "s0", 3], [52, "long words " * 100_000, "fr", "s1", 1_100_000]]
+    rows += [list(rows[0]), list(rows[0]), list(rows[31])]
+    names = ", ".join(f"`{c}` string" for c in CLASHING)
+    return spark.createDataFrame([(*r, *CLASHING) for r in rows], f"doc_id long, text string, lang string, source string, n_chars long, {names}").repartition(3).cache()
+
+
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES], ids=[n for n, _ in corpus_pipeline.STAGES])
+def test_stages_on_odd_and_on_no_rows(stage, odd, spark, tmp_dir):
+    for name, docs in (("odd", odd), ("none", odd.where("false"))):
+        out = stage(spark, docs, SF)
+        out.write.parquet(f"{tmp_dir}/{name}")
+        back = spark.read.parquet(f"{tmp_dir}/{name}")
+        same = [c for c in docs.columns if c not in ("shard", "virtual_slot")] if stage is corpus_pipeline.sharding else docs.columns
+        assert back.columns == [*same, *(["shard", "virtual_slot"] if stage is corpus_pipeline.sharding else [])]
+        given = Counter(str(r) for r in docs.select(*(f"`{c}`" for c in same)).collect())
+        assert not Counter(str(r) for r in back.select(*(f"`{c}`" for c in same)).collect()) - given
+        if name == "none":
+            assert back.count() == 0
+    if stage is corpus_pipeline.sharding:
+        assert spark.read.parquet(f"{tmp_dir}/odd").where("shard between 0 and 7").count() == odd.count()
+
+
+@pytest.mark.parametrize("query", sorted(queries.queries()))
+def test_queries_on_odd_and_on_no_rows(query, odd, spark, tmp_dir):
+    pages = spark.createDataFrame([(1, "u", "<p>a</p>", "x", "y"), (None, None, None, None, None), (2, None, "", "x", "y")], "page_id long, url string, html string, text string, n_chars string")
+    items = spark.createDataFrame([(1, "another text under a used id another", "x", "y"), (None, None, None, None), (2, None, "", "")], "item_id long, text string, doc_id string, containment string")
+    labels = spark.createDataFrame([(i, i % 2, None if i % 5 else 1, "x") for i in range(30)] + [(None, None, None, None)], "doc_id long, quality int, toxic int, good string")
+    for name, least in (("odd", "true"), ("none", "false")):
+        sf = f"{tmp_dir}/{name}"
+        for table, frame in (("documents", odd), ("pages", pages), ("benchmark", items), ("labels", labels)):
+            frame.where(least).write.parquet(f"{sf}/{table}.parquet")
+        found = queries.queries()[query](spark, sf)
+        found.write.parquet(f"{sf}/out")
+        rows = spark.read.parquet(f"{sf}/out").count()
+        if query == "op6_decontamination":
+            assert (rows > 0) == (name == "odd")
+        else:
+            assert rows == (0 if name == "none" else pages.count() if query == "op5_html_blocks" else odd.count())
+
+
+def test_one_copy_stays_of_rows_without_or_with_equal_ids(spark):
+    rng = random.Random(13)
+    a, b, c = (" ".join(rng.choices("abcdefghijklmnop", k=60)) for _ in range(3))
+    rows = [(None, a, "x"), (None, a, "y"), (None, b, "x"), (4, c, "x"), (4, a + " " + b, "x"), (4, c, "x"), (None, c, "z"), (9, c, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = Counter((r.doc_id, r.text) for r in simhash.keep_one(docs).collect())
+    assert kept == Counter([(None, a), (None, b), (4, c), (4, a + " " + b)])
+
+
 def test_every_operator_is_registered():
     assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()} == set(range(1, 11))
     assert set(queries.oracle_sql()) <= set(queries.queries())
