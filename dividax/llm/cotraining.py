@@ -11,9 +11,8 @@ from pyspark.sql import types as T
 
 from .common import text_bytes, text_slices, written
 
-#: Bounds of the fit: labelled rows and unlabelled pool rows that are sampled by a hash of the id.
+#: Bound of the fit: labelled rows that are sampled by a hash of the id.  All unlabelled rows are the pool.
 MAX_LABELLED = 12_000
-MAX_POOL = 4_000
 ROUNDS = 3
 #: Calibrated confidence from which a view's pseudo-label is handed to the other view.
 CONFIDENT = 0.97
@@ -23,6 +22,8 @@ _STYLE = 8
 _STEMS = (4, 5)
 #: Standard errors by which a feature's log odds ratio must stand out.
 LEAST_Z = 3.5
+#: Weight of a pseudo-labelled row.
+PSEUDO = 0.5
 
 
 # ---------------------------------------------------------------- features
@@ -86,50 +87,56 @@ def _sums(group, index, values, n: int):
 class Linear:
     """Logistic regression on hashed presence features that differ between the classes, and style figures (Adam, L2)."""
 
-    def __init__(self, bits: int, style: int = 0, decay: float = 2e-4, steps: int = 120, least_z: float = LEAST_Z):
+    def __init__(self, bits: int, style: int = 0, decay: float = 2e-4, steps: int = 120):
         import numpy as np
 
         self.weights, self.style, self.bias = np.zeros(1 << bits), np.zeros(style), 0.0
         self.mean, self.scale = np.zeros(style), np.ones(style)
-        self.decay, self.steps, self.least_z = decay, steps, least_z
+        self.decay, self.steps = decay, steps
 
     def margin(self, owner, feature, style, n: int):
         out = _sums(owner, feature, self.weights, n) + self.bias
         return out + ((style - self.mean) / self.scale) @ self.style if len(self.style) else out
 
-    def fit(self, owner, feature, style, target, weight) -> "Linear":
+    def fit(self, owner, feature, style, target, stats: "Statistics") -> "Linear":
+        """Fit on labelled rows.  The features are those of ``stats`` (labelled and pseudo-labelled rows);
+        their log odds ratios there, with the class means of the style figures, make one more column,
+        so that pseudo-labelled rows teach words that no labelled row has."""
         import numpy as np
 
-        n, size = len(target), len(self.weights)
-        total = max(weight.sum(), 1e-9)
-        # features whose log odds ratio between the classes stands out of its standard error
-        yes = _sums(feature, owner, weight * target, size) + 0.5
-        no = _sums(feature, owner, weight * (1 - target), size) + 0.5
-        all_yes, all_no = (weight * target).sum() + 1, (weight * (1 - target)).sum() + 1
-        ratio = np.log(yes / np.maximum(all_yes - yes, 0.5)) - np.log(no / np.maximum(all_no - no, 0.5))
-        frequent = np.abs(ratio) >= self.least_z * np.sqrt(1 / yes + 1 / no)
-        used = np.flatnonzero(frequent)
-        keep = np.flatnonzero(frequent[feature])
+        n, used = len(target), stats.feature
+        keep = np.flatnonzero(np.isin(feature, used))
         owner, column = owner[keep], np.searchsorted(used, feature[keep])
+        dense = np.zeros((n, 0))
         if len(self.style):
             self.mean, self.scale = style.mean(axis=0), style.std(axis=0) + 1e-6
             dense = (style - self.mean) / self.scale
-        else:
-            dense = np.zeros((n, 0))
-        rate = float((weight * target).sum() / total)
+        if stats.pseudo:
+            shared = np.bincount(owner, weights=stats.ratio[column], minlength=n)
+            shared = shared + style @ stats.slope if len(self.style) else shared
+            shift, unit = shared.mean(), shared.std() + 1e-6
+            dense = np.column_stack([dense, (shared - shift) / unit])
+        rate = float(target.mean())
         theta = np.zeros(len(used) + dense.shape[1] + 1)
         theta[-1] = np.log(max(rate, 1e-3) / max(1 - rate, 1e-3))
         m, v = np.zeros_like(theta), np.zeros_like(theta)
         for t in range(1, self.steps + 1):
             z = np.bincount(owner, weights=theta[column], minlength=n) + dense @ theta[len(used) : -1] + theta[-1]
-            g = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - target) / total
+            g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - target) / n
             grad = np.concatenate([np.bincount(column, weights=g[owner], minlength=len(used)), dense.T @ g, [g.sum()]])
             grad[:-1] += self.decay * theta[:-1]
             m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
             theta -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
         self.weights[:] = 0
         self.weights[used] = theta[: len(used)]
-        self.style, self.bias = theta[len(used) : -1], float(theta[-1])
+        self.style, self.bias = theta[len(used) : len(used) + len(self.style)].copy(), float(theta[-1])
+        if stats.pseudo:
+            by = theta[-2] / unit
+            self.weights[used] += by * stats.ratio
+            self.bias -= by * shift
+            if len(self.style):
+                self.style += by * stats.slope * self.scale
+                self.bias += by * float(stats.slope @ self.mean)
         return self
 
 
@@ -172,47 +179,53 @@ class CoTrained:
         return _sigmoid(a), _sigmoid(b), _sigmoid(w[0] * a + w[1] * b + w[2])
 
 
-def fit(rows: list[dict], rounds: int = ROUNDS, confident: float = CONFIDENT) -> CoTrained | None:
-    """Co-train on sampled rows: ``feature`` (distinct word features), ``style``, ``meta``, ``good`` (1, 0 or
-    None for the pool) and ``held`` (calibration part).  None if the labels hold one class only."""
+@dataclass
+class Statistics:
+    """What a view learns from all its labelled and pseudo-labelled rows: the features that stand out and their log odds ratios."""
+
+    feature: object  # ascending
+    ratio: object
+    slope: object    # per style figure: difference of the class means by variance
+    pseudo: int      # pseudo-labelled rows
+
+
+def fit(rows: "Sample", rounds: int = ROUNDS, confident: float = CONFIDENT) -> CoTrained | None:
+    """Co-train on the labelled rows (``style``, ``meta``, ``good`` and ``held``, the calibration part) and
+    the pool, which stays in Spark: each round scores it with the rounds' models so far and sums up
+    the features of what is sure.  None if the labels hold one class only."""
     import numpy as np
 
     if not rows:
         return None
-    good = np.array([-1 if r["good"] is None else r["good"] for r in rows])
-    held = np.array([bool(r["held"]) for r in rows])
-    learn, check, pool = (good >= 0) & ~held, (good >= 0) & held, good < 0
+    good, held = np.array([r["good"] for r in rows]), np.array([bool(r["held"]) for r in rows])
+    learn, check = ~held, held
     if len(set(good[learn])) < 2 or len(set(good[check])) < 2:
         return None
     n = len(rows)
-    spread = lambda name: (np.repeat(np.arange(n, dtype=np.int32), [len(r[name]) for r in rows]), np.concatenate([np.asarray(r[name], np.int32) for r in rows]))
-    style = np.array([r["style"] for r in rows], float)
-    views = [(*spread("feature"), style), (*spread("meta"), np.zeros((n, 0)))]
-    target = np.where(learn, good, 0).astype(float)
-    # per view: pseudo-labels it has received from the other one
-    given = [np.full(n, -1) for _ in views]
-    exchanged, models, calibration = [], [], []
+    spread = lambda parts: (np.repeat(np.arange(n, dtype=np.int32), [len(f) for f in parts]), np.concatenate(parts))
+    style, none = np.array([r["style"] for r in rows], float), np.zeros((n, 0))
+    meta = spread([np.array(r["meta"], np.int32) for r in rows])
+    place, target = np.cumsum(learn) - 1, good[learn].astype(float)
+    rounds_models, exchanged, before = [], [], [0, 0]
+    stats = rows.statistics([], confident)
     for turn in range(rounds + 1):
         models, calibration, margins = [], [], []
-        for view, (owner, feature, dense) in enumerate(views):
+        for view, ((owner, feature), dense) in enumerate(((spread(rows.features(stats[0].feature)), style), (meta, none))):
             model = Linear(TEXT_BITS, _STYLE) if view == 0 else Linear(META_BITS)
-            y = np.where(learn, target, np.maximum(given[view], 0)).astype(float)
-            model.fit(owner, feature, dense, y, np.where(learn, 1.0, np.where(given[view] >= 0, 0.5, 0.0)))
+            on = learn[owner]
+            model.fit(place[owner[on]], feature[on], dense[learn], target, stats[view])
             margin = model.margin(owner, feature, dense, n)
             beta = _platt(margin[check], good[check].astype(float))
             models.append(model)
             calibration.append((float(beta[0]), float(beta[1])))
             margins.append(beta[0] * margin + beta[1])
+        rounds_models.append((models, calibration))
         if turn == rounds:
             break
-        received = []
-        for view in range(2):
-            p = _sigmoid(margins[1 - view])
-            new = pool & (given[view] < 0) & ((p >= confident) | (p <= 1 - confident))
-            given[view] = np.where(new, (p >= 0.5).astype(int), given[view])
-            received.append(int(new.sum()))
-        exchanged.append(received)
-        if not any(received):
+        stats = rows.statistics(rounds_models, confident)
+        exchanged.append([s.pseudo - b for s, b in zip(stats, before, strict=True)])
+        before = [s.pseudo for s in stats]
+        if not any(exchanged[-1]):
             break
     both = np.column_stack(margins)
     beta = _platt(both[check], good[check].astype(float))
@@ -227,61 +240,156 @@ def _arranged(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang
                        F.col(lang_col).cast("string").alias("lang"), F.col(size_col).cast("long").alias("size"))
 
 
-def sample_rows(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL, columns=("doc_id", "text", "source", "lang", "n_chars")) -> list[dict]:
-    """Features of the sampled rows: the labelled and the pool rows with the least id hashes, and of
-    their word features those that tell the classes of the learning part apart.
+def _ints(batch, name: str):
+    """(row, value) pairs of a column of packed 32-bit integers."""
+    import numpy as np
+
+    raw, offsets = text_bytes(batch, name)
+    return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets) // 4), np.frombuffer(raw.tobytes(), np.int32)
+
+
+class Sample(list):
+    """The labelled rows (row, good, held, style, meta); ``table`` has them and the pool rows with their features, packed."""
+
+    def __init__(self, table: DataFrame):
+        import numpy as np
+
+        self.table = table
+        found = table.where("good is not null").select("row", "good", "held", "style", "meta").toArrow().to_pylist()
+        super().__init__(sorted((r | {"style": np.frombuffer(r["style"]), "meta": np.frombuffer(r["meta"], np.int32)} for r in found), key=lambda r: r["row"]))
+
+    def features(self, used) -> list:
+        """Of each labelled row, the features that are in ``used``."""
+        import numpy as np
+
+        shared = self.table.sparkSession.sparkContext.broadcast(used)
+
+        def run(batches: Iterator) -> Iterator:
+            import pyarrow as pa
+
+            among = np.zeros(1 << TEXT_BITS, bool)
+            among[shared.value] = True
+            for batch in batches:
+                for part in text_slices(batch, "feature"):
+                    owner, feature = _ints(part, "feature")
+                    on = among[feature]
+                    few = np.split(feature[on], np.searchsorted(owner[on], np.arange(1, part.num_rows)))
+                    yield pa.RecordBatch.from_arrays([part.column("row"), pa.array([f.tobytes() for f in few], pa.binary())], names=["row", "feature"])
+
+        found = self.table.where("good is not null").select("row", "feature").mapInArrow(run, "row long, feature binary").toArrow()
+        by_row = dict(zip(found.column("row").to_pylist(), found.column("feature").to_pylist(), strict=True))
+        shared.destroy()
+        return [np.frombuffer(by_row[r["row"]], np.int32) for r in self]
+
+    def statistics(self, rounds: list, confident: float) -> list[Statistics]:
+        """Per view, over the learning rows and all pool rows that the other view was sure of in one of
+        ``rounds`` (models, calibration), the first sure one deciding.
+
+        The rows' features are summed up in Spark; the driver gets those that stand out."""
+        import numpy as np
+
+        shared = self.table.sparkSession.sparkContext.broadcast((rounds, confident))
+        sizes, names = (1 << TEXT_BITS, 1 << META_BITS), ("yes", "no", "pseudo_yes", "pseudo_no")
+
+        def run(batches: Iterator) -> Iterator:
+            import pyarrow as pa
+
+            turns, sure = shared.value
+            # per view and class: features; after them the rows, the style figures and their squares
+            sums = [np.zeros((4, size + 1 + 2 * _STYLE)) for size in sizes]
+            for batch in batches:
+                for part in text_slices(batch, "feature"):
+                    n = part.num_rows
+                    views = [_ints(part, "feature"), _ints(part, "meta")]
+                    style = np.frombuffer(text_bytes(part, "style")[0].tobytes()).reshape(n, _STYLE)
+                    good = np.array([-1 if g is None else g for g in part.column("good").to_pylist()])
+                    given = [np.full(n, -1) for _ in views]
+                    for models, calibration in turns:
+                        for view in range(2):
+                            dense = style if view == 1 else np.zeros((n, 0))  # those of the other view
+                            p = _sigmoid(calibration[1 - view][0] * models[1 - view].margin(*views[1 - view], dense, n) + calibration[1 - view][1])
+                            new = (good < 0) & (given[view] < 0) & ((p >= sure) | (p <= 1 - sure))
+                            given[view] = np.where(new, p >= 0.5, given[view])
+                    for view, (owner, feature) in enumerate(views):
+                        kind = np.where(good >= 0, 1 - good, np.where(given[view] >= 0, 3 - given[view], -1))
+                        for k in range(4):
+                            of, size = kind == k, sizes[view]
+                            sums[view][k, :size] += np.bincount(feature[of[owner]], minlength=size)
+                            sums[view][k, size:] += np.concatenate([[of.sum()], style[of].sum(axis=0), (style[of] ** 2).sum(axis=0)])
+            for view, found in enumerate(sums):
+                at = np.flatnonzero(found.any(axis=0))
+                for i in range(0, len(at), 1 << 16):
+                    some = at[i : i + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), view, np.int32)), pa.array(some.astype(np.int32)), *(pa.array(found[k, some]) for k in range(4))],
+                                                     names=["view", "feature", *names])
+
+        learn = self.table.where("good is null or not held").select("good", "feature", "style", "meta")
+        counts = written(learn.mapInArrow(run, "view int, feature int, " + ", ".join(f"{c} double" for c in names))
+                         .groupBy("view", "feature").agg(*(F.sum(c).alias(c) for c in names)))
+        shared.destroy()
+        yes, no = F.col("yes") + PSEUDO * F.col("pseudo_yes"), F.col("no") + PSEUDO * F.col("pseudo_no")
+        out = []
+        for view, size in enumerate(sizes):
+            of = counts.where(F.col("view") == view)
+            rest = np.zeros((4, 1 + 2 * _STYLE))
+            for r in of.where(F.col("feature") >= size).collect():
+                rest[:, r.feature - size] = [r[c] for c in names]
+            both = rest[:2] + PSEUDO * rest[2:]
+            odds = lambda x, rows: F.log((x + 0.5) / F.greatest(F.lit(float(rows) + 0.5) - x, F.lit(0.5)))
+            ratio = odds(yes, both[0, 0]) - odds(no, both[1, 0])
+            told = of.where(F.col("feature") < size).select("feature", ratio.alias("ratio")).where(
+                F.abs(ratio) >= LEAST_Z * F.sqrt(1 / (yes + 0.5) + 1 / (no + 0.5))).toArrow()
+            feature, ratios = (np.array(told.column(c).to_pylist()) for c in ("feature", "ratio"))
+            order = np.argsort(feature)
+            rows = np.maximum(both[:, :1], 1)
+            mean, square = both[:, 1 : 1 + _STYLE] / rows, both[:, 1 + _STYLE :] / rows
+            slope = (mean[0] - mean[1]) / ((square - mean**2).mean(axis=0) + 1e-6)
+            out.append(Statistics(feature[order].astype(np.int32), ratios[order].astype(float), slope, int(rest[2:, 0].sum())))
+        return out
+
+
+def sample_rows(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_pool: int | None = None, columns=("doc_id", "text", "source", "lang", "n_chars")) -> Sample:
+    """Features of the labelled rows with the least id hashes and of all unlabelled rows (or of the ``max_pool`` with the least id hashes).
 
     An id labelled more than once is good only if all its labels are; NULL ids and labels are left
     out; of repeated document rows one is taken."""
-    base = _arranged(docs, *columns)
-    marks = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(
-        F.min(((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).cast("int")).alias("good"))
-    ids = base.where("id is not null").select("id").distinct().join(marks, F.col("id") == F.col("doc_id"), "left").select("id", "good", F.xxhash64("id").alias("h"))
-    some = ids.where("good is not null").orderBy("h", "id").limit(max_labelled).union(ids.where("good is null").orderBy("h", "id").limit(max_pool))
-    picked = {r.id: (r.good, r.h) for r in some.collect()}
-    chosen = docs.sparkSession.createDataFrame([(i, g, h % 3 == 0) for i, (g, h) in picked.items()], T.StructType([base.schema["id"], T.StructField("good", T.IntegerType()), T.StructField("held", T.BooleanType())]))
-    schema = "id string, good int, held boolean, feature array<int>, style array<double>, meta array<int>"
+    base = _arranged(docs, *columns).where("id is not null")
+    marks = written(labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(
+        F.min(((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).cast("int")).alias("good")))
+    ids = base.select("id").distinct().join(marks, F.col("id") == F.col("doc_id"), "left").select("id", "good", F.xxhash64("id").alias("h"))
+    first = lambda which, most: ids.where(which).orderBy("h", "id").limit(most)
+    # at most max_labelled ids, so they are broadcast
+    chosen = written(first("good is not null", max_labelled).select("id", "good", (F.col("h") % 3 == 0).alias("held")))
+    fields = ["text", "source", "lang", "size", "id"]
+    if max_pool is None:
+        others = marks.select(F.col("doc_id").alias("id"))
+        pool = base.join(others, "id", "left_anti").select(*fields, F.lit(None).cast("int").alias("good"), F.lit(False).alias("held"))
+    else:
+        pool = base.join(first("good is null", max_pool).select("id"), "id").select(*fields, F.lit(None).cast("int").alias("good"), F.lit(False).alias("held"))
+    rows = base.join(F.broadcast(chosen), "id").select(*fields, "good", "held").union(pool).select(
+        "*", F.monotonically_increasing_id().alias("row"), F.xxhash64("text", "source", "lang", "size").alias("mark"))
+    schema = "row long, id string, mark long, good int, held boolean, feature binary, style binary, meta binary"
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
+        packed = lambda arrays: pa.array([a.tobytes() for a in arrays], pa.binary())
         for batch in batches:
             for part in text_slices(batch, "text"):
                 owner, feature, style = _text_features(*text_bytes(part, "text"))
                 cuts = np.searchsorted(owner, np.arange(1, part.num_rows))
                 who, meta = _meta_features(part.column("source").to_pylist(), part.column("lang").to_pylist(), part.column("size").to_pylist())
                 yield pa.RecordBatch.from_arrays([
-                    part.column("id").cast(pa.string()), part.column("good"), part.column("held"),
-                    pa.array([f.astype(np.int32) for f in np.split(feature, cuts)], pa.list_(pa.int32())),
-                    pa.array(list(style), pa.list_(pa.float64())), pa.array(list(meta.reshape(part.num_rows, -1)), pa.list_(pa.int32())),
-                ], names=["id", "good", "held", "feature", "style", "meta"])
-
-    # the ids are at most max_labelled + max_pool, so they are broadcast
-    sample = written(base.join(F.broadcast(chosen), "id").select("text", "source", "lang", "size", "id", "good", "held").mapInArrow(run, schema))
-    # the driver gets only the features that differ between the classes of the learning part
-    learn = sample.where("good is not null and not held")
-    sizes = learn.agg(F.sum("good"), F.sum(1 - F.col("good"))).first()
-    telling = []
-    if all(sizes):
-        yes, no, all_yes, all_no = F.col("yes") + 0.5, F.col("no") + 0.5, sizes[0] + 1.0, sizes[1] + 1.0
-        odds = lambda x, n: F.log(x / F.greatest(n - x, F.lit(0.5)))
-        counts = learn.select("good", F.explode("feature").alias("f")).groupBy("f").agg(F.sum("good").alias("yes"), F.sum(1 - F.col("good")).alias("no"))
-        telling = [r.f for r in counts.where(F.abs(odds(yes, all_yes) - odds(no, all_no)) >= LEAST_Z * F.sqrt(1 / yes + 1 / no)).select("f").collect()]
-
-    def select(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
-
-        chosen_features = np.array(telling, np.int32)
-        for batch in batches:
-            few = [f[np.isin(f, chosen_features)] for f in (np.array(x, np.int32) for x in batch.column("feature").to_pylist())]
-            yield batch.set_column(batch.schema.names.index("feature"), "feature", pa.array(few, pa.list_(pa.int32())))
+                    part.column("row"), part.column("id").cast(pa.string()), part.column("mark"), part.column("good"), part.column("held"),
+                    packed(np.split(feature.astype(np.int32), cuts)), packed(style), packed(meta.astype(np.int32).reshape(part.num_rows, -1)),
+                ], names=["row", "id", "mark", "good", "held", "feature", "style", "meta"])
 
-    seen: dict = {}
-    for r in sorted(sample.mapInArrow(select, schema).collect(), key=lambda r: (r.id, sorted(r.feature), r.meta)):
-        seen.setdefault(r.id, r.asDict())
-    return list(seen.values())
+    sample = written(rows.mapInArrow(run, schema))
+    again = written(sample.groupBy("id").agg(F.count("*").alias("n"), F.min(F.struct("mark", "row")).alias("least")).where("n > 1").select("id", F.col("least.row").alias("first")))
+    if not again.isEmpty():
+        sample = sample.join(again, "id", "left").where("first is null or first = row").drop("first")
+    return Sample(sample)
 
 
 def classify(docs: DataFrame, model: CoTrained | None, columns=("doc_id", "text", "source", "lang", "n_chars")) -> DataFrame:
@@ -308,13 +416,13 @@ def classify(docs: DataFrame, model: CoTrained | None, columns=("doc_id", "text"
     return base.mapInArrow(run, schema)
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL, rounds: int = ROUNDS,
+def quality_scores(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_pool: int | None = None, rounds: int = ROUNDS,
                    columns=("doc_id", "text", "source", "lang", "n_chars")) -> DataFrame:
     """(id, text_prob, meta_prob, prob, kept) of every row of ``docs``.
 
     A labelled row is good if its quality is 1 and it isn't toxic.  A text view (words and style)
     and a metadata view (source, language, size) learn from a bounded sample of labelled rows, hand
-    each other the labels of pool rows they are sure of, and are calibrated on held-out labelled
+    each other the labels of the unlabelled rows they are sure of, and are calibrated on held-out labelled
     rows; their calibrated log odds are combined there too.  ``prob`` is the combined probability
     of a good document; ``kept`` says it is at least one half.
 

@@ -2,12 +2,33 @@
 
 import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from dividax.llm import cotraining
+from dividax.llm.common import text_bytes
 
 
 def test_cotraining_takes_12000_labelled_rows(spark):
     docs = spark.range(12_500).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), "id").alias("text"), F.lit("s").alias("source"), F.lit("en").alias("lang"), F.lit(5).alias("n_chars"))
     labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"), F.lit(0).alias("toxic"))
     assert sum(r["good"] is not None for r in cotraining.sample_rows(docs, labels)) == 12_000
+
+
+def test_pool_teaches_words_that_no_labelled_row_has(spark):
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(6000):
+        bad = i % 3 == 0
+        words = [f"w{rng.randrange(60)}" for _ in range(30)] + ["rubbish"] * bad
+        # the spam source of unlabelled rows brings its own word
+        words += ["zzgamble"] * (bad and i >= 1200)
+        rows.append((i, " ".join(words), "en", "spam" if bad else "site", 100))
+        if i < 1200:
+            labels.append((i, int(not bad), 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    sample = cotraining.sample_rows(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    model = cotraining.fit(sample)
+    assert sum(r[0] for r in model.exchanged) > 4_000  # more than the old pool's bound
+    of = lambda text: set(cotraining._text_features(*text_bytes(pa.table({"t": [text]}), "t"))[1].tolist())
+    assert all(model.text.weights[f] < 0 for f in of("zzgamble w1") - of("w1"))
