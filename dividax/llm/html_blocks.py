@@ -36,6 +36,8 @@ _BOILERPLATE_NAME = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|comments?|comment-?list|disqus|replies|respond|sidebar|side-?bar|cookies?|consent|gdpr|"
     r"notice|notification|alert|popup|modal|overlay|newsletter|subscribe|signup|login|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|"
     r"footer|header|masthead|social|share|sharing|related|recommended|widget|toolbar|copyright|legal|disclaimer)(?:$|[\s_-])", re.I)
+#: Names that say how a wrapper is laid out, not what it holds.
+_LAYOUT_NAME = re.compile(r"(?:^|(?<=\s))(?:no|has|with|without|hide|show)[_-][\w-]*", re.I)
 _MAIN_NAME = re.compile(r"(?:^|[\s_-])(?:article|article-?body|post-?body|post-?content|entry-?content|main-?content|story-?body)(?:$|[\s_-])", re.I)
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)", re.S)
@@ -44,6 +46,8 @@ _SPACE = re.compile(r"\s+")
 
 MAX_LINK_DENSITY = 0.33
 STOP_LOW, STOP_HIGH = 0.15, 0.25
+#: Stop-word density that a long block of a marked main part needs.
+STOP_MAIN = 0.05
 LENGTH_LOW, LENGTH_HIGH = 70, 200
 
 
@@ -133,7 +137,7 @@ def page_blocks(html: str) -> list[Block]:
         if tag in SKIPPED_TAGS or "hidden" in attributes or attributes.get("aria-hidden") == "true":
             unseen = True
         if tag in BOILERPLATE_TAGS and not (tag == "header" and place == "main") or attributes.get("role", "").lower() in BOILERPLATE_ROLES or (
-            named and tag not in ("html", "body", "article", "main") and _BOILERPLATE_NAME.search(named)
+            named and tag not in ("html", "body", "article", "main") and _BOILERPLATE_NAME.search(_LAYOUT_NAME.sub("", named))
         ):
             inside = "boilerplate"
         elif place == "page" and (tag in MAIN_TAGS or attributes.get("role") == "main" or attributes.get("itemprop") == "articleBody" or named and _MAIN_NAME.search(named)):
@@ -167,34 +171,43 @@ def label_blocks(blocks: list[Block]) -> None:
     """Pass 1 decides by place, link density, length and stop-word density; pass 2 gives each
     ambiguous block the label of its nearest decided neighbour.
 
-    Blocks in boilerplate elements and blocks of links are bad.  Where the page marks its main
-    part, long blocks there are good and blocks elsewhere bad; short ones are ambiguous and look
-    within the main part only.  On other pages the stop-word density decides for long blocks, and
-    short blocks are ambiguous.  Of two neighbours equally near the following one decides for a
-    heading, otherwise good wins; without any decided neighbour a block is good in a main part,
+    Blocks in boilerplate elements and blocks of links are bad.  Length and stop-word density are
+    taken of every other block; the place shifts their thresholds.  Where the page marks its main
+    part, long blocks there are good unless they have next to no stop words, which makes them
+    ambiguous, and blocks elsewhere are good only if they are long and dense in stop words and hardly
+    linked; the others there are bad, but for those between two such blocks.  Short blocks are ambiguous
+    and look at blocks of their own part only.  Of two neighbours equally near the following one decides
+    for a heading, otherwise good wins; without any decided neighbour a block is good in a main part,
     and else if it is a sentence-like block or the page has nothing better."""
     marked = any(b.place == "main" for b in blocks)
     for b in blocks:
         length, density = len(b.text), b.linked / len(b.text)
-        if b.place == "boilerplate" or marked and b.place != "main":
+        words = b.text.lower().split()
+        stops = sum(w.strip(".,;:!?\"'()") in _STOP for w in words) / len(words)
+        if b.place == "boilerplate":
             b.label = "bad"
+        elif marked and b.place != "main":
+            b.label = "good" if length >= LENGTH_HIGH and stops >= STOP_HIGH and density <= MAX_LINK_DENSITY and not b.heading and not b.text.startswith("©") else "bad"
         elif density > MAX_LINK_DENSITY:
             b.label = "bad" if not marked or density > 0.9 and length < LENGTH_LOW else "short"
         elif marked:
-            b.label = "good" if length >= LENGTH_LOW and not b.heading else "short"
+            b.label = "short" if length < LENGTH_LOW or b.heading else "good" if stops >= STOP_MAIN else "near"
         elif b.text.startswith("©"):
             b.label = "bad"
+        elif length < LENGTH_LOW or b.heading:
+            b.label = "short"
+        elif stops >= STOP_HIGH:
+            b.label = "good" if length >= LENGTH_HIGH else "near"
+        elif stops >= STOP_LOW:
+            b.label = "near"
         else:
-            words = b.text.lower().split()
-            stops = sum(w.strip(".,;:!?\"'()") in _STOP for w in words) / len(words)
-            if length < LENGTH_LOW or b.heading:
-                b.label = "short"
-            elif stops >= STOP_HIGH:
-                b.label = "good" if length >= LENGTH_HIGH else "near"
-            elif stops >= STOP_LOW:
-                b.label = "near"
-            else:
-                b.label = "bad"
+            b.label = "bad"
+    if marked:
+        outside = [i for i, b in enumerate(blocks) if b.place == "page"]
+        found = [i for i in outside if blocks[i].label == "good"]
+        for i in outside:
+            if found and found[0] < i < found[-1] and blocks[i].linked <= MAX_LINK_DENSITY * len(blocks[i].text):
+                blocks[i].label = "good"
     sought = [b for b in blocks if b.place == "main"] if marked else blocks
     left, last = [], None  # nearest decided block before: (distance, label)
     for i, b in enumerate(sought):

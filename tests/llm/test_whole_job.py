@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dividax.llm import cotraining
 from dividax.llm.common import text_bytes
+from dividax.llm.html_blocks import label_blocks, main_text, page_blocks
 
 
 def test_cotraining_takes_12000_labelled_rows(spark):
@@ -32,3 +33,26 @@ def test_pool_teaches_words_that_no_labelled_row_has(spark):
     assert sum(r[0] for r in model.exchanged) > 4_000  # more than the old pool's bound
     of = lambda text: set(cotraining._text_features(*text_bytes(pa.table({"t": [text]}), "t"))[1].tolist())
     assert all(model.text.weights[f] < 0 for f in of("zzgamble w1") - of("w1"))
+
+
+PROSE = "The house of the man is on the hill and it was there for a long time, as they say in the town. " * 4
+
+
+def test_marked_pages_keep_prose_outside_the_mark():
+    cards = "".join(f"<article><h2>Card {i}</h2><p>See more</p></article>" for i in range(3))
+    page = f"<body>{cards}<div><h2>Between</h2><p>{PROSE}</p><p>A short one.</p><p>{PROSE}</p></div><p>Imprint, contact</p></body>"
+    text = main_text(page)
+    assert text.count("The house of the man") == 8 and "A short one." in text and "Imprint" not in text
+
+
+def test_layout_names_do_not_make_a_wrapper_boilerplate():
+    for name in ("no-sidebar", "has-sidebar", "page with-sidebar wide"):
+        assert "The house" in main_text(f'<body><div class="{name}"><article><h1>T</h1><p>{PROSE}</p></article></div></body>')
+    assert "The house" not in main_text(f'<body><div class="left sidebar"><p>{PROSE}</p></div><article><p>{"Und das ist der Text von dem Haus. " * 9}</p></article></body>')
+
+
+def test_stop_words_count_on_marked_pages():
+    list_ = "Alpha9 Beta8 Gamma7 Delta6 Epsilon5 " * 4
+    blocks = page_blocks(f"<body><article><div><a href=x>Go</a></div><p>{list_}</p><p><a href=x>Top</a></p><h2>Rest</h2><p>{PROSE}</p></article></body>")
+    label_blocks(blocks)
+    assert blocks[1].label == "bad" and blocks[-1].label == "good"  # no stop words, between links
