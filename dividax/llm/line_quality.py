@@ -13,6 +13,8 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: A line is shared if over MIN_DOCS and over HOST_SHARE of the host's distinct documents have it.
 MIN_DOCS, HOST_SHARE = 5, 0.05
+#: In ``without_shared_lines`` so many documents suffice at any size of the host; of lines of LONG_WORDS, over LONG_DOCS.
+ENOUGH_DOCS, LONG_WORDS, LONG_DOCS = 100, 50, 3
 #: A document is depleted if more than this share of its words stands in shared lines.
 MAX_REMOVED = 0.5
 WINDOW = 3
@@ -73,15 +75,24 @@ def _features(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> Dat
     )
 
 
-def shared_lines(features: DataFrame, min_docs: int = MIN_DOCS, host_share: float = HOST_SHARE) -> DataFrame:
+def shared_lines(features: DataFrame, min_docs: int = MIN_DOCS, host_share: float = HOST_SHARE, enough_docs: int | None = None, long_docs: int | None = None) -> DataFrame:
     """(host, h, n_docs): lines above the limits, counted over the distinct texts of each host.
 
+    A line is shared if over ``min_docs`` and over ``host_share`` of the texts have it; also, where these
+    are given, if ``enough_docs`` have it, or if it has LONG_WORDS words and over ``long_docs`` have it.
     Counts are pre-aggregated before each shuffle, so a line that a third of all rows have costs
     one row for each map task; equal texts of a host count once."""
-    lines = features.select("host", "content", F.explode(F.array_distinct("lines.h")).alias("h")).distinct()
     hosts = features.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
-    counts = lines.groupBy("host", "h").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") > min_docs)
-    return counts.join(hosts, "host").where(F.col("n_docs") > host_share * F.col("host_docs")).select("host", "h", "n_docs")
+    share = (F.col("n_docs") > min_docs) & (F.col("n_docs") > host_share * F.col("host_docs"))
+    if enough_docs is None and long_docs is None:
+        lines = features.select("host", "content", F.explode(F.array_distinct("lines.h")).alias("h")).distinct()
+        counts = lines.groupBy("host", "h").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") > min_docs)
+        return counts.join(hosts, "host").where(share).select("host", "h", "n_docs")
+    lines = features.select("host", "content", F.explode("lines").alias("line")).groupBy("host", "content", "line.h").agg(F.max("line.n").alias("n"))
+    enough = F.lit(False) if enough_docs is None else F.col("n_docs") >= enough_docs
+    long = F.lit(False) if long_docs is None else (F.col("n") >= LONG_WORDS) & (F.col("n_docs") > long_docs)
+    counts = lines.groupBy("host", "h").agg(F.count("*").alias("n_docs"), F.max("n").alias("n")).where((F.col("n_docs") > min_docs) | enough | long)
+    return counts.join(hosts, "host").where(share | enough | long).select("host", "h", "n_docs")
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
@@ -111,9 +122,10 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
-def without_shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **limits) -> DataFrame:
-    """(doc_id, text): every row's text without its shared lines, lines in their order."""
-    shared = written(shared_lines(_features(docs, id_col, text_col, host_col), **limits))
+def without_shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+                         enough_docs: int | None = ENOUGH_DOCS, long_docs: int | None = LONG_DOCS, **limits) -> DataFrame:
+    """(doc_id, text): every row's text without its shared lines (see ``shared_lines``), lines in their order."""
+    shared = written(shared_lines(_features(docs, id_col, text_col, host_col), enough_docs=enough_docs, long_docs=long_docs, **limits))
     rows = written(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
                                F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.col(text_col).alias("text")))
     lines = rows.select("row", "host", F.posexplode(F.split("text", "\n")).alias("place", "line")).withColumn("h", F.xxhash64(normalised(F.col("line"))))

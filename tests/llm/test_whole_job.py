@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from dividax.llm import cotraining
 from dividax.llm.common import text_bytes
 from dividax.llm.html_blocks import label_blocks, main_text, page_blocks
+from dividax.llm.line_quality import without_shared_lines
 
 
 def test_cotraining_takes_12000_labelled_rows(spark):
@@ -56,3 +57,15 @@ def test_stop_words_count_on_marked_pages():
     blocks = page_blocks(f"<body><article><div><a href=x>Go</a></div><p>{list_}</p><p><a href=x>Top</a></p><h2>Rest</h2><p>{PROSE}</p></article></body>")
     label_blocks(blocks)
     assert blocks[1].label == "bad" and blocks[-1].label == "good"  # no stop words, between links
+
+
+def test_shared_lines_of_a_hot_host(spark):
+    passage, foot = " ".join(f"passage{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)), "Share this page"
+    word = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    rows = []
+    for i in range(4000):  # footer in 120 (3 %), passage in 5 documents of one host; the rest is clean
+        lines = [f"own text {word(i)}", *([foot] if i < 120 else []), *([passage] if 200 <= i < 205 else []), *(["said twice"] if i in (300, 301) else [])]
+        rows.append((i, "\n".join(lines), "hot"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r.doc_id: r.text for r in without_shared_lines(docs).collect()}
+    assert found == {i: "\n".join(x for x in t.split("\n") if x not in (foot, passage)) for i, t, _ in rows}
