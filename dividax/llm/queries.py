@@ -7,16 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import alignment_digests
 from .cotraining import quality_scores
 from .decontam import contained_items
 from .html_blocks import extract_main_text
 from .katz_lm import katz_scores
+from .language_id import fit_languages, predict_languages
 from .line_quality import quality_rules
+from .merkle import manifest_digests
 from .mixing import mixed
 from .secrets import scan_secrets
 from .sharding import sharded
 from .simhash import simhash_components
-from .sql import OP3_LINE_QUALITY, OP6_DECONTAMINATION
+from .sql import OP3_LINE_QUALITY, OP6_DECONTAMINATION, OP13_MERKLE
 from .token_counts import token_counts
 
 
@@ -79,6 +82,24 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of both public vocabularies in every document."""
+    return alignment_digests(table(spark, sf_dir, "documents"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learned from those whose id's CRC-32 modulo 3 isn't 1."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
+    found = predict_languages(docs, fit_languages(docs, ~held_out))
+    return found.withColumn("held_out", held_out).select("doc_id", "held_out", "lang_pred", "score", "runner_up", "ambiguous")
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and verification of every document in the manifest of all languages."""
+    return manifest_digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -91,8 +112,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sharding": op8_sharding,
         "op9_mixing": op9_mixing,
         "op10_simhash": op10_simhash,
+        "op11_alignment": op11_alignment,
+        "op12_language_id": op12_language_id,
+        "op13_merkle": op13_merkle,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_quality": OP3_LINE_QUALITY, "op6_decontamination": OP6_DECONTAMINATION}
+    return {"op3_line_quality": OP3_LINE_QUALITY, "op6_decontamination": OP6_DECONTAMINATION, "op13_merkle": OP13_MERKLE}

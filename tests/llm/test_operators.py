@@ -460,5 +460,5 @@ def test_one_copy_stays_of_rows_without_or_with_equal_ids(spark):
 
 
 def test_every_operator_is_registered():
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()} == set(range(1, 14))
     assert set(queries.oracle_sql()) <= set(queries.queries())
