@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,8 +19,8 @@ from .common import text_slices, written
 #: Byte-level BPE (A) and BPE with word pieces (B); the files are at the same paths on every executor.
 BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
-#: Texts are encoded in parts of at least so many characters, cut where neither tokenizer can join.
-PART_CHARS = 1 << 15
+#: Distinct units (words, mostly) whose tokens a worker remembers between slices; beyond it the store starts anew.
+STORE_MOST = 200_000
 #: Bytes of text whose tokens a task holds at once (a whole text at least).
 SLICE_BYTES = 1 << 20
 #: A pair of token ids as one number: A's id above these bits, B's below.
@@ -64,35 +65,67 @@ class Pair:
         # ids with what follows them: A inside a group, A at its end, B inside a group, B at its end
         names = [f"{i}{after}".encode() for count, afters in ((len(self.a_bytes), ",|"), (len(self.b_bytes), ",;")) for after in afters for i in range(count)]
         self.names = np.array(names, object)
-        # A word's end before one space and an ASCII letter.  A's pattern always splits there.  B's merges can't
-        # join there as long as none of its pieces has a space after another character.
+        # One space between two characters that aren't white space: A's pattern always splits before it.  B's merges
+        # can't cross it as long as none of its pieces has a space after another character.
         joins = any(regex.search("[^▁]▁", self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))
-        self.cut = None if joins else regex.compile(r"(?<=[A-Za-z])(?= [A-Za-z])")
-
-    def parts(self, text: str) -> Iterator[str]:
-        """``text`` in parts, each but the first beginning with the space that B adds by itself."""
-        start = 0
-        while self.cut and len(text) - start > PART_CHARS:
-            found = self.cut.search(text, start + PART_CHARS)
-            if found is None:
-                break
-            yield text[start : found.start()]
-            start = found.start()
-        yield text[start:]
-
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of every text by A (of space+text) and by B."""
-        parts, rows = [], []
-        for row, text in enumerate(texts):
-            for part in self.parts(" " + text):
-                parts.append(part)
-                rows.append(row)
-        a, b = [[] for _ in texts], [[] for _ in texts]
-        for row, found in zip(rows, self.a.encode_batch_fast(parts, add_special_tokens=False)):
-            a[row] += found.ids
-        for row, found in zip(rows, self.b.encode([p[1:] for p in parts], num_threads=1)):
-            b[row] += found
-        return a, b
+        self.cut = None if joins else regex.compile(r"(?<=[!-~À-ɏ]) (?=[!-~À-ɏ])")
+        self.forget()
+
+    def forget(self) -> None:
+        """Starts the store of units anew."""
+        import numpy as np
+
+        self.known: dict[str, int] = {}
+        self.stored = [np.zeros(0, np.int32), np.zeros(0, np.int32)]  # ids of A and B, unit after unit
+        self.starts = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+        self.exact = np.zeros(0, bool)  # whether both sides give back the unit
+
+    def units(self, text: str) -> list[str]:
+        """``text`` in units, each the next after one space; either tokenizer encodes them one by one as it would the whole."""
+        return self.cut.split(text) if self.cut else [text]
+
+    def encode(self, texts: list[str]):
+        """Per side (ids, tokens of each text) of space+text, and whether each text's units are all given back.
+
+        A unit is encoded once and its ids are remembered."""
+        import numpy as np
+
+        if len(self.known) > STORE_MOST:
+            self.forget()
+        rows = [self.units(t) for t in texts]
+        new = list(set().union(*rows).difference(self.known)) if rows else []
+        if new:
+            self._store(new)
+        sizes = np.array([len(r) for r in rows], np.int64)
+        unit = np.fromiter(map(self.known.__getitem__, chain.from_iterable(rows)), np.int64, int(sizes.sum()))
+        row = np.repeat(np.arange(len(rows)), sizes)
+        sides = []
+        for ids, starts in zip(self.stored, self.starts):
+            count = starts[unit + 1] - starts[unit]
+            before = np.cumsum(count) - count
+            at = np.repeat(starts[unit] - before, count) + np.arange(int(count.sum()))
+            sides.append((ids[at].astype(np.int64), np.bincount(row, weights=count, minlength=len(rows)).astype(np.int64)))
+        exact = np.bincount(row, weights=~self.exact[unit], minlength=len(rows)) == 0
+        return *sides, exact
+
+    def _store(self, units: list[str]) -> None:
+        import numpy as np
+
+        whole = [(" " + u).encode() for u in units]
+        size = np.array([len(w) for w in whole], np.int64)
+        joined = b"".join(whole)
+        exact = np.ones(len(units), bool)
+        found = [e.ids for e in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)], self.b.encode(units, num_threads=1)
+        for side, (ids, token_bytes, token_size) in enumerate(zip(found, (self.a_bytes, self.b_bytes), (self.a_size, self.b_size))):
+            flat = list(chain.from_iterable(ids))
+            ends = np.cumsum([len(unit) for unit in ids])
+            self.stored[side] = np.concatenate([self.stored[side], np.array(flat, np.int32)])
+            self.starts[side] = np.concatenate([self.starts[side], self.starts[side][-1] + ends])
+            length = np.diff(np.append(0, np.cumsum(token_size[flat]))[np.append(0, ends)])
+            if (length != size).any() or b"".join(map(token_bytes.__getitem__, flat)) != joined:
+                exact &= [b"".join(map(token_bytes.__getitem__, unit)) == w for unit, w in zip(ids, whole)]
+        self.exact = np.concatenate([self.exact, exact])
+        self.known.update(zip(units, range(len(self.known), len(self.known) + len(units))))
 
 
 @lru_cache(maxsize=2)
@@ -163,19 +196,16 @@ class Aligned:
         import numpy as np
 
         usable = [t.decode("utf-8", "replace") for t in texts]
-        a_ids, b_ids = pair.encode(usable)
-        a_all, b_all, n_a, n_b = [], [], [], []
-        for raw, a, b in zip(texts, a_ids, b_ids):
-            whole = b" " + raw
-            if not raw or b"".join(map(pair.a_bytes.__getitem__, a)) != whole or b"".join(map(pair.b_bytes.__getitem__, b)) != whole:
-                a, b = [], []
-            a_all += a
-            b_all += b
-            n_a.append(len(a))
-            n_b.append(len(b))
+        (a, n_a), (b, n_b), exact = pair.encode(usable)
+        ends_a, ends_b = np.cumsum(n_a), np.cumsum(n_b)
+        used = np.array([bool(t) for t in texts], bool)
+        for row in np.flatnonzero(~exact | [u.encode() != t for u, t in zip(usable, texts)]).tolist():
+            # units that aren't given back: the whole text decides
+            sides = (a[ends_a[row] - n_a[row] : ends_a[row]], pair.a_bytes), (b[ends_b[row] - n_b[row] : ends_b[row]], pair.b_bytes)
+            used[row] &= all(b"".join(map(of.__getitem__, ids.tolist())) == b" " + texts[row] for ids, of in sides)
         self.pair = pair
-        self.a, self.b = np.array(a_all, np.int64), np.array(b_all, np.int64)
-        self.n_a, self.n_b = np.array(n_a, np.int64), np.array(n_b, np.int64)
+        self.a, self.b = a[np.repeat(used, n_a)], b[np.repeat(used, n_b)]
+        self.n_a, self.n_b = n_a * used, n_b * used
         self.a_at, self.b_at = (np.concatenate([[0], np.cumsum(n)]).astype(np.int64) for n in (self.n_a, self.n_b))
         self.a_ends, self.b_ends = np.cumsum(pair.a_size[self.a]), np.cumsum(pair.b_size[self.b])
         some = self.n_a > 0

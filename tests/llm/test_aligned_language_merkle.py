@@ -95,13 +95,15 @@ def test_cuts_of_random_ends(seed):
     assert [a_ends[i] for i in a] == [b_ends[i] for i in b] == sorted(set(a_ends) & set(b_ends))
 
 
-def test_long_texts_are_cut_where_tokens_end():
+def test_units_encode_as_the_whole_text(given):
     pair = alignment.tokenizer_pair(alignment.BYTE_LEVEL, alignment.PIECES)
-    text = "Word and 12 it's\n\n über " * 6000
-    parts = list(pair.parts(" " + text))
-    assert len(parts) > 3 and "".join(parts) == " " + text
-    (a,), (b,) = pair.encode([text])
-    assert a == pair.a.encode(" " + text, add_special_tokens=False).ids and b == pair.b.encode(text)
+    texts = [r.text for r in given.select("text").limit(60).collect()] + [t or "" for t in ODD_TEXTS]
+    texts += ["Word and 12 it's\n\n über " * 6000, "it' s 't \u00a0 x\u2003 y \u0085 z", "a ' s ,, . !? -- 1 2", "\u1680 \u3000"]
+    for text in texts:
+        assert " ".join(pair.units(text)) == text
+        (a, _), (b, _), _ = pair.encode([text])
+        assert a.tolist() == pair.a.encode(" " + text, add_special_tokens=False).ids
+        assert not text or b.tolist() == pair.b.encode(text)
 
 
 def brute_merkle(rows, fanout=8):
