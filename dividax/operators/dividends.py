@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from .. import constants as K
-from ..functions.dates import parse_statement_date, previous_business_day
+from ..functions.dates import coerce_date, previous_business_day
 from ..functions.money import exact, round_half_even, shares_from_amount
 from ..functions.text import (
     number_from_text,
@@ -44,7 +44,7 @@ def _date_of(df: DataFrame, name: str):
     if isinstance(dtype, (TimestampType, TimestampNTZType, DateType)):
         return c.cast("date")
     if isinstance(dtype, StringType):
-        return parse_statement_date(c)
+        return coerce_date(c)  # text cells and, as ISO text, date cells of workbooks
     return F.lit(None).cast("date")
 
 

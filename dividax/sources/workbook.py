@@ -11,14 +11,16 @@ set, so good and bad files split into a clean and a quarantine DataFrame.
 from __future__ import annotations
 
 import datetime as dt
+import decimal
 import io
 import re
+import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
 from xml.etree import ElementTree as ET
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -218,6 +220,11 @@ def cells_to_statements(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.select(*cols, "cells"), bad
 
 
+#: The day of serial number 0, and a style sheet whose style 1 shows date and time (format 22).
+_SERIAL_ZERO = dt.datetime(1899, 12, 30)
+_STYLES = ('<?xml version="1.0" encoding="UTF-8"?><styleSheet xmlns="%s"><cellXfs count="2"><xf numFmtId="0"/><xf numFmtId="22"/></cellXfs></styleSheet>' % _NS["m"])
+
+
 def drop_footer_rows(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """S-5: drop rows in which any of ``columns`` contains ``Total`` (case-sensitive), NULL-safe."""
     cells = F.array(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns])
@@ -225,7 +232,7 @@ def drop_footer_rows(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 
 def workbook_bytes(rows: list[list], sheet_name: str = K.STATEMENT_SHEET) -> bytes:
-    """Minimal ``.xlsx`` encoder (inline strings / numbers) used to build test inputs."""
+    """Minimal ``.xlsx`` encoder (inline strings, numbers, dates as styled serial numbers) used to build test inputs."""
     def ref(r: int, c: int) -> str:
         letters = ""
         c += 1
@@ -237,8 +244,10 @@ def workbook_bytes(rows: list[list], sheet_name: str = K.STATEMENT_SHEET) -> byt
     def cell(r: int, c: int, v) -> str:
         if v is None:
             return ""
-        if isinstance(v, (int, float)) and not isinstance(v, bool):
+        if isinstance(v, (int, float, decimal.Decimal)) and not isinstance(v, bool):
             return f'<c r="{ref(r, c)}"><v>{v}</v></c>'
+        if isinstance(v, dt.datetime):
+            return f'<c r="{ref(r, c)}" s="1"><v>{(v - _SERIAL_ZERO) / dt.timedelta(days=1)!r}</v></c>'
         s = str(v).replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
         return f'<c r="{ref(r, c)}" t="inlineStr"><is><t>{s}</t></is></c>'
 
@@ -258,6 +267,8 @@ def workbook_bytes(rows: list[list], sheet_name: str = K.STATEMENT_SHEET) -> byt
         zf.writestr("xl/workbook.xml", workbook)
         zf.writestr("xl/_rels/workbook.xml.rels", rels)
         zf.writestr("xl/worksheets/sheet1.xml", sheet)
+        if ' s="1"' in body:
+            zf.writestr("xl/styles.xml", _STYLES)
     return buf.getvalue()
 
 
@@ -302,3 +313,66 @@ def statement_workbooks(stmt: DataFrame) -> DataFrame:
         return pd.DataFrame({"path": [name], "content": [workbook_bytes(top + [header] + body + [footer])]})
 
     return rows.groupBy("acct", "year", "chunk").applyInPandas(encode_group, "path string, content binary")
+
+
+#: FIXED VALUES: damage of a written fleet, told by a file's place among its account's years.
+FLEET_DAMAGE = ("corrupt", "no_currency", "header_twice")
+
+
+def write_statement_fleet(stmt: DataFrame, folder: str) -> DataFrame:
+    """Write statement rows as workbooks below ``folder``; one row per file ``(path, rows)``.
+
+    Cells are typed as a broker's export types them: times are styled serial numbers, amounts
+    numbers.  Files are those of :func:`statement_workbooks`; the first year of account
+    ``i`` (for i = 0, 1, 2) is damaged by ``FLEET_DAMAGE[i]``: cut short, without currency cell, or
+    with a header twice.  Each task writes its files itself, by the folder's URI (any file system that
+    Arrow opens), under names that a repeated task writes again; nothing goes through the driver."""
+    n = stmt.count()
+    buckets = max(1, -(-n // ROWS_PER_WORKBOOK))
+    years = stmt.groupBy("acct").agg(F.min(F.year("Time")).alias("first_year"))
+    rows = stmt.select(
+        "acct", "account_currency", F.year("Time").alias("year"), F.pmod(F.xxhash64("id"), F.lit(buckets)).alias("chunk"),
+        F.col("id").alias("ID"), "Type", F.col("Time").cast("timestamp_ntz").alias("Time"), "Comment", "Symbol", "Amount",
+    ).join(F.broadcast(years), "acct")  # one row per account
+
+    def write_group(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = pdf.iloc[0]
+        damage = FLEET_DAMAGE[int(first["acct"])] if first["year"] == first["first_year"] and first["acct"] < len(FLEET_DAMAGE) else None
+        top = [[None] * 9 for _ in range(9)]
+        top[5][5] = None if damage == "no_currency" else first["account_currency"]
+        top[1][1] = "Cash operation history"
+        header = [None, *_SHEET_COLUMNS, "Amount" if damage == "header_twice" else None, None]
+        body = [[None, *[None if pd.isna(v) else v.to_pydatetime() if isinstance(v, pd.Timestamp) else v for v in r], None, None]
+                for r in pdf[list(_SHEET_COLUMNS)].itertuples(index=False)]
+        footer = [None, None, None, None, None, "Total", len(pdf), None, None]
+        content = workbook_bytes([*top, header, *body, footer])
+        path = f"{folder.rstrip('/')}/stmt-{first['acct']}-{first['year']}-{first['chunk']}.xlsx"
+        write_bytes(path, content[: len(content) // 2] if damage == "corrupt" else content)
+        return pd.DataFrame({"path": [path], "rows": [len(pdf)]})
+
+    return rows.groupBy("acct", "year", "chunk").applyInPandas(write_group, "path string, rows long")
+
+
+def write_bytes(uri: str, content: bytes) -> None:
+    """Write a file by URI or local path, replacing it whole (written aside, then moved)."""
+    from pyarrow import fs
+
+    store, path = fs.FileSystem.from_uri(uri)
+    store.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    aside = f"{path}.{uuid.uuid4().hex}.part"
+    with store.open_output_stream(aside) as out:
+        out.write(content)
+    store.move(aside, path)
+
+
+def fleet_file(path: str) -> tuple[Column, Column]:
+    """(account, year) columns of a fleet file's name."""
+    name = F.regexp_extract(path, r"stmt-([^/]*)\.xlsx$", 1)
+    return F.split(name, "-")[0].cast("int").alias("acct"), F.split(name, "-")[1].cast("int").alias("year")
+
+
+def reject_reason(error: str) -> Column:
+    """Kind of a rejected file from the reader's message: one of ``FLEET_DAMAGE``, ``no_header`` or ``unreadable``."""
+    e = F.col(error)
+    return (F.when(e.contains("no account currency"), "no_currency").when(e.contains("header more than once"), "header_twice")
+            .when(e.contains("header row"), "no_header").when(e.startswith("BadZipFile"), "corrupt").otherwise("unreadable"))

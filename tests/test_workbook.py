@@ -106,3 +106,32 @@ def test_date_cells_currency_and_headers_of_real_files():
         list(statement_rows("p", workbook_bytes(sheet(None, headers))))
     with pytest.raises(ValueError, match="more than once: Comment"):
         list(statement_rows("p", workbook_bytes(sheet("PLN", [*headers[:5], "Comment"]))))
+
+
+def test_typed_cells_reach_the_report(spark, tmp_dir):
+    header = [None, "ID", "Type", "Time", "Comment", "Symbol", "Amount", None]
+    rows = [[None, "1", "Dividend", dt.datetime(2024, 1, 12, 23, 59, 59), "SBUX.US USD 0.5700/ SHR", "SBUX.US", 5.7, None],
+            [None, "2", "Withholding Tax", dt.datetime(2024, 1, 12), "SBUX.US USD WHT 15%", "SBUX.US", -0.86, None]]
+    write_workbook(os.path.join(tmp_dir, "typed.xlsx"), _sheet("USD", header, rows))
+    found, bad = cells_to_statements(read_workbook_cells(spark, tmp_dir))
+    assert bad.count() == 0 and sorted(r["Time"] for r in found.collect()) == ["2024-01-12 00:00:00", "2024-01-12 23:59:59"]
+    fx = spark.createDataFrame([("USD", dt.date(2024, 1, 11), 4.0)], "currency string, rate_date date, rate double")
+    (out,) = build_report(found, fx).collect()
+    assert (out["date"], out["shares"], out["wht_amount"], out["net_dividend"]) == (dt.date(2024, 1, 12), 10.0, 0.86, 5.7)
+
+
+def test_fleet_files_are_written_once_and_damaged_ones_rejected(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from dividax.sources.workbook import FLEET_DAMAGE, fleet_file, reject_reason, write_statement_fleet
+    rows = [(f"{a}-{y}-{i}", a, "PLN", "Dividend", dt.datetime(y, 3, 1 + i, 10, 30, i), None if i == 3 else f"c <{i}> & Łódź", "X.PL", None if i == 4 else i / 4)
+            for a in range(4) for y in (2020, 2021) for i in range(6)]
+    stmt = spark.createDataFrame(rows, "id string, acct int, account_currency string, Type string, Time timestamp, Comment string, Symbol string, Amount double")
+    for _ in range(2):  # a repeated task writes the same files again
+        assert sorted((r["path"][-15:], r["rows"]) for r in write_statement_fleet(stmt, f"{tmp_dir}/fleet").collect()) == [(f"t-{a}-{y}-0.xlsx", 6) for a in range(4) for y in (2020, 2021)]
+    assert len(os.listdir(f"{tmp_dir}/fleet")) == 8
+    found, bad = cells_to_statements(read_workbook_cells(spark, f"{tmp_dir}/fleet"))
+    assert sorted(tuple(r) for r in bad.select(*fleet_file("path"), reject_reason("_error")).collect()) == [(i, 2020, d) for i, d in enumerate(FLEET_DAMAGE)]
+    got = {r["ID"]: (r["Comment"], r["Amount"] and float(r["Amount"]), r["Time"]) for r in found.collect()}
+    assert got == {i: (c, v, str(t)) for i, a, _, _, t, c, _, v in rows if t.year == 2021 or a == 3}
+    assert found.where(F.col("account_currency") != "PLN").count() == 0
