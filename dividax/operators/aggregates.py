@@ -1,17 +1,19 @@
 """Report-level aggregations (A-4 .. A-14) and bounded samples.
 
-Samples ("first 3 examples") never collect a whole group: ``top_k_per_group``
-filters ``row_number() <= k`` over the group, which Spark plans as a partial
+Samples ("first 3 examples") never collect a whole group: ``counted_samples`` keeps
+a count and ``k`` rows of each group in every task, and ``top_k_per_group`` filters
+``row_number() <= k`` over the group, which Spark plans as a partial
 ``WindowGroupLimit`` before the shuffle and a final one after it, so even a hot
 group ships at most ``k`` rows per map task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from ..functions.dates import iso_date, month_key
@@ -25,38 +27,75 @@ def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k)
 
 
-def samples_text(df: DataFrame, keys: Sequence[str], order: Sequence[Column], label: Column, k: int = 3,
-                 out: str = "samples") -> DataFrame:
-    """Per group: the labels of the first ``k`` rows, comma-joined in order."""
-    top = top_k_per_group(df.withColumn("_label", label), keys, order, k)
-    return top.groupBy(*keys).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rank", "_label"))), lambda s: s["_label"]), ", ").alias(out)
-    )
-
-
-def _counts_with_samples(counts: DataFrame, samples: DataFrame, keys: Sequence[str], out: str = "samples") -> DataFrame:
-    # one row per group on both sides; the sample side is at most one row per counted group
-    return counts.join(samples, list(keys), "left").withColumn(out, F.coalesce(F.col(out), F.lit("")))
+#: Groups whose counts and candidates a task holds before it hands them on.
+GROUPS_HELD = 50_000
+#: Spread of the tasks' candidates in front of the last grouping.
+SPREAD = 64
+
+
+def counted_samples(df: DataFrame, keys: Sequence[str], flag: Column, order: Sequence[Column], label: Column, k: int = 3,
+                    count: str = "groups", out: str = "samples", all_groups: bool = False) -> DataFrame:
+    """Per group: the number of flagged rows and the labels of the first ``k`` of them in ``order``, comma-joined.
+
+    One pass over ``df``: every task counts and keeps the ``k`` first rows of each of its groups, so a
+    group sends at most ``k`` rows and a count per task; these are merged in two groupings, the first
+    spread by task.  NULLs sort first.  Groups without a flagged row are left out unless ``all_groups``."""
+    names = [f"_o{i}" for i in range(len(order))]
+    rows = df.select(*keys, *[c.alias(n) for n, c in zip(names, order)], label.cast("string").alias("_label"), F.coalesce(flag, F.lit(False)).alias("_flag"))
+    rows = rows if all_groups else rows.where("_flag")
+    schema = StructType([*(StructField(f.name, f.dataType) for f in rows.schema if f.name != "_flag"), StructField("_n", LongType())])
+
+    def first_rows(batches: Iterator) -> Iterator:
+        import pandas as pd
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow = to_arrow_schema(schema)
+        numbers, first = None, None
+
+        def held() -> Iterator:
+            if numbers is not None:
+                counted = numbers.reset_index(name="_n")
+                for frame in (counted, first):
+                    cells = [pa.array(frame[f.name], f.type, from_pandas=True) if f.name in frame else pa.nulls(len(frame), f.type) for f in arrow]
+                    yield from pa.Table.from_arrays(cells, schema=arrow).to_batches()
+
+        for batch in batches:
+            frame = pa.Table.from_batches([batch]).to_pandas(types_mapper=pd.ArrowDtype)
+            more = frame.groupby(list(keys), dropna=False)["_flag"].sum()
+            found = frame[frame["_flag"]].drop(columns="_flag")
+            if numbers is not None:
+                more = pd.concat([numbers, more]).groupby(level=list(range(len(keys))), dropna=False).sum()
+                found = pd.concat([first, found])
+            numbers = more.astype("int64[pyarrow]")
+            first = found.sort_values(names, na_position="first", kind="stable").groupby(list(keys), dropna=False).head(k)
+            if len(numbers) > GROUPS_HELD:
+                yield from held()
+                numbers, first = None, None
+        yield from held()
+
+    # a task's rows are counts (with _n) and candidates (without)
+    partial = rows.mapInArrow(first_rows, schema).withColumn("_spread", F.spark_partition_id() % SPREAD)
+    candidates = F.collect_list(F.when(F.col("_n").isNull(), F.struct(*names, "_label")))
+    some = partial.groupBy(*keys, "_spread").agg(F.sum("_n").alias("_n"), F.slice(F.array_sort(candidates), 1, k).alias("_first"))
+    whole = some.groupBy(*keys).agg(F.sum("_n").alias(count), F.slice(F.array_sort(F.flatten(F.collect_list("_first"))), 1, k).alias("_first"))
+    return whole.select(*keys, count, F.array_join(F.transform("_first", lambda s: s["_label"]), ", ").alias(out))
 
 
 def zero_denominator_report(rows: DataFrame) -> DataFrame:
     """A-7: per account, rows whose share denominator was 0, with 3 ``ticker on date`` samples."""
-    counts = rows.groupBy("acct").agg(F.count_if("zero_denominator").alias("zero_denominator_rows"))
-    bad = rows.where(F.col("zero_denominator"))
     # samples in report row order (date, ticker), labelled with the look-up date (D-1)
-    samples = samples_text(bad, ["acct"], [F.col("date"), F.col("ticker"), F.col("type"), F.col("comment")],
-                           F.concat(F.col("ticker"), F.lit(" on "), iso_date("date_d1")))
-    return _counts_with_samples(counts, samples, ["acct"])
+    order = [F.col(c) for c in ("date", "ticker", "type", "comment")]
+    label = F.concat(F.col("ticker"), F.lit(" on "), iso_date("date_d1"))
+    return counted_samples(rows, ["acct"], F.col("zero_denominator"), order, label, count="zero_denominator_rows", all_groups=True)
 
 
 def default_rate_fallbacks(merged: DataFrame) -> DataFrame:
     """A-9: groups that fell back to a non-zero ticker-default rate, with 3 samples."""
-    fb = merged.where((F.col("rate_source") == "default") & (F.col("wht_rate") != 0))
-    counts = fb.groupBy("acct").agg(F.count(F.lit(1)).alias("groups"))
+    flag = (F.col("rate_source") == "default") & (F.col("wht_rate") != 0)
     label = F.concat(F.col("ticker"), F.lit(" on "), iso_date("date"), F.lit(" ("),
                      F.round(F.col("wht_rate") * 100).cast("int").cast("string"), F.lit("%)"))
-    samples = samples_text(fb, ["acct"], [F.col("date"), F.col("ticker")], label)
-    return _counts_with_samples(counts, samples, ["acct"])
+    return counted_samples(merged, ["acct"], flag, [F.col("date"), F.col("ticker")], label)
 
 
 def zero_rate_tickers(merged: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StringType, StructField, StructType, TimestampNTZType
 
 from .. import constants as K
-from .aggregates import _counts_with_samples, samples_text
+from .aggregates import counted_samples
 
 SUPPORTED_FX = ("PLN",) + tuple(K.FX_ARCHIVE_COLUMNS)
 
@@ -63,10 +63,8 @@ def wht_anomalies(merged: DataFrame) -> DataFrame:
 
 def us_30pct(merged: DataFrame) -> DataFrame:
     """F-7 + O-2: US rows taxed at 30 % (ticker *contains* ``US``), count and first 3 tickers."""
-    hit = merged.where(F.col("ticker").contains("US") & (F.abs(F.col("wht_rate") - 0.30) < 0.01))
-    counts = hit.groupBy("acct").agg(F.count(F.lit(1)).alias("groups"))
-    samples = samples_text(hit, ["acct"], [F.col("date"), F.col("ticker")], F.col("ticker"), out="examples")
-    return _counts_with_samples(counts, samples, ["acct"], out="examples")
+    flag = F.col("ticker").contains("US") & (F.abs(F.col("wht_rate") - 0.30) < 0.01)
+    return counted_samples(merged, ["acct"], flag, [F.col("date"), F.col("ticker")], F.col("ticker"), out="examples")
 
 
 def duplicate_ids(stmt: DataFrame, id_col: str = "id") -> DataFrame:

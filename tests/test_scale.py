@@ -88,3 +88,27 @@ def test_materialize_cuts_lineage_into_the_checkpoint_folder(spark):
     assert "FileScan parquet" not in plan            # read back from the reliable checkpoint
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, src.collect()))
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_counted_samples_read_the_input_once_and_match_brute_force(spark, monkeypatch):
+    import datetime as dt
+    import random
+
+    from dividax.operators import aggregates
+
+    rng = random.Random(5)
+    rows = [(rng.choice(["hot", "hot", "a", "b", None, "none"]), dt.date(2024, 1, rng.randint(1, 9)) if rng.random() < 0.9 else None, f"t{rng.randint(0, 50)}") for _ in range(3000)]
+    rows = [(g, d, t, g != "none" and rng.random() < 0.6) for g, d, t in rows]
+    df = spark.createDataFrame(rows, "g string, d date, t string, hit boolean").repartition(7)
+    for held in (50_000, 1):
+        monkeypatch.setattr(aggregates, "GROUPS_HELD", held)
+        for every in (False, True):
+            found = aggregates.counted_samples(df, ["g"], F.col("hit"), [F.col("d"), F.col("t")], F.col("t"), all_groups=every)
+            expected = {}
+            for g in {r[0] for r in rows}:
+                hits = sorted((r for r in rows if r[0] == g and r[3]), key=lambda r: (r[1] is not None, r[1] or dt.date.min, r[2]))
+                if hits or every:
+                    expected[g] = (len(hits), ", ".join(r[2] for r in hits[:3]))
+            assert {r.g: (r.groups, r.samples) for r in found.collect()} == expected
+    assert _plan(aggregates.counted_samples(df, ["g"], F.col("hit"), [F.col("d")], F.col("t"))).split("Initial Plan")[0].count("MapInArrow") == 1
+    assert aggregates.counted_samples(df.where("false"), ["g"], F.col("hit"), [F.col("d")], F.col("t")).collect() == []
