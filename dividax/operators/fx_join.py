@@ -14,13 +14,17 @@ check; beyond the bound the join falls back to a shuffle join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import constants as K
 from ..functions.dates import business_day_index, is_weekday
 from ..params import TaxParams
+from ..session import ensure_checkpoint_dir
 
 
 #: Parts that a hot key is split into beyond the broadcast bound.
@@ -50,19 +54,39 @@ def serving_table(fx: DataFrame, lookback_probes: int = K.FX_LOOKBACK_PROBES) ->
 
 
 class FxIndex:
-    """A persisted serving table plus the decision how to join it.
-
-    Built once per job (S-12 "read once"), reused by every look-up."""
-
-    def __init__(self, fx: DataFrame, params: TaxParams | None = None):
-        self.params = params or TaxParams()
-        source = fx.persist()  # read by the weekday and the weekend branch; only while building
-        self.table = serving_table(source, self.params.lookback_probes).persist()
+    """A stored serving table plus the decision how to join it.
+
+    Built once per job (S-12 "read once") as a table in the shared folder, reused by every
+    look-up and, by its ``path``, by other jobs (:meth:`open`).  Nothing stays cached in the executors."""
+
+    def __init__(self, fx: DataFrame, params: TaxParams | None = None, path: str | None = None):
+        params = params or TaxParams()
+        path = path or f"{ensure_checkpoint_dir(fx.sparkSession).rstrip('/')}/fx-index-{uuid.uuid4().hex}"
+        serving_table(fx, params.lookback_probes).write.mode("overwrite").parquet(path)
+        self._use(fx.sparkSession, path, params)
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str, params: TaxParams | None = None) -> FxIndex:
+        """The index that another job stored at ``path``."""
+        index = cls.__new__(cls)
+        index._use(spark, path, params or TaxParams())
+        return index
+
+    @classmethod
+    def stored(cls, fx: DataFrame, path: str, params: TaxParams | None = None) -> FxIndex:
+        """The index at ``path``; built first if there's none.  Name a path for each version of the rates."""
+        try:
+            return cls.open(fx.sparkSession, path, params)
+        except AnalysisException:  # no such folder, or a build that was broken off before its first file
+            return cls(fx, params, path)
+
+    def _use(self, spark: SparkSession, path: str, params: TaxParams) -> None:
+        self.params, self.path = params, path
+        self.table = spark.read.parquet(path)
         # The explicit size check behind the broadcast decision: the serving table is
         # calendar-bounded, but check rather than assume.
         self.rows = self.table.count()
-        source.unpersist()
-        self.broadcastable = self.rows <= self.params.broadcast_max_rows
+        self.broadcastable = self.rows <= params.broadcast_max_rows
 
     def _side(self, prefix: str) -> DataFrame:
         side = self.table.select(
@@ -97,9 +121,6 @@ class FxIndex:
             f"{prefix}_k_cur", f"{prefix}_k_date", f"{prefix}_cur", f"{prefix}_date", f"{prefix}_rate"
         )
 
-    def unpersist(self) -> None:
-        self.table.unpersist()
-
 
 def fx_rate_lookup(targets: DataFrame, fx: DataFrame, currency: str = "currency", date: str = "target_date",
                    params: TaxParams | None = None) -> DataFrame:

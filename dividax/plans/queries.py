@@ -7,6 +7,7 @@ match between a builder and its SQL.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,7 @@ from ..operators.columns import (
 from ..operators.dividends import filter_dividends, group_dividends, prepare_rows
 from ..operators.fx_join import FxIndex
 from ..params import TaxParams
+from ..session import ensure_checkpoint_dir
 from ..sources.fx import edge_fx, fx_long, synthetic_fx, synthetic_fx_wide
 from ..sources.statements import damaged_statements, polish_headers, synthetic_statements, with_time_text
 from . import oracle as O
@@ -53,16 +55,10 @@ def _stmt(spark, sf):
     return synthetic_statements(spark, sf)
 
 
-_FX_INDEXES: dict[tuple[int, str], FxIndex] = {}
-
-
 def _fx_index(spark, sf) -> FxIndex:
-    """S-12: one persisted FX serving table per (session, data folder), shared by queries."""
-    key = (id(spark), sf)
-    idx = _FX_INDEXES.get(key)
-    if idx is None or idx.table.sparkSession is not spark:
-        idx = _FX_INDEXES[key] = FxIndex(synthetic_fx(spark, sf))
-    return idx
+    """S-12: one stored FX serving table per application and data folder, shared by queries."""
+    version = hashlib.sha256(f"{spark.sparkContext.applicationId} {sf}".encode()).hexdigest()[:16]
+    return FxIndex.stored(synthetic_fx(spark, sf), f"{ensure_checkpoint_dir(spark).rstrip('/')}/fx-index-{version}")
 
 
 def _parts(spark, sf, params: TaxParams | None = None):
@@ -544,6 +540,52 @@ def q_workbook_ingest(spark, sf):
     return rows.select("ID", "Type", "Time", "Comment", "Symbol", "Amount", "account_currency")
 
 
+def _fleet(spark, sf):
+    """Typed workbooks of all statement rows, written to the shared folder and read as files: (statements, rejects)."""
+    from ..sources.report_io import scratch_path
+    from ..sources.workbook import cells_to_statements, read_workbook_cells, write_statement_fleet
+    folder = scratch_path(spark, "fleet")
+    write_statement_fleet(_stmt(spark, sf), folder).write.parquet(f"{folder}/written")
+    return cells_to_statements(read_workbook_cells(spark, folder))
+
+
+_REJECTED = """_first AS (SELECT acct, min(year("Time")) AS year FROM stmt WHERE acct < 3 GROUP BY acct)"""
+
+
+@register("workbook_fleet", _sql("""
+SELECT id AS "ID", "Type", strftime("Time", '%Y-%m-%d %H:%M:%S') AS "Time", CAST("Time" AS DATE) AS date, "Comment", "Symbol",
+       "Amount" AS amount, account_currency, acct, year("Time") AS year
+FROM stmt ANTI JOIN _first ON stmt.acct = _first.acct AND year("Time") = _first.year""", BASE + "," + _REJECTED))
+def q_workbook_fleet(spark, sf):
+    """S-1..S-5 through files: date and number cells, damaged files left out."""
+    from ..sources.workbook import fleet_file
+    rows, _bad = _fleet(spark, sf)
+    return rows.select("ID", "Type", "Time", D.coerce_date("Time").alias("date"), "Comment", "Symbol", F.col("Amount").cast("decimal(18,6)").alias("amount"),
+                       "account_currency", *fleet_file("acct"))
+
+
+@register("workbook_rejects", _sql("""
+SELECT acct, year, ['corrupt', 'no_currency', 'header_twice'][acct + 1] AS reason FROM _first""", BASE + "," + _REJECTED))
+def q_workbook_rejects(spark, sf):
+    """S-2, S-6: the damaged files, each with the reason that the reader gives, as one row per account and year."""
+    from ..sources.workbook import fleet_file, reject_reason
+    _rows, bad = _fleet(spark, sf)
+    return bad.select(*fleet_file("path"), reject_reason("_error").alias("reason")).distinct()
+
+
+@register("workbook_report", _sql("""
+SELECT acct, account_currency, date, ticker, CAST(net0 AS DOUBLE) AS net_dividend, type, comment
+FROM _g ANTI JOIN _first ON _g.acct = _first.acct AND year(date) = _first.year""", PIPE + "," + _REJECTED))
+def q_workbook_report(spark, sf):
+    """A-1 over the files' typed cells."""
+    from ..sources.workbook import fleet_file
+    rows, _bad = _fleet(spark, sf)
+    g = group_dividends(filter_dividends(prepare_rows(rows))).withColumnRenamed("acct", "path")
+    acct, _year = fleet_file("path")
+    # a year's files may be several, each a statement of its own
+    return g.groupBy(acct, "account_currency", "date", "ticker", "type", "comment").agg(F.sum("net_dividend").cast("double").alias("net_dividend"))
+
+
 # --------------------------------------------------------------- step 11 ----
 
 @register("latest_archives", _sql(r"""

@@ -7,6 +7,7 @@ helpers here are for tests, the bench and command-line use.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark import StorageLevel
@@ -45,8 +46,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is set by the deployment (a shared file system); it is
-    only created here when unset, as happens in local tests.
+    On a cluster the folder is set by the deployment (a shared file system), and its
+    absence is an error.  Only where driver and executors are one process
+    (``local[...]``, as in tests) a folder of the working directory's file system stands in.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -62,9 +64,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
-    local = tempfile.mkdtemp(prefix="dividax-ckpt-")
-    sc.setCheckpointDir(local)
-    return local
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    sc.setCheckpointDir(os.path.join(tempfile.gettempdir(), f"dividax-{sc.applicationId}"))
+    return sc.getCheckpointDir()
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -109,3 +109,17 @@ def test_quoted_archive_and_skipped_files(spark, tmp_dir):
     got = [(r["currency"], r["rate_date"], r["rate"]) for r in fx_long(read_fx_archives(spark, [a, b])).collect()]
     assert got == [("USD", dt.date(2024, 1, 5), 4.01)]
     assert [r["file_name"].rsplit("/", 1)[-1] for r in skipped_archives(spark, [a, b]).collect()] == ["archiwum_tab_a_2024.csv"]
+
+
+def test_jobs_share_a_stored_index_and_leave_nothing_cached(spark, tmp_dir):
+    fx = spark.createDataFrame([("USD", dt.date(2024, 1, 12), 4.01)], "currency string, rate_date date, rate double")
+    other = spark.createDataFrame([("USD", dt.date(2024, 1, 12), 5.0)], "currency string, rate_date date, rate double")
+    t = spark.createDataFrame([("USD", dt.date(2024, 1, 15))], "currency string, target_date date")
+    path = f"{tmp_dir}/rates-v1"
+    cached = spark.sparkContext._jsc.getPersistentRDDs().size()
+    for source in (fx, other):  # the second job finds the first one's build
+        index = FxIndex.stored(source, path)
+        assert index.lookup(t, F.col("currency"), F.col("target_date"), "rate").first()["rate"] == 4.01
+    assert FxIndex.open(spark, path).rows == index.rows > 0
+    assert FxIndex.stored(other, f"{tmp_dir}/rates-v2").lookup(t, F.col("currency"), F.col("target_date"), "rate").first()["rate"] == 5.0
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == cached
