@@ -7,16 +7,15 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 #: White space that separates words: space and 0x09-0x0D.
 SPACES = " \t\n\x0b\f\r"
 
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir`` (shared by driver and executors)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    return f"{base.rstrip('/')}/corpus-{uuid.uuid4().hex}"
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, partition_by: str | None = None) -> DataFrame:

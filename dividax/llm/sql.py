@@ -46,8 +46,11 @@ WITH side AS (
 ), tokens AS (
   SELECT kind, id, rid, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
          '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM side
+), lengths AS (
+  SELECT DISTINCT least(len(w), 5) AS n FROM tokens WHERE kind = 'i' AND len(w) > 0
 ), shingles AS (
-  SELECT DISTINCT kind, id, rid, list_slice(w, i, i + 4) AS g FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM tokens WHERE len(w) > 0)
+  SELECT DISTINCT kind, id, rid, list_slice(w, i, i + n - 1) AS g
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM tokens, lengths WHERE len(w) >= n AND (kind = 'd' OR n = least(len(w), 5)))
 ), items AS (
   SELECT id AS item_id, rid AS irid, g, count(*) OVER (PARTITION BY rid) AS n_shingles FROM shingles WHERE kind = 'i'
 ), hits AS (

@@ -209,14 +209,15 @@ def test_decontamination_against_all_pairs(spark, docs, empty):
     some = docs.union(spark.createDataFrame([(1000 + r[0], *r[1:]) for r in rows], NAMES))
     tests = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
 
-    def shingles(t):
+    def shingles(t, k=None):
         w = [x for x in re.split(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", (t or "").encode().lower().decode()) if x]
-        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+        k = k or min(len(w), 5)
+        return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if w else set()
 
     sets = [shingles(t) for t in items]
     expected = Counter()
     for r in some.collect():
-        has = shingles(r.text)
+        has = set().union(*(shingles(r.text, k) for k in (1, 2, 3, 4, 5)))
         expected.update((r.doc_id, i, len(s & has)) for i, s in enumerate(sets) if s and len(s & has) >= 0.8 * len(s))
     for block in (100, 1 << 20):
         assert Counter((r.doc_id, r.item_id, r.n_shared) for r in contained_items(some, tests, item_block_bytes=block if block > 1000 else 2000).collect()) == expected

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dividax.llm import cotraining
 from dividax.llm.common import text_bytes
+from dividax.llm.decontam import contained_items, drop_contaminated
 from dividax.llm.html_blocks import label_blocks, main_text, page_blocks
 from dividax.llm.line_quality import without_shared_lines
 
@@ -69,3 +70,22 @@ def test_shared_lines_of_a_hot_host(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     found = {r.doc_id: r.text for r in without_shared_lines(docs).collect()}
     assert found == {i: "\n".join(x for x in t.split("\n") if x not in (foot, passage)) for i, t, _ in rows}
+
+
+def test_short_items_inside_long_documents_are_all_found(spark):
+    rng = random.Random(31)
+    items, rows = [], []
+    for n in range(1, 21):  # words of an item
+        for j in range(100):
+            item = [f"item{n}x{rng.randrange(10**6)}" for _ in range(n)]
+            filler = [f"w{rng.randrange(3000)}" for _ in range(300)]
+            at = rng.randrange(300)
+            items.append((len(items), " ".join(item)))
+            rows.append((len(rows), " ".join(filler[:at] + item + filler[at:])))
+            rows.append((len(rows), " ".join(filler[:at] + item[:-1] + ["other"] + filler[at:]) if n < 9 else " ".join(filler)))  # no item
+    docs, tests = spark.createDataFrame(rows, "doc_id long, text string").repartition(4), spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in contained_items(docs, tests).collect()}
+    assert found == {(2 * i, i) for i in range(len(items))}
+    kept = drop_contaminated(docs, tests, item_block_bytes=20_000)
+    assert {r.doc_id for r in kept.collect()} == {i for i in range(len(rows)) if i % 2}
+    assert "Exchange" not in drop_contaminated(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), tests)._jdf.queryExecution().executedPlan().toString()
