@@ -1,4 +1,7 @@
-"""HTML main text by two passes of block rules: decide what is clear, then look at neighbours."""
+"""HTML main text by two passes of block rules: decide what is clear, then look at neighbours.
+
+Length, link density and stop-word density of a block's own text decide; where it stands in the
+markup only shifts the thresholds."""
 
 from __future__ import annotations
 
@@ -32,40 +35,108 @@ VOID_TAGS = frozenset("area base br col embed hr img input link meta param sourc
 BOILERPLATE_TAGS = frozenset("nav header footer aside form menu dialog search".split())
 MAIN_TAGS = frozenset("article main".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-_BOILERPLATE_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|comments?|comment-?list|disqus|replies|respond|sidebar|side-?bar|cookies?|consent|gdpr|"
-    r"notice|notification|alert|popup|modal|overlay|newsletter|subscribe|signup|login|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|"
-    r"footer|header|masthead|social|share|sharing|related|recommended|widget|toolbar|copyright|legal|disclaimer)(?:$|[\s_-])", re.I)
+#: Names of parts that are never the article, and names that wrappers of whole pages carry as well.
+_NEVER_NAME = re.compile(
+    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|comments?|comment-?list|disqus|replies|respond|cookies?|consent|gdpr|"
+    r"popup|modal|newsletter|subscribe|signup|login|breadcrumbs?|pagination|pager)(?:$|[\s_-])", re.I)
+_LAYOUT_NAME = re.compile(
+    r"(?:^|[\s_-])(?:banner|sidebar|side-?bar|notice|notification|alert|overlay|menu|nav|navbar|navigation|footer|masthead|social|share|sharing|related|"
+    r"recommended|widget|toolbar|copyright|legal|disclaimer)(?:$|[\s_-])", re.I)
+_HEADER_NAME = re.compile(r"(?:^|[\s_-])header(?:$|[\s_-])", re.I)
 #: Names that say how a wrapper is laid out, not what it holds.
-_LAYOUT_NAME = re.compile(r"(?:^|(?<=\s))(?:no|has|with|without|hide|show)[_-][\w-]*", re.I)
+_STATE_NAME = re.compile(r"(?:^|(?<=\s))(?:no|has|with|without|hide|show)[_-][\w-]*", re.I)
 _MAIN_NAME = re.compile(r"(?:^|[\s_-])(?:article|article-?body|post-?body|post-?content|entry-?content|main-?content|story-?body)(?:$|[\s_-])", re.I)
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)", re.S)
+_TAG_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_TAG_STOP = re.compile(r"""[>"']""")
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|itemprop)(?=[\s=/]|\Z)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _SPACE = re.compile(r"\s+")
 
-MAX_LINK_DENSITY = 0.33
-STOP_LOW, STOP_HIGH = 0.15, 0.25
-#: Stop-word density that a long block of a marked main part needs.
-STOP_MAIN = 0.05
-LENGTH_LOW, LENGTH_HIGH = 70, 200
+#: Thresholds (short below, long from, few stop words below, many from, links at most), on an unmarked page and in a main part.
+PAGE_LIMITS = (70, 200, 0.15, 0.25, 0.33)
+MAIN_LIMITS = (30, 70, 0.05, 0.12, 0.5)
+#: Stop-word density under which a page's language isn't one of the lists', so length and links decide.
+COVERED = 0.02
 
 
 class Block:
-    """Text of one block element: normalised text, characters inside links, and where it stands."""
+    """Text of one block element: normalised text, characters inside links, and where it stands.
+
+    ``main`` numbers the article or main element around it (0: none); ``mark`` is the innermost
+    element around it, inside that main part, whose tag, role or name speaks of boilerplate."""
+
+    __slots__ = ("heading", "label", "linked", "main", "mark", "stops", "text", "words")
+
+    def __init__(self, text: str, linked: int, main: int, mark, heading: bool):
+        self.text, self.linked, self.main, self.mark, self.heading, self.label = text, linked, main, mark, heading, ""
+        self.words = self.stops = 0
+
+
+class Mark:
+    """An open element that speaks of boilerplate; a ``weak`` one may turn out to wrap the page's prose."""
+
+    __slots__ = ("above", "open", "prose", "weak")
+
+    def __init__(self, above, weak: bool):
+        self.above, self.weak, self.prose, self.open = above, weak, 0, False
 
-    __slots__ = ("heading", "label", "linked", "place", "text")
 
-    def __init__(self, text: str, linked: int, place: str, heading: bool):
-        self.text, self.linked, self.place, self.heading, self.label = text, linked, place, heading, ""
+class _Tags:
+    """Finds the tags of a page from left to right, in time linear in its length."""
 
+    def __init__(self, html: str):
+        self.html, self.last = html, {c: html.rfind(c) for c in ">\"'"}
 
-def page_blocks(html: str) -> list[Block]:
-    """The non-empty blocks of a page in order.  ``place`` is "boilerplate" (menus, forms, adverts,
-    ... by element, role, class or id), "main" (inside an article or main element) or "page"."""
+    def end(self, at: int) -> int:
+        """Position of the ``>`` that ends the tag at ``at`` (-1: none).
+
+        Quotes without a partner are text.  A tag that quotes keep open to the page's end closes at its
+        first ``>``, and from there on quotes are ignored."""
+        if at > self.last[">"]:
+            return -1
+        place = at
+        while True:
+            stop = _TAG_STOP.search(self.html, place)
+            if stop is None:
+                break
+            place = stop.end()
+            if stop[0] == ">":
+                return stop.start()
+            if place <= self.last[stop[0]]:
+                place = self.html.index(stop[0], place) + 1
+        self.last.update({"'": -1, '"': -1})
+        return self.html.find(">", at)
+
+
+def _kind(tag: str, attributes: dict[str, str], in_main: bool) -> str | None:
+    """"main", "never", "weak" or None: what an element's tag, role and names say about its content."""
+    named = f"{attributes.get('class', '')} {attributes.get('id', '')}".strip()
+    role = attributes.get("role", "").lower()
+    if tag in ("html", "body"):
+        return None
+    if tag in MAIN_TAGS or role == "main" or attributes.get("itemprop") == "articleBody":
+        return "main"
+    if role in BOILERPLATE_ROLES or tag in BOILERPLATE_TAGS and not (tag == "header" and in_main):
+        return "never"
+    if named:
+        named = _STATE_NAME.sub("", named)
+        if _NEVER_NAME.search(named):
+            return "never"
+        if _LAYOUT_NAME.search(named) or not in_main and _HEADER_NAME.search(named):
+            return "weak"
+        if _MAIN_NAME.search(named):
+            return "main"
+    return None
+
+
+def page_blocks(html: str) -> tuple[list[Block], list[Mark]]:
+    """The non-empty blocks of a page in order, and its boilerplate marks (outer before inner)."""
     blocks: list[Block] = []
-    stack: list[tuple[str, str, bool]] = []  # open element, place inside it, hidden
-    place, hidden, links = "page", False, 0
+    marks: list[Mark] = []
+    stack: list[tuple[str, int, Mark | None, bool]] = []  # open element; main part, mark and hiding inside it
+    open_at: dict[str, list[int]] = {}  # places in the stack, by tag
+    block_at: list[int] = []  # places of block elements
+    main, mark, hidden, mains = 0, None, False, 0
     parts: list[tuple[str, bool]] = []
     heading, breaks = False, 0
 
@@ -75,7 +146,7 @@ def page_blocks(html: str) -> list[Block]:
             text = _SPACE.sub(" ", "".join(t for t, _ in parts)).strip()
             if text:
                 linked = len(_SPACE.sub(" ", "".join(t for t, link in parts if link)).strip())
-                blocks.append(Block(text, linked, place, heading))
+                blocks.append(Block(text, linked, main, mark, heading))
         parts, heading, breaks = [], False, 0
 
     def put(raw: str) -> None:
@@ -83,32 +154,53 @@ def page_blocks(html: str) -> list[Block]:
         if raw and not hidden:
             if not raw.isspace():
                 breaks = 0
-            parts.append((unescape(raw) if "&" in raw else raw, links > 0))
+            parts.append((unescape(raw) if "&" in raw else raw, bool(open_at.get("a"))))
+
+    def close(place: int) -> None:
+        """Close the open element at ``place`` and those inside it."""
+        nonlocal main, mark, hidden
+        while len(stack) > place:
+            tag = stack.pop()[0]
+            open_at[tag].pop()
+            if block_at and block_at[-1] == len(stack):
+                block_at.pop()
+        _, main, mark, hidden = stack[-1] if stack else ("", 0, None, False)
+
+    def nearest(*tags: str) -> int:
+        return max((open_at[t][-1] for t in tags if open_at.get(t)), default=-1)
 
-    at, size = 0, len(html)
+    tags, at, size = _Tags(html), 0, len(html)
+    text_from = 0
     while at < size:
-        found = _TOKEN.search(html, at)
-        if not found:
-            put(html[at:])
-            break
-        put(html[at : found.start()])
-        at = found.end()
-        tag = (found[2] or "").lower()
-        if not tag:
+        start = html.find("<", at)
+        if start < 0 or start > tags.last[">"] and not html.startswith(("<!", "<?"), start):
+            break  # no tag ends any more
+        if html.startswith("<!--", start):
+            end = html.find("-->", start + 4)
+            put(html[text_from:start])
+            at = text_from = end + 3 if end >= 0 else size
             continue
-        if found[1]:  # end tag: closes the nearest open element of that name
-            if tag == "p" and not any(s[0] == "p" for s in stack):
+        if html.startswith(("<!", "<?"), start):
+            end = html.find(">", start)
+            put(html[text_from:start])
+            at = text_from = end + 1 if end >= 0 else size
+            continue
+        name = _TAG_NAME.match(html, start)
+        end = tags.end(name.end()) if name else -1
+        if end < 0:  # no tag: text
+            at = start + 1
+            continue
+        put(html[text_from:start])
+        at = text_from = end + 1
+        tag, inside = name[1].lower(), html[name.end() : end]
+        if html[start + 1] == "/":  # closes the nearest open element of that name; inline end tags don't close sections
+            place = nearest(tag)
+            if place >= 0 and (tag in BLOCK_TAGS or nearest("article", "main", "body") < place):
+                if block_at and block_at[-1] >= place:
+                    flush()
+                close(place)
+            elif tag == "p":
                 flush()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    if any(s[0] in BLOCK_TAGS for s in stack[i:]):
-                        flush()
-                    del stack[i:]
-                    place, hidden = (stack[-1][1], stack[-1][2]) if stack else ("page", False)
-                    links = sum(s[0] == "a" for s in stack)
-                    break
-                if stack[i][0] in ("article", "main", "body") and tag not in BLOCK_TAGS:
-                    break  # inline end tags don't close sections
             continue
         if tag == "br":
             breaks += 1
@@ -120,124 +212,143 @@ def page_blocks(html: str) -> list[Block]:
         if tag in BLOCK_TAGS:
             flush()
             # a new block ends an open paragraph, and with it the inline elements left open there
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p":
-                    del stack[i:]
-                    place, hidden = (stack[-1][1], stack[-1][2]) if stack else ("page", False)
-                    links = sum(s[0] == "a" for s in stack)
-                    break
-                if stack[i][0] in BLOCK_TAGS:
-                    break
-            if tag == "li":
-                _close_until(stack, "li", ("ul", "ol", "menu"))
-                place, hidden = (stack[-1][1], stack[-1][2]) if stack else ("page", False)
-        attributes = {k.lower(): (v or "").strip("\"'") for k, v in _ATTRIBUTE.findall(found[3])} if found[3] else {}
-        named = f"{attributes.get('class', '')} {attributes.get('id', '')}".strip()
-        inside, unseen = place, hidden
-        if tag in SKIPPED_TAGS or "hidden" in attributes or attributes.get("aria-hidden") == "true":
-            unseen = True
-        if tag in BOILERPLATE_TAGS and not (tag == "header" and place == "main") or attributes.get("role", "").lower() in BOILERPLATE_ROLES or (
-            named and tag not in ("html", "body", "article", "main") and _BOILERPLATE_NAME.search(_LAYOUT_NAME.sub("", named))
-        ):
-            inside = "boilerplate"
-        elif place == "page" and (tag in MAIN_TAGS or attributes.get("role") == "main" or attributes.get("itemprop") == "articleBody" or named and _MAIN_NAME.search(named)):
-            inside = "main"
-        if found[3].rstrip().endswith("/") and tag not in BLOCK_TAGS or tag in VOID_TAGS:
+            if block_at and stack[block_at[-1]][0] == "p":
+                close(block_at[-1])
+            if tag == "li" and nearest("li") > nearest("ul", "ol", "menu"):
+                close(nearest("li"))
+        attributes = {k.lower(): (v or "").strip("\"'") for k, v in _ATTRIBUTE.findall(inside)} if inside else {}
+        if inside.rstrip().endswith("/") and tag not in BLOCK_TAGS or tag in VOID_TAGS:
             continue
         if tag in RAW_TAGS:  # their content isn't markup
-            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at)
-            at = end.end() if end else size
+            found = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at)
+            at = text_from = found.end() if found else size
             continue
-        stack.append((tag, inside, unseen))
-        place, hidden = inside, unseen
-        if tag == "a":
-            links += 1
+        kind = _kind(tag, attributes, main > 0 and mark is None)
+        if kind == "main" and (main == 0 or mark is not None and mark.weak):  # also reopens a wrapper
+            mains += 1
+            main, mark = mains, None
+        elif kind in ("never", "weak"):
+            mark = Mark(mark, kind == "weak" and (mark is None or mark.weak))
+            marks.append(mark)
+        hidden = hidden or tag in SKIPPED_TAGS or "hidden" in attributes or attributes.get("aria-hidden") == "true"
+        if tag in BLOCK_TAGS:
+            block_at.append(len(stack))
+        open_at.setdefault(tag, []).append(len(stack))
+        stack.append((tag, main, mark, hidden))
         if re.fullmatch("h[1-6]", tag):
             heading = True
+    put(html[text_from:])
     flush()
-    return blocks
+    return blocks, marks
 
 
-def _close_until(stack: list, tag: str, within: tuple) -> None:
-    for i in range(len(stack) - 1, -1, -1):
-        if stack[i][0] == tag:
-            del stack[i:]
-            return
-        if stack[i][0] in within:
-            return
+def reopen(blocks: list[Block], marks: list[Mark]) -> None:
+    """Opens the weak marks that hold at least half of the page's prose (long, many stop words, few links).
 
+    None opens where a main part has prose outside of all marks."""
+    _, long_, _, many, links = PAGE_LIMITS
+    whole, found = 0, False
+    for b in blocks:
+        if len(b.text) >= long_ and b.stops >= many * b.words and b.linked <= links * len(b.text):
+            whole += len(b.text)
+            found = found or b.main > 0 and b.mark is None
+            if b.mark:
+                b.mark.prose += len(b.text)
+    for mark in reversed(marks):
+        if mark.above:
+            mark.above.prose += mark.prose
+    for mark in marks:
+        mark.open = not found and mark.weak and 0 < whole <= 2 * mark.prose and (mark.above is None or mark.above.open)
 
-def label_blocks(blocks: list[Block]) -> None:
-    """Pass 1 decides by place, link density, length and stop-word density; pass 2 gives each
+
+def label_blocks(blocks: list[Block], marks: list[Mark], stop_words: frozenset = _STOP) -> None:
+    """Pass 1 decides by link density, length and stop-word density; pass 2 gives each
     ambiguous block the label of its nearest decided neighbour.
 
-    Blocks in boilerplate elements and blocks of links are bad.  Length and stop-word density are
-    taken of every other block; the place shifts their thresholds.  Where the page marks its main
-    part, long blocks there are good unless they have next to no stop words, which makes them
-    ambiguous, and blocks elsewhere are good only if they are long and dense in stop words and hardly
-    linked; the others there are bad, but for those between two such blocks.  Short blocks are ambiguous
-    and look at blocks of their own part only.  Of two neighbours equally near the following one decides
-    for a heading, otherwise good wins; without any decided neighbour a block is good in a main part,
-    and else if it is a sentence-like block or the page has nothing better."""
-    marked = any(b.place == "main" for b in blocks)
+    The limits are ``MAIN_LIMITS`` inside an article or main element, else ``PAGE_LIMITS``; blocks with too many
+    links are bad, long blocks with many stop words good.  Short blocks and headings are ambiguous,
+    and so are blocks between the limits; long blocks with few stop words are bad, in a main part
+    ambiguous.  On a page that has next to none of the stop words, long blocks are good without
+    them.  Inside boilerplate marks blocks are bad, unless the mark wraps half of the page's prose.
+    On a page with a main part, blocks outside it are good only if they are long prose or between two such.
+
+    Neighbours are first sought in the block's own part, then on the whole page.  Of two equally near the
+    following one decides for a heading, otherwise good wins.  Without any decided neighbour, blocks are
+    good.  If nothing on the page is good, neither does a main part with some stop words, or with short
+    blocks only, look outside: it's the best there is."""
     for b in blocks:
-        length, density = len(b.text), b.linked / len(b.text)
         words = b.text.lower().split()
-        stops = sum(w.strip(".,;:!?\"'()") in _STOP for w in words) / len(words)
-        if b.place == "boilerplate":
+        b.words, b.stops = len(words), sum(w.strip(".,;:!?\"'()") in stop_words for w in words)
+    reopen(blocks, marks)
+    free = [b for b in blocks if b.mark is None or b.mark.open]
+    covered = not stop_words or sum(b.stops for b in free) >= COVERED * sum(b.words for b in free)
+    marked = any(b.main for b in free)
+    for b in blocks:
+        length, links, stops = len(b.text), b.linked / len(b.text), b.stops / b.words
+        short, long_, few, many, most_links = MAIN_LIMITS if b.main else PAGE_LIMITS
+        prose = length >= long_ and (stops >= many or not covered)
+        if b.mark and not b.mark.open:
             b.label = "bad"
-        elif marked and b.place != "main":
-            b.label = "good" if length >= LENGTH_HIGH and stops >= STOP_HIGH and density <= MAX_LINK_DENSITY and not b.heading and not b.text.startswith("©") else "bad"
-        elif density > MAX_LINK_DENSITY:
-            b.label = "bad" if not marked or density > 0.9 and length < LENGTH_LOW else "short"
-        elif marked:
-            b.label = "short" if length < LENGTH_LOW or b.heading else "good" if stops >= STOP_MAIN else "near"
-        elif b.text.startswith("©"):
+        elif links > most_links or not b.main and b.text.startswith("©"):
             b.label = "bad"
-        elif length < LENGTH_LOW or b.heading:
+        elif marked and not b.main:
+            b.label = "good" if prose and not b.heading else "bad"
+        elif length < short or b.heading:
             b.label = "short"
-        elif stops >= STOP_HIGH:
-            b.label = "good" if length >= LENGTH_HIGH else "near"
-        elif stops >= STOP_LOW:
-            b.label = "near"
+        elif prose:
+            b.label = "good"
         else:
-            b.label = "bad"
+            b.label = "near" if b.main or stops >= few or not covered else "bad"
     if marked:
-        outside = [i for i, b in enumerate(blocks) if b.place == "page"]
-        found = [i for i in outside if blocks[i].label == "good"]
-        for i in outside:
-            if found and found[0] < i < found[-1] and blocks[i].linked <= MAX_LINK_DENSITY * len(blocks[i].text):
-                blocks[i].label = "good"
-    sought = [b for b in blocks if b.place == "main"] if marked else blocks
+        outside = [b for b in free if not b.main]
+        found = [i for i, b in enumerate(outside) if b.label == "good"]
+        for b in outside[found[0] : found[-1]] if found else []:
+            b.label = "good" if b.linked <= PAGE_LIMITS[4] * len(b.text) else b.label
+    parts: dict[int, list[Block]] = {}
+    for b in free:
+        parts.setdefault(b.main, []).append(b)
+    anything = any(b.label == "good" for b in free)
+    whole = {id(b): label for b, label in _inherited(blocks)}
+    decided = []
+    for part in parts.values():
+        longer = any(len(b.text) >= PAGE_LIMITS[0] for b in part)
+        worded = sum(b.stops for b in part) >= COVERED * sum(b.words for b in part)
+        for b, label in _inherited(part):
+            if label is None and b.main and not anything and (worded or not longer):
+                label = "good"
+            decided.append((b, label or whole[id(b)] or "good"))
+    for b, label in decided:
+        b.label = label
+
+
+def _inherited(blocks: list[Block]) -> list[tuple[Block, str | None]]:
+    """Each ambiguous block with the label of its nearest decided neighbour (None: there's none)."""
     left, last = [], None  # nearest decided block before: (distance, label)
-    for i, b in enumerate(sought):
+    for i, b in enumerate(blocks):
         left.append(last and (i - last[0], last[1]))
         if b.label in ("good", "bad"):
             last = (i, b.label)
-    decided, last = [], None
-    for i in range(len(sought) - 1, -1, -1):
-        b = sought[i]
+    out, last = [], None
+    for i in range(len(blocks) - 1, -1, -1):
+        b = blocks[i]
         if b.label in ("good", "bad"):
             last = (i, b.label)
             continue
         before, after = left[i], last and (last[0] - i, last[1])
         if before and after and before[0] == after[0]:
             label = after[1] if b.heading else "good" if "good" in (before[1], after[1]) else "bad"
-        elif before or after:
-            label = min((x for x in (before, after) if x))[1]
         else:
-            label = "good" if marked or b.label == "near" or len(b.text) >= LENGTH_LOW or not any(x.label == "near" for x in sought) else "bad"
-        decided.append((b, label))
-    for b, label in decided:
-        b.label = label
+            label = min((x for x in (before, after) if x), default=(0, None))[1]
+        out.append((b, label))
+    return out
 
 
-def main_text(html: str | None) -> str:
+def main_text(html: str | None, stop_words: frozenset = _STOP) -> str:
     """The main text of a page: its good blocks joined by an empty line; "" for NULL or empty pages."""
     if not html:
         return ""
-    blocks = page_blocks(html)
-    label_blocks(blocks)
+    blocks, marks = page_blocks(html)
+    label_blocks(blocks, marks, stop_words)
     return "\n\n".join(b.text for b in blocks if b.label == "good")
 
 

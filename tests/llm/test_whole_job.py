@@ -1,14 +1,16 @@
 """Corpus operators do the whole job: bounds that were lowered, rows and blocks that were left out."""
 
 import random
+import time
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from dividax.llm import cotraining
 from dividax.llm.common import text_bytes
 from dividax.llm.decontam import contained_items, drop_contaminated
-from dividax.llm.html_blocks import label_blocks, main_text, page_blocks
+from dividax.llm.html_blocks import Block, label_blocks, main_text, page_blocks
 from dividax.llm.line_quality import without_shared_lines
 
 
@@ -55,8 +57,8 @@ def test_layout_names_do_not_make_a_wrapper_boilerplate():
 
 def test_stop_words_count_on_marked_pages():
     list_ = "Alpha9 Beta8 Gamma7 Delta6 Epsilon5 " * 4
-    blocks = page_blocks(f"<body><article><div><a href=x>Go</a></div><p>{list_}</p><p><a href=x>Top</a></p><h2>Rest</h2><p>{PROSE}</p></article></body>")
-    label_blocks(blocks)
+    blocks, marks = page_blocks(f"<body><article><div><a href=x>Go</a></div><p>{list_}</p><p><a href=x>Top</a></p><h2>Rest</h2><p>{PROSE}</p></article></body>")
+    label_blocks(blocks, marks)
     assert blocks[1].label == "bad" and blocks[-1].label == "good"  # no stop words, between links
 
 
@@ -89,3 +91,67 @@ def test_short_items_inside_long_documents_are_all_found(spark):
     kept = drop_contaminated(docs, tests, item_block_bytes=20_000)
     assert {r.doc_id for r in kept.collect()} == {i for i in range(len(rows)) if i % 2}
     assert "Exchange" not in drop_contaminated(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), tests)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["site header-fixed", "page menu-closed", "content-area sidebar-right", "nav-open", "legal-news", "social-science", "site widget nav-open sidebar-left"])
+def test_wrappers_named_like_boilerplate_are_reopened(name):
+    foot, comments = "<footer>Imprint of the site</footer>", f'<section class="comments"><p>Readers: {PROSE[:150]}</p></section>'
+    for body in (f"<article><h1>Title</h1><p>{PROSE}</p></article>", f"<h1>Title</h1><p>{PROSE}</p><p>{PROSE}</p><p>Short end.</p>"):
+        text = main_text(f'<body><nav><a href=1>Home</a></nav><div class="{name}"><div class="menu-open">{body}{comments}</div>{foot}</div></body>')
+        assert text.startswith("Title\n\nThe house") and "Readers" not in text and "Imprint" not in text and "Home" not in text
+    assert "The house" not in main_text(f'<body><div class="{name}"><p>{PROSE}</p></div><article><p>{PROSE.replace("house", "home") * 3}</p></article></body>')
+
+
+@pytest.mark.parametrize("name", ["entry-header", "post-header", "article-header"])
+def test_headers_of_an_article_keep_its_title(name):
+    assert main_text(f'<article><div class="{name}"><h1>Title</h1></div><p>{PROSE}</p></article>').startswith("Title")
+
+
+def test_stop_words_decide_on_the_given_pages(spark):
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").collect()]
+    assert all(main_text(h) for h in pages)
+    assert sum(main_text(h) != main_text(h, frozenset()) for h in pages) > 0.8 * len(pages)
+
+
+@pytest.mark.parametrize("broken", ["<a " * 300_000, "<b>" * 50_000 + "</i>" * 50_000, "<div>" * 50_000, "<a '" * 100_000 + ">", "<script" * 100_000, "<li>" * 30_000 + "</ul>" * 30_000, "<div class=ad>" * 30_000 + "x"], ids=lambda b: b[:8])
+def test_broken_markup_takes_linear_time(broken):
+    began = time.process_time()
+    main_text(broken)
+    assert time.process_time() - began < 8
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_labels_against_a_plain_reading_of_the_rules(seed):
+    """Unmarked and marked pages of random blocks: each ambiguous block looks for its neighbours one by one."""
+    rng = random.Random(seed)
+    marked = seed % 2
+    stop, other = "the of and that with".split(), "alpha beta gamma delta kappa".split()
+    blocks = []
+    for _ in range(rng.randint(1, 25)):
+        words = rng.choices(stop, k=rng.choice([0, 1, 4, 9])) + rng.choices(other, k=rng.choice([1, 4, 12, 40]))
+        rng.shuffle(words)
+        text = " ".join(words)
+        blocks.append(Block(text, rng.choice([0, 0, 0, len(text)]), marked, None, rng.random() < 0.1))
+    label_blocks(blocks, [])
+    short, long_, few, many, links = (30, 70, 0.05, 0.12, 0.5) if marked else (70, 200, 0.15, 0.25, 0.33)
+    share = lambda b: sum(w in stop for w in b.text.split()) / len(b.text.split())
+    page = sum(sum(w in stop for w in b.text.split()) for b in blocks) / sum(len(b.text.split()) for b in blocks)
+    first = []
+    for b in blocks:
+        prose = len(b.text) >= long_ and (share(b) >= many or page < 0.02)
+        if b.linked > links * len(b.text):
+            first.append("bad")
+        elif len(b.text) < short or b.heading:
+            first.append("?")
+        else:
+            first.append("good" if prose else "?" if marked or share(b) >= few or page < 0.02 else "bad")
+    for i, b in enumerate(blocks):
+        label = first[i]
+        for d in range(1, len(blocks)):
+            if label != "?":
+                break
+            near = [first[j] if 0 <= j < len(blocks) else "?" for j in (i - d, i + d)]
+            known = [x for x in near if x != "?"]
+            if known:
+                label = near[1] if b.heading and near[1] != "?" else "good" if "good" in known else "bad"
+        assert b.label == ("good" if label == "?" else label)
