@@ -13,11 +13,13 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: A line is shared if over MIN_DOCS and over HOST_SHARE of the host's distinct documents have it.
 MIN_DOCS, HOST_SHARE = 5, 0.05
-#: In ``without_shared_lines`` so many documents suffice at any size of the host; of lines of LONG_WORDS, over LONG_DOCS.
+#: So many documents suffice at any size of the host; of lines of LONG_WORDS, over LONG_DOCS.
 ENOUGH_DOCS, LONG_WORDS, LONG_DOCS = 100, 50, 3
 #: A document is depleted if more than this share of its words stands in shared lines.
 MAX_REMOVED = 0.5
 WINDOW = 3
+#: Shared lines up to which their table is broadcast; beyond, rows are dealt to SALTS copies of it.
+BROADCAST_LINES, SALTS = 200_000, 16
 _FEW = 64
 
 
@@ -96,23 +98,28 @@ def shared_lines(features: DataFrame, min_docs: int = MIN_DOCS, host_share: floa
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-                  min_docs: int = MIN_DOCS, host_share: float = HOST_SHARE, max_removed: float = MAX_REMOVED) -> DataFrame:
+                  min_docs: int = MIN_DOCS, host_share: float = HOST_SHARE, max_removed: float = MAX_REMOVED,
+                  enough_docs: int | None = ENOUGH_DOCS, long_docs: int | None = LONG_DOCS) -> DataFrame:
     """Base counts and verdict of every row of ``docs``; other columns are ignored.
 
     (doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, removed_lines,
     removed_words, kept).  A row fails the base with under 50 words, or with over half of its words in
     repeated 3-word windows.  Lines (compared without case, digits and punctuation; lines without
     letters are left alone) found in over ``min_docs`` and over ``host_share`` of the host's distinct
-    texts count as removed; a row that loses more than ``max_removed`` of its words is depleted and not
+    texts count as removed, and so at any size of the host do those found in ``enough_docs`` and those of
+    LONG_WORDS words found in over ``long_docs``; a row that loses more than ``max_removed`` of its words is depleted and not
     kept.  NULL text is empty, a NULL host is the host ""; repeated rows give their rows and count as one
     document; an empty table gives no rows.
     """
     features = written(_features(docs, id_col, text_col, host_col))
-    shared = shared_lines(features, min_docs, host_share)
-    lost = (
-        features.select("row", "host", F.explode("lines").alias("line")).select("row", "host", "line.h", "line.n")
-        .join(shared, ["host", "h"]).groupBy("row").agg(F.count("*").alias("removed_lines"), F.sum("n").alias("removed_words"))
-    )
+    shared = written(shared_lines(features, min_docs, host_share, enough_docs, long_docs).select("host", "h"))
+    lines = features.select("row", "host", F.explode("lines").alias("line")).select("row", "host", "line.h", "line.n")
+    if shared.count() <= BROADCAST_LINES:
+        hits = lines.join(F.broadcast(shared), ["host", "h"])
+    else:  # shared lines are the frequent ones, so their rows are salted
+        copies = shared.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        hits = lines.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(copies, ["host", "h", "salt"])
+    lost = hits.groupBy("row").agg(F.count("*").alias("removed_lines"), F.sum("n").alias("removed_words"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     removed = F.coalesce("removed_words", F.lit(0)).cast("long")
     return features.drop("lines").join(lost, "row", "left").select(

@@ -19,9 +19,9 @@ WITH docs AS (
 ), dups AS (
   SELECT rid, count(*) - count(DISTINCT line) AS n FROM lines WHERE n > 0 GROUP BY rid
 ), shared AS (
-  SELECT host, norm FROM (SELECT host, norm, count(DISTINCT text) AS c FROM lines WHERE n > 0 AND norm <> '' GROUP BY host, norm)
+  SELECT host, norm FROM (SELECT host, norm, count(DISTINCT text) AS c, max(n) AS longest FROM lines WHERE n > 0 AND norm <> '' GROUP BY host, norm)
   JOIN (SELECT host, count(DISTINCT text) AS host_docs FROM docs GROUP BY host) USING (host)
-  WHERE c > 5 AND c > 0.05 * host_docs
+  WHERE c > 5 AND c > 0.05 * host_docs OR c >= 100 OR longest >= 50 AND c > 3
 ), lost AS (
   SELECT rid, count(*) AS removed_lines, sum(n) AS removed_words FROM lines JOIN shared USING (host, norm) WHERE n > 0 GROUP BY rid
 ), counted AS (
