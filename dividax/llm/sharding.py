@@ -15,6 +15,9 @@ from .common import written
 
 SHARDS = 8
 SLOTS = 4096
+#: Hashes that equal rows are dealt to, and repeated rows up to which their keys are broadcast.
+SPREAD = 1024
+BROADCAST_REPEATS = 100_000
 
 
 def first_map(shards: int, slots: int = SLOTS) -> list[int]:
@@ -70,44 +73,83 @@ def with_new_shard(owner: list[int], size: list[int], shards: int) -> list[int]:
     return owner
 
 
-def slot_of(*keys: str, slots: int = SLOTS):
-    """Virtual slot of a record: a hash of its columns; it never changes."""
-    return F.pmod(F.xxhash64(*keys), F.lit(slots)).cast("int")
-
-
-def sharded(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, id_col: str = "doc_id", text_col: str = "text", keep_columns: bool = False) -> DataFrame:
+def next_map(owner: list[int], size: list[int], shards: int) -> list[int]:
+    """The version after ``owner``, for ``shards`` shards: balanced anew, or first grown by one shard at a time."""
+    had = max(owner, default=-1) + 1
+    if had > shards:
+        raise ValueError(f"the map has {had} shards; it can't shrink to {shards}")
+    if 0 < had < shards:
+        for k in range(had, shards):
+            owner = with_new_shard(owner, size, k)
+        return owner
+    return rebalanced(owner, size, shards)
+
+
+def _records(docs: DataFrame, id_col: str, text_col: str, slots: int, *others) -> DataFrame:
+    """``docs`` as (``others``, key, virtual_slot): the slot is a hash of id and text; of rows that have an equal
+    one, all are dealt to SPREAD hashes by their place in the input."""
+    spread = F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD))
+    rows = docs.select(*others, F.xxhash64(id_col, text_col).alias("key_"), spread.alias("spread_"))
+    repeats = written(docs.select(F.xxhash64(id_col, text_col).alias("key_")).groupBy("key_").agg(F.count("*").alias("n_")).where("n_ > 1").select("key_"))
+    if repeats.count() <= BROADCAST_REPEATS:
+        rows = rows.join(F.broadcast(repeats.withColumn("again_", F.lit(True))), "key_", "left")
+    else:  # rows are dealt by the spread too, so that an often repeated one isn't a single key
+        copies = repeats.select("key_", F.lit(True).alias("again_"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))).alias("spread_"))
+        rows = rows.join(copies, ["key_", "spread_"], "left")
+    own = F.pmod(F.when(F.col("again_"), F.xxhash64("key_", "spread_")).otherwise(F.col("key_")), F.lit(slots)).cast("int")
+    return rows.withColumn("virtual_slot", own).drop("key_", "spread_", "again_")
+
+
+def sharded(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, id_col: str = "doc_id", text_col: str = "text", keep_columns: bool = False,
+            previous: DataFrame | None = None, map_path: str | None = None) -> DataFrame:
     """Every row of ``docs`` in one of ``shards`` shards of nearly equal bytes.
 
     (doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot, map_version).  A record's
     virtual slot is a hash of its id and text (so rows without id, or copies with ids of their own,
-    spread over the slots); the bytes of each slot are summed; version 0 of the slot-to-shard map deals
-    the slots in turn, version 1 is edited to balance the bytes, and both are stored with the rows' slot
-    totals in the shared folder.  ``size`` is the text's UTF-8 bytes plus one, NULL counting as no bytes;
-    ``text_crc32`` of NULL is that of the empty text; ``slot`` numbers a shard's rows without a gap
-    from 0; ``grown_shard`` is NULL, as the law is "bytes".  Repeated rows share a virtual slot and each have
-    a number; an empty table gives no rows.  ``keep_columns`` returns the columns of ``docs`` and
+    spread over the slots; repeated rows are spread by their place); the bytes of each slot are summed.
+    Version 0 of the slot-to-shard map deals the slots in turn, version 1 is edited to balance the bytes.
+    ``previous``, a stored map, is edited instead: its last version is balanced anew or, for more shards,
+    takes slots into the new ones only.  All versions with the slots' totals are written to ``map_path`` (a
+    new one; else to the shared folder), to be read as the next run's ``previous``.
+
+    ``size`` is the text's UTF-8 bytes plus one, NULL counting as no bytes; ``text_crc32`` of NULL is that
+    of the empty text; ``slot`` numbers a shard's rows without a gap from 0; ``grown_shard`` is NULL, as the
+    law is "bytes".  An empty table gives no rows.  ``keep_columns`` returns the columns of ``docs`` and
     only ``shard`` and ``virtual_slot`` beside them; columns of ``docs`` with these two names are replaced.
 
     Only the totals, ``slots`` rows, reach the driver, and only the map, ``slots`` rows, is broadcast.
     """
     spark = docs.sparkSession
     hashed = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows = written(hashed.select("doc_id", (F.octet_length(F.coalesce("text", F.lit(""))) + 1).cast("long").alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), slot_of("doc_id", "text", slots=slots).alias("virtual_slot")))
+    rows = written(_records(hashed, "doc_id", "text", slots, "doc_id", (F.octet_length(F.coalesce("text", F.lit(""))) + 1).cast("long").alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32")))
     total = {r.virtual_slot: (r.bytes, r.n) for r in rows.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()}
     size = [total.get(s, (0, 0))[0] for s in range(slots)]
-    versions = [first_map(shards, slots)]
-    versions.append(rebalanced(versions[0], size, shards))
+    first, version = first_map(shards, slots), 0
+    if previous is not None:
+        version = previous.agg(F.max("map_version")).first()[0]
+        first = [r.shard for r in previous.where(F.col("map_version") == version).orderBy("virtual_slot").collect()]
+        if len(first) != slots:
+            raise ValueError(f"the stored map has {len(first)} slots instead of {slots}")
+    latest = next_map(first, size, shards)
     offset, filled = [], [0] * shards
-    for s, shard in enumerate(versions[-1]):  # rows of the shard in lower slots
+    for s, shard in enumerate(latest):  # rows of the shard in lower slots
         offset.append(filled[shard])
         filled[shard] += total.get(s, (0, 0))[1]
-    table = [(v, s, shard, size[s], offset[s] if v == len(versions) - 1 else None) for v, m in enumerate(versions) for s, shard in enumerate(m)]
-    stored = written(spark.createDataFrame(table, "map_version int, virtual_slot int, shard int, bytes long, offset long").coalesce(1))
-    current = F.broadcast(stored.where(F.col("map_version") == len(versions) - 1).select("virtual_slot", "shard", "offset", "map_version"))
+    columns = "map_version int, virtual_slot int, shard int, bytes long, offset long"
+    table = [] if previous is not None else [(0, s, shard, size[s], None) for s, shard in enumerate(first)]
+    table += [(version + 1, s, shard, size[s], offset[s]) for s, shard in enumerate(latest)]
+    versions = spark.createDataFrame(table, columns).coalesce(1)
+    if previous is not None:
+        versions = previous.select("map_version", "virtual_slot", "shard", "bytes", "offset").unionByName(versions).coalesce(1)
+    if map_path:
+        versions.write.parquet(map_path)
+        stored = spark.read.schema(versions.schema).parquet(map_path)
+    else:
+        stored = written(versions)
+    current = F.broadcast(stored.where(F.col("map_version") == version + 1).select("virtual_slot", "shard", "offset", "map_version"))
     if keep_columns:
-        slot = slot_of(F.col(id_col), F.col(text_col), slots=slots)
         names = [c for c in docs.columns if c.lower() not in ("shard", "virtual_slot")]
-        row = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), slot.alias("virtual_slot"))
+        row = _records(docs, id_col, text_col, slots, F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
         return row.join(current, "virtual_slot", "left").select("row.*", F.col("shard").alias("shard"), F.col("virtual_slot").alias("virtual_slot"))
     within = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")
     return rows.withColumn("place", F.row_number().over(within)).join(current, "virtual_slot", "left").select(

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from dividax.llm import cotraining
+from dividax.llm import cotraining, line_quality, sharding
 from dividax.llm.common import text_bytes
 from dividax.llm.decontam import contained_items, drop_contaminated
 from dividax.llm.html_blocks import Block, label_blocks, main_text, page_blocks
@@ -62,7 +62,7 @@ def test_stop_words_count_on_marked_pages():
     assert blocks[1].label == "bad" and blocks[-1].label == "good"  # no stop words, between links
 
 
-def test_shared_lines_of_a_hot_host(spark):
+def test_shared_lines_of_a_hot_host(spark, monkeypatch):
     passage, foot = " ".join(f"passage{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)), "Share this page"
     word = lambda i: "".join(chr(97 + int(d)) for d in str(i))
     rows = []
@@ -72,6 +72,10 @@ def test_shared_lines_of_a_hot_host(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     found = {r.doc_id: r.text for r in without_shared_lines(docs).collect()}
     assert found == {i: "\n".join(x for x in t.split("\n") if x not in (foot, passage)) for i, t, _ in rows}
+    for most in (200_000, 0):  # broadcast, salted
+        monkeypatch.setattr(line_quality, "BROADCAST_LINES", most)
+        lost = {r.doc_id: r.removed_lines for r in line_quality.quality_rules(docs).collect()}
+        assert lost == {i: sum(x in (foot, passage) for x in t.split("\n")) for i, t, _ in rows}
 
 
 def test_short_items_inside_long_documents_are_all_found(spark):
@@ -155,3 +159,34 @@ def test_labels_against_a_plain_reading_of_the_rules(seed):
             if known:
                 label = near[1] if b.heading and near[1] != "?" else "good" if "good" in known else "bad"
         assert b.label == ("good" if label == "?" else label)
+
+
+@pytest.mark.parametrize("most", [100_000, 0])
+def test_repeats_of_one_row_spread_over_all_shards(spark, monkeypatch, most):
+    monkeypatch.setattr(sharding, "BROADCAST_REPEATS", most)
+    rng = random.Random(4)
+    rows = [(i, "x" * rng.randint(1, 200)) for i in range(3000)] + [(7_000_000, "y" * 300)] * 2000
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for found in (sharding.sharded(docs), sharding.sharded(docs, keep_columns=True).withColumn("size", F.length("text") + 1)):
+        full = {r.shard: r.b for r in found.groupBy("shard").agg(F.sum("size").alias("b")).collect()}
+        assert set(full) == set(range(8)) and sum(full.values()) == sum(len(t) + 1 for _, t in rows)
+        assert max(full.values()) - min(full.values()) <= 1000
+    slots = [r.slot for r in sharding.sharded(docs).where("shard = 3").collect()]
+    assert sorted(slots) == list(range(len(slots)))
+
+
+def test_a_stored_map_is_edited_when_data_or_shards_are_added(spark, tmp_dir):
+    rng = random.Random(5)
+    rows = [(i, "x" * rng.randint(1, 300)) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    shard_of = lambda found: {r.doc_id: r.shard for r in found.collect()}
+    old = shard_of(sharding.sharded(docs.where("doc_id < 3500"), map_path=f"{tmp_dir}/map1"))
+    more = shard_of(sharding.sharded(docs, previous=spark.read.parquet(f"{tmp_dir}/map1"), map_path=f"{tmp_dir}/map2"))
+    assert sum(more[i] != k for i, k in old.items()) < 0.1 * len(old)  # few slots move
+    grown = sharding.sharded(docs, shards=9, previous=spark.read.parquet(f"{tmp_dir}/map2"), map_path=f"{tmp_dir}/map3")
+    moved = {i: k for i, k in shard_of(grown).items() if k != more[i]}
+    assert set(moved.values()) == {8} and 0.08 < len(moved) / len(rows) < 0.15
+    versions = spark.read.parquet(f"{tmp_dir}/map3")
+    assert sorted(r[0] for r in versions.select("map_version").distinct().collect()) == [0, 1, 2, 3] and versions.count() == 4 * sharding.SLOTS
+    with pytest.raises(ValueError):
+        sharding.sharded(docs, shards=4, previous=versions)
