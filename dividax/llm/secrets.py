@@ -6,8 +6,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import let, written
@@ -22,12 +21,21 @@ KINDS = ("assign", "access", "hex", "random")
 #: Long tokens that are tested for randomness, and the bits of information they need at least.
 TOKEN = r"[A-Za-z0-9+/_-]{20,}"
 MIN_BITS = 100
-#: Level of a single token, and false-discovery rate within tokens of like encoding and length.
+#: Level of the battery, and rate of words among the tokens reported, within tokens of like encoding and length.
 ALPHA, FDR = 0.01, 0.05
-BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
-BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-HEXDIGITS = "0123456789ABCDEF"
-_BINS = 5
+# Letters that words of Latin script use most (nine in ten letters and more in English,
+# French, German and Spanish; half of them in random text), and the share of them that a word has at least.
+FREQUENT = "etaoinshrdlcu"
+RARE = "bfgjkmpqvwxyz"
+WORD_SHARE = 0.85
+#: Encodings from the smallest alphabet to the largest; one-case ones are read in upper case.
+ENCODINGS = (
+    ("hex", "^[0-9A-F]+$", "0123456789ABCDEF"),
+    ("base32", "^([A-Z2-7]+|[a-z2-7]+)$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
+    ("base36", "^([A-Z0-9]+|[a-z0-9]+)$", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+    ("base62", "^[A-Za-z0-9]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"),
+    ("base64", "^", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
+)
 _LEAST_P = 1e-12
 
 
@@ -51,22 +59,32 @@ def _normal_p(z: Column) -> Column:
         0.254829592 + v["t"] * (-0.284496736 + v["t"] * (1.421413741 + v["t"] * (-1.453152027 + v["t"] * 1.061405429)))))
 
 
-def _battery(values: Column, size: Column) -> Column:
-    """Combined p-value (Fisher) of three tests that ``values`` are uniform on 0 .. size - 1 and independent.
+def _count(token: Column, characters: str) -> Column:
+    return (F.length(token) - F.length(F.translate(token, characters, ""))).cast("double")
 
-    Chi-squared over five parts of the alphabet; Wald-Wolfowitz runs above and below its middle;
+
+def _parts(name: str, letters: str) -> list[str]:
+    """Parts of an alphabet whose shares words and random text don't have in common."""
+    if name == "hex":
+        return ["01234", "56789", "ABCDEF"]
+    parts = ["".join(c for c in letters if c in part) for part in (FREQUENT.upper(), RARE.upper(), FREQUENT, RARE)]
+    return [part for part in (*parts, "".join(c for c in letters if not c.isalpha())) if part]
+
+
+def _battery(token: Column, values: Column, name: str, letters: str) -> Column:
+    """Combined p-value (Fisher) of three tests that a token is uniform over ``letters`` and independent.
+
+    Chi-squared over the parts of the alphabet; Wald-Wolfowitz runs above and below its middle;
     serial correlation at lag one against the known mean and variance."""
-    n = F.size(values).cast("double")
+    n, size = F.size(values).cast("double"), len(letters)
 
     def chi() -> Column:
-        edge = lambda b: F.ceil(size * b / _BINS)
-        in_bin = lambda b: lambda v: F.floor(v * _BINS / size) == b
-        total = F.lit(0.0)
-        for b in range(_BINS):
-            expected = n * (edge(F.lit(b + 1)) - edge(F.lit(b))) / size
-            seen = F.size(F.filter(values, in_bin(b)))
-            total = total + (seen - expected) * (seen - expected) / expected
-        return let(total / 2, lambda x: F.exp(-x) * (1 + x))
+        parts, total = _parts(name, letters), F.lit(0.0)
+        for part in parts:
+            expected = n * (len(part) / size)
+            total = total + F.pow(_count(token, part) - expected, F.lit(2.0)) / expected
+        # upper tail of chi-squared with two (three parts) or four (five parts) degrees of freedom
+        return let(total / 2, lambda x: F.exp(-x) * (1 + x) if len(parts) == 5 else F.exp(-x))
 
     def runs() -> Column:
         high = lambda v: v * 2 >= size
@@ -86,22 +104,34 @@ def _battery(values: Column, size: Column) -> Column:
     return let(half, lambda x: F.exp(-x) * (1 + x + x * x / 2))
 
 
-def _randomness(token: Column) -> Column:
-    """Encoding that a token looks like (NULL: none), and the p-value of the battery under it."""
-    encoding = (
-        F.when(token.rlike("^[0-9A-F]+$") & token.rlike("[0-9]") & token.rlike("[A-F]"), "hex")
-        .when(token.rlike("^[A-Z2-7]+$") & token.rlike("[2-7]"), "base32")
-        .when(token.rlike("[A-Z]") & token.rlike("[a-z]") & token.rlike("[0-9]"), F.when(token.rlike("[+/_-]"), "base64").otherwise("base62"))
-    )
+def _word_p(token: Column) -> Column:
+    """Bound (Chernoff) on the probability that words have as few frequent letters as the token has."""
+    frequent, rare = _count(token, FREQUENT + FREQUENT.upper()), _count(token, RARE + RARE.upper())
+
+    def bound(c: Column) -> Column:
+        n = c["f"] + c["r"]
+        part = lambda x, share: F.when(x > 0, x * F.log(x / (n * share))).otherwise(0.0)
+        return F.when(c["f"] >= n * WORD_SHARE, F.lit(1.0)).otherwise(F.exp(-part(c["f"], WORD_SHARE) - part(c["r"], 1 - WORD_SHARE)))
 
-    def of(e: Column) -> Column:
-        letters = F.when(e == "hex", HEXDIGITS).when(e == "base32", BASE32).otherwise(BASE64)
-        size = F.when(e == "hex", 16.0).when(e == "base32", 32.0).when(e == "base62", 62.0).otherwise(64.0)
-        enough = F.length(token) * F.log2(size) >= MIN_BITS
-        values = F.transform(F.sequence(F.lit(1), F.length(token)), lambda i: (F.position(F.translate(F.substring(token, i, F.lit(1)), "-_", "+/"), letters) - 1).cast("double"))
-        return F.when(e.isNotNull() & enough, _test(e, let(values, lambda v: _battery(v, size)))).otherwise(_test(None, None))
+    return let(F.struct(frequent.alias("f"), rare.alias("r")), bound)
 
-    return let(encoding, of)
+
+def _randomness(token: Column) -> Column:
+    """Encoding of the smallest alphabet that holds a token (NULL: too few bits), and the p-value of its
+    being words: 1 where the battery finds that it isn't random.  Upper-case hex has no words; there the
+    battery's own p-value tells, ``1 - ALPHA`` of random tokens pass."""
+    def test(name: str, letters: str) -> Column:
+        read = F.upper(token) if name in ("base32", "base36") else F.translate(token, "-_", "+/") if name == "base64" else token
+        values = lambda t: F.transform(F.sequence(F.lit(1), F.length(t)), lambda i: (F.position(F.substring(t, i, F.lit(1)), F.lit(letters)) - 1).cast("double"))
+        battery = let(read, lambda t: let(values(t), lambda v: _battery(t, v, name, letters)))
+        words = F.lit(_LEAST_P) if name == "hex" else _word_p(token)
+        return F.when(F.length(token) * math.log2(len(letters)) < MIN_BITS, _test(None, None)).otherwise(
+            _test(name, F.when(battery >= ALPHA, words).otherwise(1.0)))
+
+    out = F
+    for name, pattern, letters in ENCODINGS:
+        out = out.when(token.rlike(pattern), test(name, letters))
+    return out
 
 
 def secret_spans(docs: DataFrame, text_col: str = "text", carry: Column | None = None) -> tuple[DataFrame, DataFrame]:
@@ -109,12 +139,12 @@ def secret_spans(docs: DataFrame, text_col: str = "text", carry: Column | None =
     and end (code points, end exclusive) of every secret, kind an index into ``KINDS``.
 
     Base kinds are found by their patterns, leftmost and non-overlapping in each kind.  Tokens of 20 or
-    more characters that look like hex, base32, base62 or base64 and carry enough bits get the randomness
-    battery; tokens that look random beyond doubt of being text are spans of kind "random" unless they
-    touch a base span.  The rest is told apart by length-aware false-discovery control: among tokens of
-    one encoding and one doubling of length, Benjamini-Hochberg at rate ``FDR`` picks those that aren't
-    random, besides single ones below ``ALPHA``.  NULL and empty texts have no spans.  The scratch table
-    holds lengths and p-values, never the matched text.
+    more characters get the randomness battery under the encoding of the smallest alphabet that holds them
+    (hex, base32, base36, base62, base64; either case) if they carry enough bits there.  A token that the
+    battery doesn't reject gets the probability that words look like it; any other gets 1.  Among tokens
+    of one encoding and one doubling of length Benjamini-Hochberg at rate ``FDR`` picks those that are no
+    words: spans of kind "random", unless they touch a base span.  NULL and empty texts have no spans.
+    The scratch table holds lengths and p-values, never the matched text.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     passed = lambda good: F.when(good, _test("", 1.0)).otherwise(_test(None, None))
@@ -147,8 +177,8 @@ def secret_spans(docs: DataFrame, text_col: str = "text", carry: Column | None =
         steps.withColumn("at_most", F.sum("count").over(stratum.orderBy(F.desc("level")))).withColumn("tests", F.sum("count").over(stratum))
         .where(F.col("tests") * F.pow(F.lit(10.0), -F.col("level") / 10) <= FDR * F.col("at_most")).groupBy("encoding", "size").agg(F.min("level").alias("cut"))
     )
-    natural = (F.col("level") >= F.coalesce("cut", F.lit(10_000))) | (F.col("p") < ALPHA)
-    random = tokens.join(cut, ["encoding", "size"], "left").where(~natural).select("row", "kind", "start", "end")
+    # a row for each encoding and doubling of length: some 150 at most
+    random = tokens.join(F.broadcast(cut), ["encoding", "size"]).where("level >= cut").select("row", "kind", "start", "end")
     return found.select("row", "carry"), placed.where("kind < 3").select("row", "kind", "start", "end").union(random)
 
 

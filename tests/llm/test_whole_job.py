@@ -1,13 +1,17 @@
 """Corpus operators do the whole job: bounds that were lowered, rows and blocks that were left out."""
 
+import math
 import random
+import re
 import time
+from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from dividax.llm import cotraining, line_quality, sharding
+from dividax.llm import cotraining, line_quality, secrets, sharding
 from dividax.llm.common import text_bytes
 from dividax.llm.decontam import contained_items, drop_contaminated
 from dividax.llm.html_blocks import Block, label_blocks, main_text, page_blocks
@@ -190,3 +194,65 @@ def test_a_stored_map_is_edited_when_data_or_shards_are_added(spark, tmp_dir):
     assert sorted(r[0] for r in versions.select("map_version").distinct().collect()) == [0, 1, 2, 3] and versions.count() == 4 * sharding.SLOTS
     with pytest.raises(ValueError):
         sharding.sharded(docs, shards=4, previous=versions)
+
+
+def _identifiers(rng, n):
+    words = ("get set user name value item list order report total account date rate tax index table column build read write "
+             "merge window group filter parse text line page model score token count batch stream source target config "
+             "session worker queue cache buffer handler service client server request response error message time zone").split()
+    styles = (lambda w: "".join(x.title() for x in w), lambda w: "_".join(w), lambda w: "-".join(w), lambda w: "/".join(w),
+              lambda w: "".join(x.title() for x in w) + str(rng.randint(0, 99)), lambda w: "".join(w), lambda w: "_".join(w).upper())
+    return [rng.choice(styles)([rng.choice(words) for _ in range(rng.randint(5, 9))]) for _ in range(n)]
+
+
+def test_secrets_are_reported_and_identifiers_are_not(spark):
+    """The battery and the false-discovery step against their plain forms, on keys of each encoding."""
+    rng = random.Random(17)
+    alphabets = {"hex": "0123456789ABCDEF", "BASE32": secrets.ENCODINGS[1][2], "base32": secrets.ENCODINGS[1][2].lower(),
+                 "base36": secrets.ENCODINGS[2][2].lower(), "base62": secrets.ENCODINGS[3][2], "base64": secrets.ENCODINGS[4][2]}
+    texts = [("words", t) for t in _identifiers(rng, 5000)]
+    texts += [(name, "".join(rng.choices(letters, k=rng.randint(36, 64)))) for name, letters in alphabets.items() for _ in range(200)]
+    schema = "doc_id long, text string"
+    found = {r.doc_id: r.n_random for r in secrets.scan_secrets(spark.createDataFrame([(i, f"x {t} y") for i, (_, t) in enumerate(texts)], schema)).collect()}
+    hits = Counter(name for i, (name, _) in enumerate(texts) if found[i])
+    assert hits["words"] < 0.05 * 5000
+    assert all(hits[name] > 0.9 * 200 for name in alphabets), hits
+
+    def plain(t):
+        name, letters = next((n, a) for n, p, a in secrets.ENCODINGS if re.search(p, t))
+        if len(t) * math.log2(len(letters)) < secrets.MIN_BITS:
+            return None
+        read = t.upper() if name in ("base32", "base36") else t.replace("-", "+").replace("_", "/") if name == "base64" else t
+        v, n, k = np.array([letters.index(c) for c in read]), len(t), len(letters)
+        parts = secrets._parts(name, letters)
+        half = sum((sum(c in part for c in read) - n * len(part) / k) ** 2 / (n * len(part) / k) for part in parts) / 2
+        ps = [math.exp(-half) * (1 + half if len(parts) == 5 else 1)]
+        high = v * 2 >= k
+        ups, turns = int(high.sum()), int((high[1:] != high[:-1]).sum())
+        q = 2 * ups * (n - ups)
+        ps.append(1e-12 if q <= n else math.erfc(abs(turns - q / n) / math.sqrt(q * (q - n) / (n * n * (n - 1))) / math.sqrt(2)))
+        centred = v - (k - 1) / 2
+        ps.append(math.erfc(abs((centred[1:] * centred[:-1]).sum() / ((k * k - 1) / 12) / math.sqrt(n - 1)) / math.sqrt(2)))
+        x = -sum(math.log(max(p, 1e-12)) for p in ps)
+        battery = math.exp(-x) * (1 + x + x * x / 2)
+        f, r = (sum(c in s for c in t.lower()) for s in (secrets.FREQUENT, secrets.RARE))
+        w = secrets.WORD_SHARE
+        if name == "hex":
+            word = 1e-12
+        else:
+            word = 1.0 if f >= (f + r) * w else math.exp(-(f * math.log(f / ((f + r) * w)) if f else 0) - (r * math.log(r / ((f + r) * (1 - w))) if r else 0))
+        return name, battery, word
+
+    tested = {i: plain(t) for i, (_, t) in enumerate(texts)}
+    levels = {i: (p[0], int(math.log2(len(texts[i][1]))), p[1], math.floor(-10 * math.log10(max(p[2] if p[1] >= secrets.ALPHA else 1.0, 1e-12)) + 1e-9))
+              for i, p in tested.items() if p}
+    by_stratum = {}
+    for i, (name, size, battery, level) in levels.items():
+        by_stratum.setdefault((name, size), []).append((level, i, battery))
+    expected = set()
+    for group in by_stratum.values():
+        cuts = [level for level, _, _ in group if len(group) * 10 ** (-level / 10) <= secrets.FDR * sum(x >= level for x, _, _ in group)]
+        expected |= {i for level, i, _ in group if cuts and level >= min(cuts)}
+    near = {i for i, p in tested.items() if p and abs(p[1] - secrets.ALPHA) < 1e-5}  # the error function is approximated
+    based = {i for i, (_, t) in enumerate(texts) if re.search(secrets.HEX + "|" + secrets.ACCESS, t)}
+    assert {i for i, n in found.items() if n} - near - based == expected - near - based
