@@ -71,20 +71,19 @@ def _parts(name: str, letters: str) -> list[str]:
     return [part for part in (*parts, "".join(c for c in letters if not c.isalpha())) if part]
 
 
-def _battery(token: Column, values: Column, name: str, letters: str) -> Column:
-    """Combined p-value (Fisher) of three tests that a token is uniform over ``letters`` and independent.
+def _battery(token: Column, values: Column, size: Column, parts: Column) -> Column:
+    """Combined p-value (Fisher) of three tests that a token is uniform over an alphabet and independent.
 
     Chi-squared over the parts of the alphabet; Wald-Wolfowitz runs above and below its middle;
     serial correlation at lag one against the known mean and variance."""
-    n, size = F.size(values).cast("double"), len(letters)
+    n = F.size(values).cast("double")
 
     def chi() -> Column:
-        parts, total = _parts(name, letters), F.lit(0.0)
-        for part in parts:
-            expected = n * (len(part) / size)
-            total = total + F.pow(_count(token, part) - expected, F.lit(2.0)) / expected
+        def excess(part):
+            return let(n * F.length(part) / size, lambda e: F.pow(F.length(token) - F.length(F.call_function("translate", token, part, F.lit(""))) - e, F.lit(2.0)) / e)
+
         # upper tail of chi-squared with two (three parts) or four (five parts) degrees of freedom
-        return let(total / 2, lambda x: F.exp(-x) * (1 + x) if len(parts) == 5 else F.exp(-x))
+        return let(F.aggregate(F.transform(parts, excess), F.lit(0.0), lambda a, x: a + x) / 2, lambda x: F.exp(-x) * F.when(F.size(parts) == 5, 1 + x).otherwise(1.0))
 
     def runs() -> Column:
         high = lambda v: v * 2 >= size
@@ -120,18 +119,21 @@ def _randomness(token: Column) -> Column:
     """Encoding of the smallest alphabet that holds a token (NULL: too few bits), and the p-value of its
     being words: 1 where the battery finds that it isn't random.  Upper-case hex has no words; there the
     battery's own p-value tells, ``1 - ALPHA`` of random tokens pass."""
-    def test(name: str, letters: str) -> Column:
-        read = F.upper(token) if name in ("base32", "base36") else F.translate(token, "-_", "+/") if name == "base64" else token
-        values = lambda t: F.transform(F.sequence(F.lit(1), F.length(t)), lambda i: (F.position(F.substring(t, i, F.lit(1)), F.lit(letters)) - 1).cast("double"))
-        battery = let(read, lambda t: let(values(t), lambda v: _battery(t, v, name, letters)))
-        words = F.lit(_LEAST_P) if name == "hex" else _word_p(token)
-        return F.when(F.length(token) * math.log2(len(letters)) < MIN_BITS, _test(None, None)).otherwise(
-            _test(name, F.when(battery >= ALPHA, words).otherwise(1.0)))
-
-    out = F
+    found = F
     for name, pattern, letters in ENCODINGS:
-        out = out.when(token.rlike(pattern), test(name, letters))
-    return out
+        read = F.upper(token) if name in ("base32", "base36") else F.translate(token, "-_", "+/") if name == "base64" else token
+        found = found.when(token.rlike(pattern), F.struct(
+            F.lit(name).alias("name"), read.alias("read"), F.lit(letters).alias("letters"), F.lit(float(len(letters))).alias("size"),
+            F.array(*map(F.lit, _parts(name, letters))).alias("parts")))
+
+    def test(e: Column) -> Column:
+        values = F.transform(F.sequence(F.lit(1), F.length(e["read"])), lambda i: (F.position(F.substring(e["read"], i, F.lit(1)), e["letters"]) - 1).cast("double"))
+        battery = let(values, lambda v: _battery(e["read"], v, e["size"], e["parts"]))
+        words = F.when(e["name"] == "hex", _LEAST_P).otherwise(_word_p(token))
+        return F.when(F.length(token) * F.log2(e["size"]) < MIN_BITS, _test(None, None)).otherwise(
+            _test(e["name"], F.when(battery >= ALPHA, words).otherwise(1.0)))
+
+    return let(found, test)
 
 
 def secret_spans(docs: DataFrame, text_col: str = "text", carry: Column | None = None) -> tuple[DataFrame, DataFrame]:
