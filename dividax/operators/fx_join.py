@@ -9,7 +9,8 @@ Re-expressed: every weekday rate dated ``r`` *serves* each target ``t`` with
 only its own date and takes precedence there.  The serving table is bounded by
 ``(#currencies x #published days x 14)`` rows — a calendar-sized dimension that
 does not grow with the statements — and is broadcast after an explicit row-count
-check; beyond the bound the join falls back to a shuffle join.
+check.  Beyond the bound the distinct look-ups are answered by one sorted pass over
+rates and look-ups per currency (:func:`asof_answers`), and the answers are joined back.
 """
 
 from __future__ import annotations
@@ -24,11 +25,12 @@ from pyspark.sql.window import Window
 from .. import constants as K
 from ..functions.dates import business_day_index, is_weekday
 from ..params import TaxParams
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 
-#: Parts that a hot key is split into beyond the broadcast bound.
-SALTS = 32
+#: Beyond the broadcast bound, a key with more than one in this many of the rows is answered by
+#: broadcast (so there are fewer such keys than this), any other by the shuffle join.
+HEAVY_SHARE = 10_000
 
 
 def serving_table(fx: DataFrame, lookback_probes: int = K.FX_LOOKBACK_PROBES) -> DataFrame:
@@ -53,6 +55,21 @@ def serving_table(fx: DataFrame, lookback_probes: int = K.FX_LOOKBACK_PROBES) ->
     ).select("currency", "target_date", "_w.rate", "_w.rate_date")
 
 
+def asof_answers(keys: DataFrame, rates: DataFrame, lookback_probes: int = K.FX_LOOKBACK_PROBES) -> DataFrame:
+    """``keys(currency, target_date, n)``, each pair once, with the ``rate`` that serves it (NULL: none).
+
+    Rates and keys are put in one row per currency and day and sorted; the last weekday rate is
+    carried along.  A currency has at most a row per calendar day, whatever the number of statements."""
+    days = keys.select("currency", F.col("target_date").alias("day"), "n", F.lit(None).cast("double").alias("own")).unionByName(
+        rates.select("currency", F.col("rate_date").alias("day"), F.lit(None).cast("long").alias("n"), F.col("rate").alias("own"))
+    ).groupBy("currency", "day").agg(F.max("n").alias("n"), F.max("own").alias("own"))
+    order = Window.partitionBy("currency").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    dated = F.when(F.col("own").isNotNull() & is_weekday("day"), F.struct("day", F.col("own").alias("rate")))
+    near = business_day_index("day") - business_day_index("last.day") < lookback_probes
+    return days.withColumn("last", F.last(dated, ignorenulls=True).over(order)).where("n is not null").select(
+        "currency", F.col("day").alias("target_date"), "n", F.coalesce("own", F.when(near, F.col("last.rate"))).alias("rate"))
+
+
 class FxIndex:
     """A stored serving table plus the decision how to join it.
 
@@ -88,38 +105,45 @@ class FxIndex:
         self.rows = self.table.count()
         self.broadcastable = self.rows <= params.broadcast_max_rows
 
-    def _side(self, prefix: str) -> DataFrame:
-        side = self.table.select(
-            F.col("currency").alias(f"{prefix}_cur"),
-            F.col("target_date").alias(f"{prefix}_date"),
-            F.col("rate").alias(f"{prefix}_rate"),
-        )
-        return F.broadcast(side) if self.broadcastable else side
-
     def lookup(self, df: DataFrame, currency: Column, date: Column, out: str) -> DataFrame:
         """Left-join the rate of ``currency`` on ``date`` into column ``out``.
 
         PLN -> 1.0 (J-2); a NULL currency or date (look-up not needed) -> NULL;
         a currency outside the archive or a date without a rate within the
         look-back -> NULL, reported by the quality checks (F-10 / J-3)."""
-        prefix = f"_fx_{out}"
-        keyed = df.withColumn(f"{prefix}_k_cur", currency).withColumn(f"{prefix}_k_date", date)
-        side = self._side(prefix)
-        cond = (F.col(f"{prefix}_k_cur") == F.col(f"{prefix}_cur")) & (F.col(f"{prefix}_k_date") == F.col(f"{prefix}_date"))
+        k_cur, k_date, rate = f"_fx_{out}_k_cur", f"_fx_{out}_k_date", f"_fx_{out}_rate"
+        keyed = df.withColumn(k_cur, currency).withColumn(k_date, date)
+        names = [F.col("currency").alias(k_cur), F.col("target_date").alias(k_date), F.col("rate").alias(rate)]
         if self.broadcastable:
-            joined = keyed.join(side, cond, "left")
+            joined = keyed.join(F.broadcast(self.table.select(*names)), [k_cur, k_date], "left")
         else:
-            # Shuffle join: few currencies and popular days make hot keys, and rows that need
-            # no rate share the NULL key, so rows are salted and the serving table replicated.
-            salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS)).cast("int")
-            copies = side.withColumn(f"{prefix}_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-            joined = keyed.withColumn(f"{prefix}_salt", salt).join(
-                copies, cond & (F.col(f"{prefix}_salt") == F.col(f"{prefix}_copy")), "left"
-            ).drop(f"{prefix}_salt", f"{prefix}_copy")
-        value = F.when(F.col(f"{prefix}_k_cur") == K.BASE_CURRENCY, F.lit(1.0)).otherwise(F.col(f"{prefix}_rate"))
-        return joined.withColumn(out, value).drop(
-            f"{prefix}_k_cur", f"{prefix}_k_date", f"{prefix}_cur", f"{prefix}_date", f"{prefix}_rate"
-        )
+            joined = self._beyond_broadcast(keyed, names, k_cur, k_date, rate)
+        value = F.when(F.col(k_cur) == K.BASE_CURRENCY, F.lit(1.0)).otherwise(F.col(rate))
+        return joined.withColumn(out, value).select(*[F.col(f"`{c}`") for c in df.columns if c != out], out)
+
+    def _beyond_broadcast(self, keyed: DataFrame, names: list[Column], k_cur: str, k_date: str, rate: str) -> DataFrame:
+        """Shuffle join whose hot keys never meet in one task, without copies of the rates.
+
+        Rows are stored once and read twice: to count their distinct keys, and to be joined with the
+        answers.  Keys that hold many rows are few and are broadcast; rows answered so, and rows that
+        need no rate, are spread evenly through the join that answers the others."""
+        keyed = materialize(keyed)
+        needed = F.col(k_cur).isNotNull() & F.col(k_date).isNotNull() & (F.col(k_cur) != K.BASE_CURRENCY)
+        keys = keyed.where(needed).groupBy(F.col(k_cur).alias("currency"), F.col(k_date).alias("target_date")).agg(F.count(F.lit(1)).alias("n"))
+        rates = self.table.where("target_date = rate_date")  # every rate serves its own date
+        answers = materialize(asof_answers(keys, rates, self.params.lookback_probes))
+        rows = answers.agg(F.sum("n")).first()[0] or 0
+        heavy = F.col("n") * HEAVY_SHARE > rows
+        hot, spread, mark = f"{rate}_hot", f"{rate}_spread", f"{rate}_mark"
+        first = keyed.join(F.broadcast(answers.where(heavy).select(*names, F.lit(True).alias(mark)).withColumnRenamed(rate, hot)), [k_cur, k_date], "left")
+        open_ = needed & F.col(mark).isNull()
+        first = first.withColumn(spread, F.when(open_, F.lit(0)).otherwise(F.xxhash64(F.monotonically_increasing_id()).bitwiseOR(1)))
+        light = answers.where(~heavy).select(*names, F.lit(0).cast("long").alias(spread))
+        # NULLs would meet in one task: the join sees a currency and a day that no rate has instead
+        c, d = f"{rate}_c", f"{rate}_d"
+        light = light.select(spread, rate, F.col(k_cur).alias(c), F.col(k_date).alias(d))
+        first = first.withColumn(c, F.coalesce(k_cur, F.lit(""))).withColumn(d, F.coalesce(k_date, F.to_date(F.lit("0001-01-01"))))
+        return first.join(light, [c, d, spread], "left").withColumn(rate, F.coalesce(rate, hot))
 
 
 def fx_rate_lookup(targets: DataFrame, fx: DataFrame, currency: str = "currency", date: str = "target_date",

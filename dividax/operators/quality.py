@@ -7,7 +7,7 @@ fail-fast ``ValueError`` on the driver, fetching only one sample row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StringType, StructField, StructType, TimestampNTZType
 
@@ -32,10 +32,13 @@ def fx_violations(looked_up: DataFrame, currency: str = "currency", date: str =
     )
 
 
+def _lacks_d1() -> Column:
+    return F.col("date").isNotNull() & F.col("net_dividend").isNotNull() & F.col("comment").isNotNull() & F.col("date_d1").isNull()
+
+
 def missing_d1(rows: DataFrame) -> DataFrame:
     """F-4: rows with data to process but no previous-business-day date."""
-    return rows.where(F.col("date").isNotNull() & F.col("net_dividend").isNotNull()
-                      & F.col("comment").isNotNull() & F.col("date_d1").isNull())
+    return rows.where(_lacks_d1())
 
 
 def invalid_rates(merged: DataFrame) -> DataFrame:
@@ -115,21 +118,61 @@ def input_contract(stmt: DataFrame) -> DataFrame:
     })
 
 
-def output_contract(report: DataFrame) -> DataFrame:
-    """F-14: report contract (ticker pattern, shares >= 0, no NULL in required columns)."""
-    return _long_counts(report, "output", {
+def _output_rules() -> dict[str, Column]:
+    return {
         "null_date": F.col("date").isNull(),
         "null_net": F.col("net_dividend").isNull(),
         "bad_ticker": ~F.coalesce(F.col("ticker"), F.lit("")).rlike(K.RE_TICKER),
         "null_shares": F.col("shares").isNull(),
         "negative_shares": F.col("shares") < 0,
-    })
+    }
+
+
+def output_contract(report: DataFrame) -> DataFrame:
+    """F-14: report contract (ticker pattern, shares >= 0, no NULL in required columns)."""
+    return _long_counts(report, "output", _output_rules())
+
+
+class ReportChecks:
+    """F-4, F-9, F-10 and F-14 as observed metrics: counted, each with its least sample, in the pass
+    that computes the report anyway.  Pass it to ``build_report_parts``, run one action on the report or its
+    quarantine, then read :meth:`violations` or call :meth:`raise_if_any`.  One object serves one report;
+    reading before an action waits for it."""
+
+    STRICT = {"missing_d1": "a row has no previous business day", "invalid_rate": "a row has no withholding rate",
+              "missing_fx": "No exchange rate found within the look-back"}
+
+    def __init__(self):
+        self._rows, self._report = Observation(), Observation()
+
+    @staticmethod
+    def _metrics(rules: dict[str, Column]) -> list[Column]:
+        where = F.concat_ws(" ", F.col("acct").cast("string"), F.col("date").cast("string"), "ticker")
+        return [m for name, bad in rules.items() for m in (F.count_if(bad).alias(name), F.min(F.when(bad, where)).alias(f"{name}_first"))]
+
+    def on_rows(self, rows: DataFrame) -> DataFrame:
+        return rows.observe(self._rows, *self._metrics({"missing_d1": _lacks_d1()}))
+
+    def on_report(self, scored: DataFrame) -> DataFrame:
+        kept = {name: ~F.col("quarantined") & F.coalesce(bad, F.lit(False)) for name, bad in _output_rules().items()}
+        return scored.observe(self._report, *self._metrics({"invalid_rate": F.col("wht_rate").isNull(), "missing_fx": F.col("quarantined"), **kept}))
+
+    def violations(self) -> dict[str, tuple[int, str | None]]:
+        """Check -> (violations, least sample), after an action."""
+        seen = {**self._rows.get, **self._report.get}
+        return {name: (n, seen[f"{name}_first"]) for name, n in seen.items() if not name.endswith("_first")}
+
+    def raise_if_any(self, names: tuple[str, ...] = tuple(STRICT)) -> None:
+        found = self.violations()
+        for name in names:
+            if found[name][0]:
+                raise ValueError(f"{self.STRICT.get(name, name)}: {found[name][0]} rows, first {found[name][1]}")
 
 
 def assert_complete(parts) -> None:
     """Strict mode (the original's behaviour): raise ``ValueError`` naming the first
     report row that could not be completed (F-4 missing D-1, F-9 missing rate,
     F-10 missing FX).  Each check fetches at most one row."""
-    raise_if_any(missing_d1(parts.rows), "'Date D-1' value is missing")
-    raise_if_any(invalid_rates(parts.merged), "Missing 'Tax Collected' value")
+    raise_if_any(missing_d1(parts.rows), "a row has no previous business day")
+    raise_if_any(invalid_rates(parts.merged), "a row has no withholding rate")
     raise_if_any(parts.quarantine, "No exchange rate found within the look-back")

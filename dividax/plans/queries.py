@@ -800,6 +800,68 @@ def q_zero_denominator_zero_rate(spark, sf):
     return A.zero_denominator_report(_edge_parts(spark, sf).rows)
 
 
+@register("missing_d1", _sql("""
+SELECT acct, date, ticker, type, comment FROM _rows2 WHERE net2 IS NOT NULL AND ticker LIKE '%.US'""", PIPE))
+def q_missing_d1(spark, sf):
+    """F-4, on rows of US tickers that have lost their previous business day."""
+    rows = _parts(spark, sf).rows
+    lost = rows.withColumn("date_d1", F.when(~F.col("ticker").endswith(".US"), F.col("date_d1")))
+    return Q.missing_d1(lost).select("acct", "date", "ticker", "type", "comment")
+
+
+@register("invalid_rates", _sql("SELECT acct, date, ticker FROM _mm WHERE rate_source = 'default'", PIPE))
+def q_invalid_rates(spark, sf):
+    """F-9, where no default rate fills the gap."""
+    merged = _parts(spark, sf).merged
+    return Q.invalid_rates(merged.withColumn("wht_rate", F.when(F.col("rate_source") != "default", F.col("wht_rate"))))
+
+
+@register("observed_checks", _sql(f"""
+SELECT 'missing_d1' AS rule, CAST(0 AS BIGINT) AS violations, CAST(NULL AS VARCHAR) AS first_row
+UNION ALL SELECT 'invalid_rate', count(*), min(concat_ws(' ', CAST(acct AS VARCHAR), CAST(date AS VARCHAR), ticker)) FROM rep_all WHERE wht_rate IS NULL
+UNION ALL SELECT 'missing_fx', count(*), min(concat_ws(' ', CAST(acct AS VARCHAR), CAST(date AS VARCHAR), ticker)) FROM rep_all WHERE quarantined
+""" + "".join(f"""UNION ALL SELECT '{name}', count(*), min(concat_ws(' ', CAST(acct AS VARCHAR), CAST(date AS VARCHAR), ticker)) FROM rep WHERE {bad}
+""" for name, bad in (("null_date", "date IS NULL"), ("null_net", "net_dividend IS NULL"), ("null_shares", "shares IS NULL"), ("negative_shares", "shares < 0"),
+                      ("bad_ticker", f"NOT {O.matches("COALESCE(ticker, '')", K.RE_TICKER)}"))), DAMAGED))
+def q_observed_checks(spark, sf):
+    """F-4, F-9, F-10, F-14 counted while the report is written."""
+    from ..sources.report_io import scratch_path
+    checks = Q.ReportChecks()
+    build_report_parts(_damaged(spark, sf), _fx_index(spark, sf), checks=checks).report.write.parquet(scratch_path(spark, "checked"))
+    return spark.createDataFrame([(name, n, first) for name, (n, first) in checks.violations().items()], "rule string, violations long, first_row string")
+
+
+@register("tax_due_custom_rate", _sql("SELECT acct, date, ticker, wht_rate, tax_due_pln FROM rep", BASE + "," + O.pipeline_ctes(tax_rate=0.25)))
+def q_tax_due_custom_rate(spark, sf):
+    """M-6: another flat rate."""
+    return _parts(spark, sf, TaxParams(tax_rate=0.25)).report.select("acct", "date", "ticker", "wht_rate", "tax_due_pln")
+
+
+_EXPORT = REGISTRY["export_roundtrip"][1]
+_ORDERED = _EXPORT.replace('SELECT CAST(acct AS VARCHAR) AS acct, strftime(date', """SELECT row_number() OVER (ORDER BY CAST(acct AS VARCHAR), date, ticker) AS ordinal,
+       CAST(acct AS VARCHAR) AS acct, strftime(date""")
+
+
+def _ordered_export(spark, sf):
+    from ..sources.report_io import prepare_export, scratch_path, write_ordered
+    display = display_report(_parts(spark, sf).report)
+    return write_ordered(prepare_export(display.withColumn("acct", F.col("acct").cast("string"))), scratch_path(spark, "ordered"))
+
+
+@register("export_ordered", _ORDERED)
+def q_export_ordered(spark, sf):
+    """O-1: every exported row with its place, read back."""
+    from ..sources.report_io import read_ordered
+    return read_ordered(spark, _ordered_export(spark, sf))
+
+
+@register("export_without_raw_tax", _EXPORT)
+def q_export_without_raw_tax(spark, sf):
+    """P-17: the raw tax column goes where the percent column stands beside it."""
+    from ..sources.report_io import report_roundtrip
+    return report_roundtrip(spark, display_report(_parts(spark, sf).report).withColumn("Tax Collected", F.lit(0.5)))
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

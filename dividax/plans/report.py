@@ -29,6 +29,7 @@ from ..operators.dividends import (
     split_tax_rows,
 )
 from ..operators.fx_join import FxIndex
+from ..operators.quality import ReportChecks
 from ..operators.tax import add_tax_columns
 from ..params import TaxParams
 from ..session import materialize
@@ -55,8 +56,8 @@ def shares_stage(rows: DataFrame, fx: FxIndex, params: TaxParams) -> DataFrame:
 
 
 def build_report_parts(stmt: DataFrame, fx: DataFrame | FxIndex, params: TaxParams | None = None,
-                       materialized: bool = False) -> ReportParts:
-    """All stages of the report.  With ``materialized`` the merged table is computed
+                       materialized: bool = False, checks: ReportChecks | None = None) -> ReportParts:
+    """All stages of the report.  ``checks`` are counted in the pass that computes it.  With ``materialized`` the merged table is computed
     once and checkpointed, so report, quarantine and totals do not each recompute
     the pipeline (use it when more than one output is written)."""
     if stmt is None or fx is None:
@@ -65,11 +66,14 @@ def build_report_parts(stmt: DataFrame, fx: DataFrame | FxIndex, params: TaxPara
     index = fx if isinstance(fx, FxIndex) else FxIndex(fx, params)
     prepared = prepare_rows(stmt)
     rows = shares_stage(prepared, index, params)
+    rows = checks.on_rows(rows) if checks else rows
     merged = add_tax_columns(merge_rows(rows), index, params)
-    if materialized:
-        merged = materialize(merged)
     bad = F.coalesce(F.col("fx_missing_shares"), F.lit(False)) | F.col("fx_missing_report")
     scored = merged.withColumn("quarantined", bad)
+    scored = checks.on_report(scored) if checks else scored
+    if materialized:
+        scored = materialize(scored)
+        merged = scored.drop("quarantined")
     report = scored.where(~F.col("quarantined")).select(*REPORT_COLUMNS)
     quarantine = scored.where("quarantined").select(
         *MERGE_KEYS,

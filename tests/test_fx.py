@@ -123,3 +123,21 @@ def test_jobs_share_a_stored_index_and_leave_nothing_cached(spark, tmp_dir):
     assert FxIndex.open(spark, path).rows == index.rows > 0
     assert FxIndex.stored(other, f"{tmp_dir}/rates-v2").lookup(t, F.col("currency"), F.col("target_date"), "rate").first()["rate"] == 5.0
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == cached
+
+
+def test_hot_keys_beyond_the_broadcast_bound_equal_the_probe_loop(spark):
+    """Weekend rates and look-ups, a key with a third of the rows, rows that need no rate, unknown currencies."""
+    rng = random.Random(5)
+    start = dt.date(2024, 1, 1)
+    fx = [(c, start + dt.timedelta(days=d), round(rng.uniform(1, 9), 4)) for c in ("USD", "EUR", "GBP") for d in range(120) if rng.random() < (0.6 if d % 7 < 5 else 0.1) and not 40 <= d <= 60]
+    rows = [(rng.choice(["USD", "EUR", "GBP", "PLN", "XXX", None]), start + dt.timedelta(days=rng.randrange(-5, 130))) for _ in range(2000)]
+    rows += [("USD", start + dt.timedelta(days=8))] * 1500 + [(None, None)] * 500
+    rates = spark.createDataFrame(fx, "currency string, rate_date date, rate double")
+    targets = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, currency string, target_date date")
+    known = {(c, d): r for c, d, r in fx}
+    expected = {i: _probe(known, c, d) if c else None for i, (c, d) in enumerate(rows)}
+    for bound in (10_000_000, 0):
+        got = FxIndex(rates, TaxParams(broadcast_max_rows=bound)).lookup(targets, F.col("currency"), F.col("target_date"), "rate")
+        assert got.columns == ["id", "currency", "target_date", "rate"]
+        assert {r["id"]: r["rate"] for r in got.collect()} == expected
+    assert "Generate" not in got._jdf.queryExecution().toString()  # no copies of the rates

@@ -87,13 +87,22 @@ def test_plan_shape(spark):
 
 
 def test_strict_mode_raises_on_missing_fx(spark):
-    from dividax.operators.quality import assert_complete
+    from dividax.operators.quality import ReportChecks, assert_complete
     fx = spark.createDataFrame(FX, "currency string, rate_date date, rate double")
     ok = build_report_parts(_stmt_rows(spark, BASE), fx)
     assert_complete(ok)
     late = BASE + [("9", 0, "PLN", "Dividend", dt.datetime(2024, 3, 15, 10), "SBUX.US USD 0.5700/ SHR", "SBUX.US", 22.8)]
     with pytest.raises(ValueError, match="exchange rate"):
         assert_complete(build_report_parts(_stmt_rows(spark, late), fx))
+    for materialized in (False, True):  # the same, counted in the report's own pass
+        checks = ReportChecks()
+        parts = build_report_parts(_stmt_rows(spark, late), fx, materialized=materialized, checks=checks)
+        parts.report.collect()
+        found = checks.violations()
+        assert found["missing_fx"][0] == parts.quarantine.count() == 1 and "SBUX.US" in found["missing_fx"][1]
+        assert found["missing_d1"] == (0, None)
+        with pytest.raises(ValueError, match="exchange rate"):
+            checks.raise_if_any()
     with pytest.raises(ValueError):
         build_report_parts(None, fx)
 

@@ -64,3 +64,21 @@ def test_latest_archives(spark):
         "archiwum_tab_a_2021.csv", "readme.txt"]], "label string")
     got = [tuple(r) for r in latest_archives(labels).collect()]
     assert got == [(2024, "archiwum_tab_a_2024.csv"), (2023, "archiwum_tab_a_2023.csv"), (2022, "archiwum_tab_a_2022.csv")]
+
+
+def test_ordered_sink_proves_its_order(spark, tmp_dir):
+    from dividax.sources.report_io import ORDERED_SCHEMA, order_problems, read_ordered, write_ordered
+    schema = "acct string, Date string, Ticker string"
+    rows = [(str(i * 7 % 20), f"2024-01-{i % 28 + 1:02d}", f"T{i:04d}.US") for i in range(1500)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    path = write_ordered(spark.createDataFrame(rows, schema), f"{tmp_dir}/ordered")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    short = type(ORDERED_SCHEMA)(ORDERED_SCHEMA.fields[:1] + [ORDERED_SCHEMA[k] for k in ("acct", "Date", "Ticker")])
+    got = {r["ordinal"]: tuple(r)[1:] for r in read_ordered(spark, path, short).collect()}
+    assert [got[i + 1] for i in range(len(rows))] == sorted(rows)
+    assert spark.read.parquet(f"{path}/manifest").count() > 1
+    assert order_problems(spark, path, schema=short).count() == 0
+    swapped = {1: got[2], 2: got[1]}
+    out = spark.createDataFrame([(i, *swapped.get(i, r)) for i, r in got.items() if i != 1500], short)
+    out.write.mode("overwrite").option("sep", "\t").option("header", True).csv(f"{path}/rows")
+    assert {r["problem"] for r in order_problems(spark, path, schema=short).collect()} >= {"order", "rows"}
