@@ -48,7 +48,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster the folder is set by the deployment (a shared file system), and its
     absence is an error.  Only where driver and executors are one process
-    (``local[...]``, as in tests) a folder of the working directory's file system stands in.
+    (``local[...]``, as in tests) a folder of the machine's temporary folder stands in.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
