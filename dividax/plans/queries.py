@@ -540,12 +540,12 @@ def q_workbook_ingest(spark, sf):
     return rows.select("ID", "Type", "Time", "Comment", "Symbol", "Amount", "account_currency")
 
 
-def _fleet(spark, sf):
+def _fleet(spark, sf, mixed=False):
     """Typed workbooks of all statement rows, written to the shared folder and read as files: (statements, rejects)."""
     from ..sources.report_io import scratch_path
     from ..sources.workbook import cells_to_statements, read_workbook_cells, write_statement_fleet
     folder = scratch_path(spark, "fleet")
-    write_statement_fleet(_stmt(spark, sf), folder).write.parquet(f"{folder}/written")
+    write_statement_fleet(_stmt(spark, sf), folder, mixed).write.parquet(f"{folder}/written")
     return cells_to_statements(read_workbook_cells(spark, folder))
 
 
@@ -573,6 +573,30 @@ def q_workbook_rejects(spark, sf):
     return bad.select(*fleet_file("path"), reject_reason("_error").alias("reason")).distinct()
 
 
+@register("workbook_mixed", _sql("""
+SELECT id AS "ID", "Type", CAST("Time" AS DATE) AS date, "Comment", "Symbol", "Amount" AS amount, account_currency, acct, year("Time") AS year
+FROM stmt ANTI JOIN _first ON stmt.acct = _first.acct AND year("Time") = _first.year
+WHERE year("Time") % 4 <> 3""", BASE + "," + _REJECTED))
+def q_workbook_mixed(spark, sf):
+    """P-1, P-2, U-1: English, Polish and reordered files in one scan; files without amounts are left out."""
+    from ..sources.workbook import fleet_file
+    rows, _bad = _fleet(spark, sf, mixed=True)
+    return rows.select("ID", "Type", D.coerce_date("Time").alias("date"), "Comment", "Symbol", F.col("Amount").cast("decimal(18,6)").alias("amount"),
+                       "account_currency", *fleet_file("acct"))
+
+
+@register("workbook_mixed_rejects", _sql("""
+SELECT DISTINCT s.acct, year(s."Time") AS year,
+       COALESCE(['corrupt', 'no_currency', 'header_twice'][f.acct + 1], 'column_missing') AS reason
+FROM stmt s LEFT JOIN _first f ON s.acct = f.acct AND year(s."Time") = f.year
+WHERE f.acct IS NOT NULL OR year(s."Time") % 4 = 3""", BASE + "," + _REJECTED))
+def q_workbook_mixed_rejects(spark, sf):
+    """P-1: files that lack a statement column in both languages are rejected beside the damaged ones."""
+    from ..sources.workbook import fleet_file, reject_reason
+    _rows, bad = _fleet(spark, sf, mixed=True)
+    return bad.select(*fleet_file("path"), reject_reason("_error").alias("reason")).distinct()
+
+
 @register("workbook_report", _sql("""
 SELECT acct, account_currency, date, ticker, CAST(net0 AS DOUBLE) AS net_dividend, type, comment
 FROM _g ANTI JOIN _first ON _g.acct = _first.acct AND year(date) = _first.year""", PIPE + "," + _REJECTED))

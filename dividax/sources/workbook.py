@@ -31,6 +31,8 @@ _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
        "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
        "rel": "http://schemas.openxmlformats.org/package/2006/relationships"}
 _REF = re.compile(r"([A-Z]+)(\d+)")
+#: English and Polish name of every column that a statement must have.
+_HEADER_PAIRS = [(en, pl) for pl, en in K.POLISH_HEADERS.items()]
 
 
 def _col_index(letters: str) -> int:
@@ -141,7 +143,9 @@ def _currency_cell() -> tuple[int, int]:
 def statement_rows(path: str, content: bytes, sheet_name: str = K.STATEMENT_SHEET) -> Iterator[tuple]:
     """S-2 + S-3 for one workbook, streamed: ``(path, account_currency, sheet_row, {header: value}, None)``
     for every row below the header row (the first row holding ``ID``); cells under an empty header
-    are left out.  A sheet without header row, without account currency, or with a header twice is an error.
+    are left out.  Every file binds its own header: columns in any order, English or Polish names.
+    A sheet without header row, without account currency, with a header twice, or without one of the
+    statement's columns in either language is an error.
 
     A first pass reads only the top of the sheet (up to the header row and the currency cell);
     the second pass streams the data rows."""
@@ -163,6 +167,9 @@ def statement_rows(path: str, content: bytes, sheet_name: str = K.STATEMENT_SHEE
         twice = {h for h in headers.values() if list(headers.values()).count(h) > 1}
         if twice:
             raise ValueError(f"header more than once: {', '.join(sorted(twice))}")
+        missing = [en for en, pl in _HEADER_PAIRS if en not in headers.values() and pl not in headers.values()]
+        if missing:
+            raise ValueError(f"column missing: {', '.join(missing)}")
         for number, cells in _iter_rows(*source):
             named = {headers[c]: v for c, v in cells.items() if c in headers}
             if number > header_row and named:
@@ -319,13 +326,23 @@ def statement_workbooks(stmt: DataFrame) -> DataFrame:
 FLEET_DAMAGE = ("corrupt", "no_currency", "header_twice")
 
 
-def write_statement_fleet(stmt: DataFrame, folder: str) -> DataFrame:
+#: FIXED VALUES: layouts of a mixed fleet by year modulo 4: the columns in their order, under the names they have there.
+MIXED_LAYOUTS = (
+    ("ID", "Type", "Time", "Comment", "Symbol", "Amount"),
+    ("ID", "Typ", "Czas", "Komentarz", "Ticker", "Kwota"),
+    ("Amount", "Symbol", "ID", "Czas", "Komentarz", "Type"),
+    ("ID", "Type", "Time", "Comment", "Symbol"),
+)
+
+
+def write_statement_fleet(stmt: DataFrame, folder: str, mixed: bool = False) -> DataFrame:
     """Write statement rows as workbooks below ``folder``; one row per file ``(path, rows)``.
 
     Cells are typed as a broker's export types them: times are styled serial numbers, amounts
     numbers.  Files are those of :func:`statement_workbooks`; the first year of account
     ``i`` (for i = 0, 1, 2) is damaged by ``FLEET_DAMAGE[i]``: cut short, without currency cell, or
-    with a header twice.  Each task writes its files itself, by the folder's URI (any file system that
+    with a header twice.  A ``mixed`` fleet's files have the layout of their year (``MIXED_LAYOUTS``):
+    English, Polish, other order in both languages, no amounts.  Each task writes its files itself, by the folder's URI (any file system that
     Arrow opens), under names that a repeated task writes again; nothing goes through the driver."""
     n = stmt.count()
     buckets = max(1, -(-n // ROWS_PER_WORKBOOK))
@@ -341,9 +358,10 @@ def write_statement_fleet(stmt: DataFrame, folder: str) -> DataFrame:
         top = [[None] * 9 for _ in range(9)]
         top[5][5] = None if damage == "no_currency" else first["account_currency"]
         top[1][1] = "Cash operation history"
-        header = [None, *_SHEET_COLUMNS, "Amount" if damage == "header_twice" else None, None]
+        names = MIXED_LAYOUTS[int(first["year"]) % 4] if mixed else _SHEET_COLUMNS
+        header = [None, *names, names[-1] if damage == "header_twice" else None, None]
         body = [[None, *[None if pd.isna(v) else v.to_pydatetime() if isinstance(v, pd.Timestamp) else v for v in r], None, None]
-                for r in pdf[list(_SHEET_COLUMNS)].itertuples(index=False)]
+                for r in pdf[[K.POLISH_HEADERS.get(n, n) for n in names]].itertuples(index=False)]
         footer = [None, None, None, None, None, "Total", len(pdf), None, None]
         content = workbook_bytes([*top, header, *body, footer])
         path = f"{folder.rstrip('/')}/stmt-{first['acct']}-{first['year']}-{first['chunk']}.xlsx"
@@ -372,7 +390,7 @@ def fleet_file(path: str) -> tuple[Column, Column]:
 
 
 def reject_reason(error: str) -> Column:
-    """Kind of a rejected file from the reader's message: one of ``FLEET_DAMAGE``, ``no_header`` or ``unreadable``."""
+    """Kind of a rejected file from the reader's message: one of ``FLEET_DAMAGE``, ``no_header``, ``column_missing`` or ``unreadable``."""
     e = F.col(error)
     return (F.when(e.contains("no account currency"), "no_currency").when(e.contains("header more than once"), "header_twice")
-            .when(e.contains("header row"), "no_header").when(e.startswith("BadZipFile"), "corrupt").otherwise("unreadable"))
+            .when(e.contains("header row"), "no_header").when(e.contains("column missing"), "column_missing").when(e.startswith("BadZipFile"), "corrupt").otherwise("unreadable"))

@@ -135,3 +135,14 @@ def test_fleet_files_are_written_once_and_damaged_ones_rejected(spark, tmp_dir):
     got = {r["ID"]: (r["Comment"], r["Amount"] and float(r["Amount"]), r["Time"]) for r in found.collect()}
     assert got == {i: (c, v, str(t)) for i, a, _, _, t, c, _, v in rows if t.year == 2021 or a == 3}
     assert found.where(F.col("account_currency") != "PLN").count() == 0
+
+
+def test_a_file_binds_its_own_header(spark, tmp_dir):
+    values = {"ID": "5", "Type": "Dividend", "Time": "12.01.2024 10:00:00", "Comment": "c", "Symbol": "A.US", "Amount": "2.5"}
+    names = {"ID": "ID", "Type": "Typ", "Time": "Czas", "Comment": "Komentarz", "Symbol": "Ticker", "Amount": "Kwota"}
+    for i, (order, polish) in enumerate([(list(values), False), (list(values)[::-1], True), (["Amount", "ID", "Time", "Symbol", "Type", "Comment"], False), (["ID", "Type", "Time"], True)]):
+        write_workbook(os.path.join(tmp_dir, f"{i}.xlsx"), _sheet("USD", [names[c] if polish else c for c in order], [[values[c] for c in order]]))
+    rows, bad = cells_to_statements(read_workbook_cells(spark, tmp_dir))
+    got = rows.select(*values).collect()
+    assert len(got) == 3 and all(r.asDict() == values for r in got)
+    assert [r["_error"].split(": ", 1)[1] for r in bad.collect()] == ["column missing: Symbol, Comment, Amount"]
