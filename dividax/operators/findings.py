@@ -21,9 +21,13 @@ def flatten_findings(reports: DataFrame) -> DataFrame:
     rule ``unknown``, path ``unknown`` with ``\\`` -> ``/``, line 1, message
     ``Security issue detected``, level from severity (default ``note``), and a
     ``path:line`` fingerprint."""
-    r = reports.select("report_id", F.posexplode("results").alias("pos", "r"))
+    return flatten_results(reports.select("report_id", F.posexplode("results").alias("pos", "r")))
+
+
+def flatten_results(results: DataFrame) -> DataFrame:
+    """T-11 over rows of one result each (``report_id, pos, r``), as ``read_large_findings`` gives them."""
     found = _finding(F.col("r"))
-    return r.select("report_id", F.col("pos").alias("result_index"), *[c.alias(name) for name, c in found.items()])
+    return results.select("report_id", F.col("pos").alias("result_index"), *[c.alias(name) for name, c in found.items()])
 
 
 def _finding(r: Column) -> dict[str, Column]:
@@ -82,7 +86,7 @@ def finding_counts(reports: DataFrame) -> DataFrame:
         "report_id",
         "status",
         known(totals["loc"]).alias("lines_scanned"),
-        known(F.size(F.col("results"))).alias("total_issues"),
+        known(F.col("n_results") if "n_results" in reports.columns else F.size(F.col("results"))).alias("total_issues"),
     ]
     for name, key in K.SEVERITY_NAMES:
         cols.append(known(totals[f"SEVERITY.{key}"]).alias(name.lower()))

@@ -656,6 +656,20 @@ def q_findings_flat(spark, sf):
     return flatten_findings(_findings(spark, sf))
 
 
+def _large_findings(spark, sf):
+    from ..sources.findings import findings_from_events, read_large_findings, write_documents
+    from ..sources.report_io import scratch_path
+    path = write_documents(findings_from_events(spark, sf), scratch_path(spark, "documents"))
+    return read_large_findings(spark, path, scratch_path(spark, "cut"))
+
+
+@register("findings_flat_documents", REGISTRY["findings_flat"][1])
+def q_findings_flat_documents(spark, sf):
+    """S-16 over indented documents that are cut into results line by line."""
+    from ..operators.findings import flatten_results
+    return flatten_results(_large_findings(spark, sf)[1])
+
+
 @register("finding_counts", _sql("""
 SELECT report_id, 'ok' AS status, CAST(count(*) * 25 + sum(whole) AS BIGINT) AS lines_scanned, CAST(count(*) AS INTEGER) AS total_issues,
        CAST(count_if(sev = 'HIGH') AS BIGINT) AS high,
@@ -667,6 +681,12 @@ def q_finding_counts(spark, sf):
     return finding_counts(_findings(spark, sf))
 
 
+@register("finding_counts_documents", REGISTRY["finding_counts"][1])
+def q_finding_counts_documents(spark, sf):
+    from ..operators.findings import finding_counts
+    return finding_counts(_large_findings(spark, sf)[0])
+
+
 @register("top_rules", _sql("""
 SELECT report_id, CAST(rk AS INTEGER) AS rank, rule_id, n FROM (
   SELECT report_id, rule_id, n, row_number() OVER (PARTITION BY report_id ORDER BY n DESC, rule_id) AS rk

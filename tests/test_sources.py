@@ -82,3 +82,52 @@ def test_ordered_sink_proves_its_order(spark, tmp_dir):
     out = spark.createDataFrame([(i, *swapped.get(i, r)) for i, r in got.items() if i != 1500], short)
     out.write.mode("overwrite").option("sep", "\t").option("header", True).csv(f"{path}/rows")
     assert {r["problem"] for r in order_problems(spark, path, schema=short).collect()} >= {"order", "rows"}
+
+
+def test_long_documents_are_cut_into_results(spark, tmp_dir):
+    """Splits of a few hundred bytes: every document spans many, results too; held against ``json``."""
+    from dividax.operators.findings import flatten_results
+    from dividax.sources.findings import read_large_findings
+
+    texts = ['a "quoted" {brace', "back\\slash \\\\", "], [ }", "zażółć\nline", "", "x" * 700]
+    results = [{"test_id": f"B{i}", "filename": f"d\\{i}.py", "line_number": i, "issue_text": texts[i % 6], "more": {"deep": [1, {"a": []}]},
+                "issue_severity": ("HIGH", "LOW", None)[i % 3]} for i in range(200)]
+    doc = {"errors": [[], {"results": []}], "metrics": {"a.py": {"loc": 1}, "_totals": {"loc": 7, "SEVERITY.HIGH": 67}, "z.py": {"loc": 2}}, "results": results, "report_id": "named"}
+    whole = {
+        "indented": json.dumps(doc, indent=2), "one_line": json.dumps(doc | {"report_id": None}),
+        "tight": json.dumps(doc | {"report_id": "q\"t"}, indent=0, separators=(",", ":")), "none": json.dumps({"results": [], "metrics": {}}, indent=1),
+        "lines": json.dumps({"results": results[:9]}).replace("}, {", "}\n, {"), "empty": "{}",
+    }
+    broken = {"cut": json.dumps(doc, indent=2)[:-3000], "more": json.dumps(doc, indent=2) + "}", "scalar": json.dumps({"results": [results[0], 5]}),
+              "string": '{"results": [{"test_id": "B1}]}', "colon": '{"results"\n: []}', "inner": '{"results": [{"test_id" 5}]}'}
+    os.makedirs(os.path.join(tmp_dir, "in"))
+    for name, text in (whole | broken).items():
+        with open(os.path.join(tmp_dir, "in", f"{name}.json"), "w", encoding="utf-8") as f:
+            f.write(text)
+    sizes = {"spark.sql.files.maxPartitionBytes": "700b", "spark.sql.files.openCostInBytes": "1b"}
+    before = {k: spark.conf.get(k) for k in sizes}
+    for k, v in sizes.items():
+        spark.conf.set(k, v)
+    try:
+        reports, found = read_large_findings(spark, os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "scratch"))
+        splits = spark.read.parquet(os.path.join(tmp_dir, "scratch", "lines")).select("file", "block").distinct().groupBy("file").count().agg(F.max("count")).first()[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert splits > 20
+    short = lambda i: i.rsplit("/", 1)[-1].removesuffix(".json")
+    counts = {short(r["report_id"]): r for r in finding_counts(reports).collect()}
+    names = {"indented": "named", "tight": 'q"t'}
+    assert {n for n, r in counts.items() if r["status"] != "ok"} == set(broken)
+    assert {n for n, r in counts.items() if r["status"] == "ok"} == {names.get(n, n) for n in whole}
+    got = {}
+    for r in found.collect():
+        got.setdefault(short(r["report_id"]), {})[r["pos"]] = r["r"].asDict()
+    for name, text in whole.items():
+        want, n = json.loads(text), names.get(name, name)
+        fields = ("test_id", "filename", "line_number", "issue_text", "issue_severity")
+        assert [got.get(n, {})[i] for i in range(len(want.get("results", [])))] == [{f: x[f] for f in fields} for x in want.get("results", [])]
+        assert len(got.get(n, {})) == counts[n]["total_issues"] == len(want.get("results", []))
+        assert counts[n]["lines_scanned"] == want.get("metrics", {}).get("_totals", {}).get("loc", 0)
+    assert set(got) <= {names.get(n, n) for n in whole}
+    assert flatten_results(found).where("report_id = 'named'").count() == 200
