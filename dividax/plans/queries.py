@@ -304,6 +304,21 @@ def q_fx_archive_scan(spark, sf):
     return fx_long(read_fx_archives(spark, f"{base}/*/*/*.csv"))
 
 
+@register("fx_archive_discovery", REGISTRY["fx_archive_scan"][1])
+def q_fx_archive_discovery(spark, sf):
+    """S-7: a data folder with an archive per year, and a CSV before them whose (wrong) rates would win."""
+    from ..sources.fx import archive_glob, read_fx_archives
+    from ..sources.report_io import scratch_path
+    base = scratch_path(spark, "fx-folder")
+    wide = synthetic_fx_wide(spark, sf)
+    rates = [F.col(f"`{c}`") for c in K.FX_ARCHIVE_COLUMNS.values()]
+    csv = {"sep": ";", "header": True}
+    name = F.concat(F.substring("file_name", 16, 4), F.lit(".csv")).alias("archiwum_tab_a_year")  # folders archiwum_tab_a_year=<year>.csv
+    wide.select(name, "data", *rates).write.partitionBy("archiwum_tab_a_year").options(**csv).csv(base)
+    wide.select("data", *[F.lit("99,0").alias(c) for c in K.FX_ARCHIVE_COLUMNS.values()]).write.options(**csv).csv(f"{base}/a_kursy.csv")
+    return fx_long(read_fx_archives(spark, archive_glob(base)))
+
+
 _TARGET_CURRENCIES = ("USD", "EUR", "GBP", "DKK", "PLN", "SEK")
 _TARGETS_SQL = f"""
 _tg AS (SELECT unnest({O.sql_list(_TARGET_CURRENCIES)}) AS currency, target_date
