@@ -25,9 +25,18 @@ def parse_statement_date(text: Column | str, fmt: str = STATEMENT_TIME_FORMAT) -
 def coerce_date(value: Column | str, formats: tuple[str, ...] = (STATEMENT_TIME_FORMAT, "yyyy-MM-dd", "yyyy-MM-dd H:m:s")) -> Column:
     """C-2: a column that may hold a timestamp, a date or text -> DATE, bad -> NULL.
 
-    Text is tried against each accepted layout in turn."""
-    c = _col(value).cast("string")
-    return F.coalesce(*[F.try_to_timestamp(F.trim(c), F.lit(f)).cast("date") for f in formats])
+    Text is tried against each accepted layout in turn, left out where its dots or colons already rule it out
+    (a failed parse costs many times one that succeeds)."""
+    c = F.trim(_col(value).cast("string"))
+
+    def parsed(layout: str) -> Column:
+        date = F.try_to_timestamp(c, F.lit(layout)).cast("date")
+        if set(layout) - set("yMdHms-.:/ "):  # other fields may hold any sign
+            return date
+        fits = [c.contains(sign) if sign in layout else ~c.contains(sign) for sign in ".:"]
+        return F.when(fits[0] & fits[1], date)
+
+    return F.coalesce(*[parsed(f) for f in formats])
 
 
 def to_date_only(ts: Column | str) -> Column:

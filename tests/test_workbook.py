@@ -146,3 +146,61 @@ def test_a_file_binds_its_own_header(spark, tmp_dir):
     got = rows.select(*values).collect()
     assert len(got) == 3 and all(r.asDict() == values for r in got)
     assert [r["_error"].split(": ", 1)[1] for r in bad.collect()] == ["column missing: Symbol, Comment, Amount"]
+
+
+def test_files_are_sized_by_account_and_year(spark, tmp_dir, monkeypatch):
+    from dividax.sources import workbook as W
+    monkeypatch.setattr(W, "ROWS_PER_WORKBOOK", 10)
+    rows = [(f"{a}-{y}-{i}", a, "PLN", "Dividend", dt.datetime(y, 3, 1), "c", "X.PL", i / 4) for a in range(4) for y in (2020, 2021) for i in range(30 if a == 3 else 6)]
+    stmt = spark.createDataFrame(rows, "id string, acct int, account_currency string, Type string, Time timestamp, Comment string, Symbol string, Amount double")
+    files = W.write_statement_fleet(stmt, f"{tmp_dir}/fleet").collect()
+    small = [r for r in files if not os.path.basename(r["path"]).startswith("stmt-3-")]
+    assert len(small) == 6 and all(r["rows"] == 6 for r in small)  # not cut by the rows of other accounts
+    assert 2 < len(files) - len(small) <= 6 and sum(r["rows"] for r in files) == len(rows)
+
+
+def test_sheets_in_any_form_give_the_same_cells(monkeypatch):
+    import io
+    from xml.etree import ElementTree as ET
+
+    from dividax.sources import workbook as W
+    values = [None, "", "a & b <c>", "Łódź", 5, 2.5, dt.datetime(2024, 1, 12, 3, 4, 5), " x ", "two\nlines"]
+    plain = "".join(W._row_xml(i, values[i % 9:] + values[: i % 9]) for i in range(1, 60)).encode()
+    source = (["one", "two"], {1}, dt.datetime(1899, 12, 30))
+
+    def both(rows, tail=b"</sheetData></worksheet>"):
+        sheet = b'<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="%s"><sheetData>' % W._NS["m"].encode() + rows + tail
+        found = []
+        for read in (lambda fh: W._iter_rows(fh, *source), lambda fh: (
+                (int(n), dict(zip(c.to_pylist()[a:b], v.to_pylist()[a:b]))) for numbers, ends, c, v in W._iter_cells(fh, *source)
+                for n, a, b in zip(numbers, ends[:-1], ends[1:]) if b > a)):
+            out = []
+            try:
+                out.extend(row for row in iter(read(io.BytesIO(sheet)).__next__, None))
+            except StopIteration:
+                pass
+            except ET.ParseError:
+                out.append("error")
+            found.append(out)
+        return found
+
+    monkeypatch.setattr(W, "BYTES_PER_BATCH", 1000)
+    row = lambda cell: plain + b'<row r="70">' + cell + b"</row>"
+    forms = [plain, plain.replace(b"<c ", b"\n <c "), plain.replace(b'<row r="20">', b'<!-- </row> --><row r="20">'), plain.replace(b"&amp;", b"&#38;"),
+             plain.replace(b"&amp;", b"&x;"), row(b'<c r="A70" t="s"><v>1</v></c><c r="B70" s="1"/>'), row(b'<c r="B70"><f>A1</f><v>4</v></c>'),
+             row(b'<c r="A70" t="b"><v>1</v></c><c r="B70" t="e"><v>#N/A</v></c>'), row(b'<c r="A70" t="inlineStr"><is><r><t>To</t></r><r><t>tal</t></r></is></c>'),
+             row(b'<c r="B70"><v>1</v></c><c r="B70"><v>2</v></c>'), row(b'<c r="B71"><v>1</v></c>'), plain + b'<row r="70"/>', plain + b"</row>"]
+    for rows in forms:
+        assert len(set(map(str, both(rows)))) == 1
+    assert both(plain, b"</sheetData>") == [both(plain)[0] + ["error"]] * 2 and both(plain[:-40], b"")[1][-1] == "error"
+    monkeypatch.setattr(W, "_iter_rows", lambda fh, *_s: iter(()) if b"<row" not in fh.read() else 1 / 0)  # plain rows take column operations
+    assert sum(len(n) for n, *_ in W._iter_cells(io.BytesIO(b'<worksheet xmlns="%s"><sheetData>%s</sheetData></worksheet>' % (W._NS["m"].encode(), plain)), *source)) == 59
+
+
+def test_layouts_without_a_chance_are_not_tried(spark):
+    from dividax.functions.dates import coerce_date
+    texts = ["2024-01-12 3:04:05", "2024-01-12", "12.01.2024 10:00:00", "1.2.2024 1:2:3", " 2024-01-12 ", "2024-01-12T03:04:05", "12.01.2024", "x", "", None, "2024-13-01"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] and str(r[0]) for r in df.select(coerce_date("t")).collect()]
+    assert got == ["2024-01-12", "2024-01-12", "2024-01-12", "2024-02-01", "2024-01-12", None, None, None, None, None, None]
+    assert "CASE WHEN" in df.select(coerce_date("t"))._jdf.queryExecution().optimizedPlan().toString()
