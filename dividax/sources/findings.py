@@ -11,10 +11,19 @@ job, and missing sections are NULL (treated as empty / 0 downstream).
 
 from __future__ import annotations
 
+import hashlib
+from collections import Counter
+from collections.abc import Iterator
+from urllib.parse import quote
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from .workbook import write_bytes
+
 RESULT_TYPE = StructType([
     StructField("test_id", StringType()),
     StructField("filename", StringType()),
@@ -53,6 +62,10 @@ def read_findings(spark: SparkSession, path: str, multiline: bool = True) -> Dat
 _TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"(?:\s*:)?|[{}\[\],:]|[^\s"{}\[\],:]+|"'
 
 
+#: A line that holds one member with a plain value: no bracket changes its depth.
+_MEMBER_LINE = r'^\s*+"[^"\\]*+"\s*+:\s*+(?:"[^"\\]*+"|[^\s"{}\[\],:]++)\s*+,?\s*+$'
+
+
 def _step(token: Column) -> Column:
     """How far a token changes the depth of brackets."""
     return F.when(token.isin("{", "["), 1).when(token.isin("}", "]"), -1).otherwise(0)
@@ -92,7 +105,8 @@ def read_large_findings(spark: SparkSession, path: str, scratch: str) -> tuple[D
     walk = F.aggregate(
         F.transform("tokens", _step), F.struct(F.lit(0).alias("net"), F.lit(0).alias("low")),
         lambda s, d: F.struct((s["net"] + d).alias("net"), F.least(s["low"], s["net"] + d).alias("low")))
-    lines.withColumn("tokens", tokens).withColumn("walk", walk).select(
+    member = F.col("value").rlike(_MEMBER_LINE)  # most lines: no token counts, so they aren't cut
+    lines.withColumn("tokens", F.when(member, F.array().cast("array<string>")).otherwise(tokens)).withColumn("walk", walk).select(
         "file", "block", "at", "value", "walk.net", "walk.low",
         F.exists("tokens", lambda t: t.isin('"', ":")).alias("broken"),
         (F.size(F.filter("tokens", lambda t: t == "{")) - F.size(F.filter("tokens", lambda t: t == "}"))).alias("braces"),
@@ -165,9 +179,24 @@ def read_large_findings(spark: SparkSession, path: str, scratch: str) -> tuple[D
 
 
 def write_documents(reports: DataFrame, path: str) -> str:
-    """Sink of reports as indented documents, one file each (a folder per report), overwrite."""
+    """Sink of reports as indented documents, one file each, overwrite.
+
+    Each task writes its files itself, by the folder's URI, under names that a repeated task writes again; the
+    driver neither moves nor commits them one by one."""
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, copies = TaskContext.get().partitionId(), Counter()
+        for batch in batches:
+            for report, body in zip(batch["report"].to_pylist(), batch["value"].to_pylist()):
+                content = f"{body}\n".encode()
+                name = f"{quote(report or '', safe='')[:100]}-{task}-{hashlib.sha256(content).hexdigest()[:16]}"
+                copies[name] += 1
+                write_bytes(f"{path}/{name}-{copies[name]}.json", content)
+            yield pa.RecordBatch.from_pydict({"files": pa.array([batch.num_rows], pa.int64())})
+
+    reports.sparkSession.createDataFrame([], "value string").write.mode("overwrite").text(path)  # an empty folder
     body = F.to_json(F.struct(*[c for c in ("report_id", "metrics", "results") if c in reports.columns]), {"pretty": "true"})
-    reports.select(F.col("report_id").alias("report"), body.alias("value")).write.partitionBy("report").mode("overwrite").text(path)
+    rows = reports.select(F.col("report_id").alias("report"), body.alias("value"))
+    rows.mapInArrow(write, "files long").write.format("noop").mode("overwrite").save()
     return path
 
 

@@ -131,3 +131,21 @@ def test_long_documents_are_cut_into_results(spark, tmp_dir):
         assert counts[n]["lines_scanned"] == want.get("metrics", {}).get("_totals", {}).get("loc", 0)
     assert set(got) <= {names.get(n, n) for n in whole}
     assert flatten_results(found).where("report_id = 'named'").count() == 200
+
+
+def test_documents_are_written_as_files_of_one_folder(spark, tmp_dir):
+    from dividax.sources.findings import read_large_findings, write_documents
+
+    ids = ["a/b c", "ą=%", "same", "same", None]
+    rows = [(r, ({"loc": i},), [(f"B{j}", "x{.py", j, 'say "hi" : [', None) for j in range(i)]) for i, r in enumerate(ids)]
+    reports = spark.createDataFrame(rows, "report_id string, metrics struct<_totals: struct<loc: bigint>>, "
+                                    "results array<struct<test_id: string, filename: string, line_number: bigint, issue_text: string, issue_severity: string>>")
+    path = os.path.join(tmp_dir, "documents")
+    for _ in range(2):  # overwritten, not added to
+        write_documents(reports.repartition(3), path)
+    names = [n for n in os.listdir(path) if n.endswith(".json")]
+    assert len(names) == len(ids) and not [n for n in os.listdir(path) if os.path.isdir(os.path.join(path, n))]
+    found, results = read_large_findings(spark, path, os.path.join(tmp_dir, "cut"))
+    got = sorted((r["status"], r["lines_scanned"], r["total_issues"], r["report_id"]) for r in finding_counts(found).collect())
+    assert [g[:3] for g in got] == [("ok", i, i) for i in range(5)] and [g[3] for g in got[:4]] == ids[:4] and got[4][3].endswith(".json")
+    assert results.where("""r.filename = 'x{.py' AND r.issue_text = 'say "hi" : [' AND r.test_id = concat('B', pos)""").count() == 10
