@@ -61,36 +61,29 @@ def synthetic_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     qn = (F.col("q") * F.col("n")).cast("decimal(18,2)")
     ok_ln = F.concat(F.col("ok").cast("string"), F.lit("-"), F.col("ln").cast("string"))
-    dividend = F.struct(
-        F.concat(F.lit("D"), ok_ln).alias("id"),
-        F.when(F.col("ln") == 7, "Deposit").when(F.col("ln") % 2 == 0, "Dividend").otherwise("Dywidenda").alias("Type"),
-        F.when(F.col("ln") == 7, F.lit("Blik top up"))
-        .otherwise(
-            F.concat_ws(
-                "",
-                F.col("Symbol"), F.lit(" "), F.col("cur"), F.lit(" "),
-                F.floor(F.col("n") / 100).cast("string"), F.lit("."),
-                F.lpad((F.col("n") % 100).cast("string"), 2, "0"), F.lit("00/ SHR"),
-            )
-        )
-        .alias("Comment"),
-        (qn / 100).cast("decimal(18,6)").alias("Amount"),
+    # one scan of lineitem; each line becomes one or two legs, whose texts are made after that, so that unread ones never are
+    legs = F.when((F.col("w") < 5) & (F.col("ln") != 7), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    tax, even, deposit = F.col("tax"), F.col("ln") % 2 == 0, F.col("ln") == 7
+    per_share = F.concat_ws(
+        "",
+        F.col("Symbol"), F.lit(" "), F.col("cur"), F.lit(" "),
+        F.floor(F.col("n") / 100).cast("string"), F.lit("."),
+        F.lpad((F.col("n") % 100).cast("string"), 2, "0"), F.lit("00/ SHR"),
     )
-    tax = F.struct(
-        F.concat(F.lit("T"), ok_ln).alias("id"),
-        F.when(F.col("ln") % 2 == 0, "Withholding Tax").otherwise("Podatek od dywidend").alias("Type"),
-        F.concat_ws(
-            "", F.col("Symbol"), F.lit(" "), F.col("cur"), F.lit(" WHT "),
-            _pick(WHT_PCT_BY_W, F.col("w")).cast("string"), F.lit("%"),
-        ).alias("Comment"),
-        (-(qn / 1000)).cast("decimal(18,6)").alias("Amount"),
+    withheld = F.concat_ws(
+        "", F.col("Symbol"), F.lit(" "), F.col("cur"), F.lit(" WHT "),
+        _pick(WHT_PCT_BY_W, F.col("w")).cast("string"), F.lit("%"),
     )
-    # one scan of lineitem; each line becomes one or two legs
-    legs = F.when((F.col("w") < 5) & (F.col("ln") != 7), F.array(dividend, tax)).otherwise(F.array(dividend))
-    out = base.select("acct", "Time", "Symbol", F.explode(legs).alias("leg"))
-    return out.select(
-        "leg.id", "acct", account_currency_of(F.col("acct")).alias("account_currency"),
-        "leg.Type", "Time", "leg.Comment", "Symbol", "leg.Amount",
+    return base.select("*", F.explode(legs).alias("tax")).select(
+        F.concat(F.when(tax, "T").otherwise("D"), ok_ln).alias("id"),
+        "acct",
+        account_currency_of(F.col("acct")).alias("account_currency"),
+        F.when(tax, F.when(even, "Withholding Tax").otherwise("Podatek od dywidend"))
+        .otherwise(F.when(deposit, "Deposit").when(even, "Dividend").otherwise("Dywidenda")).alias("Type"),
+        "Time",
+        F.when(tax, withheld).otherwise(F.when(deposit, F.lit("Blik top up")).otherwise(per_share)).alias("Comment"),
+        "Symbol",
+        F.when(tax, (-(qn / 1000)).cast("decimal(18,6)")).otherwise((qn / 100).cast("decimal(18,6)")).alias("Amount"),
     )
 
 

@@ -204,3 +204,14 @@ def test_layouts_without_a_chance_are_not_tried(spark):
     got = [r[0] and str(r[0]) for r in df.select(coerce_date("t")).collect()]
     assert got == ["2024-01-12", "2024-01-12", "2024-01-12", "2024-02-01", "2024-01-12", None, None, None, None, None, None]
     assert "CASE WHEN" in df.select(coerce_date("t"))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_counting_statement_rows_makes_none_of_their_texts(spark):
+    from conftest import SF_SMALL
+
+    from dividax.sources.statements import synthetic_statements
+    stmt = synthetic_statements(spark, SF_SMALL)
+    plan = stmt.groupBy("acct").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert "SHR" not in plan and "WHT" not in plan and "decimal" not in plan  # chunk sizes are counted over all rows
+    legs = {r["kind"]: r["n"] for r in stmt.selectExpr("substr(id, 1, 1) kind", "id").groupBy("kind").agg({"id": "count"}).withColumnRenamed("count(id)", "n").collect()}
+    assert legs["D"] > legs["T"] > 0 and stmt.where("id like 'T%' and Amount > 0 or id like 'D%' and Amount < 0").count() == 0
