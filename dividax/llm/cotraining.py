@@ -28,6 +28,14 @@ PSEUDO = 0.5
 
 # ---------------------------------------------------------------- features
 
+def _distinct(values):
+    """Ascending distinct integers by a sort, which takes a small part of the time of numpy's ``unique`` (a hash table)."""
+    import numpy as np
+
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
 def _text_features(raw, offsets):
     """(document, feature) pairs of the distinct words and word beginnings, and a few style figures of each text."""
     import numpy as np
@@ -38,9 +46,9 @@ def _text_features(raw, offsets):
     start, end, doc = LOOSE.spans(raw, offsets)
     shift, high = np.uint64(64 - TEXT_BITS), doc.astype(np.int64) << TEXT_BITS
     of = lambda last, salt: high | (mix(LOOSE.hashes(raw, start, last) + np.uint64(salt)) >> shift).astype(np.int64)
-    whole = np.unique(of(end, 0))
+    whole = _distinct(of(end, 0))
     # word beginnings catch families of words of which each one is rare
-    pairs = np.unique(np.concatenate([whole, *(of(np.minimum(end, start + k), k) for k in _STEMS)]))
+    pairs = _distinct(np.concatenate([whole, *(of(np.minimum(end, start + k), k) for k in _STEMS)]))
     owner, feature = pairs >> TEXT_BITS, pairs & ((1 << TEXT_BITS) - 1)
     per = lambda mask: np.diff(np.concatenate([[0], np.cumsum(mask)])[offsets])
     chars, count = np.maximum(np.diff(offsets), 1), np.bincount(doc, minlength=n)

@@ -463,3 +463,20 @@ def test_one_copy_stays_of_rows_without_or_with_equal_ids(spark):
 def test_every_operator_is_registered():
     assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()} == set(range(1, 14))
     assert set(queries.oracle_sql()) <= set(queries.queries())
+
+
+def test_text_features_are_told_apart_by_a_sort(monkeypatch):
+    import numpy as np
+
+    from dividax.llm import cotraining as C
+    from dividax.llm.hashing import LOOSE, mix
+
+    texts = [b"the cat the Cat catalogue", b"", b"...", "łódź łódź cat".encode(), b"a" * 50 + b" a"]
+    raw, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    start, end, doc = LOOSE.spans(raw, offsets)
+    of = lambda last, salt: (mix(LOOSE.hashes(raw, start, last) + np.uint64(salt)) >> np.uint64(64 - C.TEXT_BITS)).tolist()
+    wanted = sorted({(i, f) for fs in (of(end, 0), *(of(np.minimum(end, start + k), k) for k in C._STEMS)) for i, f in zip(doc.tolist(), fs)})
+    monkeypatch.setattr(np, "unique", lambda *_a, **_k: 1 / 0)  # a hash table: many times a sort's time
+    owner, feature, style = C._text_features(raw, offsets)
+    assert list(zip(owner.tolist(), feature.tolist())) == wanted and style.shape == (len(texts), C._STYLE)
+    assert np.isclose(style[0, 2], 3 / 5)  # distinct words by words: the, cat, catalogue
