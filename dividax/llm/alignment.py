@@ -19,8 +19,10 @@ from .common import text_slices, written
 #: Byte-level BPE (A) and BPE with word pieces (B); the files are at the same paths on every executor.
 BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
-#: Distinct units (words, mostly) whose tokens a worker remembers between slices; beyond it the store starts anew.
+#: Distinct units (words, mostly) whose tokens a worker remembers between slices; beyond it the frequent ones stay.
 STORE_MOST = 200_000
+#: Units that A encodes as one text.
+_JOINED = 32
 #: Bytes of text whose tokens a task holds at once (a whole text at least).
 SLICE_BYTES = 1 << 20
 #: A pair of token ids as one number: A's id above these bits, B's below.
@@ -69,17 +71,33 @@ class Pair:
         # can't cross it as long as none of its pieces has a space after another character.
         joins = any(regex.search("[^▁]▁", self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))
         self.cut = None if joins else regex.compile(r"(?<=[!-~À-ɏ]) (?=[!-~À-ɏ])")
+        self.beside_cut = frozenset(map(chr, (*range(0x21, 0x7F), *range(0xC0, 0x250))))
         self.forget()
 
     def forget(self) -> None:
         """Starts the store of units anew."""
         import numpy as np
 
-        self.known: dict[str, int] = {}
+        self.known: dict[str, int] = {}  # numbered in the order of entry
+        self.seen = np.zeros(0, np.int64)  # occurrences of each unit, halved whenever units are dropped
         self.stored = [np.zeros(0, np.int32), np.zeros(0, np.int32)]  # ids of A and B, unit after unit
         self.starts = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
         self.exact = np.zeros(0, bool)  # whether both sides give back the unit
 
+    def drop_rare(self) -> None:
+        """Keeps half a store of the units seen most, none of them seen only once."""
+        import numpy as np
+
+        kept = np.flatnonzero(self.seen > 1)
+        if len(kept) > STORE_MOST // 2:
+            kept = np.sort(kept[np.argpartition(self.seen[kept], -(STORE_MOST // 2))[-(STORE_MOST // 2):]])
+        names = list(self.known)
+        self.known = {names[i]: n for n, i in enumerate(kept.tolist())}
+        self.seen, self.exact = self.seen[kept] >> 1, self.exact[kept]
+        for side, (ids, starts) in enumerate(zip(self.stored, self.starts)):
+            at, count = _runs(starts, kept)
+            self.stored[side], self.starts[side] = ids[at], np.append(0, np.cumsum(count))
+
     def units(self, text: str) -> list[str]:
         """``text`` in units, each the next after one space; either tokenizer encodes them one by one as it would the whole."""
         return self.cut.split(text) if self.cut else [text]
@@ -91,23 +109,47 @@ class Pair:
         import numpy as np
 
         if len(self.known) > STORE_MOST:
-            self.forget()
+            self.drop_rare()
         rows = [self.units(t) for t in texts]
         new = list(set().union(*rows).difference(self.known)) if rows else []
         if new:
             self._store(new)
         sizes = np.array([len(r) for r in rows], np.int64)
         unit = np.fromiter(map(self.known.__getitem__, chain.from_iterable(rows)), np.int64, int(sizes.sum()))
+        self.seen += np.bincount(unit, minlength=len(self.seen))
         row = np.repeat(np.arange(len(rows)), sizes)
         sides = []
         for ids, starts in zip(self.stored, self.starts):
-            count = starts[unit + 1] - starts[unit]
-            before = np.cumsum(count) - count
-            at = np.repeat(starts[unit] - before, count) + np.arange(int(count.sum()))
+            at, count = _runs(starts, unit)
             sides.append((ids[at].astype(np.int64), np.bincount(row, weights=count, minlength=len(rows)).astype(np.int64)))
         exact = np.bincount(row, weights=~self.exact[unit], minlength=len(rows)) == 0
         return *sides, exact
 
+    def _encode_a(self, units: list[str], joined: bytes, size):
+        """(A's ids, tokens of each unit) of space+unit, ``size`` bytes each, ``joined`` their bytes on end.
+
+        Units between which ``cut`` would split are encoded many at a time; the token bytes, if all given
+        back, tell the units apart."""
+        import numpy as np
+
+        encode = lambda texts: [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        if self.cut:
+            texts, n = [], 0
+            while n < len(units):
+                begin = n
+                n += 1
+                while n < len(units) and n < begin + _JOINED and units[n - 1][-1:] in self.beside_cut and units[n][:1] in self.beside_cut:
+                    n += 1
+                texts.append(" " + " ".join(units[begin:n]))
+            flat = np.fromiter(chain.from_iterable(encode(texts)), np.int64)
+            if b"".join(map(self.a_bytes.__getitem__, flat.tolist())) == joined:
+                ends, at = np.cumsum(size), np.cumsum(self.a_size[flat])
+                last = np.searchsorted(at, ends)
+                if (at[last] == ends).all():
+                    return flat, np.diff(last, prepend=-1)
+        ids = encode([" " + u for u in units])
+        return np.fromiter(chain.from_iterable(ids), np.int64), np.array([len(i) for i in ids], np.int64)
+
     def _store(self, units: list[str]) -> None:
         import numpy as np
 
@@ -115,19 +157,33 @@ class Pair:
         size = np.array([len(w) for w in whole], np.int64)
         joined = b"".join(whole)
         exact = np.ones(len(units), bool)
-        found = [e.ids for e in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)], self.b.encode(units, num_threads=1)
-        for side, (ids, token_bytes, token_size) in enumerate(zip(found, (self.a_bytes, self.b_bytes), (self.a_size, self.b_size))):
-            flat = list(chain.from_iterable(ids))
-            ends = np.cumsum([len(unit) for unit in ids])
-            self.stored[side] = np.concatenate([self.stored[side], np.array(flat, np.int32)])
+        ids = self.b.encode(units, num_threads=1)
+        side_b = np.fromiter(chain.from_iterable(ids), np.int64), np.array([len(i) for i in ids], np.int64)
+        given = np.frombuffer(joined, np.uint8)
+        for side, ((flat, count), token_bytes, token_size) in enumerate(zip((self._encode_a(units, joined, size), side_b), (self.a_bytes, self.b_bytes), (self.a_size, self.b_size))):
+            ends = np.cumsum(count)
+            self.stored[side] = np.concatenate([self.stored[side], flat.astype(np.int32)])
             self.starts[side] = np.concatenate([self.starts[side], self.starts[side][-1] + ends])
-            length = np.diff(np.append(0, np.cumsum(token_size[flat]))[np.append(0, ends)])
-            if (length != size).any() or b"".join(map(token_bytes.__getitem__, flat)) != joined:
-                exact &= [b"".join(map(token_bytes.__getitem__, unit)) == w for unit, w in zip(ids, whole)]
+            same = np.diff(np.append(0, np.cumsum(token_size[flat]))[np.append(0, ends)]) == size
+            back = b"".join(map(token_bytes.__getitem__, flat[np.repeat(same, count)].tolist()))
+            differs = np.frombuffer(back, np.uint8) != given[np.repeat(same, size)]
+            if differs.any():
+                same[np.repeat(np.flatnonzero(same), size[same])[differs]] = False
+            exact &= same
         self.exact = np.concatenate([self.exact, exact])
+        self.seen = np.concatenate([self.seen, np.zeros(len(units), np.int64)])
         self.known.update(zip(units, range(len(self.known), len(self.known) + len(units))))
 
 
+def _runs(starts, which):
+    """(places, lengths) of the runs ``which`` of values whose runs begin at ``starts``."""
+    import numpy as np
+
+    count = starts[which + 1] - starts[which]
+    before = np.cumsum(count) - count
+    return np.repeat(starts[which] - before, count) + np.arange(int(count.sum())), count
+
+
 @lru_cache(maxsize=2)
 def tokenizer_pair(byte_level: str, pieces: str) -> Pair:
     return Pair(byte_level, pieces)

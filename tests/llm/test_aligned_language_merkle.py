@@ -233,3 +233,29 @@ def test_loss_weighted_decoding():
     distrust[:, 2] = 0.01
     model.loss_weights = distrust / distrust.sum(1, keepdims=True)
     assert model.decode(flipped)[2].min() > 0.9  # a bit that is often wrong hardly counts
+
+
+def test_frequent_units_stay_and_new_ones_are_encoded_together(monkeypatch):
+    from dividax.llm import alignment as A
+
+    odd = ["", "a", " ", "  x  y ", "ﬁ ① Å é x y", "<|endoftext|> a <s> </s>", "日本語 テスト a b", "😀 a 😀", "\t\n a", "a\x00b c", "▁ x ▁y", "é È ɏ z", "İ ½ ² a"]
+    pair = A.Pair(A.BYTE_LEVEL, A.PIECES)
+    sent, encode = [], pair.a.encode_batch_fast
+
+    class Counted:
+        def encode_batch_fast(self, texts, **how):
+            sent.append(len(texts))
+            return encode(texts, **how)
+
+    pair.a = Counted()
+    pair.encode([" ".join(f"word{i}" for i in range(320))])
+    assert sum(sent) <= 20  # units of a run go together
+    monkeypatch.setattr(A, "STORE_MOST", 100)
+    for turn in range(4):
+        texts = [f"the of the of u{turn}-{i} the {o}" for i, o in enumerate(odd * 8)] + odd
+        found, alone = A.Aligned(pair, [t.encode() for t in texts]), A.Aligned(A.Pair(A.BYTE_LEVEL, A.PIECES), [t.encode() for t in texts])
+        assert all((getattr(found, n) == getattr(alone, n)).all() for n in ("a", "b", "n_a", "n_b", "cut_a", "cut_b"))
+    pair.drop_rare()
+    assert "the of" not in pair.known and {"the", "of"} <= set(pair.known) and len(pair.known) <= 50
+    again = A.Aligned(pair, [b"the of the"])
+    assert again.digests() == A.Aligned(A.Pair(A.BYTE_LEVEL, A.PIECES), [b"the of the"]).digests()
