@@ -215,3 +215,49 @@ def test_counting_statement_rows_makes_none_of_their_texts(spark):
     assert "SHR" not in plan and "WHT" not in plan and "decimal" not in plan  # chunk sizes are counted over all rows
     legs = {r["kind"]: r["n"] for r in stmt.selectExpr("substr(id, 1, 1) kind", "id").groupBy("kind").agg({"id": "count"}).withColumnRenamed("count(id)", "n").collect()}
     assert legs["D"] > legs["T"] > 0 and stmt.where("id like 'T%' and Amount > 0 or id like 'D%' and Amount < 0").count() == 0
+
+
+def test_plain_sheets_are_cut_without_a_pattern_per_cell(monkeypatch):
+    import io
+    import random
+
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from dividax.sources import workbook as W
+    monkeypatch.setattr(pc, "extract_regex", None)  # cost more than half of the reader's time
+    monkeypatch.setattr(pc, "split_pattern", None)
+    pick, shared, epoch = random.Random(5), ["one", "x < y"], dt.datetime(1899, 12, 30)
+    texts = ["a", "x > y", "&amp;lt;", "Łódź 😀", "  pad ", "", "two\nlines", 'q"uote t="s"', "&lt;c r=&quot;A1&quot;&gt;"]
+    forms = ['{s} t="inlineStr"><is><t>{x}</t></is></c>', '{s} t="inlineStr"><is><t xml:space="preserve">{x}</t></is></c>', '{s}><v>45303.25</v></c>', '{s}><v></v></c>',
+             ' t="s"><v>1</v></c>', ' t="b"><v>1</v></c>', ' t="e"><v>#N/A</v></c>', ' t="str"><v>{x}</v></c>', "{s}/>", "{s}></c>", ' t="inlineStr"/>', ' t="inlineStr"><v>{x}</v></c>']
+    for _ in range(300):
+        rows, gap, first = [], pick.choice(["", "", "\n  "]), pick.choice([1, 98, 9_998, 999_998])
+        for n in range(first, first + 8):
+            cells = [f'<c r="{W._letters(c)}{n}"' + pick.choice(forms).format(s=pick.choice(["", ' s="1"']), x=pick.choice(texts)) for c in sorted(pick.sample([0, 1, 2, 25, 26, 701, 702], pick.randrange(6)))]
+            rows.append(f'<row r="{n}"{pick.choice(["", " spans=" + chr(34) + "1:8" + chr(34)])}' + (f">{gap}{gap.join(cells)}{gap}</row>" if cells else pick.choice(["/>", "></row>"])))
+        piece = gap.join(rows).encode()
+        numbers, ends, columns, values = W._plain_cells(piece, pa.array(shared), {1}, epoch)
+        got = [(int(n), dict(zip(columns.to_pylist()[a:b], values.to_pylist()[a:b]))) for n, a, b in zip(numbers, ends[:-1], ends[1:]) if b > a]
+        assert got == list(W._iter_rows(io.BytesIO(b'<worksheet xmlns="%s"><sheetData>%s</sheetData></worksheet>' % (W._NS["m"].encode(), piece)), shared, {1}, epoch))
+    for odd in (b'<row r="1"><c r="A1"><v>1<b/></v></c></row>', b'<row r="1"><c r="A2"><v>1</v></c></row>', b'<row r="1">x<c r="A1"><v>1</v></c></row>', b'<row r="1"><c r="A1"/>x</row>',
+                b'<row r="1"><c r="B1"/><c r="A1"/></row>', b'<row r="1"><c r="A1"><v>1</is></c></row>', b'<row r="1"><c r="A1"/>', b'<row r="1"><c r="A1"><v>&x;</v></c></row>'):
+        assert W._plain_cells(odd, pa.array(shared), {1}, epoch) is None  # left to the parser
+
+
+def test_rows_without_nulls_are_joined_once(monkeypatch):
+    import decimal
+
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from dividax.sources import workbook as W
+    joins, join = [], pc.binary_join_element_wise
+    monkeypatch.setattr(pc, "binary_join_element_wise", lambda *a, **k: joins.append(1) or join(*a, **k))
+    columns = [["a & <b>", "", "Łódź"], [dt.datetime(2024, 1, 12, 3, 4, 5)] * 3, [1.5, -2.25, 100.0], [decimal.Decimal("1.50"), decimal.Decimal("-2.00"), decimal.Decimal("0.10")]]
+    for nulls, calls in (((), 1), ((0,), 2), ((0, 1, 2, 3), 5)):
+        table = [[None, *c[1:]] if j in nulls else c for j, c in enumerate(columns)]
+        joins.clear()
+        text = b"".join(W._rows_xml(11, 1, [pa.chunked_array([pa.array(c)]) for c in table])).decode()
+        want = "".join(W._row_xml(i, [None, *row]) for i, row in enumerate(zip(*table), start=11))
+        assert text.replace("<v>100<", "<v>100.0<") == want and len(joins) == calls
