@@ -261,3 +261,14 @@ def test_rows_without_nulls_are_joined_once(monkeypatch):
         text = b"".join(W._rows_xml(11, 1, [pa.chunked_array([pa.array(c)]) for c in table])).decode()
         want = "".join(W._row_xml(i, [None, *row]) for i, row in enumerate(zip(*table), start=11))
         assert text.replace("<v>100<", "<v>100.0<") == want and len(joins) == calls
+
+
+def test_footers_are_looked_for_in_all_texts_at_once(spark):
+    from dividax.sources.workbook import CELL_SCHEMA
+    maps = [{"ID": "1", "Amount": "2"}, {"Amount": "Total 5"}, {"ID": "SubTotals"}, {"Unnamed: 0": "Total", "ID": "4"}, {"Unnamed: 0": "x"}, {"Typ": "Dywidenda"},
+            {"ID": "7", "Type": None}, {"ID": "To", "Type": "tal"}, {}]
+    cells = spark.createDataFrame([("p", "PLN", i, m, None) for i, m in enumerate(maps)], CELL_SCHEMA)
+    rows, _bad = cells_to_statements(cells)
+    # in placeholder columns a footer isn't one; an unknown text is neither
+    assert sorted((r["sheet_row"], r["ID"], r["Type"]) for r in rows.collect()) == [(0, "1", None), (3, "4", None), (5, None, "Dywidenda"), (7, "To", "tal")]
+    assert "array_join" in rows._jdf.queryExecution().optimizedPlan().toString()
